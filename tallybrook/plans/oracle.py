@@ -376,7 +376,7 @@ SELECT "user", count(DISTINCT (kafka_partition, kafka_offset)) AS edits,
 FROM copies WHERE ingested_at >= {NOW} - INTERVAL 7 DAY AND "user" IS NOT NULL
 GROUP BY 1 ORDER BY edits DESC, "user" LIMIT 10""",
     "freshness": with_edits(f"""
-SELECT (epoch_ms({NOW}) - epoch_ms(max(ingested_at))) / 1000.0 AS age_seconds
+SELECT (epoch_us({NOW}) // 1000 - epoch_us(max(ingested_at)) // 1000) / 1000.0 AS age_seconds
 FROM edits WHERE CAST(ingested_at AS DATE) >= CAST({NOW} AS DATE) - 1"""),
     "range_tiles": with_edits(f""", p AS (
   SELECT * FROM edits WHERE date_trunc('minute', ingested_at) >= {NOW} - INTERVAL 7 DAY
@@ -525,7 +525,7 @@ FROM g LEFT JOIN c USING (kafka_partition, window_start)"""),
     "cold_path_health": with_messages(f""",
 s AS (
   SELECT count(*) AS rows, count(*) FILTER (WHERE ingested_at >= TIMESTAMP '2024-01-30 23:00:00') AS new_rows,
-         (epoch_ms({NOW}) - epoch_ms(max(ingested_at))) / 1000.0 AS age_seconds,
+         (epoch_us({NOW}) // 1000 - epoch_us(max(ingested_at)) // 1000) / 1000.0 AS age_seconds,
          (SELECT count(*) FROM dead) AS dead_letters
   FROM clean
 )

@@ -53,49 +53,41 @@ def load_messages(spark: SparkSession, folder: str) -> DataFrame:
     One upstream payload per event, as an envelope. The counter in ``props`` decides
     the payload's form, so that every way of being malformed occurs all over the table.
     """
-    k = _k()
-    clock = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
-    kind = F.when(F.col("event_type") == "signup", "new").otherwise(F.col("event_type"))
+    k = F.col("k")
 
-    def text(value: Column) -> Column:
+    def quoted(value: Column) -> Column:
         return F.concat(F.lit('"'), value, F.lit('"'))
 
-    def payload(id_=None, type_=None, wiki=None, timestamp=None, bot=None) -> Column:
-        user = F.when(F.col("user_id") % 10 == 0, F.lit("null")).otherwise(
-            text(F.concat(F.lit("u"), F.col("user_id")))
-        )
-        return F.concat(
-            F.lit('{"id":'), id_ if id_ is not None else F.col("event_id").cast("string"),
-            F.lit(',"type":'), type_ if type_ is not None else text(kind),
-            F.lit(',"title":null,"wiki":'), wiki if wiki is not None else text(_wiki(k)),
-            F.lit(',"user":'), user,
-            F.lit(',"timestamp":'), timestamp if timestamp is not None else clock,
-            F.lit(',"bot":'), bot if bot is not None else F.when(
-                F.col("user_id") % 3 == 0, "true").otherwise("false"),
-            F.lit(',"comment":"dropped"}'),
-        )
-
-    value = (
-        F.when(k == 0, F.lit("{bad"))
-        .when(k == 1, F.lit("[]"))
-        .when(k == 2, F.lit("   "))
-        .when(k == 3, payload(wiki=F.lit('""')))
-        .when(k == 4, payload(type_=F.lit("null")))
-        .when(k == 5, payload(wiki=F.lit("7")))
-        .when(k == 6, payload(timestamp=F.concat(clock, F.lit(".5"))))
-        .when(k == 7, payload(timestamp=F.lit('"2024-06-18"')))
-        .when(k == 8, payload(bot=F.lit('"false"')))
-        .when(k == 9, payload(bot=F.lit("0")))
-        .when(k == 10, payload(bot=F.lit("1")))
-        .when(k == 11, payload(bot=F.lit("null")))
-        .when(k == 12, payload(id_=F.lit("null"), type_=F.lit('"log"')))
-        .when(k == 13, F.lit("42"))
-        .otherwise(payload())
-    )
-    return load_events(spark, folder).select(
+    def unless(forms: dict[int, Column], usual: Column) -> Column:
+        value = usual
+        for at, form in forms.items():
+            value = F.when(k == at, form).otherwise(value)
+        return value
+
+    rows = load_events(spark, folder).withColumn("k", _k())
+    clock = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+    kind = F.when(F.col("event_type") == "signup", "new").otherwise(F.col("event_type"))
+    user = F.when(F.col("user_id") % 10 != 0, quoted(F.concat(F.lit("u"), F.col("user_id"))))
+    members = {
+        "id": unless({12: F.lit("null")}, F.col("event_id").cast("string")),
+        "type": unless({4: F.lit("null"), 12: F.lit('"log"')}, quoted(kind)),
+        "title": F.lit("null"),
+        "wiki": unless({3: F.lit('""'), 5: F.lit("7")}, quoted(_wiki(k))),
+        "user": F.coalesce(user, F.lit("null")),
+        "timestamp": unless({6: F.concat(clock, F.lit(".5")), 7: F.lit('"2024-06-18"')}, clock),
+        "bot": unless(
+            {8: F.lit('"false"'), 9: F.lit("0"), 10: F.lit("1"), 11: F.lit("null")},
+            (F.col("user_id") % 3 == 0).cast("string"),
+        ),
+        "comment": F.lit('"dropped"'),
+    }
+    pairs = [F.concat(F.lit(f'"{name}":'), text) for name, text in members.items()]
+    whole = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+    broken = {0: F.lit("{bad"), 1: F.lit("[]"), 2: F.lit("   "), 13: F.lit("42")}
+    return rows.select(
         F.lit(TOPIC).alias("topic"),
         ((k % 20) % 6).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
-        value.alias("value"),
+        unless(broken, whole).alias("value"),
     )

@@ -14,45 +14,47 @@ UNPARSEABLE = "unparseable"
 INVALID = "invalid"
 
 
-def _member(json: Column, name: str) -> Column:
-    return F.try_variant_get(json, f"$.{name}", "variant")
+# Fields whose JSON type matters stay variants; the others are read as text or a number.
+_PAYLOAD = "array<struct<id:bigint,type:variant,title:string,wiki:variant,user:string,timestamp:variant,bot:variant>>"
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
+# Raw JSON of the values that count as false, besides false itself.
+_FALSY = r'^(null|""|\[\]|\{\}|-?0(\.0+)?([eE][+-]?[0-9]+)?)$'
 
-def _kind(json: Column) -> Column:
-    """Type name of a variant: STRING, BIGINT, DECIMAL(..), OBJECT<..>, ...; null if absent."""
-    return F.schema_of_variant(json)
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """
+    Add a column that is computed once. A generated column is never inlined: as a plain
+    projection, every later filter would be pushed below it and evaluate it again.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
 
-def _is_number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
+def _wrapped(value: Column) -> Column:
+    """The payload as a one-element array, so that text after its end is an error."""
+    return F.concat(F.lit("["), value, F.lit("]"))
 
-def _required_text(json: Column, name: str) -> Column:
-    """A non-empty JSON string, else null: any other type cannot be a key or a label."""
-    member = _member(json, name)
-    text = F.try_variant_get(json, f"$.{name}", "string")
-    return F.when((_kind(member) == "STRING") & (text != ""), text)
 
+def _text(member: Column) -> Column:
+    """A JSON string; any other type cannot be a key or a label and gives null."""
+    return F.when(F.schema_of_variant(member) == "STRING", member.cast("string"))
 
-def _truthy(json: Column, name: str) -> Column:
+
+def _truthy(member: Column) -> Column:
     """Truthiness of any JSON value: absent, null, false, 0, "", [] and {} are false."""
-    member = _member(json, name)
-    kind = _kind(member)
-    return F.coalesce(
-        F.when(kind == "BOOLEAN", F.try_variant_get(json, f"$.{name}", "boolean"))
-        .when(_is_number(kind), F.try_variant_get(json, f"$.{name}", "double") != 0)
-        .when(kind == "STRING", F.try_variant_get(json, f"$.{name}", "string") != "")
-        .when(kind.startswith("ARRAY"), F.to_json(member) != "[]")
-        .when(kind.startswith("OBJECT"), F.to_json(member) != "{}"),
-        F.lit(False),
+    return (
+        F.when(member.isNull(), False)
+        .when(F.schema_of_variant(member) == "BOOLEAN", member.cast("boolean"))
+        .otherwise(~F.to_json(member).rlike(_FALSY))
     )
 
 
-def _clock(json: Column, name: str) -> Column:
+def _clock(member: Column) -> Column:
     """Whole epoch seconds of a numeric clock; a fraction is floored, text is null."""
-    kind = _kind(_member(json, name))
-    number = F.try_variant_get(json, f"$.{name}", "double")
-    return F.when(_is_number(kind) | (kind == "BOOLEAN"), F.floor(number))
+    kind = F.schema_of_variant(member)
+    return F.when(kind.isin("BIGINT", "BOOLEAN"), member.try_cast("long")).when(
+        kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), F.floor(member.try_cast("double"))
+    )
 
 
 def judge(payloads: DataFrame, value: str = "value") -> DataFrame:
@@ -60,32 +62,33 @@ def judge(payloads: DataFrame, value: str = "value") -> DataFrame:
     Add ``verdict`` and the projected ``event`` struct (null unless the verdict is ok).
 
     A payload must be a JSON object whose ``type`` and ``wiki`` are non-empty strings;
-    everything else is optional. All of it runs on JVM variant expressions.
+    everything else is optional. All of it runs on JVM expressions; only payloads that
+    are refused are parsed a second time, to tell why.
     """
-    json, text = F.col("_json"), F.col(value)
-    # Generating the variant keeps it a column: a filter on the verdict would otherwise
-    # be pushed below the parse and parse every payload again for each field it tests.
-    parsed = payloads.withColumn("_json", F.explode(F.array(F.try_parse_json(text))))
-    verdict = (
-        F.when(~F.coalesce(text, F.lit("")).rlike(r"\S"), BLANK)
-        .when(json.isNull(), UNPARSEABLE)
-        .when(~_kind(json).startswith("OBJECT"), INVALID)
-        .when(_required_text(json, "type").isNull() | _required_text(json, "wiki").isNull(), INVALID)
-        .otherwise(OK)
+    text = F.col(value)
+    items = F.from_json(_wrapped(text), _PAYLOAD, _STRICT)
+    parsed = _once(payloads, "_items", items)
+    p = F.when(F.size("_items") == 1, F.col("_items")[0])
+    parsed = _once(parsed, "_p", p).drop("_items")
+    fields = F.struct(
+        _text(F.col("_p.type")).alias("type"),
+        _text(F.col("_p.wiki")).alias("wiki"),
+        _clock(F.col("_p.timestamp")).alias("timestamp"),
+        _truthy(F.col("_p.bot")).alias("bot"),
     )
-    event = F.struct(
-        F.try_variant_get(json, "$.id", "long").alias("id"),
-        F.try_variant_get(json, "$.type", "string").alias("type"),
-        F.try_variant_get(json, "$.title", "string").alias("title"),
-        F.try_variant_get(json, "$.wiki", "string").alias("wiki"),
-        F.try_variant_get(json, "$.user", "string").alias("user"),
-        _clock(json, "timestamp").alias("timestamp"),
-        _truthy(json, "bot").alias("bot"),
+    parsed = _once(parsed, "_f", fields)
+    whole = F.try_parse_json(_wrapped(text))
+    verdict = (
+        F.when((F.col("_f.type") != "") & (F.col("_f.wiki") != ""), OK)
+        .when(~F.coalesce(text, F.lit("")).rlike(r"\S"), BLANK)
+        .when(whole.isNull() | F.try_variant_get(whole, "$[1]", "variant").isNotNull(), UNPARSEABLE)
+        .otherwise(INVALID)
     )
+    event = F.struct("_p.id", "_f.type", "_p.title", "_f.wiki", "_p.user", "_f.timestamp", "_f.bot")
     return (
         parsed.withColumn("verdict", verdict)
         .withColumn("event", F.when(F.col("verdict") == OK, event))
-        .drop("_json")
+        .drop("_p", "_f")
     )
 
 
