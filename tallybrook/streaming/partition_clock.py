@@ -1,0 +1,208 @@
+"""
+The live path with one clock per topic partition.
+
+Spark keeps one watermark per query. Where every partition must close its windows by
+its own clock, emit its quiet windows as zeros and account for late events, each
+micro-batch is one poll: it is reduced to counts, added to the counts of the windows still
+open, and what its partitions' clocks have passed is emitted. What carries over is a
+table of open counts and a table with one row per partition, written per batch. A batch
+that is run again reads the state of the batch before it and rewrites its own.
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from tallybrook.functions.clock import align_micros, epoch_micros
+from tallybrook.functions.display import per_second
+from tallybrook.operators.windows import dimension_counts, event_clock, normalize
+from tallybrook.schemas import COUNTS, TOP_USERS
+from tallybrook.settings import GRACE_SECONDS, MAX_GAP_WINDOWS, WINDOW_SECONDS
+from tallybrook.streaming.live import KEYS, slices_of_counts, write_slices
+
+CLOCKS = T.StructType([
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("watermark_us", T.LongType()),
+    T.StructField("through", T.LongType()),
+])
+OPEN = T.StructType([
+    T.StructField("window_start", T.LongType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("dim", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("bots", T.LongType()),
+])
+AUDIT = T.StructType([
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("late_events", T.LongType()),
+    T.StructField("dropped_events", T.LongType()),
+])
+
+
+class PartitionClock:
+    def __init__(
+        self, spark: SparkSession, folder: str, *, source: str = "arrival", size: int = WINDOW_SECONDS,
+        grace: float = GRACE_SECONDS, max_gap: int | None = MAX_GAP_WINDOWS,
+    ) -> None:
+        if source not in ("arrival", "event"):
+            raise ValueError(f"unknown time source {source!r}")
+        self.spark = spark
+        self.folder = folder
+        self.source = source
+        self.size = size
+        self.grace_us = int(grace * 1_000_000)
+        self.max_gap = max_gap
+
+    # -- tables ---------------------------------------------------------------
+
+    @property
+    def slices(self) -> str:
+        return f"{self.folder}/slices"
+
+    def _path(self, table: str, batch_id: int) -> str:
+        return f"{self.folder}/{table}/state_id={batch_id}"
+
+    def _state(self, table: str, schema: T.StructType, batch_id: int) -> DataFrame:
+        if batch_id < 0:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._path(table, batch_id))
+
+    def _save(self, df: DataFrame, table: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(self._path(table, batch_id))
+
+    def _forget(self, batch_id: int) -> None:
+        """Drop state no retry can ask for any more."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for table in ("clocks", "open"):
+            path = jvm.org.apache.hadoop.fs.Path(self._path(table, batch_id))
+            path.getFileSystem(conf).delete(path, True)
+
+    def audit(self) -> DataFrame:
+        """Late events and events given up to the gap cap, per batch and partition."""
+        schema = T.StructType([*AUDIT.fields, T.StructField("state_id", T.LongType())])
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/audit")
+
+    # -- one poll -------------------------------------------------------------
+
+    def _rows(self, batch: DataFrame) -> DataFrame:
+        source = F.col("arrived_at") if self.source == "arrival" else event_clock(
+            batch, "event", arrival="arrived_at"
+        )
+        rows = normalize(batch).withColumn("clock_us", epoch_micros(source))
+        return rows.withColumn("window_start", align_micros(F.col("clock_us"), self.size))
+
+    def _clocks(self, rows: DataFrame, before: DataFrame) -> DataFrame:
+        """Every partition's clock after this poll, and how far it had and has emitted."""
+        polled = rows.groupBy(F.col("kafka_partition").alias("partition")).agg(
+            F.max("clock_us").alias("_us"), F.min_by("window_start", "kafka_offset").alias("_first")
+        )
+        joined = before.join(polled, "partition", "full")
+        watermark = F.greatest("watermark_us", "_us")
+        if self.source == "arrival":
+            # Wall clock: the poll's own time closes windows, also of partitions it did not touch.
+            now = rows.agg(F.max("clock_us").alias("_now")).withColumn("_one", F.lit(1))
+            joined = joined.withColumn("_one", F.lit(1)).join(F.broadcast(now), "_one", "left")
+            clock: Column = F.coalesce("_now", watermark)
+        else:
+            clock = watermark
+        had = F.coalesce(F.col("through"), F.col("_first") - F.lit(self.size))
+        newest = align_micros(clock - F.lit(self.grace_us), self.size) - F.lit(self.size)
+        first = had + F.lit(self.size)
+        reach = F.greatest(had, newest)
+        if self.max_gap is not None:
+            first = F.greatest(first, reach - F.lit((self.max_gap - 1) * self.size))
+        return joined.select(
+            "partition",
+            watermark.alias("watermark_us"),
+            had.alias("had"),
+            reach.alias("through"),
+            first.alias("first"),
+        )
+
+    def step(self, batch: DataFrame, batch_id: int) -> None:
+        before = self._state("clocks", CLOCKS, batch_id - 1)
+        rows = self._rows(batch)
+        keyed = rows.select(
+            "window_start", F.col("kafka_partition").alias("partition"), "wiki", "type", "user", "bot"
+        )
+        users = (
+            keyed.groupBy(*KEYS, F.lit("user").alias("dim"), F.col("user").alias("value"))
+            .agg(F.count("*").alias("n"), F.count_if(F.col("bot")).alias("bots"))
+        )
+        counts = dimension_counts(keyed, KEYS).unionByName(users)
+
+        # State is read back from the written table, never from this batch's lineage.
+        self._save(self._clocks(rows, before), "clocks", batch_id)
+        schema = T.StructType([*CLOCKS.fields, T.StructField("had", T.LongType()), T.StructField("first", T.LongType())])
+        # One row per topic partition, a number the topic fixes.
+        clocks = F.broadcast(self._state("clocks", schema, batch_id))
+
+        arrived = counts.join(clocks, "partition").withColumn(
+            "late", F.col("window_start") <= F.col("had")
+        )
+        carried = self._state("open", OPEN, batch_id - 1).join(clocks, "partition").withColumn(
+            "late", F.lit(False)
+        )
+        pending = (
+            arrived.unionByName(carried)
+            .groupBy(*KEYS, "dim", "value", "late", "had", "first", "through")
+            .agg(F.sum("n").alias("n"), F.sum("bots").alias("bots"))
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        try:
+            on_time = pending.filter(~F.col("late"))
+            self._save(on_time.filter(F.col("window_start") > F.col("through")).select(*OPEN.names),
+                       "open", batch_id)
+            closed = on_time.filter(
+                (F.col("window_start") <= F.col("through")) & (F.col("window_start") >= F.col("first"))
+            )
+            write_slices(self._dense(slices_of_counts(closed, self.size), clocks), self.slices, batch_id)
+            given_up = F.col("window_start").between(F.col("had") + 1, F.col("first") - 1)
+            n = F.when(F.col("dim") == "type", F.col("n")).otherwise(F.lit(0))
+            self._save(
+                pending.groupBy("partition").agg(
+                    F.sum(F.when(F.col("late"), n).otherwise(0)).alias("late_events"),
+                    F.sum(F.when(~F.col("late") & given_up, n).otherwise(0)).alias("dropped_events"),
+                ),
+                "audit", batch_id,
+            )
+        finally:
+            pending.unpersist()
+        if batch_id >= 2:
+            self._forget(batch_id - 2)
+
+    def _dense(self, slices: DataFrame, clocks: DataFrame) -> DataFrame:
+        """The slices of all windows this poll emits, quiet ones as zeros."""
+        grid = clocks.filter(F.col("through") >= F.col("first")).select(
+            "partition",
+            F.explode(F.sequence("first", "through", F.lit(self.size))).alias("window_start"),
+        )
+        empty = F.struct(F.lit(0).cast("long").alias("bot"), F.lit(0).cast("long").alias("human"))
+        total = F.coalesce("total_edits", F.lit(0))
+        return grid.join(slices, KEYS, "left").select(
+            "window_start",
+            (F.col("window_start") + F.lit(self.size)).alias("window_end"),
+            "partition",
+            total.alias("total_edits"),
+            per_second(total, self.size).alias("edits_per_second"),
+            F.coalesce("edits_per_wiki", F.array().cast(COUNTS)).alias("edits_per_wiki"),
+            F.coalesce("bot_vs_human", empty).alias("bot_vs_human"),
+            F.coalesce("edit_types", F.array().cast(COUNTS)).alias("edit_types"),
+            F.coalesce("top_editors", F.array().cast(TOP_USERS)).alias("top_editors"),
+        )
+
+    def start(self, edits: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        """``arrived_at`` is the micro-batch's own recorded time: one value per poll."""
+        polled = edits.withColumn("arrived_at", F.current_timestamp())
+        return (
+            polled.writeStream.foreachBatch(self.step)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "500 milliseconds"}))
+            .start()
+        )
