@@ -37,7 +37,7 @@ def running_watermark(events: DataFrame, ts: Column, chunk: Column | None = None
     rows = events.withColumn("clock_us", epoch_micros(ts))
     chunk = offset_chunk() if chunk is None else chunk
     rows = running_max(
-        rows, [PARTITION], [OFFSET], "clock_us", chunk, name="before_us", include_current=False
+        rows, [PARTITION], OFFSET, "clock_us", chunk, name="before_us", include_current=False
     )
     return rows.withColumn("watermark_us", F.greatest("before_us", "clock_us"))
 
@@ -72,61 +72,115 @@ def apply_origin(events: DataFrame, ts: Column, size: int) -> DataFrame:
 
 # -- polls --------------------------------------------------------------------
 
-def flush_schedule(events: DataFrame, ts: Column, poll: Column, size: int, grace: float) -> DataFrame:
+def routed_counts(
+    events: DataFrame, ts: Column, poll: Column, size: int, grace: float, polls_per_chunk: int = 10_000
+) -> DataFrame:
     """
-    One row per (partition, poll): the last window emitted ``before`` and ``through``
-    this poll's flush, by the partition's own watermark.
+    Events per (partition, poll, window) with what the partition had emitted ``before``
+    the poll, what it has emitted ``through`` its flush and in the end (``final``), and
+    whether the rows were ``late``: their window had gone out already.
 
     The first row of a partition counts its preceding window as already emitted. A window
-    closes once the watermark reaches its end plus grace.
+    closes once the partition's watermark reaches its end plus grace. Polls are ordered
+    inside chunks of ``polls_per_chunk``, each chunk starting from the watermark the
+    chunks before it left, so the partition with most of the polls is not one task's.
     """
-    rows = clocked(events, ts, size).withColumn("poll", poll)
-    polls = rows.groupBy(PARTITION, "poll").agg(
-        F.max("clock_us").alias("poll_us"),
-        F.min_by("window_start", OFFSET).alias("first_window"),
-    )
-    order = Window.partitionBy(PARTITION).orderBy("poll")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    origin = F.first("first_window").over(so_far) - F.lit(size)
-    watermark = F.max("poll_us").over(so_far)
-    newest = align_micros(watermark - F.lit(int(grace * 1_000_000)), size) - F.lit(size)
-    return (
-        polls.withColumn("origin", origin)
-        .withColumn("watermark_us", watermark)
-        .withColumn("through", F.greatest(origin, newest))
-        .withColumn("before", F.coalesce(F.lag("through").over(order), F.col("origin")))
-        .select(PARTITION, "poll", "watermark_us", "before", "through")
-    )
-
-
-def window_counts_by_poll(events: DataFrame, ts: Column, poll: Column, size: int) -> DataFrame:
-    return (
+    rows = (
         clocked(events, ts, size)
         .withColumn("poll", poll)
-        .groupBy(PARTITION, "poll", "window_start")
-        .agg(F.count("*").alias("events"))
+        .withColumn("_chunk", F.floor(F.col("poll") / polls_per_chunk))
+    )
+    chunk = [PARTITION, "_chunk"]
+    counts = rows.groupBy(*chunk, "poll", "window_start").agg(
+        F.count("*").alias("events"),
+        F.max("clock_us").alias("_us"),
+        F.min(OFFSET).alias("low"),
+        F.max(OFFSET).alias("high"),
     )
+    heads = rows.groupBy(*chunk).agg(
+        F.max("clock_us").alias("_us"), F.min_by("window_start", OFFSET).alias("_first")
+    )
+    chunks = Window.partitionBy(PARTITION).orderBy("_chunk")
+    heads = heads.select(
+        *chunk,
+        (F.first("_first").over(chunks) - F.lit(size)).alias("_origin"),
+        F.max("_us").over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
+        F.max("_us").over(Window.partitionBy(PARTITION)).alias("_last"),
+    )
+    by_poll = Window.partitionBy(*chunk).orderBy("poll")
+    by_row = Window.partitionBy(*chunk).orderBy("poll", "low")
 
+    def marked(end: int) -> Column:
+        seen = F.max("_us").over(by_poll.rangeBetween(Window.unboundedPreceding, end))
+        return F.greatest(seen, F.col("_carried"))
 
-def accepted_counts(counts: DataFrame, schedule: DataFrame) -> DataFrame:
-    """Counts by poll with ``late`` set where the window had gone out in an earlier flush."""
-    return counts.join(schedule.select(PARTITION, "poll", "before"), [PARTITION, "poll"]).withColumn(
-        "late", F.col("window_start") <= F.col("before")
+    def reach(mark: Column) -> Column:
+        newest = align_micros(mark - F.lit(int(grace * 1_000_000)), size) - F.lit(size)
+        return F.greatest(F.col("_origin"), newest)
+
+    return (
+        counts.join(heads, chunk)
+        .withColumns({
+            "first_of_poll": F.coalesce(F.lag("poll").over(by_row) != F.col("poll"), F.lit(True)),
+            "watermark_us": marked(0),
+            "_earlier": marked(-1),
+        })
+        .withColumns({
+            "before": F.when(F.col("_earlier").isNull(), F.col("_origin")).otherwise(reach(F.col("_earlier"))),
+            "through": reach(F.col("watermark_us")),
+            "final": reach(F.col("_last")),
+        })
+        .withColumn("late", F.col("window_start") <= F.col("before"))
+        .drop("_chunk", "_us", "_origin", "_carried", "_earlier", "_last")
     )
 
 
-def emissions(schedule: DataFrame, size: int, max_gap: int | None = MAX_GAP_WINDOWS) -> DataFrame:
+def window_fates(
+    events: DataFrame, ts: Column, poll: Column, size: int, grace: float, max_gap: int | None
+) -> DataFrame:
     """
-    Every window each flush emits, empty ones included: ``(before, through]`` cut to the
-    newest ``max_gap`` windows; None sets no cut. Grows with time covered, not with events.
+    Per (partition, window): accepted and late events, the flush that emitted it, and its
+    status. Each poll fans out into its own counts and the windows its flush emits,
+    ``(before, through]`` cut to the newest ``max_gap``; the two meet in one aggregate.
     """
+    routed = routed_counts(events, ts, poll, size, grace)
     first = F.col("before") + F.lit(size)
     if max_gap is not None:
         first = F.greatest(first, F.col("through") - F.lit((max_gap - 1) * size))
-    return schedule.filter(F.col("through") > F.col("before")).select(
-        PARTITION,
-        F.col("poll").alias("emitted_by"),
-        F.explode(F.sequence(first, F.col("through"), F.lit(size))).alias("window_start"),
+    none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
+    own = F.array(F.struct(
+        F.col("window_start"),
+        F.when(F.col("late"), zero).otherwise(F.col("events")).alias("events"),
+        F.when(F.col("late"), F.col("events")).otherwise(zero).alias("late_events"),
+        none.alias("emitted_by"),
+    ))
+    flushed = F.when(
+        F.col("first_of_poll") & (F.col("through") > F.col("before")),
+        F.transform(
+            F.sequence(first, F.col("through"), F.lit(size)),
+            lambda start: F.struct(
+                start.alias("window_start"), zero.alias("events"), zero.alias("late_events"),
+                F.col("poll").alias("emitted_by"),
+            ),
+        ),
+    )
+    fanned = F.when(flushed.isNull(), own).otherwise(F.concat(own, flushed))
+    status = (
+        F.when(F.col("emitted_by").isNotNull(), "emitted")
+        .when(F.col("window_start") <= F.col("final"), "dropped")
+        .otherwise("open")
+    )
+    return (
+        routed.select(PARTITION, "final", F.explode(fanned).alias("w"))
+        .groupBy(PARTITION, F.col("w.window_start").alias("window_start"))
+        .agg(
+            F.sum("w.events").alias("events"),
+            F.sum("w.late_events").alias("late_events"),
+            F.max("w.emitted_by").alias("emitted_by"),
+            F.max("final").alias("final"),
+        )
+        .withColumn("status", status)
+        .drop("final")
     )
 
 
@@ -139,46 +193,38 @@ def emitted_windows(
     what became of it: ``emitted`` (zero for a quiet window), ``dropped`` (pending longer
     than the gap cap allows, so its events were given up) or ``open`` at the end.
     """
-    schedule = flush_schedule(events, ts, poll, size, grace)
-    taken = (
-        accepted_counts(window_counts_by_poll(events, ts, poll, size), schedule)
-        .filter(~F.col("late"))
-        .groupBy(PARTITION, "window_start")
-        .agg(F.sum("events").alias("events"))
-    )
-    ends = schedule.groupBy(PARTITION).agg(F.max("through").alias("final"))
-    out = emissions(schedule, size, max_gap).join(taken, [PARTITION, "window_start"], "full")
-    status = (
-        F.when(F.col("emitted_by").isNotNull(), "emitted")
-        .when(F.col("window_start") <= F.col("final"), "dropped")
-        .otherwise("open")
-    )
-    return out.join(F.broadcast(ends), PARTITION).select(
-        PARTITION,
-        "window_start",
-        F.coalesce(F.col("events"), F.lit(0)).alias("events"),
-        "emitted_by",
-        status.alias("status"),
+    fates = window_fates(events, ts, poll, size, grace, max_gap)
+    return fates.filter((F.col("events") > 0) | F.col("emitted_by").isNotNull()).select(
+        PARTITION, "window_start", "events", "emitted_by", "status"
     )
 
 
-def disposition(events: DataFrame, ts: Column, poll: Column, size: int, grace: float,
-                max_gap: int | None = MAX_GAP_WINDOWS) -> DataFrame:
+def disposition(
+    events: DataFrame, ts: Column, poll: Column, size: int, grace: float,
+    max_gap: int | None = MAX_GAP_WINDOWS,
+) -> DataFrame:
     """Events per partition by fate: late, emitted, dropped by the gap cap, still open."""
-    schedule = flush_schedule(events, ts, poll, size, grace)
-    late = (
-        accepted_counts(window_counts_by_poll(events, ts, poll, size), schedule)
-        .filter("late")
-        .select(PARTITION, F.lit("late").alias("status"), "events")
+    fates = window_fates(events, ts, poll, size, grace, max_gap)
+    return fates.groupBy(PARTITION).agg(
+        F.sum("late_events").alias("late_events"),
+        *[
+            F.sum(F.when(F.col("status") == s, F.col("events")).otherwise(0)).alias(f"{s}_events")
+            for s in ("emitted", "dropped", "open")
+        ],
     )
-    windows = emitted_windows(events, ts, poll, size, grace, max_gap).select(PARTITION, "status", "events")
-    return (
-        late.unionByName(windows)
-        .groupBy(PARTITION)
-        .agg(*[
-            F.coalesce(F.sum(F.when(F.col("status") == s, F.col("events"))), F.lit(0)).alias(f"{s}_events")
-            for s in ("late", "emitted", "dropped", "open")
-        ])
+
+
+def released_offsets(events: DataFrame, ts: Column, poll: Column, size: int, grace: float) -> DataFrame:
+    """
+    Per partition, the next offset to read once its closed windows are durable
+    (``released``), and the lowest one that no open window still needs (``safe``).
+    With clocks out of order the first can pass rows of an open window.
+    """
+    on_time = routed_counts(events, ts, poll, size, grace).filter(~F.col("late"))
+    closed = F.col("window_start") <= F.col("final")
+    return on_time.groupBy(PARTITION).agg(
+        F.max(F.when(closed, F.col("high") + 1)).alias("released"),
+        F.coalesce(F.min(F.when(~closed, F.col("low"))), F.max("high") + 1).alias("safe"),
     )
 
 
@@ -213,25 +259,3 @@ def watermark_lag(watermarks: DataFrame, as_of_epoch: int) -> DataFrame:
     """Seconds each partition's watermark is behind ``as_of``."""
     lag = (F.lit(as_of_epoch * 1_000_000) - epoch_micros(F.col("watermark"))) / F.lit(1_000_000.0)
     return watermarks.select(PARTITION, lag.alias("lag_seconds"))
-
-
-def released_offsets(events: DataFrame, ts: Column, poll: Column, size: int, grace: float) -> DataFrame:
-    """
-    Per partition, the next offset to read once its closed windows are durable
-    (``released``), and the lowest one that no open window still needs (``safe``).
-    With clocks out of order the first can pass rows of an open window.
-    """
-    schedule = flush_schedule(events, ts, poll, size, grace)
-    rows = clocked(events, ts, size).withColumn("poll", poll)
-    spans = rows.groupBy(PARTITION, "poll", "window_start").agg(
-        F.max(OFFSET).alias("high"), F.min(OFFSET).alias("low")
-    )
-    ends = schedule.groupBy(PARTITION).agg(F.max("through").alias("final"))
-    on_time = accepted_counts(spans, schedule).filter(~F.col("late")).join(
-        F.broadcast(ends), PARTITION
-    )
-    closed = F.col("window_start") <= F.col("final")
-    return on_time.groupBy(PARTITION).agg(
-        F.max(F.when(closed, F.col("high") + 1)).alias("released"),
-        F.coalesce(F.min(F.when(~closed, F.col("low"))), F.max("high") + 1).alias("safe"),
-    )

@@ -5,7 +5,9 @@ A plain window over a series puts the whole series in one task. Here a series is
 cut into chunks of its order: each chunk is reduced to one row, the few chunk rows
 are scanned in order, and what they carry is joined back, so rows are only ever
 ordered inside a chunk. Callers pick chunks that are bounded in size, such as a range
-of offsets or an hour.
+of offsets or a day of samples. The join and the inner ordering need the same
+partitioning, by (series, chunk), so the rows are shuffled once; the reduction reads its
+three columns in a scan of its own and shuffles one row per task and chunk.
 """
 
 from __future__ import annotations
@@ -29,15 +31,15 @@ def _carried(
 
 
 def running_max(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunk: Column, *,
-    name: str, include_current: bool = True,
+    df: DataFrame, keys: Sequence[str], order: str, value: str, chunk: Column, *, name: str,
+    include_current: bool = True,
 ) -> DataFrame:
     """Add ``name``: the largest ``value`` up to (or strictly before) each row of its series."""
     rows = _carried(
         df, keys, chunk, F.max(value),
         lambda over: F.max("_summary").over(over.rowsBetween(Window.unboundedPreceding, -1)),
     )
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(
+    inside = Window.partitionBy(*keys, _CHUNK).orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1
     )
     best = F.greatest(F.max(value).over(inside), F.col("_carry"))
@@ -45,34 +47,17 @@ def running_max(
 
 
 def previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunk: Column, *, name: str
+    df: DataFrame, keys: Sequence[str], order: str, value: str, chunk: Column, *, name: str
 ) -> DataFrame:
     """Add ``name``: the ``value`` of the row before, over the whole series."""
-    position = F.struct(*[F.col(c) for c in order])
     rows = _carried(
-        df, keys, chunk, F.max_by(F.col(value), position),
-        lambda over: F.lag("_summary").over(over),
+        df, keys, chunk, F.max_by(value, order), lambda over: F.lag("_summary").over(over)
     )
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    inside = Window.partitionBy(*keys, _CHUNK).orderBy(order)
     first = F.row_number().over(inside) == 1
     before = F.when(first, F.col("_carry")).otherwise(F.lag(value).over(inside))
     return rows.withColumn(name, before).drop("_carry", _CHUNK)
 
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunk: Column, *, name: str
-) -> DataFrame:
-    """Add ``name``: the sum of ``value`` up to and including each row of its series."""
-    rows = _carried(
-        df, keys, chunk, F.sum(value),
-        lambda over: F.sum("_summary").over(over.rowsBetween(Window.unboundedPreceding, -1)),
-    )
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    total = F.sum(value).over(inside) + F.coalesce(F.col("_carry"), F.lit(0))
-    return rows.withColumn(name, total).drop("_carry", _CHUNK)
-
-
 def offset_chunk(offset: str = "kafka_offset", size: int = 100_000) -> Column:
     return F.floor(F.col(offset) / size)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import epoch_seconds, window_start
-from tallybrook.operators.ordered import previous, running_max
+from tallybrook.operators.ordered import previous
 
 DAY = 86_400
 
@@ -31,7 +31,7 @@ def counter_deltas(samples: DataFrame) -> DataFrame:
     """
     rows = samples.withColumn("series", series_key(F.col("labels")))
     before = previous(
-        rows, ["metric", "series"], ["ts"], "value",
+        rows, ["metric", "series"], "ts", "value",
         F.floor(epoch_seconds(F.col("ts")) / DAY), name="before",
     )
     grown = F.col("value") - F.col("before")
@@ -173,17 +173,16 @@ def alert_states(values: DataFrame, grid: DataFrame, step: int, rules: Sequence[
     per (alert, t); an evaluation without one sees no data, which is not zero.
     """
     rows = grid.join(values, ["alert", "t"], "left").withColumn("active", _condition(rules))
-    rows = rows.withColumn("_quiet", F.when(~F.col("active"), F.col("t")))
-    rows = running_max(rows, ["alert"], ["t"], "_quiet", F.floor(F.col("t") / DAY), name="_last_quiet")
-    # One row per rule, and the rules are a fixed list.
-    first = grid.groupBy("alert").agg(F.min("t").alias("_first"))
-    since = F.coalesce(F.col("_last_quiet") + F.lit(step), F.col("_first"))
+    # The grid is what is ordered: per rule, as many rows as the time covered has steps.
+    so_far = Window.partitionBy("alert").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    last_quiet = F.max(F.when(~F.col("active"), F.col("t"))).over(so_far)
+    since = F.coalesce(last_quiet + F.lit(step), F.min("t").over(so_far))
     hold = F.lit(0)
     for rule in rules:
         hold = F.when(F.col("alert") == rule.alert, F.lit(rule.for_seconds)).otherwise(hold)
     state = (
         F.when(~F.col("active"), "inactive")
-        .when(F.col("t") - since >= hold, "firing")
+        .when(F.col("t") - F.col("_since") >= hold, "firing")
         .otherwise("pending")
     )
-    return rows.join(F.broadcast(first), "alert").select("alert", "t", "value", state.alias("state"))
+    return rows.withColumn("_since", since).select("alert", "t", "value", state.alias("state"))

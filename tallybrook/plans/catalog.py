@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import epoch_of, epoch_seconds, window_start
 from tallybrook.functions.display import console_line, status_band
 from tallybrook.functions.packing import counts_text
 from tallybrook.operators import health, lateness, series, windows
-from tallybrook.operators.ordered import running_sum
 from tallybrook.operators.rollup import (
     distinct_editors, rollup_day, rollup_minute, rollup_read, with_estimates,
 )
@@ -342,10 +341,10 @@ def window_changes(spark, folder):
         .groupBy(window_start(payload(), SIZE).alias("window_start"), poll().alias("version"))
         .agg(F.count("*").alias("n"))
     )
-    totals = running_sum(
-        seen, ["window_start"], ["version"], "n", F.floor(F.col("version") / 144), name="total"
-    )
-    return windows.window_changes(totals.drop("n"))
+    # One row per window and poll that touched it.
+    so_far = Window.partitionBy("window_start").orderBy("version")
+    totals = seen.select("window_start", "version", F.sum("n").over(so_far).alias("total"))
+    return windows.window_changes(totals)
 
 
 @query
@@ -483,9 +482,9 @@ def load_samples(spark, folder) -> DataFrame:
     seen = edits.groupBy("kafka_partition", window_start(arrival(), SCRAPE).alias("t")).agg(
         F.count("*").alias("n"), F.max("event_time").alias("newest")
     ).withColumn("at", F.col("t") + SCRAPE).withColumn("restarted", F.col("t") >= epoch_of(RESET_AT))
-    totals = running_sum(
-        seen, ["kafka_partition", "restarted"], ["t"], "n", F.floor(F.col("t") / DAY), name="total"
-    )
+    # One row per scrape.
+    so_far = Window.partitionBy("kafka_partition", "restarted").orderBy("t")
+    totals = seen.withColumn("total", F.sum("n").over(so_far))
 
     def sample(metric: str, value: Column) -> Column:
         return F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
