@@ -14,10 +14,12 @@ UNPARSEABLE = "unparseable"
 INVALID = "invalid"
 
 
-# Fields whose JSON type matters stay variants; the others are read as text or a number.
-_PAYLOAD = "array<struct<id:bigint,type:variant,title:string,wiki:variant,user:string,timestamp:variant,bot:variant>>"
+_PAYLOAD = "array<struct<id:bigint,type:string,title:string,wiki:string,user:string,timestamp:double,bot:boolean>>"
 _STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
+# Text that a JSON number, boolean, array or object would also be read as.
+_MAYBE_NOT_TEXT = r"^([-+0-9.\[{]|true$|false$|NaN$|Inf)"
+
 # Raw JSON of the values that count as false, besides false itself.
 _FALSY = r'^(null|""|\[\]|\{\}|-?0(\.0+)?([eE][+-]?[0-9]+)?)$'
 
@@ -35,25 +37,32 @@ def _wrapped(value: Column) -> Column:
     return F.concat(F.lit("["), value, F.lit("]"))
 
 
-def _text(member: Column) -> Column:
+def _member(value: Column, name: str) -> Column:
+    """One field of the payload with its JSON type."""
+    return F.try_variant_get(F.try_parse_json(_wrapped(value)), f"$[0].{name}", "variant")
+
+
+def _text(value: Column, read: Column, name: str) -> Column:
     """A JSON string; any other type cannot be a key or a label and gives null."""
-    return F.when(F.schema_of_variant(member) == "STRING", member.cast("string"))
+    exact = _member(value, name)
+    return F.when(
+        read.rlike(_MAYBE_NOT_TEXT),
+        F.when(F.schema_of_variant(exact) == "STRING", exact.cast("string")),
+    ).otherwise(read)
 
 
-def _truthy(member: Column) -> Column:
+def _truthy(value: Column, read: Column, name: str) -> Column:
     """Truthiness of any JSON value: absent, null, false, 0, "", [] and {} are false."""
-    return (
-        F.when(member.isNull(), False)
-        .when(F.schema_of_variant(member) == "BOOLEAN", member.cast("boolean"))
-        .otherwise(~F.to_json(member).rlike(_FALSY))
-    )
+    exact = _member(value, name)
+    return F.coalesce(read, F.when(exact.isNull(), False).otherwise(~F.to_json(exact).rlike(_FALSY)))
 
 
-def _clock(member: Column) -> Column:
-    """Whole epoch seconds of a numeric clock; a fraction is floored, text is null."""
-    kind = F.schema_of_variant(member)
-    return F.when(kind.isin("BIGINT", "BOOLEAN"), member.try_cast("long")).when(
-        kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), F.floor(member.try_cast("double"))
+def _clock(value: Column, read: Column, name: str) -> Column:
+    """Whole epoch seconds of a numeric clock: a fraction is floored, text is null."""
+    exact = _member(value, name)
+    infinite = F.isnan(read) | (F.abs(read) == float("inf"))
+    return F.when(read.isNotNull(), F.when(~infinite, F.floor(read))).otherwise(
+        F.when(F.schema_of_variant(exact) == "BOOLEAN", exact.try_cast("long"))
     )
 
 
@@ -62,19 +71,19 @@ def judge(payloads: DataFrame, value: str = "value") -> DataFrame:
     Add ``verdict`` and the projected ``event`` struct (null unless the verdict is ok).
 
     A payload must be a JSON object whose ``type`` and ``wiki`` are non-empty strings;
-    everything else is optional. All of it runs on JVM expressions; only payloads that
-    are refused are parsed a second time, to tell why.
+    everything else is optional. All of it runs on JVM expressions. Payloads are read once
+    with a declared schema; only a field whose type that reading leaves in doubt, or a
+    payload that is refused, is looked at again.
     """
     text = F.col(value)
-    items = F.from_json(_wrapped(text), _PAYLOAD, _STRICT)
-    parsed = _once(payloads, "_items", items)
-    p = F.when(F.size("_items") == 1, F.col("_items")[0])
-    parsed = _once(parsed, "_p", p).drop("_items")
+    parsed = _once(payloads, "_items", F.from_json(_wrapped(text), _PAYLOAD, _STRICT))
+    parsed = _once(parsed, "_p", F.when(F.size("_items") == 1, F.col("_items")[0])).drop("_items")
+    there = F.col("_p").isNotNull()
     fields = F.struct(
-        _text(F.col("_p.type")).alias("type"),
-        _text(F.col("_p.wiki")).alias("wiki"),
-        _clock(F.col("_p.timestamp")).alias("timestamp"),
-        _truthy(F.col("_p.bot")).alias("bot"),
+        _text(text, F.col("_p.type"), "type").alias("type"),
+        _text(text, F.col("_p.wiki"), "wiki").alias("wiki"),
+        F.when(there, _clock(text, F.col("_p.timestamp"), "timestamp")).alias("timestamp"),
+        F.when(there, _truthy(text, F.col("_p.bot"), "bot")).alias("bot"),
     )
     parsed = _once(parsed, "_f", fields)
     whole = F.try_parse_json(_wrapped(text))

@@ -50,6 +50,18 @@ def test_bot_by_truthiness(spark, bot, want):
     assert event(spark, bot=bot)["bot"] is want
 
 
+@pytest.mark.parametrize("name", ["7wiki", "true", "-", "[x]", "3", "NaN", "zh-min-nanwiki"])
+def test_any_text_is_a_name(spark, name):
+    got = event(spark, wiki=name, type=name)
+    assert (got["wiki"], got["type"]) == (name, name)
+
+
+def test_odd_types_of_optional_fields(spark):
+    got = event(spark, id="x", title=5, user={"a": 1}, timestamp=True)
+    assert (got["id"], got["title"], got["user"], got["timestamp"]) == (None, "5", '{"a":1}', 1)
+    assert event(spark, timestamp=float("nan"))["timestamp"] is None
+
+
 def test_missing_bot_is_human(spark):
     (row,) = verdict(spark, '{"type":"log","wiki":"dewiki"}')
     assert row["event"].asDict() == {"id": None, "type": "log", "title": None, "wiki": "dewiki",
