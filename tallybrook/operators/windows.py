@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import epoch_micros, window_start
-from tallybrook.functions.display import per_second
+from tallybrook.functions.display import bot_rate, per_second, share_percent
 from tallybrook.functions.packing import ranked
 from tallybrook.operators.topk import bounded_semi, top_k_per_group
-from tallybrook.settings import ANONYMOUS, HISTORY_WINDOWS, TOP_EDITORS, UNKNOWN
+from tallybrook.settings import (
+    ANONYMOUS, HISTORY_WINDOWS, TOP_EDITORS, TOP_WIKIS_SHOWN, UNKNOWN, WINDOW_TTL_SECONDS,
+)
 
 
 def normalize(events: DataFrame) -> DataFrame:
@@ -220,6 +222,40 @@ def window_latest(slices: DataFrame, k: int = TOP_EDITORS) -> DataFrame:
     return merge_slices(trim(slices, 1), k)
 
 
+def within_ttl(slices: DataFrame, written_at: Column, as_of_epoch: int, ttl: int = WINDOW_TTL_SECONDS) -> DataFrame:
+    """Slices written less than ``ttl`` seconds ago, the safety net for windows no trim reaches."""
+    return slices.filter(F.lit(as_of_epoch) - written_at < F.lit(ttl))
+
+
+def point_rates(points: DataFrame) -> DataFrame:
+    """A chart's two lines: the rate and the bots' part of it."""
+    return points.select("t", "rate", bot_rate(F.col("rate"), F.col("bot"), F.col("total")).alias("bot_rate"))
+
+
+def window_view(merged: DataFrame, shown: int = TOP_WIKIS_SHOWN) -> DataFrame:
+    """
+    What a live view shows of a window: rate, total, bot share, number of active wikis and
+    the first ``shown`` of them with their length relative to the longest bar.
+    """
+    wikis = F.col("edits_per_wiki")
+    bars = F.transform(
+        F.slice(wikis, 1, shown),
+        lambda w: F.struct(
+            w["key"].alias("wiki"), w["count"].alias("count"),
+            (w["count"] * 100.0 / wikis[0]["count"]).alias("bar_percent"),
+        ),
+    )
+    bot = F.col("bot_vs_human.bot")
+    return merged.select(
+        "window_start",
+        F.col("edits_per_second").alias("rate"),
+        F.col("total_edits").alias("total"),
+        share_percent(bot, bot + F.col("bot_vs_human.human")).alias("bot_percent"),
+        F.size(wikis).alias("active_wikis"),
+        bars.alias("wikis"),
+    )
+
+
 # -- top editors --------------------------------------------------------------
 
 def window_top_editors(events: DataFrame, ts: Column, size: int, k: int = TOP_EDITORS) -> DataFrame:

@@ -307,6 +307,31 @@ def window_trim(spark, folder):
     return windows.trim(_slices(spark, folder), 120).select("window_start", "partition", "total_edits")
 
 
+@query
+def window_ttl(spark, folder):
+    written = (
+        load_edits(spark, folder)
+        .groupBy(
+            window_start(arrival(), SIZE).alias("window_start"), F.col("kafka_partition").alias("partition")
+        )
+        .agg(F.count("*").alias("total"), F.max(epoch_seconds(payload())).alias("written_at"))
+    )
+    return windows.within_ttl(written, F.col("written_at"), epoch_of(AS_OF), DAY)
+
+
+@query
+def window_point_rates(spark, folder):
+    return windows.point_rates(windows.window_points(_slices(spark, folder)))
+
+
+@query
+def window_view(spark, folder):
+    view = windows.window_view(windows.merge_slices(_slices(spark, folder, DAY)))
+    return view.withColumn("wikis", F.array_join(F.transform(
+        "wikis", lambda w: F.concat_ws("=", w["wiki"], w["count"].cast("string"),
+                                       F.round(w["bar_percent"], 3).cast("decimal(6,3)").cast("string"))), ","))
+
+
 @query
 def window_top_editors(spark, folder):
     return windows.window_top_editors(load_edits(spark, folder), arrival(), DAY)

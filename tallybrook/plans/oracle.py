@@ -430,6 +430,26 @@ s AS (
   FROM edits GROUP BY ALL
 )
 SELECT * FROM s WHERE window_start IN (SELECT DISTINCT window_start FROM s ORDER BY 1 DESC LIMIT 120)"""),
+    "window_ttl": with_edits(f"""
+SELECT {floor_to('ingested_at', 300)} AS window_start, kafka_partition AS partition, count(*) AS total,
+       max({epoch('event_time')}) AS written_at
+FROM edits GROUP BY 1, 2 HAVING {NOW_S} - max({epoch('event_time')}) < 86400"""),
+    "window_point_rates": with_edits(f"""
+SELECT {floor_to('ingested_at', 300)} AS t, round(count(*) / 300, 2) AS rate,
+       round(count(*) / 300, 2) * (count(*) FILTER (WHERE bot) / count(*)) AS bot_rate
+FROM edits GROUP BY 1"""),
+    "window_view": with_edits(slices(86_400) + MERGED + """,
+bars AS (
+  SELECT window_start, count(*) AS active,
+         string_agg(wiki || '=' || n || '=' || CAST(CAST(round(n * 100.0 / top, 3) AS DECIMAL(6, 3)) AS VARCHAR), ','
+           ORDER BY n DESC, wiki) FILTER (WHERE place <= 8) AS wikis
+  FROM (SELECT *, max(n) OVER (PARTITION BY window_start) AS top,
+               row_number() OVER (PARTITION BY window_start ORDER BY n DESC, wiki) AS place FROM m_wiki)
+  GROUP BY 1
+)
+SELECT window_start, round(total / 86400, 2) AS rate, total, bots * 100.0 / total AS bot_percent,
+       CAST(active AS INT) AS active_wikis, wikis
+FROM m_total JOIN bars USING (window_start)"""),
     "window_top_editors": with_edits(f"""
 SELECT {floor_to('ingested_at', 86_400)} AS window_start, coalesce(nullif("user", ''), 'anonymous') AS "user",
        count(*) AS count, CAST(row_number() OVER (PARTITION BY {floor_to('ingested_at', 86_400)}

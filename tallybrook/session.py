@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,10 +52,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a session without that
     setting that runs in local mode gets a folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tallybrook-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallybrook-"))
+        root = context.getCheckpointDir()
+    return f"{root.rstrip('/')}/{name}"

@@ -32,6 +32,7 @@ WINDOW_SECONDS = 5
 GRACE_SECONDS = 1.0
 MAX_GAP_WINDOWS = 12
 HISTORY_WINDOWS = 120
+WINDOW_TTL_SECONDS = HISTORY_WINDOWS * WINDOW_SECONDS * 2
 STALE_AFTER_SECONDS = 30
 COLD_MAX_AGE_SECONDS = 60
 TOP_EDITORS = 5

@@ -95,7 +95,7 @@ def judge(payloads: DataFrame, value: str = "value") -> DataFrame:
     )
     event = F.struct("_p.id", "_f.type", "_p.title", "_f.wiki", "_p.user", "_f.timestamp", "_f.bot")
     return (
-        parsed.withColumn("verdict", verdict)
+        _once(parsed, "verdict", verdict)
         .withColumn("event", F.when(F.col("verdict") == OK, event))
         .drop("_p", "_f")
     )
@@ -154,6 +154,16 @@ def judged(messages: DataFrame) -> DataFrame:
     ).drop("verdict")
 
 
+def observe_drops(judged: DataFrame, name: str = "payloads") -> DataFrame:
+    """Count accepted and refused payloads as they pass, for the query's progress reports."""
+    return judged.observe(
+        name,
+        F.count_if(F.col("error") == "").alias("accepted"),
+        F.count_if(F.col("error") == UNPARSEABLE).alias(UNPARSEABLE),
+        F.count_if(F.col("error") == INVALID).alias(INVALID),
+    )
+
+
 def clean_rows(parsed: DataFrame, now: Column | None = None) -> DataFrame:
     """
     Rows without an error, shaped as ``edits``. The broker's clock is the ingest time;

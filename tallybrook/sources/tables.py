@@ -9,7 +9,7 @@ and for dropping whole days.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,18 +54,21 @@ def read_table(
 
 
 def compact_days(
-    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str], *,
+    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str], target: str, *,
     order: Sequence[str] = RAW_ORDER, date_name: str = "ingest_date", files: int | None = None,
-    target: str,
+    reduce: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """
     Rewrite closed days of a table into ``target`` as range-sorted files, all in batch 0.
+    ``reduce`` merges the batches' rows first: partial rollup rows into one per key, or
+    versions into the newest; it keeps the date column.
 
-    The range partitioning is on the sort key, whose trailing columns are unique, so
-    a wiki holding a third of a day is cut into several files like any other data.
+    The range partitioning is on the whole sort key, whose trailing columns are unique,
+    so a wiki holding a third of a day is cut into several files like any other data.
     """
     table = read_table(spark, path, schema, date_name=date_name)
-    rows = table.filter(F.col(date_name).isin(*[F.lit(d).cast("date") for d in days])).drop(BATCH)
+    rows = table.filter(F.col(date_name).isin(*[F.lit(d).cast("date") for d in days]))
+    rows = (reduce(rows) if reduce else rows).drop(BATCH)
     keys = [F.col(date_name), *[F.col(c) for c in order]]
     ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
     append_batch(ranged, target, 0, F.col(date_name), date_name=date_name, order=order)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook.operators.windows import event_clock, latest_version, normalize, pack_slices
 from tallybrook.schemas import SLICE
+from tallybrook.session import shared_folder
 from tallybrook.settings import GRACE_SECONDS, WINDOW_SECONDS
 from tallybrook.sources.tables import BATCH, append_batch, read_table
 
@@ -74,7 +75,7 @@ def read_slices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def start_live_windows(
-    edits: DataFrame, folder: str, checkpoint: str, *, source: str = "event",
+    edits: DataFrame, folder: str, checkpoint: str | None = None, *, source: str = "event",
     size: int = WINDOW_SECONDS, grace: float = GRACE_SECONDS, ahead: str | None = "60 seconds",
     trigger: dict | None = None, first_batch: int = 0,
 ) -> StreamingQuery:
@@ -91,14 +92,14 @@ def start_live_windows(
         live_counts(stream_clock(edits, source, ahead), size, grace)
         .writeStream.outputMode("append")
         .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint or shared_folder(edits.sparkSession, "live-windows"))
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )
 
 
 def start_live_totals(
-    edits: DataFrame, folder: str, checkpoint: str, *, source: str = "event",
+    edits: DataFrame, folder: str, checkpoint: str | None = None, *, source: str = "event",
     size: int = WINDOW_SECONDS, grace: float = GRACE_SECONDS, trigger: dict | None = None,
     first_batch: int = 0,
 ) -> StreamingQuery:
@@ -123,7 +124,7 @@ def start_live_totals(
     return (
         totals.writeStream.outputMode("update")
         .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint or shared_folder(edits.sparkSession, "live-totals"))
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )

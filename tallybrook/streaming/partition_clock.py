@@ -21,6 +21,7 @@ from tallybrook.functions.clock import align_micros, epoch_micros
 from tallybrook.functions.display import per_second
 from tallybrook.operators.windows import dimension_counts, event_clock, normalize
 from tallybrook.schemas import COUNTS, TOP_USERS
+from tallybrook.session import shared_folder
 from tallybrook.settings import GRACE_SECONDS, MAX_GAP_WINDOWS, WINDOW_SECONDS
 from tallybrook.streaming.live import KEYS, slices_of_counts, write_slices
 
@@ -197,12 +198,15 @@ class PartitionClock:
             F.coalesce("top_editors", F.array().cast(TOP_USERS)).alias("top_editors"),
         )
 
-    def start(self, edits: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-        """``arrived_at`` is the micro-batch's own recorded time: one value per poll."""
+    def start(self, edits: DataFrame, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+        """
+        ``arrived_at`` is the micro-batch's own recorded time: one value per poll. The state
+        tables follow the checkpoint's batch numbers, so a new checkpoint needs a new folder.
+        """
         polled = edits.withColumn("arrived_at", F.current_timestamp())
         return (
             polled.writeStream.foreachBatch(self.step)
-            .option("checkpointLocation", checkpoint)
+            .option("checkpointLocation", checkpoint or shared_folder(self.spark, "partition-clock"))
             .trigger(**(trigger or {"processingTime": "500 milliseconds"}))
             .start()
         )

@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook.operators.rollup import rollup_day, rollup_minute, rollup_read
 from tallybrook.schemas import DAY_ROLLUP, DEAD_LETTERS, EDITS, MINUTE_ROLLUP
-from tallybrook.sources.messages import clean_rows, dead_letters, judged
+from tallybrook.session import shared_folder
+from tallybrook.sources.messages import clean_rows, dead_letters, judged, observe_drops
 from tallybrook.sources.tables import BATCH, RAW_ORDER, append_batch, read_table
 
 
@@ -87,18 +88,19 @@ def store_batch(batch: DataFrame, batch_id: int, tables: StoredTables) -> None:
 
 
 def start_stored_path(
-    messages: DataFrame, folder: str, checkpoint: str, *, redelivery_horizon: str | None = None,
-    trigger: dict | None = None, first_batch: int = 0,
+    messages: DataFrame, folder: str, checkpoint: str | None = None, *,
+    redelivery_horizon: str | None = None, trigger: dict | None = None, first_batch: int = 0,
 ) -> StreamingQuery:
     """
     Run the stored path over an envelope stream. A new checkpoint counts batches from
-    zero again, so give it a ``first_batch`` beyond those already in the tables.
+    zero again, so give it a ``first_batch`` beyond those already in the tables. The
+    query's progress reports what was refused, by reason, under ``payloads``.
     """
     tables = StoredTables(messages.sparkSession, folder)
     return (
-        prepare_stream(messages, redelivery_horizon)
+        observe_drops(prepare_stream(messages, redelivery_horizon))
         .writeStream.foreachBatch(lambda batch, n: store_batch(batch, first_batch + n, tables))
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint or shared_folder(messages.sparkSession, "stored-path"))
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallybrook.schemas import ENVELOPE
 from tallybrook.sources import messages as wire
 from tallybrook.sources.tables import (
-    append_batch, compact_days, drop_expired, expired_days, read_table,
+    append_batch, compact_days, dedup, drop_expired, expired_days, read_table,
 )
 from tallybrook.sources.topics import publish_files
 from tallybrook.schemas import EDITS
@@ -124,9 +124,11 @@ def test_tables_retention_and_compaction(spark, tmp_path, data):
     assert table.count() == 2 * edits.count()
     one_day = table.filter("ingest_date = DATE'2024-01-05'")
     assert "PartitionFilters: [isnotnull(ingest_date" in one_day._jdf.queryExecution().executedPlan().toString()
-    compact_days(spark, path, EDITS, ["2024-01-05", "2024-01-06"], target=f"{tmp_path}/compact", files=4)
+    compact_days(spark, path, EDITS, ["2024-01-05", "2024-01-06"], f"{tmp_path}/compact", files=4)
     compacted = read_table(spark, f"{tmp_path}/compact", EDITS)
     assert compacted.count() == table.filter("ingest_date in (DATE'2024-01-05', DATE'2024-01-06')").count()
+    compact_days(spark, path, EDITS, ["2024-01-05"], f"{tmp_path}/unique", reduce=dedup)
+    assert read_table(spark, f"{tmp_path}/unique", EDITS).count() * 2 == one_day.count()
     gone = expired_days(spark, path, "edits", "2024-01-20 00:00:00")
     assert gone[0] == "2024-01-01" and gone[-1] == "2024-01-12"
     assert drop_expired(spark, path, "edits", "2024-01-20 00:00:00") == gone

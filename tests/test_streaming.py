@@ -51,7 +51,7 @@ def rows(df, *order):
 
 
 def test_stored_path_equals_batch_and_survives_restart(spark, landed, tmp_path):
-    tables = StoredTables(spark, f"{tmp_path}/tables")
+    tables, seen = StoredTables(spark, f"{tmp_path}/tables"), []
     for _ in range(2):
         # The second run finds nothing new on the same checkpoint.
         query = start_stored_path(
@@ -59,8 +59,11 @@ def test_stored_path_equals_batch_and_survives_restart(spark, landed, tmp_path):
             tables.folder, f"{tmp_path}/checkpoint", trigger=NOW,
         )
         query.awaitTermination(300)
+        seen.append([p["observedMetrics"]["payloads"] for p in query.recentProgress if p["numInputRows"]])
     parsed = judged(spark.read.parquet(landed["messages"]))
     clean = clean_rows(parsed)
+    assert sum(m["accepted"] for m in seen[0]) == clean.count()
+    assert sum(m["unparseable"] + m["invalid"] for m in seen[0]) == dead_letters(parsed).count()
     assert rows(tables.edits().select(*clean.columns)) == rows(clean)
     wanted = dead_letters(parsed).drop("seen_at")
     assert rows(tables.errors().select(*wanted.columns)) == rows(wanted)
@@ -188,6 +191,12 @@ def test_partition_clock_rerun_of_a_batch(spark, landed, tmp_path):
     assert rows(read_slices(spark, clock.slices)) == before
 
 
+def test_checkpoints_go_to_the_shared_folder(spark):
+    from tallybrook.session import shared_folder
+
+    assert shared_folder(spark, "x") == spark.conf.get("spark.checkpoint.dir") + "/x"
+
+
 def test_topic_options():
     live = kafka_options("broker:9092", per_trigger=2000)
     assert live["startingOffsets"] == "latest" and live["maxOffsetsPerTrigger"] == "2000"

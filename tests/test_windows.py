@@ -122,6 +122,19 @@ def test_trim_latest_and_history(spark):
     assert [r["window_start"] for r in windows.window_latest(data).collect()] == [195]
 
 
+def test_window_view(spark):
+    data = slices(spark, slice_row(100, 0, 20, 5, [(f"w{i}", 20 - i) for i in range(10)]))
+    view = windows.window_view(windows.merge_slices(data)).first()
+    assert (view["rate"], view["total"], view["bot_percent"], view["active_wikis"]) == (4.0, 20, 25.0, 10)
+    assert len(view["wikis"]) == 8 and tuple(view["wikis"][1]) == ("w1", 19, 95.0)
+
+
+def test_ttl(spark):
+    data = spark.createDataFrame([(1, 100), (2, 1000)], "window_start long, written_at long")
+    kept = windows.within_ttl(data, F.col("written_at"), 1300).collect()
+    assert [r["window_start"] for r in kept] == [2]
+
+
 def test_versions(spark):
     rows = [(100, 0, 1, 13), (100, 3, 1, 104), (215, 2, 1, 7), (215, 2, 2, 144)]
     table = spark.createDataFrame(rows, "window_start long, partition int, version long, total long")
