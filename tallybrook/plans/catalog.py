@@ -100,7 +100,9 @@ def events_publish(spark, folder):
 @query
 def edits_dedup(spark, folder):
     copies = redelivered(load_edits(spark, folder))
-    return dedup(copies).select("wiki", "type", "user", "bot", "kafka_partition", "kafka_offset")
+    return dedup(copies).select(
+        "ingested_at", "wiki", "type", "user", "bot", "kafka_partition", "kafka_offset"
+    )
 
 
 @query

@@ -316,7 +316,8 @@ SELECT f_wiki AS "key", CAST(to_json(struct_pack(
          "timestamp" := f_timestamp, bot := f_bot)) AS VARCHAR) AS value
 FROM judged WHERE error = ''"""),
     "edits_dedup": f"""WITH {COPIES}
-SELECT DISTINCT wiki, type, "user", bot, kafka_partition, kafka_offset FROM copies""",
+SELECT min(ingested_at) AS ingested_at, wiki, type, "user", bot, kafka_partition, kafka_offset
+FROM copies GROUP BY ALL""",
     "retention_cutoff": f"""WITH {EDITS}, {MESSAGES.replace('e AS (', 'e2 AS (', 1).replace('FROM e' + chr(10), 'FROM e2' + chr(10), 1)}, r AS ({minute_rollup('edits')}),
 rows_ AS (
   SELECT 'edits' AS table_name, ingested_at + INTERVAL 7 DAY <= {NOW} AS gone FROM edits

@@ -6,16 +6,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Runtime settings that are safe to apply to a session somebody else built.
-#
-# Every window is aligned to the epoch and every bucket is a UTC bucket.
-# Sketch aggregation keeps one buffer per (minute, wiki) group; at Spark's default
-# of 128 groups it would fall back to sorting all input rows. The buffers start at
-# a few hundred bytes, so a far larger map is still small next to executor memory.
-RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
-}
+# The setting that results depend on; safe to apply to a session somebody else built.
+# Every window is aligned to the epoch and every day is a UTC day.
+RUNTIME_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 BUILD_CONF = {
     "spark.sql.adaptive.enabled": "true",

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,14 +74,18 @@ def compact_days(
     append_batch(ranged, target, 0, F.col(date_name), date_name=date_name, order=order)
 
 
-def dedup(edits: DataFrame, keys: Sequence[str] = ("kafka_partition", "kafka_offset")) -> DataFrame:
+def dedup(
+    edits: DataFrame, keys: Sequence[str] = ("kafka_partition", "kafka_offset"), order: str = "ingested_at"
+) -> DataFrame:
     """
-    One row per message, whichever copy is seen first; copies of a message are equal.
+    One row per message: the copy that came first.
 
     The message coordinate is the key, not the ingest time, which can differ between
-    copies. Coordinates are spread evenly, so no group is larger than a message's copies.
+    copies. Coordinates are spread evenly and each task drops its own copies before the
+    shuffle, so no group is larger than the tasks that saw the message.
     """
-    return edits.dropDuplicates(list(keys))
+    copies = Window.partitionBy(*keys).orderBy(order)
+    return edits.withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1").drop("_copy")
 
 
 def expired(df: DataFrame, column: str, days: int | None, as_of: AsOf = None) -> Column:

@@ -30,6 +30,10 @@ CLOCKS = T.StructType([
     T.StructField("watermark_us", T.LongType()),
     T.StructField("through", T.LongType()),
 ])
+# The clocks of one poll also say what had been emitted before it and what it emits first.
+POLLED = T.StructType([
+    *CLOCKS.fields, T.StructField("had", T.LongType()), T.StructField("first", T.LongType())
+])
 OPEN = T.StructType([
     T.StructField("window_start", T.LongType()),
     T.StructField("partition", T.IntegerType()),
@@ -95,7 +99,9 @@ class PartitionClock:
         source = F.col("arrived_at") if self.source == "arrival" else event_clock(
             batch, "event", arrival="arrived_at"
         )
-        rows = normalize(batch).withColumn("clock_us", epoch_micros(source))
+        rows = normalize(batch).withColumn("clock_us", epoch_micros(source)).select(
+            "kafka_partition", "kafka_offset", "wiki", "type", "user", "bot", "clock_us"
+        )
         return rows.withColumn("window_start", align_micros(F.col("clock_us"), self.size))
 
     def _clocks(self, rows: DataFrame, before: DataFrame) -> DataFrame:
@@ -127,57 +133,53 @@ class PartitionClock:
         )
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
-        before = self._state("clocks", CLOCKS, batch_id - 1)
-        rows = self._rows(batch)
-        keyed = rows.select(
-            "window_start", F.col("kafka_partition").alias("partition"), "wiki", "type", "user", "bot"
-        )
-        users = (
-            keyed.groupBy(*KEYS, F.lit("user").alias("dim"), F.col("user").alias("value"))
-            .agg(F.count("*").alias("n"), F.count_if(F.col("bot")).alias("bots"))
-        )
-        counts = dimension_counts(keyed, KEYS).unionByName(users)
-
-        # State is read back from the written table, never from this batch's lineage.
-        self._save(self._clocks(rows, before), "clocks", batch_id)
-        schema = T.StructType([*CLOCKS.fields, T.StructField("had", T.LongType()), T.StructField("first", T.LongType())])
-        # One row per topic partition, a number the topic fixes.
-        clocks = F.broadcast(self._state("clocks", schema, batch_id))
-
-        arrived = counts.join(clocks, "partition").withColumn(
-            "late", F.col("window_start") <= F.col("had")
-        )
-        carried = self._state("open", OPEN, batch_id - 1).join(clocks, "partition").withColumn(
-            "late", F.lit(False)
-        )
-        pending = (
-            arrived.unionByName(carried)
-            .groupBy(*KEYS, "dim", "value", "late", "had", "first", "through")
-            .agg(F.sum("n").alias("n"), F.sum("bots").alias("bots"))
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
+        """One poll: take the batch in, emit what its clocks have passed, save what is left."""
+        rows = self._rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            on_time = pending.filter(~F.col("late"))
-            self._save(on_time.filter(F.col("window_start") > F.col("through")).select(*OPEN.names),
-                       "open", batch_id)
-            closed = on_time.filter(
-                (F.col("window_start") <= F.col("through")) & (F.col("window_start") >= F.col("first"))
-            )
-            write_slices(self._dense(slices_of_counts(closed, self.size), clocks), self.slices, batch_id)
-            given_up = F.col("window_start").between(F.col("had") + 1, F.col("first") - 1)
-            n = F.when(F.col("dim") == "type", F.col("n")).otherwise(F.lit(0))
-            self._save(
-                pending.groupBy("partition").agg(
-                    F.sum(F.when(F.col("late"), n).otherwise(0)).alias("late_events"),
-                    F.sum(F.when(~F.col("late") & given_up, n).otherwise(0)).alias("dropped_events"),
-                ),
-                "audit", batch_id,
-            )
+            # State is read back from the written table, never from this batch's lineage.
+            self._save(self._clocks(rows, self._state("clocks", CLOCKS, batch_id - 1)), "clocks", batch_id)
+            # One row per topic partition, a number the topic fixes.
+            clocks = F.broadcast(self._state("clocks", POLLED, batch_id))
+            pending = self._pending(rows, clocks, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                self._emit(pending, clocks, batch_id)
+            finally:
+                pending.unpersist()
         finally:
-            pending.unpersist()
+            rows.unpersist()
         if batch_id >= 2:
             self._forget(batch_id - 2)
 
+    def _pending(self, rows: DataFrame, clocks: DataFrame, batch_id: int) -> DataFrame:
+        """This poll's counts, late ones marked, added to the counts of the open windows."""
+        keyed = rows.withColumnRenamed("kafka_partition", "partition")
+        users = keyed.groupBy(*KEYS, F.lit("user").alias("dim"), F.col("user").alias("value")).agg(
+            F.count("*").alias("n"), F.count_if(F.col("bot")).alias("bots")
+        )
+        arrived = dimension_counts(keyed, KEYS).unionByName(users).join(clocks, "partition")
+        carried = self._state("open", OPEN, batch_id - 1).join(clocks, "partition")
+        marked = arrived.withColumn("late", F.col("window_start") <= F.col("had")).unionByName(
+            carried.withColumn("late", F.lit(False))
+        )
+        return marked.groupBy(*KEYS, "dim", "value", "late", "had", "first", "through").agg(
+            F.sum("n").alias("n"), F.sum("bots").alias("bots")
+        )
+
+    def _emit(self, pending: DataFrame, clocks: DataFrame, batch_id: int) -> None:
+        start = F.col("window_start")
+        on_time = pending.filter(~F.col("late"))
+        still_open = on_time.filter(start > F.col("through")).select(*OPEN.names)
+        self._save(still_open, "open", batch_id)
+        closed = on_time.filter((start <= F.col("through")) & (start >= F.col("first")))
+        write_slices(self._dense(slices_of_counts(closed, self.size), clocks), self.slices, batch_id)
+        given_up = ~F.col("late") & (start > F.col("had")) & (start < F.col("first"))
+        n = F.when(F.col("dim") == "type", F.col("n")).otherwise(F.lit(0))
+        audit = pending.groupBy("partition").agg(
+            F.sum(F.when(F.col("late"), n).otherwise(0)).alias("late_events"),
+            F.sum(F.when(given_up, n).otherwise(0)).alias("dropped_events"),
+        )
+        self._save(audit, "audit", batch_id)
+
     def _dense(self, slices: DataFrame, clocks: DataFrame) -> DataFrame:
         """The slices of all windows this poll emits, quiet ones as zeros."""
         grid = clocks.filter(F.col("through") >= F.col("first")).select(
