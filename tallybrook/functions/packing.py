@@ -23,8 +23,3 @@ def counts_text(counts: Column, name: str = "key") -> Column:
     return F.array_join(
         F.transform(counts, lambda x: F.concat(x[name], F.lit("="), x["count"].cast("string"))), ","
     )
-
-
-def as_map(counts: Column) -> Column:
-    """The packed array as a MAP, for lookups by key; a MAP carries no order."""
-    return F.map_from_entries(counts)

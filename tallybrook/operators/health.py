@@ -103,8 +103,9 @@ def consumer_lag(latest: DataFrame, committed: DataFrame) -> DataFrame:
     Messages each partition is behind: end of the log minus the next offset to read,
     with the total over all partitions beside it. One row per partition on both sides.
     """
-    lag = latest.join(committed, "partition", "left").select(
-        "partition",
+    keys = [c for c in ("topic", "partition") if c in latest.columns and c in committed.columns]
+    lag = latest.join(committed, keys, "left").select(
+        *keys,
         (F.col("end_offset") - F.coalesce("committed", F.lit(0))).alias("lag"),
     )
     total = lag.agg(F.sum("lag").alias("total_lag")).withColumn("_one", F.lit(1))

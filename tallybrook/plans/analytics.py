@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import (
-    AsOf, as_of_column, bucket_start, day_of, epoch_of, epoch_seconds, seconds_interval,
+    AsOf, as_of_column, bucket_start, epoch_of, epoch_seconds, seconds_interval,
 )
 from tallybrook.functions.display import per_minute, share_percent
 from tallybrook.functions.sketches import editors_estimate
@@ -83,9 +83,20 @@ class TimelineRequest:
         return self.step >= DAY
 
 
+# The date folders of the stored tables, by the column they are cut from.
+DATE_FOLDERS = {"ingested_at": "ingest_date", "minute": "minute_date", "day": "day_date"}
+
+
+def _pruned(df: DataFrame, column: str, start: Column) -> DataFrame:
+    """On a stored table, also bound the date folder, so that older folders go unread."""
+    folder = DATE_FOLDERS.get(column)
+    return df.filter(F.col(folder) >= F.to_date(start)) if folder in df.columns else df
+
+
 def since(df: DataFrame, column: str, seconds: int, as_of: AsOf = None) -> DataFrame:
     """Rows of the last ``seconds``: lower bound included, no upper bound."""
-    return df.filter(F.col(column) >= as_of_column(df, column, as_of) - seconds_interval(seconds))
+    start = as_of_column(df, column, as_of) - seconds_interval(seconds)
+    return _pruned(df, column, start).filter(F.col(column) >= start)
 
 
 def since_day(df: DataFrame, column: str, seconds: int, as_of: AsOf = None) -> DataFrame:
@@ -93,13 +104,14 @@ def since_day(df: DataFrame, column: str, seconds: int, as_of: AsOf = None) -> D
     moment = F.current_timestamp() if as_of is None else (
         as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("timestamp_ntz")
     )
-    return df.filter(F.col(column) >= F.to_date(moment - seconds_interval(seconds)))
+    start = moment - seconds_interval(seconds)
+    return _pruned(df, column, start).filter(F.col(column) >= F.to_date(start))
 
 
 def recent_days(df: DataFrame, column: str, as_of: AsOf = None, days: int = 2) -> DataFrame:
     """Rows of the last ``days`` calendar days: a bound on the date alone, so whole date folders go unread."""
     start = F.date_sub(as_of_column(df, column, as_of).cast("date"), days - 1)
-    return df.filter(F.col(column) >= start.cast(df.schema[column].dataType))
+    return _pruned(df, column, start).filter(F.col(column) >= start.cast(df.schema[column].dataType))
 
 
 def timeline(
@@ -274,13 +286,6 @@ def editor_range(range_: str) -> str:
     return EDITOR_MAX_RANGE if range_seconds(range_) > RANGES[EDITOR_MAX_RANGE] else range_
 
 
-def partition_date_bound(as_of, days: int = 2):
-    """The oldest date folder a reader of the last ``days`` days needs."""
-    from datetime import timedelta
-
-    return day_of(as_of) - timedelta(days=days - 1)
-
-
 def session_sql(spark: SparkSession, text: str, **parameters) -> DataFrame:
     """Run SQL with bound parameters; values never become part of the text."""
     return spark.sql(text, args=parameters)

@@ -15,7 +15,10 @@ from tallybrook.sources.tables import BATCH, RAW_ORDER, append_batch, read_table
 
 
 class StoredTables:
-    """The four tables under one folder. Rollup readers always merge partial rows."""
+    """
+    The four tables under one folder. The range queries merge partial rollup rows anyway
+    and take ``minute_parts`` and ``day_parts`` as they are.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
@@ -37,10 +40,11 @@ class StoredTables:
         return read_table(self.spark, self.path("edits_1d"), DAY_ROLLUP, date_name="day_date")
 
     def minute(self) -> DataFrame:
-        return rollup_read(self.minute_parts(), ["minute", "wiki"])
+        """One row per minute and wiki; the date folder stays a column, for pruning."""
+        return rollup_read(self.minute_parts(), ["minute_date", "minute", "wiki"])
 
     def daily(self) -> DataFrame:
-        return rollup_read(self.day_parts(), ["day", "wiki"])
+        return rollup_read(self.day_parts(), ["day_date", "day", "wiki"])
 
 
 def prepare_stream(messages: DataFrame, redelivery_horizon: str | None = None) -> DataFrame:

@@ -146,3 +146,12 @@ def test_consumer_lag(spark):
     committed = spark.createDataFrame([(0, 90)], "partition int, committed long")
     got = {r["partition"]: (r["lag"], r["total_lag"]) for r in health.consumer_lag(latest, committed).collect()}
     assert got == {0: (10, 60), 1: (50, 60)}
+
+
+def test_lag_from_stream_progress(spark):
+    from tallybrook.sources.progress import topic_offsets
+
+    report = {"sources": [{"endOffset": '{"edits": {"0": 90, "1": 50}}', "latestOffset": {"edits": {"0": 100, "1": 50}}}]}
+    got = health.consumer_lag(*topic_offsets(spark, report)).collect()
+    assert sorted((r["topic"], r["partition"], r["lag"], r["total_lag"]) for r in got) == [
+        ("edits", 0, 10, 10), ("edits", 1, 0, 10)]

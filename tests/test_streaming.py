@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallybrook.functions.clock import epoch_seconds
 from tallybrook.operators import lateness, windows
 from tallybrook.operators.rollup import rollup_day, rollup_minute, with_estimates
+from tallybrook.plans.analytics import freshness, timeline, top_editors
 from tallybrook.sources.event_log import load_edits, load_messages
 from tallybrook.sources.messages import clean_rows, dead_letters, judged
 from tallybrook.sources.topics import kafka_options, read_landed
@@ -46,10 +47,15 @@ def edit_stream(spark, landed):
     return spark.readStream.schema(EDITS).option("maxFilesPerTrigger", 1).parquet(landed["edits"])
 
 
-def rows(df, *order):
+def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
+def partition_filters(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("PartitionFilters: "):plan.index("PushedFilters")]
+
+
 def test_stored_path_equals_batch_and_survives_restart(spark, landed, tmp_path):
     tables, seen = StoredTables(spark, f"{tmp_path}/tables"), []
     for _ in range(2):
@@ -68,8 +74,16 @@ def test_stored_path_equals_batch_and_survives_restart(spark, landed, tmp_path):
     wanted = dead_letters(parsed).drop("seen_at")
     assert rows(tables.errors().select(*wanted.columns)) == rows(wanted)
     assert tables.edits().count() + tables.errors().count() == parsed.count()
-    assert rows(with_estimates(tables.minute())) == rows(with_estimates(rollup_minute(clean)))
-    assert rows(with_estimates(tables.daily())) == rows(with_estimates(rollup_day(rollup_minute(clean))))
+    minute, daily = tables.minute().drop("minute_date"), tables.daily().drop("day_date")
+    assert rows(with_estimates(minute)) == rows(with_estimates(rollup_minute(clean)))
+    assert rows(with_estimates(daily)) == rows(with_estimates(rollup_day(rollup_minute(clean))))
+    as_of, whole = "2024-01-31 00:00:00", rollup_minute(clean)
+    for bucket, range_, folder in (("1h", "7d", "minute_date"), ("1d", "30d", "day_date")):
+        stored = timeline(tables.minute_parts(), tables.day_parts(), range_, bucket, as_of)
+        assert rows(stored) == rows(timeline(whole, rollup_day(whole), range_, bucket, as_of))
+        assert f"({folder}#" in partition_filters(stored)
+    assert "(ingest_date#" in partition_filters(top_editors(tables.edits(), "7d", 5, as_of))
+    assert "(ingest_date#" in partition_filters(freshness(tables.edits(), as_of))
     assert tables.day_parts().count() > tables.daily().count()
 
 
