@@ -14,7 +14,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", {
-        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "8g",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallybrook-tests-"),
         "spark.sql.streaming.stateStore.providerClass":

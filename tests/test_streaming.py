@@ -16,7 +16,7 @@ from tallybrook.streaming.live import read_slices, start_live_totals, start_live
 from tallybrook.streaming.partition_clock import PartitionClock
 from tallybrook.streaming.stored import StoredTables, start_stored_path
 
-SIZE, GRACE, FILES = 300, 60, 6
+SIZE, GRACE, FILES = 300, 60, 4
 NOW = {"availableNow": True}
 
 
@@ -98,6 +98,27 @@ def test_rerun_batch_changes_nothing(spark, landed, tmp_path):
     assert first == (tables.edits().count(), rows(with_estimates(tables.minute())), rows(with_estimates(tables.daily())))
 
 
+def test_compacted_rollup_has_one_row_per_key(spark, landed, tmp_path):
+    from tallybrook.operators.rollup import rollup_read
+    from tallybrook.schemas import MINUTE_ROLLUP
+    from tallybrook.sources.tables import append_batch, compact_days, read_table
+
+    edits = spark.read.schema(EDITS).parquet(landed["edits"])
+    for batch in (0, 1):
+        append_batch(rollup_minute(edits), f"{tmp_path}/parts", batch, F.to_date("minute"), date_name="minute_date")
+    parts = read_table(spark, f"{tmp_path}/parts", MINUTE_ROLLUP, date_name="minute_date")
+    days = [str(r[0]) for r in parts.select("minute_date").distinct().collect()]
+    keys = ["minute_date", "minute", "wiki"]
+    compact_days(
+        spark, f"{tmp_path}/parts", MINUTE_ROLLUP, days, f"{tmp_path}/whole", order=("minute", "wiki"),
+        date_name="minute_date", reduce=lambda rows: rollup_read(rows, keys),
+    )
+    whole = read_table(spark, f"{tmp_path}/whole", MINUTE_ROLLUP, date_name="minute_date")
+    assert whole.count() * 2 == parts.count()
+    same = rollup_read(parts, keys)
+    assert rows(with_estimates(whole.select(*same.columns))) == rows(with_estimates(same))
+
+
 def test_redeliveries_within_the_horizon_are_dropped(spark, landed, tmp_path):
     source = f"{tmp_path}/source"
     messages = spark.read.parquet(landed["messages"])
