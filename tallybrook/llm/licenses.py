@@ -13,6 +13,8 @@ distinct (doc_id, text). Other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,9 +69,11 @@ GRANTS = (
 BEFORE, AFTER = 14, 10
 
 
-def _literal(signature: str) -> str:
-    """The marked word as written in the text, with its mark; the first choice if it varies."""
-    return signature.split("@", 1)[1].split(" ", 1)[0]
+def _keys(signature: str) -> tuple[str, ...]:
+    """The marked word in its spellings."""
+    if "@licen[cs]e" in signature:
+        return ("license", "licence")
+    return (re.match("[a-z0-9]+", signature.split("@", 1)[1])[0],)
 
 
 def _gate(signature: str) -> str:
@@ -80,19 +84,17 @@ def _gate(signature: str) -> str:
 
 def rules() -> list[tuple]:
     """(priority, label, key word, gate word, regex, confidence, base) in order of priority."""
-    out = [(label, _literal(s), "", s, 1.0, True) for label, s in BASE]
+    out = [(label, _keys(s)[0], "", s, 1.0, True) for label, s in BASE]
     for grant, sure in GRANTS:
         for label, signature in SIGNATURES:
-            key = _literal(signature)
-            keys = ("license", "licence") if "[cs]" in key else (key.replace("(?:", "").rstrip(")"),)
-            out += [(label, k, _gate(signature), grant + signature.replace("@" + key, "@" + k), sure, False) for k in keys]
+            out += [(label, key, _gate(signature), grant + signature, sure, False) for key in _keys(signature)]
     return [(n, label, key, gate, f"^((?:.* )??)({body})(?: .*)?$", sure, base)
             for n, (label, key, gate, body, sure, base) in enumerate(out)]
 
 
 def rule_table(spark: SparkSession) -> DataFrame:
     schema = ("priority int, label string, word string, gate string, regex string, confidence double, base boolean")
-    return spark.createDataFrame([*rules(), (-1, "", SENTINEL, "", "", 0.0, False)], schema)
+    return spark.createDataFrame([*rules(), (-1, "", SENTINEL, "", "^()()$", 0.0, False)], schema)
 
 
 def detections(docs: DataFrame) -> DataFrame:
