@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import decontaminate, licenses, privacy
+from tallybrook.llm import decontaminate, licenses, privacy, sharding
 from tallybrook.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_best_fit_shards(spark, folder):
+    return sharding.report(table(spark, folder, "documents"))
+
+
 @query
 def op2_personal_data(spark, folder):
     return privacy.report(table(spark, folder, "documents"))
