@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import decontaminate, licenses, privacy, sharding
+from tallybrook.llm import decontaminate, licenses, near_duplicates, privacy, sharding
 from tallybrook.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def op2_personal_data(spark, folder):
     return privacy.report(table(spark, folder, "documents"))
 
 
+@query
+def op3_minhash(spark, folder):
+    return near_duplicates.cluster(table(spark, folder, "documents"), size=4)
+
+
 @query
 def op6_decontaminate(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -74,3 +74,35 @@ def personal(text):
         counts.append(len(found))
         out += [f"{kind}:{a}:{b}" for a, b in found]
     return (*counts, hashlib.sha256(",".join(out).encode()).hexdigest())
+
+
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text, size=4):
+    ws = SPACED.findall((text or "").translate(ASCII))
+    return {tuple(ws[i:i + size]) for i in range(max(1, len(ws) - size + 1))} if ws else set()
+
+
+def near_components(docs, size=4, percent=80):
+    """doc_id: (set size, smallest linked id, kept), by comparing all documents that share a shingle."""
+    sets = {doc: shingles(text, size) for doc, text in docs}
+    parent = {doc: doc for doc in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    holders = {}
+    for doc in sorted(sets):
+        own, common = sets[doc], {}
+        for s in own:
+            for other in holders.get(s, ()):
+                common[other] = common.get(other, 0) + 1
+            holders.setdefault(s, []).append(doc)
+        for other, n in common.items():
+            if 100 * n >= percent * (len(own) + len(sets[other]) - n):
+                a, b = root(doc), root(other)
+                parent[max(a, b)] = min(a, b)
+    return {doc: (len(own), root(doc), root(doc) == doc) for doc, own in sets.items()}
