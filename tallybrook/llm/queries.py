@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import decontaminate, licenses, near_duplicates, packing, privacy, sharding
+from tallybrook.llm import decontaminate, licenses, near_duplicates, packing, privacy, quality, sharding
 from tallybrook.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op4_best_two_fit(spark, folder):
     return packing.report(table(spark, folder, "documents"))
 
 
+@query
+def op5_importance_resampling(spark, folder):
+    return quality.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op6_decontaminate(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

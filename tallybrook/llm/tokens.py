@@ -52,26 +52,42 @@ def groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE, lower: bool = True):
-    """
-    (hash of each word, number of words before each row and in all) for rows of bytes.
-    """
+#: Bytes that separate words: ASCII other than letters and digits.
+MARKS = np.ones(256, bool)
+MARKS[48:58] = MARKS[65:91] = MARKS[97:123] = False
+MARKS[128:] = False
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words start and end; no word goes on from one row into the next."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     inside = ~gap[data]
     fresh = np.zeros(len(data) + 1, bool)
     fresh[offsets] = True
     before = np.empty(len(data), bool)
     before[0], before[1:] = False, inside[:-1]
-    starts = np.flatnonzero(inside & (~before | fresh[:-1]))
     after = np.empty(len(data), bool)
     after[-1], after[:-1] = False, inside[1:]
-    ends = np.flatnonzero(inside & (~after | fresh[1:])) + 1
-    values = (LOWERED[data] if lower else data).astype(np.uint64) + np.uint64(1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values * _power("up", _BASE, len(data)), out=total[1:])
-    hashes = (total[ends] - total[starts]) * _power("down", _INVERSE, len(data) + 1)[starts]
-    return mixed(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), np.searchsorted(starts, offsets)
+    return np.flatnonzero(inside & (~before | fresh[:-1])), np.flatnonzero(inside & (~after | fresh[1:])) + 1
+
+
+class Slices:
+    """Hashes of any slices of some bytes, from running sums of their lower-cased values."""
+
+    def __init__(self, data: np.ndarray):
+        self.total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((LOWERED[data].astype(np.uint64) + np.uint64(1)) * _power("up", _BASE, len(data)), out=self.total[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, kind: int = 0) -> np.ndarray:
+        sums = (self.total[ends] - self.total[starts]) * _power("down", _INVERSE, len(self.total))[starts]
+        return mixed(sums + ((ends - starts) + 1000 * kind).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE):
+    """(hash of each lower-cased word, number of words before each row and in all) for rows of bytes."""
+    starts, ends = word_spans(data, offsets, gap)
+    return Slices(data).hashes(starts, ends), np.searchsorted(starts, offsets)
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int, short: bool = True):
