@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import decontaminate, licenses, near_duplicates, packing, privacy, quality, sharding
+from tallybrook.llm import decontaminate, fingerprints, licenses, near_duplicates, packing, privacy, quality, sharding
 from tallybrook.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op6_decontaminate(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op7_weighted_sampling(spark, folder):
+    return fingerprints.report(table(spark, folder, "documents"))
+
+
 @query
 def op8_license_scan(spark, folder):
     return licenses.report(table(spark, folder, "documents"))
