@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import decontaminate, fingerprints, licenses, near_duplicates, packing, privacy, quality, sharding
+from tallybrook.llm import decontaminate, fingerprints, language, licenses, near_duplicates, packing, privacy, quality, sharding
 from tallybrook.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op7_weighted_sampling(spark, folder):
 @query
 def op8_license_scan(spark, folder):
     return licenses.report(table(spark, folder, "documents"))
+
+
+@query
+def op9_language(spark, folder):
+    return language.report(table(spark, folder, "documents"))
