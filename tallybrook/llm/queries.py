@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import decontaminate, fingerprints, language, licenses, near_duplicates, packing, privacy, quality, sharding
+from tallybrook.llm import decontaminate, fingerprints, language, licenses, near_duplicates, packing, privacy, quality, repeats, sharding
 from tallybrook.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op8_license_scan(spark, folder):
 @query
 def op9_language(spark, folder):
     return language.report(table(spark, folder, "documents"))
+
+
+@query
+def op10_suffix_array(spark, folder):
+    return repeats.report(table(spark, folder, "documents"))

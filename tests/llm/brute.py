@@ -106,3 +106,21 @@ def near_components(docs, size=4, percent=80):
                 a, b = root(doc), root(other)
                 parent[max(a, b)] = min(a, b)
     return {doc: (len(own), root(doc), root(doc) == doc) for doc, own in sets.items()}
+
+
+def repeats(docs, least=100):
+    """doc_id: (bytes, removed bytes, removed runs, digest of the rest)."""
+    seen, out = set(), {}
+    for doc, text in sorted(docs):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - least + 1):
+            piece = hashlib.blake2b(data[i:i + least], digest_size=12).digest()
+            if piece in seen:
+                gone[i:i + least] = b"\x01" * least
+            else:
+                seen.add(piece)
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out[doc] = (len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())
+    return out
