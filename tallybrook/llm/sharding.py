@@ -113,7 +113,7 @@ def equal_shards(sizes: list[tuple[int, int]], shards: int) -> list[tuple[int, i
     if not left:
         return own
     low, high, best = max(-(-total // free), left[0][0]), 2 * max(-(-total // free), left[0][0]), None
-    while best is None or high - low > max(1, low // 100_000):
+    while best is None or high - low > low // 100_000:
         middle = (low + high) // 2 if best else high
         runs = best_fit_decreasing(left, middle)
         if max(r[3] for r in runs) < free:

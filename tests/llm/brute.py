@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ASCII = str.maketrans(UP, LOW)
@@ -124,3 +125,13 @@ def repeats(docs, least=100):
         runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out[doc] = (len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def jaccard(one, other):
+    """Generalised Jaccard similarity of the counts of two-word shingles."""
+    bags = []
+    for text in (one, other):
+        ws = SPACED.findall(text.translate(ASCII))
+        bags.append(Counter(zip(ws, ws[1:])) if len(ws) > 1 else Counter(ws))
+    a, b = bags
+    return sum((a & b).values()) / max(1, sum((a | b).values()))
