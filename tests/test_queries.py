@@ -4,12 +4,13 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_compare import compare
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from tallybrook.plans.catalog import QUERIES
+from tallybrook.plans.oracle import ORACLES
 
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
