@@ -92,15 +92,15 @@ def _frequent(counts: DataFrame, column: str) -> list:
     """The KNOWN most frequent of each language."""
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col(column))
     return counts.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= KNOWN).select(
-        "lang", column, "n").collect()
+        "lang", F.col(column).alias("key"), "n").toArrow().to_pylist()
 
 
 def _logs(rows: list, languages: list[str]) -> dict[str, np.ndarray]:
     """Log frequencies with one added to each count."""
     place = {lang: k for k, lang in enumerate(languages)}
     counts: dict[str, np.ndarray] = {}
-    for lang, key, n in rows:
-        counts.setdefault(key, np.zeros(len(languages)))[place[lang]] = n
+    for row in rows:
+        counts.setdefault(row["key"], np.zeros(len(languages)))[place[row["lang"]]] = row["n"]
     totals = sum(counts.values(), np.zeros(len(languages))) + len(counts)
     return {key: np.log((held + 1) / totals) for key, held in counts.items()}
 

@@ -122,17 +122,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # At most SAMPLE ids.
     sample = F.broadcast(sampled_labels(labels))
     marked = texts.join(sample, F.col("doc_id") == F.col("id"), "left").select("text", "good")
-    counts = marked.mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[counts["bucket"]], target[counts["bucket"]] = counts["raw"], counts["target"]
-    if not target.sum():
+    counts = stored(marked.mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket").agg(
+        F.sum("raw").alias("raw"), F.sum("target").alias("target")), "counts")
+    raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
+    if not target:
         return Model(np.zeros(BUCKETS, np.float32))
-    ratios = np.log((target + PRIOR) / (raw * (target.sum() / raw.sum()) + PRIOR))
-    ratios = np.where(ratios < CUT, ratios, 0).astype(np.float32)
+    ratio = F.log((F.col("target") + PRIOR) / (F.col("raw") * (target / raw) + PRIOR))
+    # Only n-grams that weigh anything come to the driver.
+    heavy = counts.select("bucket", ratio.alias("ratio")).filter(F.col("ratio") < CUT).toArrow()
+    ratios = np.zeros(BUCKETS, np.float32)
+    ratios[heavy.column("bucket").to_numpy()] = heavy.column("ratio").to_numpy()
     rated = texts.join(sample, F.col("doc_id") == F.col("id")).select("text", "good")
-    rows = weighed(rated, Model(ratios)).select("good", "__weight").toPandas()
-    return Model(ratios, dividing_weight(rows["__weight"].to_numpy(), rows["good"].to_numpy(bool)))
+    rows = weighed(rated, Model(ratios)).select("good", "__weight").toArrow()
+    good = rows.column("good").to_numpy().astype(bool)
+    return Model(ratios, dividing_weight(rows.column("__weight").to_numpy(), good))
 
 
 def dividing_weight(weights: np.ndarray, good: np.ndarray) -> float:
