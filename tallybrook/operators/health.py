@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import AsOf, as_of_column, bucket_start, epoch_seconds
@@ -26,9 +26,8 @@ def cold_path_health(
     )
     failed = errors.agg(F.count("*").alias("dead_letters"))
     age = (F.unix_millis(now.cast("timestamp")) - F.unix_millis(F.col("newest").cast("timestamp"))) / 1000.0
-    # Both sides are a single row by construction.
-    row = stored.withColumn("_one", F.lit(1)).join(
-        F.broadcast(failed.withColumn("_one", F.lit(1))), "_one"
+    row = stored.unionByName(failed, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("rows", "new_rows", "newest", "dead_letters")]
     )
     fresh = F.col("age_seconds") <= max_age
     return row.withColumn("age_seconds", age).select(
@@ -46,25 +45,19 @@ def cold_path_health(
 
 def live_path_health(slices: DataFrame, as_of_epoch: int, stale_after: float = STALE_AFTER_SECONDS) -> DataFrame:
     """Status of the live path by its newest window, and how many partitions that has so far."""
-    newest = slices.agg(
-        F.max(F.struct("window_start", "window_end")).alias("w"),
-    ).select(F.col("w.window_start").alias("window_start"), F.col("w.window_end").alias("window_end"))
-    covered = slices.groupBy("window_start").agg(
-        F.count_distinct("partition").alias("partitions")
-    )
+    # The newest window of each partition first: a row per partition decides.
+    heads = slices.groupBy("partition").agg(F.max(F.struct("window_start", "window_end")).alias("w"))
+    newest = heads.groupBy("w").agg(F.count("*").alias("n")).agg(F.max(F.struct("w", "n")).alias("top")).select(
+        "top.w.window_start", "top.w.window_end", F.coalesce("top.n", F.lit(0)).alias("partitions"))
     age = F.lit(as_of_epoch) - F.col("window_end")
-    return (
-        F.broadcast(newest)
-        .join(covered, "window_start", "left")
-        .select(
-            F.col("window_start").alias("latest_window"),
-            age.alias("age_seconds"),
-            F.coalesce("partitions", F.lit(0)).alias("partitions"),
-            F.when(F.col("window_start").isNull(), "no windows")
-            .when(age > stale_after, "no recent window")
-            .otherwise("ok")
-            .alias("status"),
-        )
+    return newest.select(
+        F.col("window_start").alias("latest_window"),
+        age.alias("age_seconds"),
+        "partitions",
+        F.when(F.col("window_start").isNull(), "no windows")
+        .when(age > stale_after, "no recent window")
+        .otherwise("ok")
+        .alias("status"),
     )
 
 
@@ -108,5 +101,4 @@ def consumer_lag(latest: DataFrame, committed: DataFrame) -> DataFrame:
         *keys,
         (F.col("end_offset") - F.coalesce("committed", F.lit(0))).alias("lag"),
     )
-    total = lag.agg(F.sum("lag").alias("total_lag")).withColumn("_one", F.lit(1))
-    return lag.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").drop("_one")
+    return lag.withColumn("total_lag", F.sum("lag").over(Window.partitionBy(F.lit(1))))

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import align_micros, epoch_micros
 from tallybrook.operators.ordered import offset_chunk, running_max
-from tallybrook.settings import MAX_GAP_WINDOWS
 
+DAY = 86_400
 PARTITION = "kafka_partition"
 OFFSET = "kafka_offset"
 
@@ -186,12 +186,12 @@ def window_fates(
 
 def emitted_windows(
     events: DataFrame, ts: Column, poll: Column, size: int, grace: float,
-    max_gap: int | None = MAX_GAP_WINDOWS,
+    max_gap: int | None = None,
 ) -> DataFrame:
     """
     The live path replayed in batch: one row per (partition, window) with its events and
-    what became of it: ``emitted`` (zero for a quiet window), ``dropped`` (pending longer
-    than the gap cap allows, so its events were given up) or ``open`` at the end.
+    what became of it: ``emitted`` (zero for a quiet window) or ``open`` at the end. Only with a
+    ``max_gap`` are windows ``dropped``: those pending longer than it allows.
     """
     fates = window_fates(events, ts, poll, size, grace, max_gap)
     return fates.filter((F.col("events") > 0) | F.col("emitted_by").isNotNull()).select(
@@ -201,7 +201,7 @@ def emitted_windows(
 
 def disposition(
     events: DataFrame, ts: Column, poll: Column, size: int, grace: float,
-    max_gap: int | None = MAX_GAP_WINDOWS,
+    max_gap: int | None = None,
 ) -> DataFrame:
     """Events per partition by fate: late, emitted, dropped by the gap cap, still open."""
     fates = window_fates(events, ts, poll, size, grace, max_gap)
@@ -243,11 +243,17 @@ def densify(counts: DataFrame, size: int, keys: tuple[str, ...] = (PARTITION,),
     Fill the windows between each key's first and last with zeros. The grid grows with
     the time covered, not with the events.
     """
+    day = F.lit(DAY)
     spans = counts.groupBy(*keys).agg(
         F.min("window_start").alias("_from"), F.max("window_start").alias("_to")
     )
-    grid = spans.select(
-        *keys, F.explode(F.sequence("_from", "_to", F.lit(size))).alias("window_start")
+    # A row per key and day, dealt anew, before any window of a day is made.
+    days = spans.withColumn("_day", F.explode(F.sequence(
+        F.floor(F.col("_from") / day), F.floor(F.col("_to") / day)))).repartition(*keys, "_day")
+    first = F.greatest(F.col("_from"), F.col("_from") + F.ceil((F.col("_day") * day - F.col("_from")) / size) * size)
+    last = F.least(F.col("_to"), (F.col("_day") + 1) * day - 1)
+    grid = days.withColumn("_first", first).filter(F.col("_first") <= last).select(
+        *keys, F.explode(F.sequence(F.col("_first"), last, F.lit(size).cast("long"))).alias("window_start")
     )
     filled = grid.join(counts, [*keys, "window_start"], "left")
     return filled.select(

@@ -56,7 +56,6 @@ def with_estimates(rollup: DataFrame) -> DataFrame:
 
 
 def distinct_editors(edits: DataFrame, *keys) -> DataFrame:
-    """Distinct editors per key straight from the edits, through the same state."""
-    return edits.groupBy(*keys).agg(editors_state(F.col("user")).alias("editors")).withColumn(
-        "editors", editors_estimate(F.col("editors"))
-    )
+    """Distinct editors per key, exact: editors are made unique first, then counted."""
+    unique = edits.select(*keys, "user").distinct()
+    return unique.groupBy(*keys).agg(F.count("user").alias("editors"))

@@ -212,8 +212,9 @@ def trim(slices: DataFrame, n: int = HISTORY_WINDOWS) -> DataFrame:
 
 
 def window_history(slices: DataFrame, limit: int = HISTORY_WINDOWS, cap: int = HISTORY_WINDOWS) -> DataFrame:
-    """Points of the newest windows, oldest first. The limit is clamped to 1..cap."""
-    limit = max(1, min(limit, cap))
+    """Points of the newest windows, oldest first."""
+    if not 1 <= limit <= cap:
+        raise ValueError(f"cannot give {limit} windows: from 1 to {cap} are kept")
     return window_points(trim(slices, limit)).orderBy("t")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import (
@@ -21,54 +21,50 @@ from tallybrook.settings import (
 DAY = 86_400
 
 
-class AnalyticsError(ValueError):
-    """A well-formed request that cannot be answered as asked."""
+class Refused(ValueError):
+    """What was asked for is not on offer; the text says what is."""
+
+
+def _offered(kind: str, choices: dict[str, int], name: str) -> int:
+    if name not in choices:
+        raise Refused(f"no {kind} named {name!r}: choose from {sorted(choices, key=choices.get)}")
+    return choices[name]
 
 
 def range_seconds(name: str) -> int:
-    try:
-        return RANGES[name]
-    except KeyError:
-        raise AnalyticsError(f"unknown range {name!r}; known: {', '.join(RANGES)}") from None
+    return _offered("range", RANGES, name)
 
 
 def bucket_seconds(name: str) -> int:
-    try:
-        return BUCKETS[name]
-    except KeyError:
-        raise AnalyticsError(f"unknown bucket {name!r}; known: {', '.join(BUCKETS)}") from None
+    return _offered("bucket", BUCKETS, name)
 
 
 def checked_limit(limit: int) -> int:
-    if limit < 1 or limit > MAX_LIMIT:
-        raise AnalyticsError(f"limit {limit} is outside 1..{MAX_LIMIT}")
+    if limit not in range(1, MAX_LIMIT + 1):
+        raise Refused(f"a list has 1 to {MAX_LIMIT} rows, not {limit}")
     return limit
 
 
 def checked_retention(name: str, table: str) -> int:
-    seconds, days = range_seconds(name), RETENTION_DAYS[table]
-    if days is not None and seconds > days * DAY:
-        raise AnalyticsError(f"{table} keeps {days} days; range {name} is longer")
-    return seconds
+    """The seconds of a range that ``table`` still holds whole."""
+    asked, kept = range_seconds(name), RETENTION_DAYS[table]
+    if kept is not None and asked > kept * DAY:
+        raise Refused(f"{name} goes back further than the {kept} days in {table}")
+    return asked
 
 
 @dataclass(frozen=True)
-class TimelineRequest:
-    """A validated (range, bucket) pair. Nothing is planned for a refused one."""
+class ChartSpec:
+    """What a chart spans and how it is divided. One that cannot be drawn cannot be made."""
 
     range: str
     bucket: str
 
     def __post_init__(self) -> None:
-        if self.step > self.seconds:
-            raise AnalyticsError(f"bucket {self.bucket} does not fit in range {self.range}")
-        if self.seconds // self.step > MAX_POINTS:
-            raise AnalyticsError(
-                f"{self.range} in buckets of {self.bucket} makes {self.seconds // self.step} points, "
-                f"more than {MAX_POINTS}; take a coarser bucket"
-            )
-        if not self.daily:
-            checked_retention(self.range, "edits_1m")
+        points = self.seconds // self.step
+        if not 1 <= points <= MAX_POINTS:
+            raise Refused(f"{self.bucket} buckets over {self.range} give {points} points; 1 to {MAX_POINTS} can be drawn")
+        checked_retention(self.range, "edits_1d" if self.daily else "edits_1m")
 
     @property
     def seconds(self) -> int:
@@ -80,7 +76,7 @@ class TimelineRequest:
 
     @property
     def daily(self) -> bool:
-        return self.step >= DAY
+        return self.step % DAY == 0
 
 
 # The date folders of the stored tables, by the column they are cut from.
@@ -118,10 +114,10 @@ def timeline(
     minute: DataFrame, daily: DataFrame, range_: str, bucket: str, as_of: AsOf = None
 ) -> DataFrame:
     """
-    Edits over time. Day buckets come from the day rollup, finer ones from the minute
-    rollup. A bucket without data is absent: it means nothing was recorded, not zero edits.
+    The sums of each bucket with stored rows; other buckets have no row. Reads the coarsest
+    rollup that the buckets are whole multiples of.
     """
-    ask = TimelineRequest(range_, bucket)
+    ask = ChartSpec(range_, bucket)
     if ask.daily:
         rows = since_day(daily, "day", ask.seconds, as_of)
         t = F.unix_seconds(F.col("day").cast("timestamp"))
@@ -178,13 +174,15 @@ def freshness(edits: DataFrame, as_of: AsOf = None) -> DataFrame:
 def timeline_grid(points: DataFrame, range_: str, bucket: str, as_of) -> DataFrame:
     """
     The points on every bucket of the range, first and last included, null where there
-    is none. At most ``MAX_POINTS`` + 1 rows, so the points are safe to broadcast.
+    is none. Points outside the chart are cut off first, so at most ``MAX_POINTS`` + 1 are
+    broadcast.
     """
-    ask, now = TimelineRequest(range_, bucket), epoch_of(as_of)
+    ask, now = ChartSpec(range_, bucket), epoch_of(as_of)
     end = now // ask.step * ask.step
     start = (now - ask.seconds) // ask.step * ask.step
     grid = points.sparkSession.range(start, end + ask.step, ask.step).toDF("t")
-    return grid.join(F.broadcast(points), "t", "left").orderBy("t")
+    shown = points.filter(F.col("t").between(start, end))
+    return grid.join(F.broadcast(shown), "t", "left").orderBy("t")
 
 
 def timeline_rates(points: DataFrame, bucket: str) -> DataFrame:
@@ -206,10 +204,12 @@ def range_tiles(points: DataFrame, wikis: DataFrame) -> DataFrame:
         F.coalesce(F.sum("edits"), F.lit(0)).alias("total"),
         F.coalesce(F.sum("bot_edits"), F.lit(0)).alias("bots"),
         F.coalesce(F.sum("new_pages"), F.lit(0)).alias("new_pages"),
-    ).withColumn("_one", F.lit(1))
+    )
     first = top_n(wikis, [F.col("edits").desc(), F.col("wiki").asc()], 1)
-    busiest = first.select(F.struct("wiki", "edits").alias("w"), F.lit(1).alias("_one"))
-    return totals.join(F.broadcast(busiest), "_one", "left").select(
+    busiest = first.select(F.struct("wiki", "edits").alias("w"))
+    row = totals.unionByName(busiest, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("total", "bots", "new_pages", "w")])
+    return row.select(
         "total",
         share_percent(F.col("bots"), F.col("total")).alias("bot_percent"),
         "new_pages",
@@ -221,7 +221,8 @@ def range_tiles(points: DataFrame, wikis: DataFrame) -> DataFrame:
 def history_report(minute: DataFrame, daily: DataFrame, edits: DataFrame, range_: str, as_of=None, limit: int = 10) -> dict[str, DataFrame]:
     """
     All parts of the history view for one range: the timeline on its fixed bucket, the
-    tiles, and both top lists. Editors are clamped to what the raw table keeps.
+    tiles, and both top lists. Editors come from the raw table; where it keeps less than the
+    range, their list covers ``EDITOR_MAX_RANGE``, and its column ``range`` says so.
     """
     range_seconds(range_)
     bucket = DEFAULT_BUCKET[range_]
@@ -231,7 +232,8 @@ def history_report(minute: DataFrame, daily: DataFrame, edits: DataFrame, range_
         "timeline": timeline_rates(timeline_grid(points, range_, bucket, as_of), bucket),
         "tiles": range_tiles(points, wikis),
         "top_wikis": wikis,
-        "top_editors": top_editors(edits, editor_range(range_), limit, as_of),
+        "top_editors": top_editors(edits, editor_range(range_), limit, as_of).withColumn(
+            "range", F.lit(editor_range(range_))),
     }
 
 
@@ -245,7 +247,7 @@ def history_tiles(minute: DataFrame, as_of: str) -> DataFrame:
     def member(name: str) -> Column:
         start = now - seconds_interval(RANGES[name])
         exact = F.col("minute") >= start
-        if TimelineRequest(name, DEFAULT_BUCKET[name]).daily:
+        if ChartSpec(name, DEFAULT_BUCKET[name]).daily:
             charted = F.to_date("minute") >= F.to_date(start)
         else:
             charted = exact
@@ -284,8 +286,3 @@ def history_tiles(minute: DataFrame, as_of: str) -> DataFrame:
 
 def editor_range(range_: str) -> str:
     return EDITOR_MAX_RANGE if range_seconds(range_) > RANGES[EDITOR_MAX_RANGE] else range_
-
-
-def session_sql(spark: SparkSession, text: str, **parameters) -> DataFrame:
-    """Run SQL with bound parameters; values never become part of the text."""
-    return spark.sql(text, args=parameters)

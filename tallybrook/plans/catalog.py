@@ -15,7 +15,7 @@ from tallybrook.operators.rollup import (
     distinct_editors, rollup_day, rollup_minute, rollup_read, with_estimates,
 )
 from tallybrook.plans import analytics
-from tallybrook.settings import RANGES
+from tallybrook.settings import MAX_GAP_WINDOWS, RANGES
 from tallybrook.sources import messages as wire
 from tallybrook.sources.event_log import load_edits, load_messages, redelivered
 from tallybrook.sources.tables import dedup, expired
@@ -79,7 +79,7 @@ def events_dropped_by_reason(spark, folder):
 
 @query
 def events_parse(spark, folder):
-    return wire.parse(load_messages(spark, folder)).select("partition", "offset", "error", "event.*")
+    return wire.judged(load_messages(spark, folder)).select("partition", "offset", "error", "event.*")
 
 
 @query
@@ -449,13 +449,15 @@ def window_dense(spark, folder):
 @query
 def window_emitted(spark, folder):
     return lateness.emitted_windows(
-        load_edits(spark, folder), payload(), poll(), SIZE, GRACE, max_gap=None
+        load_edits(spark, folder), payload(), poll(), SIZE, GRACE
     )
 
 
 @query
 def window_gap_capped(spark, folder):
-    return lateness.emitted_windows(load_edits(spark, folder), payload(), poll(), SIZE, GRACE)
+    return lateness.emitted_windows(
+        load_edits(spark, folder), payload(), poll(), SIZE, GRACE, max_gap=MAX_GAP_WINDOWS
+    )
 
 
 def _delays(spark, folder):

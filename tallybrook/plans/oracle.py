@@ -33,7 +33,7 @@ e AS (
 f AS (
   SELECT event_id, ts, k,
          CASE WHEN k = 12 THEN 'null' ELSE CAST(event_id AS VARCHAR) END AS id_,
-         CASE WHEN k = 4 THEN 'null' WHEN k = 12 THEN '"log"'
+         CASE WHEN k = 4 THEN 'null' WHEN k = 12 THEN '"log"' WHEN k = 14 THEN '7' WHEN k = 15 THEN 'true'
               WHEN event_type = 'signup' THEN '"new"' ELSE '"' || event_type || '"' END AS type_,
          CASE WHEN k = 3 THEN '""' WHEN k = 5 THEN '7'
               ELSE '"w' || lpad(CAST(k % 20 AS VARCHAR), 2, '0') || '"' END AS wiki_,
@@ -44,7 +44,7 @@ f AS (
   FROM e
 ),
 messages AS (
-  SELECT 'wiki-edits' AS topic, CAST(k % 20 % 6 AS INT) AS partition, event_id AS "offset", ts AS "timestamp",
+  SELECT 'changes' AS topic, CAST(k % 20 % 6 AS INT) AS partition, event_id AS "offset", ts AS "timestamp",
          CASE WHEN k = 0 THEN '{bad' WHEN k = 1 THEN '[]' WHEN k = 2 THEN '   ' WHEN k = 13 THEN '42'
               ELSE '{"id":' || id_ || ',"type":' || type_ || ',"title":null,"wiki":' || wiki_
                    || ',"user":' || user_ || ',"timestamp":' || clock_ || ',"bot":' || bot_
@@ -57,7 +57,8 @@ j AS MATERIALIZED (
 ),
 fields AS (
   SELECT *,
-         CASE WHEN json_type(doc, '$.type') = 'VARCHAR' THEN nullif(json_extract_string(doc, '$.type'), '') END AS f_type,
+         CASE WHEN json_type(doc, '$.type') IN ('VARCHAR', 'BIGINT', 'UBIGINT', 'BOOLEAN')
+              THEN nullif(json_extract_string(doc, '$.type'), '') END AS f_type,
          CASE WHEN json_type(doc, '$.wiki') = 'VARCHAR' THEN nullif(json_extract_string(doc, '$.wiki'), '') END AS f_wiki,
          CAST(json_extract_string(doc, '$.id') AS BIGINT) AS f_id,
          json_extract_string(doc, '$.user') AS f_user,
@@ -231,7 +232,7 @@ fate AS (
 )"""
 
 
-DELAYS = emitted(12) + """,
+DELAYS = emitted(None) + """,
 delays AS (
   SELECT kafka_partition, window_start, (emitted_by + 1) * 600 AS written_at,
          CAST((emitted_by + 1) * 600 - (window_start + 300) AS DOUBLE) AS delay_seconds
@@ -290,23 +291,11 @@ SELECT "offset", f_id AS id, f_type AS type, CAST(NULL AS VARCHAR) AS title, f_w
 FROM judged WHERE error = ''"""),
     "events_dropped_by_reason": with_messages(
         "SELECT error AS reason, count(*) AS dropped FROM judged WHERE error <> '' GROUP BY 1"),
-    "events_parse": with_messages(""",
-p AS (
-  SELECT m.partition, m."offset", x.doc,
-         CASE WHEN x.doc IS NULL OR NOT x.valid OR json_type(x.doc) <> 'OBJECT'
-                OR json_type(x.doc, '$.timestamp') = 'VARCHAR'
-                OR json_type(x.doc, '$.bot') NOT IN ('BOOLEAN', 'NULL') THEN 'unparseable'
-              WHEN json_extract_string(x.doc, '$.type') IS NULL OR json_extract_string(x.doc, '$.wiki') IS NULL
-              THEN 'invalid' ELSE '' END AS error
-  FROM messages m LEFT JOIN j x USING ("offset")
-),
-ok AS (SELECT *, CASE WHEN error = '' THEN doc END AS d FROM p)
-SELECT partition, "offset", error, CAST(json_extract_string(d, '$.id') AS BIGINT) AS id,
-       json_extract_string(d, '$.type') AS type, CAST(NULL AS VARCHAR) AS title,
-       json_extract_string(d, '$.wiki') AS wiki, json_extract_string(d, '$.user') AS "user",
-       CAST(floor(CAST(json_extract_string(d, '$.timestamp') AS DOUBLE)) AS BIGINT) AS "timestamp",
-       CASE WHEN error = '' THEN coalesce(json_extract_string(d, '$.bot') = 'true', false) END AS bot
-FROM ok"""),
+    "events_parse": with_messages("""
+SELECT partition, "offset", error, CASE WHEN error = '' THEN f_id END AS id, CASE WHEN error = '' THEN f_type END AS type,
+       CAST(NULL AS VARCHAR) AS title, CASE WHEN error = '' THEN f_wiki END AS wiki, CASE WHEN error = '' THEN f_user END AS "user",
+       CASE WHEN error = '' THEN f_timestamp END AS "timestamp", CASE WHEN error = '' THEN f_bot END AS bot
+FROM judged"""),
     "events_clean": with_messages("SELECT * FROM clean"),
     "events_dead_letter": with_messages(f"""
 SELECT {NOW} AS seen_at, topic, kafka_partition, kafka_offset, error, raw_message FROM dead"""),
@@ -513,7 +502,7 @@ r AS (
 )
 SELECT kafka_partition, kafka_offset, window_start FROM r
 WHERE (window_start + 300 + 60) * 1000000 <= before_us"""),
-    "late_disposition": with_edits(emitted(12) + """,
+    "late_disposition": with_edits(emitted(None) + """,
 l AS (SELECT kafka_partition, count(*) FILTER (WHERE late) AS late_events FROM routed GROUP BY 1)
 SELECT kafka_partition, late_events,
        CAST(coalesce(sum(events) FILTER (WHERE status = 'emitted'), 0) AS BIGINT) AS emitted_events,

@@ -13,20 +13,6 @@ EVENT = T.StructType([
     T.StructField("bot", T.BooleanType()),
 ])
 
-# What the parser is asked for. `timestamp` is read as DOUBLE so that a fractional
-# clock is floored instead of turning the whole message into an error.
-CORRUPT = "_corrupt"
-WIRE = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("wiki", T.StringType()),
-    T.StructField("user", T.StringType()),
-    T.StructField("timestamp", T.DoubleType()),
-    T.StructField("bot", T.BooleanType()),
-    T.StructField(CORRUPT, T.StringType()),
-])
-
 ENVELOPE = T.StructType([
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),

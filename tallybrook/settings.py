@@ -38,7 +38,7 @@ COLD_MAX_AGE_SECONDS = 60
 TOP_EDITORS = 5
 TOP_WIKIS_SHOWN = 8
 
-TOPIC = "wiki-edits"
+TOPIC = "changes"
 TOPIC_PARTITIONS = 6
 
 # Placeholders of the live path.
@@ -50,9 +50,6 @@ SKETCH_LG = 16
 
 # Histogram bounds, in seconds.
 EMIT_DELAY_BOUNDS = (0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 5.0, 10.0, 30.0)
-SINK_WRITE_BOUNDS = (0.001, 0.0025, 0.005, 0.01, 0.025, 0.05, 0.1, 0.5, 1.0)
-READ_BOUNDS = (0.001, 0.0025, 0.005, 0.01, 0.025, 0.05, 0.1, 0.5)
-QUERY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 10.0)
 
 # Fixed values: (lower edge, band) of the lag and emit-delay panels.
 LAG_BANDS = ((None, "green"), (1000, "yellow"), (3000, "red"))

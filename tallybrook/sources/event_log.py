@@ -70,7 +70,7 @@ def load_messages(spark: SparkSession, folder: str) -> DataFrame:
     user = F.when(F.col("user_id") % 10 != 0, quoted(F.concat(F.lit("u"), F.col("user_id"))))
     members = {
         "id": unless({12: F.lit("null")}, F.col("event_id").cast("string")),
-        "type": unless({4: F.lit("null"), 12: F.lit('"log"')}, quoted(kind)),
+        "type": unless({4: F.lit("null"), 12: F.lit('"log"'), 14: F.lit("7"), 15: F.lit("true")}, quoted(kind)),
         "title": F.lit("null"),
         "wiki": unless({3: F.lit('""'), 5: F.lit("7")}, quoted(_wiki(k))),
         "user": F.coalesce(user, F.lit("null")),

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.schemas import CORRUPT, WIRE
-
 # Verdicts on one payload. Blank payloads are keep-alives: skipped and not counted.
 OK = "ok"
 BLANK = "blank"
@@ -42,13 +40,12 @@ def _member(value: Column, name: str) -> Column:
     return F.try_variant_get(F.try_parse_json(_wrapped(value)), f"$[0].{name}", "variant")
 
 
-def _text(value: Column, read: Column, name: str) -> Column:
-    """A JSON string; any other type cannot be a key or a label and gives null."""
+def _text(value: Column, read: Column, name: str, scalars: bool = False) -> Column:
+    """A JSON string or, with ``scalars``, a number or boolean as it is written; else null."""
     exact = _member(value, name)
-    return F.when(
-        read.rlike(_MAYBE_NOT_TEXT),
-        F.when(F.schema_of_variant(exact) == "STRING", exact.cast("string")),
-    ).otherwise(read)
+    kind = F.schema_of_variant(exact)
+    fits = ~kind.rlike("^(VOID|ARRAY|OBJECT)") if scalars else kind == "STRING"
+    return F.when(read.rlike(_MAYBE_NOT_TEXT), F.when(fits, exact.cast("string"))).otherwise(read)
 
 
 def _truthy(value: Column, read: Column, name: str) -> Column:
@@ -70,8 +67,8 @@ def judge(payloads: DataFrame, value: str = "value") -> DataFrame:
     """
     Add ``verdict`` and the projected ``event`` struct (null unless the verdict is ok).
 
-    A payload must be a JSON object whose ``type`` and ``wiki`` are non-empty strings;
-    everything else is optional. All of it runs on JVM expressions. Payloads are read once
+    A payload must be a JSON object with a ``wiki`` that is a non-empty string and a ``type``
+    that is one, or a number or boolean, which counts as its text; everything else is optional. All of it runs on JVM expressions. Payloads are read once
     with a declared schema; only a field whose type that reading leaves in doubt, or a
     payload that is refused, is looked at again.
     """
@@ -80,7 +77,7 @@ def judge(payloads: DataFrame, value: str = "value") -> DataFrame:
     parsed = _once(parsed, "_p", F.when(F.size("_items") == 1, F.col("_items")[0])).drop("_items")
     there = F.col("_p").isNotNull()
     fields = F.struct(
-        _text(text, F.col("_p.type"), "type").alias("type"),
+        _text(text, F.col("_p.type"), "type", scalars=True).alias("type"),
         _text(text, F.col("_p.wiki"), "wiki").alias("wiki"),
         F.when(there, _clock(text, F.col("_p.timestamp"), "timestamp")).alias("timestamp"),
         F.when(there, _truthy(text, F.col("_p.bot"), "bot")).alias("bot"),
@@ -116,36 +113,6 @@ def dropped_by_reason(payloads: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def parse(messages: DataFrame) -> DataFrame:
-    """
-    Parse topic messages with the declared schema. A bad message becomes a row with
-    ``error`` set and the raw text kept; it never fails the job.
-    """
-    parsed = messages.withColumn(
-        "_p",
-        F.from_json("value", WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}),
-    )
-    bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
-    missing = F.col("_p.wiki").isNull() | F.col("_p.type").isNull()
-    error = (
-        F.when(bad, F.lit(UNPARSEABLE)).when(missing, F.lit(INVALID)).otherwise(F.lit(""))
-    )
-    event = F.struct(
-        F.col("_p.id").alias("id"),
-        F.col("_p.type").alias("type"),
-        F.col("_p.title").alias("title"),
-        F.col("_p.wiki").alias("wiki"),
-        F.col("_p.user").alias("user"),
-        F.floor("_p.timestamp").alias("timestamp"),
-        F.coalesce(F.col("_p.bot"), F.lit(False)).alias("bot"),
-    )
-    return (
-        parsed.withColumn("error", error)
-        .withColumn("event", F.when(F.col("error") == "", event))
-        .drop("_p")
-    )
-
-
 def judged(messages: DataFrame) -> DataFrame:
     """The envelope with ``error`` and ``event``, from raw upstream payloads."""
     verdicts = judge(messages).filter(F.col("verdict") != BLANK)

@@ -53,6 +53,32 @@ def read_table(
     return spark.read.schema(full).parquet(path)
 
 
+def bound_checkpoint(
+    spark: SparkSession, folder: str, checkpoint: str | None, first_batch: int, tables: Sequence[str] = ("",)
+) -> str:
+    """
+    The checkpoint of a query that writes to ``folder``: ``checkpoint``, or one inside the folder.
+
+    A new checkpoint counts batches from ``first_batch`` again. Where the folder holds batches
+    from there on, they would be overwritten, so that is refused.
+    """
+    path = checkpoint or f"{folder}/_checkpoint"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def found(pattern: str) -> list:
+        glob = jvm.org.apache.hadoop.fs.Path(pattern)
+        return [s.getPath().getName() for s in glob.getFileSystem(conf).globStatus(glob) or ()]
+
+    if not found(f"{path}/offsets"):
+        for table in tables:
+            numbers = [int(n.split("=")[1]) for n in found(f"{folder}/{table}/*/{BATCH}=*")]
+            if max(numbers, default=-1) >= first_batch:
+                raise ValueError(
+                    f"{folder} holds batches up to {max(numbers)} that checkpoint {path} does not know; "
+                    f"give first_batch={max(numbers) + 1} to add to them")
+    return path
+
+
 def compact_days(
     spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str], target: str, *,
     order: Sequence[str] = RAW_ORDER, date_name: str = "ingest_date", files: int | None = None,

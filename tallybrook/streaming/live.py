@@ -9,23 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook.operators.windows import event_clock, latest_version, normalize, pack_slices
 from tallybrook.schemas import SLICE
-from tallybrook.session import shared_folder
 from tallybrook.settings import GRACE_SECONDS, WINDOW_SECONDS
-from tallybrook.sources.tables import BATCH, append_batch, read_table
+from tallybrook.sources.tables import BATCH, append_batch, bound_checkpoint, read_table
 
 KEYS = ["window_start", "partition"]
 
 
-def stream_clock(edits: DataFrame, source: str, ahead: str | None = "60 seconds") -> DataFrame:
-    """
-    Add ``clock``, the time an edit counts under. A payload clock further ahead of its
-    arrival than ``ahead`` is cut to that, since one far-future time would otherwise
-    push the watermark past everything that follows.
-    """
-    clock = event_clock(edits, source).cast("timestamp")
-    if ahead is not None:
-        clock = F.least(clock, F.col("ingested_at").cast("timestamp") + F.expr(f"INTERVAL {ahead}"))
-    return edits.withColumn("clock", clock)
+def stream_clock(edits: DataFrame, source: str) -> DataFrame:
+    """Add ``clock``, the time an edit counts under; it is never moved."""
+    return edits.withColumn("clock", event_clock(edits, source).cast("timestamp"))
 
 
 def live_counts(edits: DataFrame, size: int = WINDOW_SECONDS, grace: float = GRACE_SECONDS) -> DataFrame:
@@ -68,15 +60,18 @@ def write_slices(slices: DataFrame, folder: str, batch_id: int) -> None:
     )
 
 
-def read_slices(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest write of every (window, partition)."""
-    table = read_table(spark, folder, SLICE, date_name="window_date").drop("window_date")
+def read_slices(spark: SparkSession, folder: str, since: str | None = None) -> DataFrame:
+    """The newest write of every (window, partition), of the days from ``since`` on if given."""
+    table = read_table(spark, folder, SLICE, date_name="window_date")
+    if since is not None:
+        table = table.filter(F.col("window_date") >= F.lit(since).cast("date"))
+    table = table.drop("window_date")
     return latest_version(table, KEYS, BATCH).drop(BATCH)
 
 
 def start_live_windows(
     edits: DataFrame, folder: str, checkpoint: str | None = None, *, source: str = "event",
-    size: int = WINDOW_SECONDS, grace: float = GRACE_SECONDS, ahead: str | None = "60 seconds",
+    size: int = WINDOW_SECONDS, grace: float = GRACE_SECONDS,
     trigger: dict | None = None, first_batch: int = 0,
 ) -> StreamingQuery:
     """Write a slice for every window as it closes. Empty windows are filled in by readers."""
@@ -89,10 +84,10 @@ def start_live_windows(
             batch.unpersist()
 
     return (
-        live_counts(stream_clock(edits, source, ahead), size, grace)
+        live_counts(stream_clock(edits, source), size, grace)
         .writeStream.outputMode("append")
         .foreachBatch(write)
-        .option("checkpointLocation", checkpoint or shared_folder(edits.sparkSession, "live-windows"))
+        .option("checkpointLocation", bound_checkpoint(edits.sparkSession, folder, checkpoint, first_batch))
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )
@@ -124,7 +119,7 @@ def start_live_totals(
     return (
         totals.writeStream.outputMode("update")
         .foreachBatch(write)
-        .option("checkpointLocation", checkpoint or shared_folder(edits.sparkSession, "live-totals"))
+        .option("checkpointLocation", bound_checkpoint(edits.sparkSession, folder, checkpoint, first_batch))
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )

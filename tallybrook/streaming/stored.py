@@ -9,9 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook.operators.rollup import rollup_day, rollup_minute, rollup_read
 from tallybrook.schemas import DAY_ROLLUP, DEAD_LETTERS, EDITS, MINUTE_ROLLUP
-from tallybrook.session import shared_folder
 from tallybrook.sources.messages import clean_rows, dead_letters, judged, observe_drops
-from tallybrook.sources.tables import BATCH, RAW_ORDER, append_batch, read_table
+from tallybrook.sources.tables import BATCH, RAW_ORDER, append_batch, bound_checkpoint, dedup, read_table
+
+
+TABLES = ("edits", "edits_errors", "edits_1m", "edits_1d")
 
 
 class StoredTables:
@@ -47,64 +49,81 @@ class StoredTables:
         return rollup_read(self.day_parts(), ["day_date", "day", "wiki"])
 
 
-def prepare_stream(messages: DataFrame, redelivery_horizon: str | None = None) -> DataFrame:
+def prepare_stream(messages: DataFrame) -> DataFrame:
     """
     Judge the payloads inside the stream, where "now" is the batch's own recorded time
     and stays the same when the batch is run again.
-
-    With a horizon, copies of a message that arrive within it are dropped before they can
-    reach the rollups, which cannot un-count them. A checkpointed topic reader does not
-    redeliver, so this is for sources that do.
     """
     rows = messages.withColumn("timestamp", F.coalesce("timestamp", F.current_timestamp()))
-    if redelivery_horizon:
-        rows = rows.withWatermark("timestamp", redelivery_horizon).dropDuplicatesWithinWatermark(
-            ["topic", "partition", "offset"]
-        )
     return judged(rows).withColumn("seen_at", F.current_timestamp())
 
 
-def store_batch(batch: DataFrame, batch_id: int, tables: StoredTables) -> None:
+def first_deliveries(edits: DataFrame, tables: StoredTables, batch_id: int, days: int) -> DataFrame:
+    """
+    The edits of a batch that neither the batch nor the batches before it hold already.
+
+    The stored messages are read by their coordinates, and only the date folders from ``days``
+    before the batch's oldest edit on. An edit is never dropped for being late.
+    """
+    oldest = edits.agg(F.min(F.to_date("ingested_at"))).first()[0]
+    fresh = dedup(edits)
+    if oldest is None or batch_id == 0:
+        return fresh
+    stored = tables.edits().filter(
+        (F.col("ingest_date") >= F.date_sub(F.lit(oldest), days)) & (F.col(BATCH) < batch_id))
+    return fresh.join(stored.select("kafka_partition", "kafka_offset"), ["kafka_partition", "kafka_offset"],
+                      "left_anti").select(*edits.columns)
+
+
+def store_batch(batch: DataFrame, batch_id: int, tables: StoredTables, redelivery_days: int | None = None) -> None:
     """
     Write one judged batch to all four tables. Each write replaces what the same batch
     wrote before, so a batch that is run again after a crash leaves the tables as they
-    were. The day rollup is chained off the minute rows just written.
+    were. The day rollup is chained off the batch's own minute rows; only the search for
+    redeliveries reads a table.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    edits = clean_rows(batch)
+    if redelivery_days is not None:
+        edits = first_deliveries(edits, tables, batch_id, redelivery_days)
+    minute = rollup_minute(edits).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        edits = clean_rows(batch)
         append_batch(edits, tables.path("edits"), batch_id, F.to_date("ingested_at"), order=RAW_ORDER)
         append_batch(
             dead_letters(batch, F.col("seen_at")), tables.path("edits_errors"), batch_id,
             F.to_date("seen_at"), date_name="seen_date", order=("seen_at",),
         )
         append_batch(
-            rollup_minute(edits), tables.path("edits_1m"), batch_id,
+            minute, tables.path("edits_1m"), batch_id,
             F.to_date("minute"), date_name="minute_date", order=("minute", "wiki"),
         )
+        append_batch(
+            rollup_day(minute), tables.path("edits_1d"), batch_id, F.col("day"),
+            date_name="day_date", order=("day", "wiki"),
+        )
     finally:
+        minute.unpersist()
         batch.unpersist()
-    written = tables.minute_parts().filter(F.col(BATCH) == batch_id)
-    append_batch(
-        rollup_day(written), tables.path("edits_1d"), batch_id, F.col("day"),
-        date_name="day_date", order=("day", "wiki"),
-    )
 
 
 def start_stored_path(
     messages: DataFrame, folder: str, checkpoint: str | None = None, *,
-    redelivery_horizon: str | None = None, trigger: dict | None = None, first_batch: int = 0,
+    redelivery_days: int | None = None, trigger: dict | None = None, first_batch: int = 0,
 ) -> StreamingQuery:
     """
     Run the stored path over an envelope stream. A new checkpoint counts batches from
-    zero again, so give it a ``first_batch`` beyond those already in the tables. The
-    query's progress reports what was refused, by reason, under ``payloads``.
+    zero again, so it needs a ``first_batch`` beyond those already in the tables, and is
+    refused without. The query's progress reports what was refused, by reason, under
+    ``payloads``. With ``redelivery_days``, messages stored within so many days are not
+    stored again; a checkpointed topic reader does not redeliver, so this is for sources
+    that do.
     """
     tables = StoredTables(messages.sparkSession, folder)
+    path = bound_checkpoint(messages.sparkSession, folder, checkpoint, first_batch, TABLES)
     return (
-        observe_drops(prepare_stream(messages, redelivery_horizon))
-        .writeStream.foreachBatch(lambda batch, n: store_batch(batch, first_batch + n, tables))
-        .option("checkpointLocation", checkpoint or shared_folder(messages.sparkSession, "stored-path"))
+        observe_drops(prepare_stream(messages))
+        .writeStream.foreachBatch(lambda batch, n: store_batch(batch, first_batch + n, tables, redelivery_days))
+        .option("checkpointLocation", path)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )

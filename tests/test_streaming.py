@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import epoch_seconds
-from tallybrook.operators import lateness, windows
+from tallybrook.operators import windows
 from tallybrook.operators.rollup import rollup_day, rollup_minute, with_estimates
 from tallybrook.plans.analytics import freshness, timeline, top_editors
 from tallybrook.sources.event_log import load_edits, load_messages
@@ -13,7 +13,6 @@ from tallybrook.sources.messages import clean_rows, dead_letters, judged
 from tallybrook.sources.topics import kafka_options, read_landed
 from tallybrook.schemas import EDITS
 from tallybrook.streaming.live import read_slices, start_live_totals, start_live_windows
-from tallybrook.streaming.partition_clock import PartitionClock
 from tallybrook.streaming.stored import StoredTables, start_stored_path
 
 SIZE, GRACE, FILES = 300, 60, 4
@@ -119,7 +118,7 @@ def test_compacted_rollup_has_one_row_per_key(spark, landed, tmp_path):
     assert rows(with_estimates(whole.select(*same.columns))) == rows(with_estimates(same))
 
 
-def test_redeliveries_within_the_horizon_are_dropped(spark, landed, tmp_path):
+def test_redeliveries_are_dropped(spark, landed, tmp_path):
     source = f"{tmp_path}/source"
     messages = spark.read.parquet(landed["messages"])
     messages.coalesce(1).write.parquet(source)
@@ -128,7 +127,7 @@ def test_redeliveries_within_the_horizon_are_dropped(spark, landed, tmp_path):
     tables = StoredTables(spark, f"{tmp_path}/tables")
     start_stored_path(
         read_landed(spark, source, files_per_trigger=1), tables.folder, f"{tmp_path}/checkpoint",
-        redelivery_horizon="40 days", trigger=NOW,
+        redelivery_days=40, trigger=NOW,
     ).awaitTermination(300)
     assert tables.edits().count() == clean_rows(judged(messages)).count()
 
@@ -178,52 +177,51 @@ def test_live_totals_write_revisions(spark, landed, tmp_path):
     assert changes.count() >= last.count()
 
 
-@pytest.mark.parametrize("max_gap", [None, 12])
-def test_partition_clock_equals_the_batch_replay(spark, landed, tmp_path, max_gap):
-    clock = PartitionClock(
-        spark, f"{tmp_path}/out", source="event", size=SIZE, grace=GRACE, max_gap=max_gap
-    )
-    clock.start(edit_stream(spark, landed), f"{tmp_path}/checkpoint", trigger=NOW).awaitTermination(300)
-    edits = spark.read.schema(EDITS).parquet(landed["edits"])
-    bounds = edits.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
-    step = (bounds[1] - bounds[0]) // FILES + 1
-    poll = F.floor((F.col("kafka_offset") - bounds[0]) / step)
-    replay = lateness.emitted_windows(edits, F.col("event_time"), poll, SIZE, GRACE, max_gap)
-    wanted = replay.filter("status = 'emitted'").select("kafka_partition", "window_start", "events")
-    got = read_slices(spark, clock.slices).select("partition", "window_start", "total_edits")
-    assert rows(got) == rows(wanted)
-    fate = lateness.disposition(edits, F.col("event_time"), poll, SIZE, GRACE, max_gap)
-    audit = clock.audit().groupBy("partition").agg(F.sum("late_events"), F.sum("dropped_events"))
-    assert rows(audit) == rows(fate.select("kafka_partition", "late_events", "dropped_events"))
-
-
-def test_partition_clock_arrival_mode_keeps_every_event(spark, tmp_path):
-    """Wall clock closes windows, quiet ones included, also for partitions a poll missed."""
+def test_a_clock_far_ahead_counts_where_it_says(spark, tmp_path):
     at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [(at + dt.timedelta(seconds=n), at + dt.timedelta(seconds=n + ahead), "w", "edit", None, "u", n, False, 0, n)
+            for n, ahead in enumerate((0, 0, 300, 0))]
+    spark.createDataFrame(rows, EDITS).coalesce(1).write.parquet(f"{tmp_path}/in")
+    start_live_totals(
+        spark.readStream.schema(EDITS).parquet(f"{tmp_path}/in"), f"{tmp_path}/out", source="event", size=60,
+        grace=3600, trigger=NOW,
+    ).awaitTermination(300)
+    got = {r["window_start"] - int(at.timestamp()): r["total"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {0: 3, 300: 1}
+
+
+def test_checkpoints_are_bound_to_their_target(spark, landed, tmp_path):
+    """Two targets of one source both get all rows; a lost checkpoint is no licence to overwrite."""
+    import shutil
+
+    clean = clean_rows(judged(spark.read.parquet(landed["messages"]))).count()
+    folders = [f"{tmp_path}/{name}" for name in ("one", "two")]
+    for folder in folders:
+        start_stored_path(read_landed(spark, landed["messages"]), folder, trigger=NOW).awaitTermination(300)
+        assert StoredTables(spark, folder).edits().count() == clean
+    shutil.rmtree(f"{folders[0]}/_checkpoint")
+    with pytest.raises(ValueError, match="first_batch=1"):
+        start_stored_path(read_landed(spark, landed["messages"]), folders[0], trigger=NOW)
+    start_stored_path(
+        read_landed(spark, landed["messages"]), folders[0], first_batch=1, redelivery_days=40, trigger=NOW,
+    ).awaitTermination(300)
+    assert StoredTables(spark, folders[0]).edits().count() == clean
+
+
+def test_late_first_deliveries_are_kept(spark, tmp_path):
+    from tallybrook.streaming.stored import store_batch
+
+    tables = StoredTables(spark, str(tmp_path))
+
+    def batch(n, *messages):
+        texts = [("t", 0, offset, dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc), '{"type":"edit","wiki":"w"}')
+                 for offset, day in messages]
+        df = spark.createDataFrame(texts, "topic string, partition int, offset long, timestamp timestamp, value string")
+        store_batch(judged(df).withColumn("seen_at", F.current_timestamp()), n, tables, redelivery_days=2)
 
-    def poll(second, *parts):
-        return spark.createDataFrame(
-            [(at, None, "w", "edit", None, "u", 1, False, p, second * 10 + p) for p in parts], EDITS
-        ).withColumn("arrived_at", F.timestamp_seconds(F.lit(1_700_000_000 + second)))
-
-    clock = PartitionClock(spark, str(tmp_path), source="arrival", size=5, grace=1)
-    for n, (second, parts) in enumerate([(0, [0, 1]), (1, [0]), (7, [1]), (16, [0])]):
-        clock.step(poll(second, *parts), n)
-    got = {
-        (r["partition"], r["window_start"] - 1_700_000_000): r["total_edits"]
-        for r in read_slices(spark, clock.slices).collect()
-    }
-    assert got == {(0, 0): 2, (0, 5): 0, (0, 10): 0, (1, 0): 1, (1, 5): 1, (1, 10): 0}
-
-
-def test_partition_clock_rerun_of_a_batch(spark, landed, tmp_path):
-    edits = spark.read.schema(EDITS).parquet(landed["edits"]).withColumn("arrived_at", F.col("ingested_at"))
-    clock = PartitionClock(spark, str(tmp_path), source="event", size=SIZE, grace=GRACE, max_gap=None)
-    for n, half in enumerate(("kafka_offset < 500", "kafka_offset >= 500")):
-        clock.step(edits.filter(half), n)
-    before = rows(read_slices(spark, clock.slices))
-    clock.step(edits.filter("kafka_offset >= 500"), 1)
-    assert rows(read_slices(spark, clock.slices)) == before
+    batch(0, (1, 20), (2, 20))
+    batch(1, (2, 21), (3, 21), (3, 21), (4, 2))
+    assert sorted(r["kafka_offset"] for r in tables.edits().collect()) == [1, 2, 3, 4]
 
 
 def test_checkpoints_go_to_the_shared_folder(spark):

@@ -98,17 +98,18 @@ def test_history_point_equals_the_merge(spark):
             m["total_edits"], m["edits_per_second"], m["bot_vs_human"]["bot"])
 
 
-def test_slice_top_k_is_lossy_and_exact_is_not(spark):
-    """Five users with 9 edits in each partition hide one who has 5 in both, 10 in all."""
-    rows = []
-    for p in (0, 1):
-        rows += [(1, "w", "edit", f"p{p}u{u}", False, p) for u in range(5) for _ in range(9)]
-        rows += [(1, "w", "edit", "spread", False, p) for _ in range(5)]
+def test_an_even_user_is_first_only_when_counted_whole(spark):
+    """Six partitions, each with k users of its own who are all ahead of the one seen everywhere."""
+    k, rows = windows.TOP_EDITORS, []
+    for p in range(6):
+        for place in range(k):
+            rows += [(2, "w", "edit", f"local-{p}-{place}", False, p)] * (3 + place)
+        rows += [(2, "w", "edit", "everywhere", False, p)] * 2
     data = edits(spark, rows)
-    lossy = windows.window_top_editors_from_slices(data, F.col("at"), 5).collect()
     exact = windows.window_top_editors(data, F.col("at"), 5).collect()
-    assert "spread" not in {r["user"] for r in lossy}
-    assert [(r["user"], r["count"]) for r in exact if r["rank"] == 1] == [("spread", 10)]
+    assert [(r["user"], r["count"]) for r in exact if r["rank"] == 1] == [("everywhere", 12)]
+    lossy = windows.window_top_editors_from_slices(data, F.col("at"), 5).collect()
+    assert all(r["user"].startswith("local") for r in lossy)
 
 
 def test_trim_latest_and_history(spark):
@@ -116,9 +117,11 @@ def test_trim_latest_and_history(spark):
     kept = windows.trim(data, 12)
     assert {r["window_start"] for r in kept.collect()} == {100 + 5 * i for i in range(8, 20)}
     assert kept.count() == 24
-    history = windows.window_history(data, limit=500, cap=12).collect()
+    history = windows.window_history(data, limit=12).collect()
     assert [r["t"] for r in history] == [100 + 5 * i for i in range(8, 20)]
-    assert len(windows.window_history(data, limit=-3).collect()) == 1
+    for limit in (0, windows.HISTORY_WINDOWS + 1):
+        with pytest.raises(ValueError, match="windows"):
+            windows.window_history(data, limit=limit)
     assert [r["window_start"] for r in windows.window_latest(data).collect()] == [195]
 
 
