@@ -74,14 +74,17 @@ def user_counts(events: DataFrame, keys: Sequence) -> DataFrame:
     return events.groupBy(*keys, "user").agg(F.count("*").alias("count"))
 
 
-def pack_slices(dims: DataFrame, users: DataFrame, size: int, k: int = TOP_EDITORS) -> DataFrame:
+def pack_slices(
+    dims: DataFrame, users: DataFrame, size: int, k: int = TOP_EDITORS,
+    keys: Sequence[str] = ("window_start", "partition"),
+) -> DataFrame:
     """
-    Long-form counts by (window_start, partition) as one slice per key.
+    Long-form counts by ``keys`` as one row per key, by default a slice per topic partition.
 
     Users are cut to the top ``k`` before they are packed; wikis and types are packed
     whole, as a slice lists all of them.
     """
-    keys = ["window_start", "partition"]
+    keys = list(keys)
     is_type, is_wiki = F.col("dim") == "type", F.col("dim") == "wiki"
     body = dims.groupBy(*keys).agg(
         F.sum(F.when(is_type, F.col("n"))).alias("total_edits"),
@@ -97,7 +100,7 @@ def pack_slices(dims: DataFrame, users: DataFrame, size: int, k: int = TOP_EDITO
     return body.join(top, keys, "left").select(
         "window_start",
         (F.col("window_start") + F.lit(size)).alias("window_end"),
-        "partition",
+        *keys[1:],
         "total_edits",
         per_second(F.col("total_edits"), size).alias("edits_per_second"),
         "edits_per_wiki",
@@ -125,6 +128,37 @@ def window_slices(events: DataFrame, ts: Column, size: int, k: int = TOP_EDITORS
     return pack_slices(dimension_counts(keyed, keys), user_counts(keyed, keys), size, k)
 
 
+def window_summaries(events: DataFrame, ts: Column, size: int, k: int = TOP_EDITORS) -> DataFrame:
+    """
+    Summary of every non-empty window over all its partitions, straight from the events.
+
+    Counts are aggregated by window at once instead of by slice first, and top editors are
+    chosen from all users, so they are exact; ``merge_slices`` is for slices that are written.
+    """
+    keyed = normalize(events).select(
+        window_start(ts, size).alias("window_start"),
+        F.col("kafka_partition").alias("partition"),
+        "wiki", "type", "user", "bot",
+    )
+    keys = ["window_start"]
+    partitions = keyed.select("window_start", "partition").distinct().groupBy("window_start").agg(
+        F.count("*").cast("int").alias("partitions"))
+    whole = pack_slices(dimension_counts(keyed, keys), user_counts(keyed, keys), size, k, keys)
+    return whole.join(partitions, "window_start")
+
+
+def newest_events(events: DataFrame, ts: str, size: int, n: int = 1) -> DataFrame:
+    """
+    The events of the newest ``n`` windows of the grid, by a bound on the column ``ts`` that
+    reaches the scan. Only the newest clock is read to find it.
+    """
+    newest = events.agg(F.max(window_start(F.col(ts), size))).first()[0]
+    if newest is None:
+        return events.limit(0)
+    bound = F.timestamp_seconds(F.lit(newest - (n - 1) * size)).cast(events.schema[ts].dataType)
+    return events.filter(F.col(ts) >= bound)
+
+
 # -- merging ------------------------------------------------------------------
 
 def merge_slices(slices: DataFrame, k: int = TOP_EDITORS) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,10 +16,13 @@ from tallybrook.operators.rollup import (
     distinct_editors, rollup_day, rollup_minute, rollup_read, with_estimates,
 )
 from tallybrook.plans import analytics
+from tallybrook.session import shared_folder
 from tallybrook.settings import MAX_GAP_WINDOWS, RANGES
 from tallybrook.sources import messages as wire
 from tallybrook.sources.event_log import load_edits, load_messages, redelivered
 from tallybrook.sources.tables import dedup, expired
+from tallybrook.streaming.live import read_slices, write_slices
+from tallybrook.streaming.stored import StoredTables, store_batch
 
 AS_OF = "2024-01-31 00:00:00"
 RESET_AT = "2024-01-15 00:00:00"
@@ -258,6 +262,37 @@ def history_tiles(spark, folder):
     return analytics.history_tiles(recent_rollup(spark, folder, "90d"), AS_OF)
 
 
+# -- stored tables ------------------------------------------------------------
+
+def _stored(spark, folder) -> StoredTables:
+    """The tables as the stored path writes them, from all messages in two batches."""
+    tables = StoredTables(spark, f"{shared_folder(spark, 'queries')}/{uuid4().hex}")
+    judged = wire.judged(load_messages(spark, folder)).withColumn("seen_at", as_of())
+    for batch in (0, 1):
+        store_batch(judged.filter(F.col("offset") % 2 == batch), batch, tables)
+    return tables
+
+
+@query
+def stored_timeline_1h(spark, folder):
+    tables = _stored(spark, folder)
+    return analytics.timeline(tables.minute_parts(), tables.day_parts(), "7d", "1h", AS_OF)
+
+
+@query
+def stored_top_wikis(spark, folder):
+    return analytics.top_wikis(_stored(spark, folder).minute_parts(), "30d", 10, AS_OF)
+
+
+@query
+def stored_window_latest(spark, folder):
+    path = f"{shared_folder(spark, 'queries')}/{uuid4().hex}"
+    edits = load_edits(spark, folder)
+    write_slices(windows.window_slices(edits, arrival(), SIZE), path, 0)
+    newest = edits.agg(F.max(F.to_date("ingested_at"))).first()[0]
+    return _flat(windows.window_latest(read_slices(spark, path, str(newest))), "partitions").drop("top_editors")
+
+
 # -- windows ------------------------------------------------------------------
 
 def _slices(spark, folder, size=SIZE):
@@ -286,7 +321,7 @@ def window_summary(spark, folder):
 
 @query
 def window_merged(spark, folder):
-    return _flat(windows.merge_slices(_slices(spark, folder)), "partitions")
+    return _flat(windows.window_summaries(load_edits(spark, folder), arrival(), SIZE), "partitions")
 
 
 @query
@@ -296,7 +331,8 @@ def window_points(spark, folder):
 
 @query
 def window_latest(spark, folder):
-    return _flat(windows.window_latest(_slices(spark, folder)), "partitions")
+    newest = windows.newest_events(load_edits(spark, folder), "ingested_at", SIZE)
+    return _flat(windows.window_summaries(newest, arrival(), SIZE), "partitions")
 
 
 @query

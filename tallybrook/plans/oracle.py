@@ -169,8 +169,8 @@ MERGED = """,
 m_wiki AS (SELECT window_start, wiki, CAST(sum(n) AS BIGINT) AS n FROM by_wiki GROUP BY ALL),
 m_type AS (SELECT window_start, type, CAST(sum(n) AS BIGINT) AS n FROM by_type GROUP BY ALL),
 m_user AS (
-  SELECT window_start, usr, CAST(sum(n) AS BIGINT) AS n FROM by_user GROUP BY 1, 2
-  QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY sum(n) DESC, usr) <= 5
+  SELECT window_start, usr, count(*) AS n FROM w GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY count(*) DESC, usr) <= 5
 ),
 m_total AS (
   SELECT window_start, CAST(sum(total) AS BIGINT) AS total, CAST(sum(bots) AS BIGINT) AS bots,
@@ -406,6 +406,16 @@ FROM t LEFT JOIN w USING (name)"""),
     "window_merged": with_edits(merged(300)),
     "window_latest": with_edits(merged(
         300, "WHERE window_start = (SELECT max(window_start) FROM m_total)")),
+    "stored_timeline_1h": with_messages("," + timeline(604_800, 3_600).replace("FROM edits", "FROM clean").join(
+        (" t AS (", ") SELECT * FROM t"))),
+    "stored_top_wikis": with_messages(f""",
+m AS (SELECT *, date_trunc('minute', ingested_at) AS minute FROM clean)
+SELECT wiki, count(*) AS edits, count(*) FILTER (WHERE bot) AS bot_edits, count(DISTINCT "user") AS editors
+FROM m WHERE minute >= {NOW} - INTERVAL 30 DAY GROUP BY 1 ORDER BY edits DESC, wiki LIMIT 10"""),
+    "stored_window_latest": with_edits(
+        slices(300) + MERGED + ", whole AS (" + texts(
+            300, "window_start", "m_wiki", "m_type", "m_user", "(FROM m_total)", "partitions"
+        ) + ")\nSELECT * EXCLUDE (top_editors) FROM whole WHERE window_start = (SELECT max(window_start) FROM whole)"),
     "window_points": with_edits(f"""
 SELECT {floor_to('ingested_at', 300)} AS t, count(*) AS total, round(count(*) / 300, 2) AS rate,
        count(*) FILTER (WHERE bot) AS bot
