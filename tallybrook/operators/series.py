@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import epoch_seconds, window_start
-from tallybrook.operators.ordered import previous
+from tallybrook.operators.ordered import previous, running_max
 
 DAY = 86_400
 
@@ -55,10 +55,18 @@ def counter_rate(samples: DataFrame, window: int, by: Sequence[str] = ()) -> Dat
 def rolling_rate(rates: DataFrame, keys: Sequence[str], window: int) -> DataFrame:
     """
     Per-second rate over the trailing ``window`` at each step, from stepwise increases.
-    The input has one row per key and step, so its length is time covered over step.
+    A key's steps are ordered in chunks of time; a chunk also gets the last ``window`` of the
+    one before, so no key is in one task however long it goes on.
     """
-    trailing = Window.partitionBy(*keys).orderBy("t").rangeBetween(-window + 1, 0)
-    return rates.withColumn("rate", F.sum("increase").over(trailing) / F.lit(window))
+    size = max(DAY, window)
+    chunk = F.floor(F.col("t") / size)
+    # The next chunk looks back at the steps from its start less the window on.
+    reaches = F.col("t") > (chunk + 1) * size - window
+    dealt = rates.withColumn("_own", chunk).withColumn(
+        "_chunk", F.explode(F.when(reaches, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))))
+    trailing = Window.partitionBy(*keys, "_chunk").orderBy("t").rangeBetween(-window + 1, 0)
+    return dealt.withColumn("rate", F.sum("increase").over(trailing) / F.lit(window)).filter(
+        F.col("_chunk") == F.col("_own")).drop("_own", "_chunk")
 
 
 # -- gauges -------------------------------------------------------------------
@@ -173,10 +181,13 @@ def alert_states(values: DataFrame, grid: DataFrame, step: int, rules: Sequence[
     per (alert, t); an evaluation without one sees no data, which is not zero.
     """
     rows = grid.join(values, ["alert", "t"], "left").withColumn("active", _condition(rules))
-    # The grid is what is ordered: per rule, as many rows as the time covered has steps.
-    so_far = Window.partitionBy("alert").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    last_quiet = F.max(F.when(~F.col("active"), F.col("t"))).over(so_far)
-    since = F.coalesce(last_quiet + F.lit(step), F.min("t").over(so_far))
+    rows = running_max(
+        rows.withColumn("_quiet", F.when(~F.col("active"), F.col("t"))), ["alert"], "t", "_quiet",
+        F.floor(F.col("t") / DAY), name="_last_quiet")
+    # One row per rule.
+    starts = grid.groupBy("alert").agg(F.min("t").alias("_start"))
+    rows = rows.join(F.broadcast(starts), "alert")
+    since = F.coalesce(F.col("_last_quiet") + F.lit(step), F.col("_start"))
     hold = F.lit(0)
     for rule in rules:
         hold = F.when(F.col("alert") == rule.alert, F.lit(rule.for_seconds)).otherwise(hold)
