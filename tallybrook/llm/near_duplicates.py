@@ -14,7 +14,8 @@ documents of similarity s miss each other with a probability below 2 * (1 - s^RO
 3. In each bucket all nodes are compared with one hub (the node with most keys), on their full
    sets. The links found join nodes to components, by rounds of minimum labels.
 4. Where a bucket holds more than one component after that, its nodes are compared across
-   components, each pair once, on their full sets, if they agree in at least ``AGREE`` half keys.
+   components, each pair once, on their full sets, if they agree in at least ``AGREE`` of the
+   minimum hashes, of which a byte each is kept.
    Pairs within a component need no comparison: no link between them can change the result. So
    a group of copies costs its size, not its square.
 
@@ -38,8 +39,9 @@ from tallybrook.llm.base import ship_package, stored
 from tallybrook.llm.tokens import groups, mixed, shingle_hashes, word_hashes
 
 ROWS, TABLES = 3, 16
-# Of 32 half keys, documents of similarity 0.8 share 16 on average, and fewer than 5 once in 200,000 pairs.
-AGREE = 5
+# Of the 96 minimum hashes, documents of similarity 0.8 share 77 on average, and fewer than 58 in
+# about three of a million pairs.
+AGREE = 58
 
 
 def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,21 +49,27 @@ def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
     return seeds[:count] | np.uint64(1), seeds[count:]
 
 
-def half_keys(shingles: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """The 2 * TABLES half keys of each row that has shingles; other rows have zeros."""
+def half_keys(shingles: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """
+    The 2 * TABLES half keys of each row that has shingles, and a byte of each of the minimum
+    hashes they are made of; other rows have zeros.
+    """
     full = np.flatnonzero(np.diff(edges))
     out = np.zeros((len(edges) - 1, 2 * TABLES), np.uint64)
+    least = np.zeros((len(edges) - 1, 2 * TABLES * ROWS), np.uint8)
     if not len(full):
-        return out
+        return out, least
     scale, shift = _functions(2 * TABLES * ROWS)
     for t in range(2 * TABLES):
         key = np.full(len(full), t + 1, np.uint64)
         for r in range(ROWS):
             k = t * ROWS + r
             values = (shingles * scale[k] + shift[k]) >> np.uint64(24)
-            key = mixed(key * np.uint64(0x9FB21C651E98DF25) + np.minimum.reduceat(values, edges[full]))
+            smallest = np.minimum.reduceat(values, edges[full])
+            least[full, k] = (mixed(smallest) >> np.uint64(56)).astype(np.uint8)
+            key = mixed(key * np.uint64(0x9FB21C651E98DF25) + smallest)
         out[full, t] = key
-    return out
+    return out, least
 
 
 def _sets(column: pa.Array, size: int):
@@ -78,14 +86,17 @@ def _node(own: np.ndarray) -> bytes | None:
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, counts, keys = [], [], []
+            nodes, counts, keys, bytes_ = [], [], [], []
             for _, sets, shingles, edges in _sets(batch.column("text"), size):
                 nodes += map(_node, sets)
                 counts += map(len, sets)
-                keys += list(half_keys(shingles, edges).view(np.int64))
+                halves, least = half_keys(shingles, edges)
+                keys += list(halves.view(np.int64))
+                bytes_ += list(least.view(np.int8))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(counts, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "n_shingles", "halves"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(bytes_, pa.list_(pa.int8()))],
+                ["doc_id", "node", "n_shingles", "halves", "least"])
 
     return run
 
@@ -147,26 +158,26 @@ def components(links: DataFrame) -> DataFrame:
 
 def across(nodes: DataFrame) -> DataFrame:
     """
-    Pairs (a, b) of ``nodes(node, label, halves)`` of different labels that share a table and
-    agree in at least ``AGREE`` half keys, each once.
+    Pairs (a, b) of ``nodes(node, label, halves, least)`` of different labels that share a table
+    and agree in at least ``AGREE`` minimum hashes, each once.
 
     Nodes meet by their left half keys, each pair at the first one it shares. Of the labels that
     meet at a key, the nodes of the most frequent one are not compared with each other.
     """
-    keyed = nodes.select("node", "label", "halves", F.posexplode(F.slice("halves", 1, TABLES)).alias("t", "key"))
+    keyed = nodes.select("node", "label", "halves", "least", F.posexplode(F.slice("halves", 1, TABLES)).alias("t", "key"))
     counts = keyed.groupBy("key", "label").agg(F.count("*").alias("n"))
     most = counts.groupBy(F.col("key").alias("at")).agg(
         F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels")).filter("labels > 1").select(
         "at", F.col("most.label").alias("main"))
     met = keyed.join(most, F.col("key") == F.col("at")).drop("key")
     few = met.filter("label <> main").select(
-        "at", "t", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("halves").alias("one"))
+        "at", "t", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("halves").alias("one"), F.col("least").alias("least_a"))
     other = met.select(F.col("at").alias("where"), F.col("main"), F.col("node").alias("b"),
-                       F.col("label").alias("label_b"), F.col("halves").alias("two"))
+                       F.col("label").alias("label_b"), F.col("halves").alias("two"), F.col("least").alias("least_b"))
     same = F.zip_with("one", "two", lambda x, y: x == y)
     once = (F.col("label_b") == F.col("main")) | (F.col("a") < F.col("b"))
     table = (F.array_position(same, True) == F.col("t") + 1) & F.exists(F.slice(same, TABLES + 1, TABLES), lambda x: x)
-    alike = F.size(F.filter(same, lambda x: x)) >= AGREE
+    alike = F.size(F.filter(F.zip_with("least_a", "least_b", lambda x, y: x == y), lambda x: x)) >= AGREE
     return few.join(other, (F.col("at") == F.col("where")) & (F.col("label_a") != F.col("label_b")) & once & table & alike).select("a", "b")
 
 
@@ -191,8 +202,8 @@ def node_labels(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> D
         "low <> high").select("bucket")
     unsettled = met.join(split, "bucket", "left_semi").select("node").union(
         met.join(split, "bucket", "left_semi").select("hub")).distinct()
-    unsettled = stored(nodes.select("node", "halves").join(unsettled, "node").join(labels, "node", "left").select(
-        "node", "halves", F.coalesce("label", "node").alias("label")), "unsettled")
+    unsettled = stored(nodes.select("node", "halves", "least").join(unsettled, "node").join(labels, "node", "left").select(
+        "node", "halves", "least", F.coalesce("label", "node").alias("label")), "unsettled")
     more = across(unsettled)
     new = stored(linked(more, sets, percent), "more-links")
     return components(links.union(new)) if new.head(1) else labels
@@ -207,11 +218,11 @@ def cluster(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     ship_package(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     given = docs.schema["doc_id"].dataType.simpleString()
-    rows = stored(docs.mapInArrow(_signatures(size), f"doc_id {given}, node binary, n_shingles long, halves array<long>"),
+    rows = stored(docs.mapInArrow(_signatures(size), f"doc_id {given}, node binary, n_shingles long, halves array<long>, least array<byte>"),
                   "signatures")
     classes = stored(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first")), "classes")
     nodes = rows.join(classes.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & (
-        F.col("doc_id") == F.col("first"))).select("node", "doc_id", "halves").dropDuplicates(["node"])
+        F.col("doc_id") == F.col("first"))).select("node", "doc_id", "halves", "least").dropDuplicates(["node"])
     labels = node_labels(docs, nodes, size, percent)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # One row per component and task leaves the partial aggregate.
