@@ -21,6 +21,7 @@ HEADLINES = (
     "events_project", "events_clean", "events_dead_letter", "edits_dedup",
     "rollup_1m", "rollup_1d", "editors_distinct",
     "timeline_5m", "timeline_1h", "timeline_1d", "top_wikis", "top_editors", "history_tiles",
+    "stored_timeline_1h", "stored_top_wikis", "stored_window_latest",
     "window_summary", "window_merged", "window_top_editors", "window_top_editors_slices",
     "window_dense", "window_gap_capped", "late_events", "running_watermark",
     "reconcile_hot_cold", "counter_rate", "histogram_quantile", "alert_states",
