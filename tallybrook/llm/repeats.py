@@ -9,7 +9,8 @@ a smaller id, or earlier in the same document.
    them, so two equal strings of ``LEAST`` bytes always share an anchor. About one place in 40
    is an anchor.
 2. Only anchors that occur at two places of different texts, or twice in one, can belong to a
-   repeat. For each, its context is cut out of the text: all bytes of the strings around it.
+   repeat. For each, its context is cut out of the text: the bytes of the strings it is the
+   anchor of. So each string is in one context.
 3. Contexts are dealt by anchor into buckets of about ``ROWS`` rows. In a bucket, equal contexts
    are put together; over the others an enhanced suffix array is built, and its tree of
    common-prefix intervals is gone through with a stack. An interval whose suffixes follow
@@ -41,7 +42,6 @@ from tallybrook.llm.suffixes import SuffixArray, repeated_lengths
 from tallybrook.llm.tokens import _BASE, _INVERSE, _power, groups, mixed
 
 LEAST, GRAM = 100, 20
-REACH = LEAST - GRAM
 ROWS, HOT = 20_000, 200_000
 LAST = (1 << 63) - 1
 
@@ -53,57 +53,70 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return mixed((total[GRAM:] - total[:-GRAM]) * _power("down", _INVERSE, len(data) + 1)[:len(data) + 1 - GRAM])
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, place in the row, hash) of the anchors of some rows of bytes."""
+def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """
+    (row, start, end, hash) of the anchors of some rows of bytes: the first and last byte, end
+    exclusive, of the strings that an anchor stands for, within its row.
+    """
     none = np.zeros(0, np.int64)
     if len(data) < LEAST:
-        return none, none, np.zeros(0, np.uint64)
+        return none, none, none, np.zeros(0, np.uint64)
     hashes = gram_hashes(data)
     # The upper bits of the hash and the place: the smallest is the first of equal hashes.
     bits = np.uint64(28)
     least = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     span = 1
-    while 2 * span <= REACH + 1:
+    while 2 * span <= LEAST - GRAM + 1:
         least, span = np.minimum(least[:-span], least[span:]), 2 * span
-    if rest := REACH + 1 - span:
+    if rest := LEAST - GRAM + 1 - span:
         least = np.minimum(least[:-rest], least[rest:])
     # No string goes on into the next row.
     whole = np.zeros(len(least) + 1, np.int64)
     starts, ends = offsets[:-1], np.maximum(offsets[:-1], offsets[1:] - LEAST + 1)
     np.add.at(whole, starts[starts < ends], 1)
     np.add.at(whole, ends[starts < ends], -1)
-    at = np.unique((least[np.cumsum(whole[:-1]) > 0] & np.uint64((1 << 28) - 1)).astype(np.int64))
+    starts = np.flatnonzero(np.cumsum(whole[:-1]) > 0)
+    # Strings of one anchor start one after the other.
+    at, first, count = np.unique((least[starts] & np.uint64((1 << 28) - 1)).astype(np.int64),
+                                 return_index=True, return_counts=True)
     row = np.searchsorted(offsets, at, "right") - 1
-    return row, at - offsets[row], hashes[at]
+    begin = starts[first] - offsets[row]
+    return row, begin, begin + count - 1 + LEAST, hashes[at]
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, data, offsets in groups(batch.column("text")):
-            row, place, hashes = anchors(data, offsets)
+            row, start, end, hashes = anchors(data, offsets)
             rows = pa.array(row + first)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes.view(np.int64)), batch.column("id").take(rows), batch.column("text_key").take(rows),
-                 pa.array(place.astype(np.int32))], ["anchor", "id", "text_key", "place"])
+                 pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int16))],
+                ["anchor", "id", "text_key", "start", "size"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around each anchor of the rows, and where they start."""
+    """The bytes of the strings that the anchors of the rows stand for."""
     for batch in batches:
-        texts = batch.column("text").cast(pa.large_binary())
-        found = batch.column("found").to_pylist()
-        ids, keys = batch.column("id"), batch.column("text_key")
-        for k, places in enumerate(found):
+        texts, found = batch.column("text").cast(pa.large_binary()), batch.column("found")
+        edges = found.offsets.to_numpy()
+        marks = found.values
+        starts, sizes = (marks.field(n).to_numpy() for n in ("start", "size"))
+        held: list[bytes] = []
+        first = edges[0]
+        for k in range(len(texts)):
             text = texts[k].as_py() or b""
-            for a in range(0, len(places), 10_000):
-                part = places[a:a + 10_000]
-                starts = [max(0, p["place"] - REACH) for p in part]
-                rows = pa.array([k] * len(part))
+            a, b = int(edges[k]), int(edges[k + 1])
+            held += [text[s:s + n] for s, n in zip(starts[a:b].tolist(), sizes[a:b].tolist())]
+            if len(held) > 20_000 or k == len(texts) - 1:
+                part = slice(int(first), b)
+                row = pa.array(np.searchsorted(edges, np.arange(part.start, part.stop), "right") - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p["anchor"] for p in part], pa.int64()), pa.array([p["hot"] for p in part], pa.bool_()),
-                     ids.take(rows), keys.take(rows), pa.array(starts, pa.int64()),
-                     pa.array([text[s:p["place"] + LEAST] for s, p in zip(starts, part)], pa.binary())],
+                    [marks.field("anchor").slice(part.start, len(held)), marks.field("hot").slice(part.start, len(held)),
+                     batch.column("id").take(row), batch.column("text_key").take(row),
+                     pa.array(starts[part].astype(np.int64)), pa.array(held, pa.binary())],
                     ["anchor", "hot", "id", "text_key", "start", "context"])
+                held, first = [], b
 
 
 def merged(starts: np.ndarray, ends: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -210,14 +223,14 @@ def repeated_spans(docs: DataFrame, rows_per_bucket: int = ROWS, hot: int = HOT)
     firsts = digests.groupBy(F.col("digest").alias("of")).agg(F.min("id").alias("first"))
     copies = stored(digests.join(firsts, F.col("digest") == F.col("of")).filter(F.col("id") > F.col("first")).select(
         "id", "text_key", F.lit(0).cast("long").alias("start"), "end").distinct(), "copies")
-    marks = texts.mapInArrow(_anchors, "anchor long, id long, text_key long, place int")
-    of = F.xxhash64("text_key", "place")
+    marks = texts.mapInArrow(_anchors, "anchor long, id long, text_key long, start int, size short")
+    of = F.xxhash64("text_key", "start")
     shared = marks.groupBy(F.col("anchor").alias("shared")).agg(
         F.min(of).alias("low"), F.max(of).alias("high"), F.count("*").alias("n")).filter("low <> high").select(
         "shared", (F.col("n") > hot).alias("hot"))
     found = marks.join(shared, F.col("anchor") == F.col("shared")).join(
         copies.select("id", "text_key"), ["id", "text_key"], "left_anti").groupBy("id", "text_key").agg(
-        F.collect_set(F.struct("place", "anchor", "hot")).alias("found"))
+        F.collect_set(F.struct("start", "size", "anchor", "hot")).alias("found"))
     contexts = stored(texts.join(found.hint("shuffle_hash"), ["id", "text_key"]).select("id", "text_key", "text", "found").mapInArrow(
         _contexts, "anchor long, hot boolean, id long, text_key long, start long, context binary"), "contexts")
     cold = contexts.filter(~F.col("hot"))

@@ -65,6 +65,12 @@ class SuffixArray:
         self.before = np.where(self.offset > 0, flat[self.string * stride + np.maximum(self.offset - 1, 0)].astype(np.int64), DIVERSE)
 
 
+def _steps(common: np.ndarray, least: int) -> list[int]:
+    """The places where an interval of ``least`` or more goes on or ends."""
+    deep = np.concatenate([common >= least, [False]])
+    return (np.flatnonzero(deep[1:] | deep[:-1]) + 1).tolist() if len(common) else []
+
+
 def intervals(array: SuffixArray, least: int) -> Iterator[tuple[int, int, int, bool]]:
     """
     (depth, first, last, diverse) of every interval of suffixes with ``least`` bytes or more in
@@ -73,9 +79,11 @@ def intervals(array: SuffixArray, least: int) -> Iterator[tuple[int, int, int, b
     """
     common, before = array.common.tolist(), array.before.tolist()
     stack: list[list[int]] = []
-    for k in range(1, len(common) + 1):
+    for k in _steps(array.common, least):
         depth = common[k] if k < len(common) else 0
         first, mark = k - 1, before[k - 1]
+        if depth < least:
+            depth = 0
         while stack and stack[-1][0] > depth:
             top = stack.pop()
             top[2] = top[2] if top[2] == mark else DIVERSE
@@ -118,9 +126,11 @@ def repeated_lengths(array: SuffixArray, least: int, place: np.ndarray) -> tuple
         elif places[other] > places[top[2]]:
             top[3].append(other)
 
-    for k in range(1, len(common) + 1):
+    for k in _steps(array.common, least):
         depth = common[k] if k < len(common) else 0
         mark, best = before[k - 1], k - 1
+        if depth < least:
+            depth = 0
         while stack and stack[-1][0] > depth:
             top = stack.pop()
             if top[1] != mark:
