@@ -37,14 +37,17 @@ class SuffixArray:
         for k in range(8):
             packed = (packed << np.uint64(8)) | held[:, k:k + width]
         ranks, size = [np.unique(packed.ravel(), return_inverse=True)[1].reshape(packed.shape)], 8
-        while size < longest:
+        while 2 * size <= longest:
             last = ranks[-1]
             shifted = np.zeros_like(last)
             if size < width:
                 shifted[:, :width - size] = last[:, size:] + 1
             ranks.append(np.unique(last * (int(last.max()) + 2) + shifted, return_inverse=True)[1].reshape(last.shape))
             size *= 2
-        order = np.argsort(ranks[-1][self.string, self.offset], kind="stable")
+        # The last step, up to twice that length, is taken for the suffixes only.
+        last, further = ranks[-1], self.offset + size
+        rest = np.where(further < width, last[self.string, np.minimum(further, width - 1)] + 1, 0)
+        order = np.argsort(last[self.string, self.offset] * (int(last.max(initial=0)) + 2) + rest, kind="stable")
         self.string, self.offset, self.left = self.string[order], self.offset[order], self.left[order]
         self.common = np.zeros(len(order), np.int64)
         if len(order) > 1:
