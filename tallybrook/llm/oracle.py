@@ -1,3 +1,88 @@
 """SQL for the queries that SQL can express, on the same tables."""
 
-ORACLES: dict[str, str] = {}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def words(pattern: str) -> str:
+    return f"regexp_extract_all({LOWER}, '{pattern}')"
+
+
+ALNUM = words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SPACED = words(r"[^\x20\x09-\x0D]+")
+
+NEAR = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {SPACED} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * common >= 80 * (x.n + y.n - common)
+),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
+
+LEAKS = f"""
+WITH d AS (SELECT doc_id, {ALNUM} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {ALNUM} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS piece, len(w[i:i + 9]) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM items WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM windows),
+starts AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes),
+hits AS (
+  SELECT doc_id, i, n, item_id
+  FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS piece FROM starts) JOIN windows USING (piece, n)
+),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+  FROM hits GROUP BY 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+strings AS (SELECT doc_id, i, md5(substring(h, 2 * i + 1, 200)) AS piece
+            FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100)),
+later AS (SELECT doc_id, i FROM strings
+          QUALIFY row_number() OVER (PARTITION BY piece ORDER BY doc_id, i) > 1),
+runs AS (
+  SELECT doc_id, min(i) AS start, max(i) + 100 AS stop
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run
+        FROM (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS fresh FROM later))
+  GROUP BY doc_id, run
+),
+ends AS (
+  SELECT doc_id, start, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS kept_from FROM runs
+  UNION ALL
+  SELECT doc_id, n, coalesce((SELECT max(stop) FROM runs r WHERE r.doc_id = d.doc_id), 0) FROM d
+),
+kept AS (
+  SELECT doc_id, string_agg(substring(h, 2 * kept_from + 1, 2 * (start - kept_from)), '' ORDER BY kept_from, start) AS h
+  FROM ends JOIN d USING (doc_id) GROUP BY doc_id
+),
+gone AS (SELECT doc_id, CAST(sum(stop - start) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY 1)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)"""
+
+ORACLES: dict[str, str] = {
+    "op3_minhash": NEAR,
+    "op6_decontaminate": LEAKS,
+    "op10_suffix_array": REPEATS,
+}
