@@ -91,6 +91,13 @@ def emit_delay(emitted: DataFrame, size: int) -> DataFrame:
     )
 
 
+def slice_delays(slices: DataFrame) -> DataFrame:
+    """Emit delay of written slices, from the time of writing that they carry."""
+    written = F.unix_micros("written_at") / F.lit(1_000_000.0)
+    return slices.select(
+        "window_start", "partition", (written - F.col("window_end")).alias("delay_seconds"))
+
+
 def consumer_lag(latest: DataFrame, committed: DataFrame) -> DataFrame:
     """
     Messages each partition is behind: end of the log minus the next offset to read,

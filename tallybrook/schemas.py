@@ -74,6 +74,7 @@ SLICE = T.StructType([
     ])),
     T.StructField("edit_types", COUNTS),
     T.StructField("top_editors", TOP_USERS),
+    T.StructField("written_at", T.TimestampType()),
 ])
 
 # One scraped sample of a counter, gauge or histogram bucket.

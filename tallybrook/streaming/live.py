@@ -54,8 +54,9 @@ def slices_of_counts(counts: DataFrame, size: int) -> DataFrame:
 
 
 def write_slices(slices: DataFrame, folder: str, batch_id: int) -> None:
+    """Write one batch of slices with the time of writing, which lifetimes and delays go by."""
     append_batch(
-        slices, folder, batch_id, F.to_date(F.timestamp_seconds("window_start")),
+        slices.withColumn("written_at", F.current_timestamp()), folder, batch_id, F.to_date(F.timestamp_seconds("window_start")),
         date_name="window_date", order=KEYS,
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import epoch_seconds
 from tallybrook.operators import windows
+from tallybrook.operators.health import slice_delays
 from tallybrook.operators.rollup import rollup_day, rollup_minute, with_estimates
 from tallybrook.plans.analytics import freshness, timeline, top_editors
 from tallybrook.sources.event_log import load_edits, load_messages
@@ -143,7 +144,16 @@ def test_live_windows_equal_batch_slices(spark, landed, tmp_path):
     batch = windows.window_slices(edits, F.col("ingested_at"), SIZE).filter(
         F.col("window_end") + GRACE <= mark
     )
-    assert rows(read_slices(spark, f"{tmp_path}/slices").select(*batch.columns)) == rows(batch)
+    got = read_slices(spark, f"{tmp_path}/slices")
+    assert rows(got.select(*batch.columns)) == rows(batch)
+    # Written long after the data's own time, and dropped once that is further back than a lifetime.
+    assert slice_delays(got).filter("delay_seconds > 0").count() == got.count()
+    now = int(time.time())
+    written = F.unix_seconds("written_at")
+    assert windows.within_ttl(got, written, now, 3600).count() == got.count()
+    assert windows.within_ttl(got, written, now + 7200, 3600).count() == 0
+    recent = read_slices(spark, f"{tmp_path}/slices", since="2024-01-20")
+    assert 0 < recent.count() < got.count() and "(window_date#" in partition_filters(recent)
 
 
 def test_restart_on_a_checkpoint_equals_one_run(spark, landed, tmp_path):
@@ -160,7 +170,8 @@ def test_restart_on_a_checkpoint_equals_one_run(spark, landed, tmp_path):
         stream(), f"{tmp_path}/whole", f"{tmp_path}/cp2", source="arrival", size=SIZE,
         grace=GRACE, trigger=NOW,
     ).awaitTermination(300)
-    assert rows(read_slices(spark, f"{tmp_path}/stopped")) == rows(read_slices(spark, f"{tmp_path}/whole"))
+    stopped, whole = (read_slices(spark, f"{tmp_path}/{n}").drop("written_at") for n in ("stopped", "whole"))
+    assert rows(stopped) == rows(whole)
 
 
 def test_live_totals_write_revisions(spark, landed, tmp_path):
