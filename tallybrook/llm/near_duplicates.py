@@ -21,8 +21,9 @@ documents of similarity s miss each other with a probability below 2 * (1 - s^RO
 
 Sets are compared as 64-bit hashes of the shingles. Null texts and texts without words have
 the empty set, are linked with nothing and are kept. Texts with fewer words than a shingle are
-one shingle. Repeated rows are rows of the same node; a null id never names a component unless
-there is no other. Other columns are not read.
+one shingle. Repeated rows are rows of the same node; a null id never names a component, and
+texts that only rows without an id have are kept and compared with nothing. Other columns are
+not read.
 """
 
 from __future__ import annotations
