@@ -2,21 +2,23 @@
 Quality by importance resampling.
 
 Two generative models give the probability of hashed n-grams: one of the target text (labelled
-as good and not toxic), one of all the raw text. An n-gram here is a word, the first 4, 5 or 6
-bytes of a longer word, or the last two bytes of a space-delimited token. A document's weight is
-the sum of log ratios of its n-grams that the target holds far too rarely for their share of the
-raw text, over the root of its number of words: junk, insults and their word stems weigh down
-wherever they stand, and rare words, on which the models know too little, weigh nothing. The
-expected target count of an n-gram follows from the raw model; ``PRIOR`` is added to both.
+as good and not toxic), one of all the raw text. An n-gram here is a word, two words in a row,
+the first 4, 5 or 6 bytes of a longer word, or the last two bytes of a space-delimited token. A
+document's weight is the sum of the log ratios of all its n-grams over the root of its number of
+words, so text like the target weighs up, and junk, insults and strings the target never holds
+weigh down. The expected target count of an n-gram follows from the raw model; ``PRIOR`` is added
+to both. Each ratio is scaled by how sure its counts make it that the models differ: from
+``FLOOR`` for what rests on a few places to 1; no ratio is left out.
 
 Documents are drawn without replacement by Gumbel top-k: the k largest of weight / TEMPERATURE
 plus Gumbel noise, where the noise is a hash of the row, so every run draws the same. k is the
-number of documents with a weight above the value that best divides the labelled ones.
+number of documents with a weight above the value that best divides the labelled ones, where a
+good one is weighed without its own share in the target.
 
 Raw counts cover all documents. The target model and the division use at most about ``SAMPLE``
 labelled rows, chosen by a hash of their id. A model is ``BUCKETS`` numbers at any input size.
 
-Null and empty texts have weight 0. Labels that are null or name no document are not used; of
+Texts without n-grams (null and empty ones too) have weight 0: as likely in the target as in the raw text. Labels that are null or name no document are not used; of
 several labels of one id the worst counts. Without labels of either kind all documents are kept. Documents
 equal in id and text draw the same. Rows whose noisy weight equals the k-th are all kept.
 """
@@ -32,12 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.llm.base import ship_package, stored
-from tallybrook.llm.tokens import MARKS, SPACE, Slices, groups, word_spans
+from tallybrook.llm.tokens import MARKS, SPACE, Slices, groups, shingle_hashes, word_spans
 
 BITS = 20
 BUCKETS = 1 << BITS
 SAMPLE = 200_000
-PRIOR, CUT = 3.0, -1.5
+PRIOR, DOUBT, FLOOR = 0.5, 10.0, 0.05
 TEMPERATURE = 0.01
 
 
@@ -45,13 +47,18 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """(row, bucket) of each n-gram, and the number of words of each row."""
     slices, rows, buckets = Slices(data), [], []
 
+    def put(row, hashes):
+        rows.append(row)
+        buckets.append((hashes >> np.uint64(64 - BITS)).astype(np.int64))
+
     def add(starts, ends, kind):
-        rows.append(np.searchsorted(offsets, starts, "right") - 1)
-        buckets.append((slices.hashes(starts, ends, kind) >> np.uint64(64 - BITS)).astype(np.int64))
+        put(np.searchsorted(offsets, starts, "right") - 1, slices.hashes(starts, ends, kind))
 
     starts, ends = word_spans(data, offsets, MARKS)
     add(starts, ends, 1)
     words = np.bincount(rows[0], minlength=len(offsets) - 1)
+    pairs, edges = shingle_hashes(slices.hashes(starts, ends), np.searchsorted(starts, offsets), 2, short=False)
+    put(np.repeat(np.arange(len(edges) - 1), np.diff(edges)), pairs)
     for size in (4, 5, 6):
         long = ends - starts > size
         add(starts[long], starts[long] + size, 1 + size)
@@ -116,6 +123,37 @@ def sampled_labels(labels: DataFrame) -> DataFrame:
     return known.filter(F.pmod(F.xxhash64("id"), F.lit(count)) < SAMPLE)
 
 
+def log_ratios(target: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Log ratios of target counts to expected ones, scaled by the evidence for them."""
+    told = np.where(target > 0, target * np.log(np.maximum(target, 1) / np.maximum(expected, 1e-9)), 0)
+    # The log of how much likelier the target count is under its own rate than under the raw one.
+    sure = 1 / (1 + np.exp(np.minimum(DOUBT - (told - target + expected), 50)))
+    return np.log((target + PRIOR) / (expected + PRIOR)) * (FLOOR + (1 - FLOOR) * sure)
+
+
+def _rate(held):
+    """``good, __weight`` of labelled rows; good ones weigh as if the target did not hold them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, raw, share = held.value
+        ratios = log_ratios(target, raw * share)
+        for batch in batches:
+            weights = np.zeros(batch.num_rows)
+            good = np.asarray(batch.column("good").to_numpy(zero_copy_only=False), bool)
+            for first, data, offsets in groups(batch.column("text")):
+                row, bucket, words = features(data, offsets)
+                rows = len(offsets) - 1
+                sums = np.bincount(row, weights=ratios[bucket], minlength=rows)
+                inside = good[first:first + rows]
+                keys, own = np.unique((row * BUCKETS + bucket)[inside[row]], return_counts=True)
+                at = keys % BUCKETS
+                without = log_ratios(np.maximum(target[at] - own, 0), np.maximum(raw[at] - own, 0) * share)
+                sums[inside] = np.bincount(keys // BUCKETS, weights=without * own, minlength=rows)[inside]
+                weights[first:first + rows] = sums / np.sqrt(np.maximum(words, 1))
+            yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(weights)], ["good", "__weight"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ship_package(docs.sparkSession)
     texts = docs.select("doc_id", "text")
@@ -127,13 +165,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     if not target:
         return Model(np.zeros(BUCKETS, np.float32))
-    ratio = F.log((F.col("target") + PRIOR) / (F.col("raw") * (target / raw) + PRIOR))
-    # Only n-grams that weigh anything come to the driver.
-    heavy = counts.select("bucket", ratio.alias("ratio")).filter(F.col("ratio") < CUT).toArrow()
-    ratios = np.zeros(BUCKETS, np.float32)
-    ratios[heavy.column("bucket").to_numpy()] = heavy.column("ratio").to_numpy()
+    # At most BUCKETS rows of three numbers.
+    rows = counts.toArrow()
+    held = np.zeros((2, BUCKETS), np.int64)
+    held[:, rows.column("bucket").to_numpy()] = rows.column("target").to_numpy(), rows.column("raw").to_numpy()
+    share = target / raw
+    ratios = log_ratios(held[0], held[1] * share).astype(np.float32)
     rated = texts.join(sample, F.col("doc_id") == F.col("id")).select("text", "good")
-    rows = weighed(rated, Model(ratios)).select("good", "__weight").toArrow()
+    sent = docs.sparkSession.sparkContext.broadcast((*held, share))
+    rows = rated.mapInArrow(_rate(sent), "good boolean, __weight double").toArrow()
     good = rows.column("good").to_numpy().astype(bool)
     return Model(ratios, dividing_weight(rows.column("__weight").to_numpy(), good))
 

@@ -278,6 +278,18 @@ def test_resampling_of_odd_rows(spark, odd, none):
     assert quality.resampled(odd, labels).columns == odd.columns
 
 
+def test_all_log_ratios_weigh(spark):
+    """Text like the target weighs more than none, and strings the target never holds weigh less."""
+    make = random.Random(21)
+    junk = ["".join(make.choice("bcdfghjklmnpqrstvwxz0123456789") for _ in range(9)) for _ in range(4000)]
+    rows = [(k, sentence(80, make) if k % 2 else " ".join(junk[20 * k:20 * k + 40])) for k in range(100)] + [(100, None)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    found, _ = by_id(quality.report(spark.createDataFrame(rows, "doc_id long, text string"), labels), "weight", "kept")
+    clean, odd_ones = [found[k][0] for k in range(61, 100, 2)], [found[k][0] for k in range(60, 100, 2)]
+    assert max(clean) > found[100][0] == 0.0 > max(odd_ones) and min(clean) > max(odd_ones)
+    assert not any(found[k][1] for k in range(60, 100, 2))
+
+
 def test_kth_largest(spark):
     values = [random.Random(1).choice([0.0, 1.5, -3.0, float(k)]) for k in range(300)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
