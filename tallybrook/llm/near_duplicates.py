@@ -21,9 +21,9 @@ documents of similarity s miss each other with a probability below 2 * (1 - s^RO
 
 Sets are compared as 64-bit hashes of the shingles. Null texts and texts without words have
 the empty set, are linked with nothing and are kept. Texts with fewer words than a shingle are
-one shingle. Repeated rows are rows of the same node; a null id never names a component, and
-texts that only rows without an id have are kept and compared with nothing. Other columns are
-not read.
+one shingle. A row is known by its id and a hash of its text. Of each component one such row
+survives, the first by id (nulls last) and text hash; rows without an id take part like all
+others, and a component of such rows only has a null ``component_id``. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -95,9 +95,9 @@ def _signatures(size: int):
                 keys += list(halves.view(np.int64))
                 bytes_ += list(least.view(np.int8))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(counts, pa.int64()),
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.binary()), pa.array(counts, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(bytes_, pa.list_(pa.int8()))],
-                ["doc_id", "node", "n_shingles", "halves", "least"])
+                ["doc_id", "text_key", "node", "n_shingles", "halves", "least"])
 
     return run
 
@@ -190,8 +190,11 @@ def node_labels(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> D
     met = stored(keys.join(buckets, "bucket").filter("node <> hub"), "met")
     pairs = stored(met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    held = nodes.join(asked, "node").select("doc_id")
-    texts = docs.join(held, "doc_id", "left_semi").select("text")
+    held = nodes.join(asked, "node").select("doc_id", "text_key")
+    # Copies without an id leave their task as one row.
+    nameless = docs.filter("doc_id is null").dropDuplicates(["text_key"])
+    texts = docs.join(held, ["doc_id", "text_key"], "left_semi").select("text").union(
+        nameless.join(held.filter("doc_id is null"), "text_key", "left_semi").select("text"))
     sets = stored(texts.mapInArrow(_full_sets(size), "node binary, shingles array<long>").join(
         asked, "node", "left_semi").dropDuplicates(["node"]), "sets")
     links = stored(linked(pairs, sets, percent), "links")
@@ -210,32 +213,48 @@ def node_labels(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> D
     return components(links.union(new)) if new.head(1) else labels
 
 
-def cluster(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """
-    ``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
-
-    ``component_id`` is the smallest id that links lead to; ``kept`` marks the row that has it.
-    """
+def _clustered(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, node, n_shingles, component_id, kept`` of every row."""
     ship_package(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     given = docs.schema["doc_id"].dataType.simpleString()
-    rows = stored(docs.mapInArrow(_signatures(size), f"doc_id {given}, node binary, n_shingles long, halves array<long>, least array<byte>"),
-                  "signatures")
-    classes = stored(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first")), "classes")
-    nodes = rows.join(classes.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & (
-        F.col("doc_id") == F.col("first"))).select("node", "doc_id", "halves", "least").dropDuplicates(["node"])
+    schema = f"doc_id {given}, text_key long, node binary, n_shingles long, halves array<long>, least array<byte>"
+    rows = stored(docs.mapInArrow(_signatures(size), schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key", "row")
+    classes = stored(rows.filter("node is not null").groupBy("node").agg(F.min(order).alias("first")), "classes")
+    nodes = rows.join(classes.select(F.col("first.row").alias("row")), "row", "left_semi").select(
+        "node", "doc_id", "text_key", "halves", "least")
     labels = node_labels(docs, nodes, size, percent)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # One row per component and task leaves the partial aggregate.
-    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    found = stored(named.join(smallest, "label").select(F.col("node").alias("of"), "component_id"), "components")
-    return rows.select("doc_id", "node", "n_shingles").join(found, F.col("node") == F.col("of"), "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(F.col("node").isNull(), F.lit(True)).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
+    smallest = named.groupBy("label").agg(F.min("first").alias("best"))
+    found = stored(named.join(smallest, "label").select(F.col("node").alias("of"), "best"), "components")
+    survives = F.when(F.col("doc_id").isNull(), F.col("row") == F.col("best.row")).otherwise(
+        F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_key") == F.col("best.text_key")))
+    return rows.drop("halves", "least").join(found, F.col("node") == F.col("of"), "left").select(
+        "doc_id", "text_key", "node", "n_shingles",
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"),
+        F.when(F.col("node").isNull(), F.lit(True)).otherwise(survives).alias("kept"))
+
+
+def cluster(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """
+    ``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
+
+    ``component_id`` is the smallest id that links lead to; ``kept`` marks the row that survives.
+    Rows equal in id and text are marked alike, unless the id is null: then one is marked.
+    """
+    return _clustered(docs, size, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def unique_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents of which each component's smallest id is kept, with all their columns."""
-    gone = cluster(docs, size, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    """One row of each component and all rows with an empty set, with all their columns."""
+    known = _clustered(docs, size, percent).filter("node is not null").groupBy(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__of")).agg(
+        F.max("kept").alias("__kept"), F.count("*").alias("__rows"))
+    known = stored(known.filter("not __kept or __rows > 1"), "not-single")
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(F.col("__id")) & (keyed["__key"] == F.col("__of"))
+    # Of rows equal in id and text one stays; such groups leave a task as one row.
+    repeated = keyed.join(known.filter("__kept"), same, "left_semi").dropDuplicates(["doc_id", "__key"])
+    return keyed.join(known, same, "left_anti").unionByName(repeated).select(*docs.columns)

@@ -190,6 +190,20 @@ def test_unique_documents(odd):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {k for k, v in brute.near_components(ROWS).items() if v[2]}
 
 
+def test_rows_are_removed_by_id_and_text(spark):
+    """Null ids, ids with two texts and repeated rows: one row of each component stays."""
+    make = random.Random(31)
+    a, b, c, d, e = (sentence(60, make) for _ in range(5))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (None, c + " more"), (2, a), (2, d), (3, e), (3, e), (None, None)]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, place int").repartition(3)
+    left = [(r.doc_id, r.text) for r in near_duplicates.unique_documents(docs).collect()]
+    assert len([t for _, t in left if t in (c, c + " more")]) == 1
+    assert sorted((str(k), t or "") for k, t in left if t not in (c, c + " more")) == sorted(
+        (str(k), t or "") for k, t in [(1, a), (None, b), (2, d), (3, e), (None, None)])
+    marked = near_duplicates.cluster(docs).filter("doc_id is null and kept")
+    assert marked.count() == 3
+
+
 # -- packing --------------------------------------------------------------------
 
 def check_packing(rows, texts, length=packing.LENGTH):
