@@ -88,7 +88,8 @@ def rules() -> list[tuple]:
     for grant, sure in GRANTS:
         for label, signature in SIGNATURES:
             out += [(label, key, _gate(signature), grant + signature, sure, False) for key in _keys(signature)]
-    return [(n, label, key, gate, f"^((?:.* )??)({body})(?: .*)?$", sure, base)
+    # U+0085, U+2028 and U+2029 are parts of words; `.` without (?s), and `$`, take them for line ends.
+    return [(n, label, key, gate, rf"(?s)^((?:.* )??)({body})(?: .*)?\z", sure, base)
             for n, (label, key, gate, body, sure, base) in enumerate(out)]
 
 

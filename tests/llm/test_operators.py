@@ -386,6 +386,16 @@ def test_license_base(given, odd, none, nameless):
     assert licenses.report(none).count() == 0 and licenses.report(nameless).count() == 3
 
 
+def test_line_marks_beyond_ascii_are_word_characters(spark):
+    rows = []
+    for k, mark in enumerate("\u0085\u2028\u2029"):
+        rows += [(4 * k, f"the end.{mark}Released under the MIT license"), (4 * k + 1, f"x{mark}y one two. Under the MIT license"),
+                 (4 * k + 2, f"under the mit license and{mark}so on, cc by nc{mark}"), (4 * k + 3, f"under{mark}the mit license")]
+    found, _ = by_id(licenses.report(spark.createDataFrame(rows, "doc_id long, text string")),
+                     "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert found == brute.license_base(rows) and found[0][1] == 1
+
+
 def test_license_labels(spark):
     rows = [(1, "This work is licensed under the GNU General Public License, version 3."), (2, "SPDX-License-Identifier: BSD-3-Clause"),
             (3, "Licensed under the GNU Lesser General Public License version 2.1"), (4, "Use the license you like."),
