@@ -8,8 +8,8 @@ the term and t with the smallest value. Two sets agree in a place with a probabi
 their generalised Jaccard similarity. As (term, t) fixes the value, 16 bits of a hash of the
 smallest value stand for it, so a fingerprint is ``SAMPLES`` groups of four hex digits.
 
-Terms are taken by their hash modulo ``SLOTS``, whose values for weight 1 are drawn once per Python
-worker; shingles that share a slot add their weights. A text of one word has that as
+A term is the 64-bit hash of its shingle. Each Python worker keeps the values at weight 1 of up to
+``SLOTS`` terms it met more than once; others are drawn anew. A text of one word has that as
 its term. Texts without words (null and empty ones too) have the fingerprint "" and are alike
 only to each other.
 """
@@ -29,21 +29,32 @@ from tallybrook.llm.base import partitions, ship_package, stored
 from tallybrook.llm.tokens import groups, mixed, shingle_hashes, word_hashes
 
 SAMPLES, WORDS = 64, 2
-SLOTS = 1 << 17
+SLOTS, STEP = 1 << 17, 1 << 9
 
 
-def _uniform(terms: np.ndarray, kind: int) -> np.ndarray:
-    """Numbers in (0, 1) by (term, place)."""
-    places = np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(kind)
-    bits = mixed(mixed(terms.astype(np.uint64) + np.uint64(1))[:, None] ^ mixed(places)[None, :])
-    return ((bits >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 24)
+# Two numbers of 32 bits each from a factor; five are needed a place.
+FACTORS = mixed(np.arange(1, 5 * SAMPLES // 2 + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+
+
+def _uniforms(terms: np.ndarray) -> np.ndarray:
+    """5 * SAMPLES numbers in (0, 1) of each term, from 24 bits each."""
+    bits = mixed(terms + np.uint64(1))[:, None] * FACTORS
+    bits ^= bits >> np.uint64(32)
+    bits *= np.uint64(0x9FB21C651E98DF25)
+    bits ^= bits >> np.uint64(29)
+    halves = bits.view(np.uint32)
+    halves >>= np.uint32(8)
+    out = halves.view(np.int32).astype(np.float32)
+    out += np.float32(0.5)
+    out *= np.float32(2.0 ** -24)
+    return out
 
 
 def _draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r, ln c, b by (term, place). The sum of two exponential draws is a Gamma(2, 1) draw."""
-    r = -np.log(_uniform(terms, 1) * _uniform(terms, 2))
-    log_c = np.log(-np.log(_uniform(terms, 3) * _uniform(terms, 4)))
-    return r, log_c, _uniform(terms, 5)
+    u = _uniforms(terms)
+    one, two, three, four, five = (u[:, k * SAMPLES:(k + 1) * SAMPLES] for k in range(5))
+    return -np.log(one * two), np.log(-np.log(three * four)), five
 
 
 def values(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -53,36 +64,66 @@ def values(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return log_c - r * (t - b + 1)
 
 
-@lru_cache(maxsize=1)
-def _single() -> np.ndarray:
-    """Values at weight 1 of all slots."""
-    out = np.empty((SLOTS, SAMPLES), np.float32)
-    for first in range(0, SLOTS, 4096):
-        terms = np.arange(first, first + 4096)
-        out[first:first + 4096] = values(terms, np.ones(4096))
+def _single(terms: np.ndarray) -> np.ndarray:
+    """Values at weight 1."""
+    out = np.empty((len(terms), SAMPLES), np.float32)
+    for a in range(0, len(terms), STEP):
+        r, log_c, b = _draws(terms[a:a + STEP])
+        out[a:a + STEP] = log_c - r * (np.float32(1) - b)
     return out
 
 
+class _Kept:
+    """Values at weight 1, of which those of terms met again are kept, one term a slot."""
+
+    def __init__(self):
+        self.terms, self.met = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64)
+        self.values = np.repeat(_single(np.zeros(1, np.uint64)), SLOTS, axis=0)
+
+    def of(self, terms: np.ndarray) -> np.ndarray:
+        slots = (terms >> np.uint64(64 - 17)).astype(np.int64)
+        out = self.values[slots]
+        missed = np.flatnonzero(self.terms[slots] != terms)
+        if len(missed):
+            fresh, back, counts = np.unique(terms[missed], return_inverse=True, return_counts=True)
+            drawn = _single(fresh)
+            out[missed] = drawn[back]
+            # Sorted by term, so by slot: the first of the terms of a slot that is met again stays.
+            at = (fresh >> np.uint64(64 - 17)).astype(np.int64)
+            again = np.flatnonzero((counts > 1) | (self.met[at] == fresh))
+            slot, first = np.unique(at[again], return_index=True)
+            self.met[at] = fresh
+            self.terms[slot], self.values[slot] = fresh[again[first]], drawn[again[first]]
+        return out
+
+
+@lru_cache(maxsize=1)
+def _kept() -> _Kept:
+    return _Kept()
+
+
 def _weighted(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, weight), sorted by row, of the terms of some rows of bytes."""
+    """(row, term, weight), sorted by row, of the terms of some rows of bytes."""
     hashes, edges = shingle_hashes(*word_hashes(data, offsets), WORDS)
     rows = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    keys, counts = np.unique(rows * SLOTS + (hashes >> np.uint64(64 - 17)).astype(np.int64), return_counts=True)
-    return keys // SLOTS, keys % SLOTS, counts
+    for a, b in zip(edges.tolist(), edges[1:].tolist()):
+        hashes[a:b].sort()
+    fresh = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])])) if len(rows) else rows
+    return rows[fresh], hashes[fresh], np.diff(np.append(fresh, len(rows)))
 
 
 def sketches(texts: pa.Array) -> list[np.ndarray | None]:
     """The codes of each text; None without words."""
     out: list[np.ndarray | None] = [None] * len(texts)
     for first, data, offsets in groups(texts):
-        rows, slots, weights = _weighted(data, offsets)
+        rows, terms, weights = _weighted(data, offsets)
         # A bounded number of terms at a time; a long text takes several steps.
-        for a in range(0, len(rows), 1 << 16):
-            part = slice(a, a + (1 << 16))
-            held = _single()[slots[part]]
+        for a in range(0, len(rows), 1 << 14):
+            part = slice(a, a + (1 << 14))
+            held = _kept().of(terms[part])
             heavy = np.flatnonzero(weights[part] > 1)
             if len(heavy):
-                held[heavy] = values(slots[part][heavy], weights[part][heavy])
+                held[heavy] = values(terms[part][heavy], weights[part][heavy])
             starts = np.flatnonzero(np.diff(rows[part], prepend=-1))
             for row, least in zip(rows[part][starts].tolist(), np.minimum.reduceat(held, starts, axis=0)):
                 old = out[first + row]

@@ -376,6 +376,19 @@ def test_fingerprints_of_odd_rows(spark, odd, none, nameless):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_long_unrelated_texts_are_unlike():
+    """Terms are never merged; what is kept between texts does not change a fingerprint."""
+    import pyarrow as pa
+
+    long = [" ".join(f"{mark}{k}" for k in range(140_000)) for mark in "ab"]
+    one, other = fingerprints.sketches(pa.array(long))
+    assert fingerprints.likeness(one, other) < 0.05
+    texts = [sentence(300) for _ in range(20)] + ["aa bb " * 300]
+    first = [fingerprints._text(c) for c in fingerprints.sketches(pa.array(texts * 2))]
+    fingerprints._kept.cache_clear()
+    assert first == [fingerprints._text(fingerprints.sketches(pa.array([t]))[0]) for t in texts] * 2
+
+
 # -- licenses -------------------------------------------------------------------
 
 def test_license_base(given, odd, none, nameless):
