@@ -13,7 +13,7 @@ last bins to the cut, far below one in a thousand. Memory is bounded by the chun
 of chunks grows with the input.
 
 Token ids come from the vocabulary file given (a rank file); ``tests/llm`` hold them against
-the ``tokenizers`` file of the same vocabulary. Strings of special tokens are ordinary text.
+the ``tokenizers`` file of the same vocabulary, which finds the special token in texts as well.
 Null texts count as empty: a piece of the end mark only. Every row is packed, null and repeated
 ids included. Other columns are not read.
 """
@@ -23,7 +23,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from math import ceil
 
 import numpy as np
@@ -36,6 +36,7 @@ from tallybrook.llm.base import ship_package, stored
 LENGTH, END = 1024, 2
 CHUNK = 50_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
+SPECIAL = {"<|endoftext|>": 50256}
 
 
 @lru_cache(maxsize=2)
@@ -45,7 +46,7 @@ def encoder(vocabulary: str):
 
     with open(public_tokenizers.path(vocabulary), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def cuts(count: int, length: int) -> list[int]:
@@ -57,7 +58,7 @@ def cuts(count: int, length: int) -> list[int]:
 
 def _pieces(vocabulary: str, length: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_ordinary
+        encode = partial(encoder(vocabulary).encode, allowed_special=set(SPECIAL), disallowed_special=())
         for batch in batches:
             row, piece, start, size, crc, kept = [], [], [], [], [], []
             for k, text in enumerate(batch.column("text").to_pylist()):

@@ -255,6 +255,18 @@ def test_ids_equal_the_tokenizers_file(given):
     assert [encode(t) for t in texts] == [e.ids for e in other.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_special_tokens_are_found_as_by_default(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "a<|endoftext|>", "x <|endoftext| > <|pad|>", "it's  \n\n <|endoftext|>\n 'll"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, _ = by_id(packing.pieces(docs, with_ids=True), "ids")
+    assert [found[k][0][:-1] for k in range(len(texts))] == [e.ids for e in other.encode_batch(texts, add_special_tokens=False)]
+    assert found[0][0][:-1] == [64, 220, 50256, 275]
+
+
 def test_two_that_fit():
     make = random.Random(8)
     for _ in range(500):
