@@ -8,7 +8,8 @@ characters its kind may hold, and a kind's anchors inside an accepted or refused
 skipped, so a text is read a constant number of times.
 
 Kinds: ``email, ip, card, phone`` (the base) and the method's own ``url`` (scheme anchors) and
-``account`` (identifier cues followed by a token with a digit). Spans are in code points, end
+``account`` (identifier cues, filler words, and a token with a digit, a number in groups or an IBAN,
+which must have its country's length and check digits). Spans are in code points, end
 exclusive. Null texts count as empty and have no spans; every input row gives one output row,
 null ids and repeated rows included. Other columns are not read.
 """
@@ -39,6 +40,13 @@ DIAL = DIGITS | frozenset(" ().-")
 URL = ALNUM | frozenset("-._~:/?#[]@!$&'()*+,;=%")
 TOKEN = ALNUM | frozenset("_-")
 
+FILLERS = frozenset(("number", "numbers", "num", "no", "nr", "id", "is"))
+IBAN_LENGTHS = {country: int(n) for n, countries in (line.split(":") for line in """
+15:NO 16:BE 18:DK,FO,FK,FI,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA
+23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM
+28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU""".split())
+    for country in countries.split(",")}
+
 
 @cache
 def automaton():
@@ -116,10 +124,50 @@ def luhn(digits: str) -> bool:
     return sum(twice[int(d)] if i % 2 else int(d) for i, d in enumerate(reversed(digits))) % 10 == 0
 
 
+def iban_at(text: str, start: int) -> int | None:
+    """The end of an IBAN with single blanks or hyphens in it, if one starts here."""
+    length, at, held = IBAN_LENGTHS.get(text[start:start + 2].upper(), 0), start, []
+    while len(held) < length and at < len(text):
+        if text[at] in ALNUM:
+            held.append(text[at].upper())
+        elif text[at] not in " -" or not held or text[at - 1] not in ALNUM:
+            return None
+        at += 1
+    if not held or len(held) < length or (at < len(text) and (text[at].isalnum() or text[at] == "_")):
+        return None
+    if not (held[2] in DIGITS and held[3] in DIGITS):
+        return None
+    return at if int("".join(str(int(c, 36)) for c in held[4:] + held[:4])) % 97 == 1 else None
+
+
+def account_at(text: str, at: int, free: int, iban: bool) -> tuple[int, tuple[int, int] | None]:
+    """How far the text after a cue was read, and the identifier there."""
+    for _ in range(5):
+        start = at
+        while start < len(text) and start < at + 8 and text[start] in " :=#\"'._":
+            start += 1
+        if start == at or start < free:
+            return free, None
+        if (end := iban_at(text, start)) is not None:
+            return end, (start, end)
+        end = _run(text, start, TOKEN)
+        if text[start:min(end, start + 8)].lower() not in FILLERS or end - start > 7:
+            break
+        at = end
+    read = end
+    if iban or (end < len(text) and text[end].isalnum()):
+        return read, None
+    if end > start and text[start] in DIGITS:
+        chain, digits = _chain(text, start)
+        if chain > end and len(digits) >= 6 and (chain == len(text) or not (text[chain].isalnum() or text[chain] == "_")):
+            return chain, (start, chain)
+    return read, (start, end) if end - start >= 6 and any(c in DIGITS for c in text[start:end]) else None
+
+
 def spans_of(text: str) -> dict[str, list[tuple[int, int]]]:
     """The spans of every kind, each in order of start."""
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
-    email_free = phone_free = ip_free = card_free = url_free = 0
+    email_free = phone_free = ip_free = card_free = url_free = account_free = 0
     for last, (sort, width) in automaton().iter(text):
         at = last - width + 1
         if sort == "0":
@@ -151,14 +199,10 @@ def spans_of(text: str) -> dict[str, list[tuple[int, int]]]:
                 url_free = end
                 if end > last + 1:
                     found["url"].append((at, end))
-        elif at == 0 or text[at - 1] not in ALNUM:
-            start = last + 1
-            while start < len(text) and start < last + 9 and text[start] in " :=#\"'":
-                start += 1
-            end = _run(text, start, TOKEN)
-            if start > last + 1 and end - start >= 6 and any(c in DIGITS for c in text[start:end]):
-                if not found["account"] or found["account"][-1][1] <= start:
-                    found["account"].append((start, end))
+        elif at == 0 or not text[at - 1].isalnum():
+            account_free, span = account_at(text, last + 1, account_free, text[at:last + 1].lower() == "iban")
+            if span:
+                found["account"].append(span)
     return found
 
 

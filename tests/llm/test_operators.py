@@ -147,6 +147,21 @@ def test_anchor_parsers_equal_patterns():
         assert hashlib.sha256(joined.encode()).hexdigest() == brute.personal(text)[-1], text
 
 
+def test_accounts_in_their_usual_forms():
+    def accounts(text):
+        return [text[a:b] for a, b in privacy.spans_of(text)["account"]]
+
+    for text, want in (
+        ("account number: 12345678.", "12345678"), ("account no. 12345678", "12345678"), ("Account ID is 1234 5678 9012", "1234 5678 9012"),
+        ("IBAN: DE89 3704 0044 0532 0130 00 and more", "DE89 3704 0044 0532 0130 00"), ("iban nr GB82WEST12345698765432", "GB82WEST12345698765432"),
+        ("password: hunter22x", "hunter22x"), ("api_key=ab12cd34", "ab12cd34"), ("account token 12345678", "12345678"),
+        ("IBAN: NL91 ABNA 0417 1643 00", "NL91 ABNA 0417 1643 00"),
+    ):
+        assert accounts(text) == [want], text
+    for text in ("IBAN: DE89 3704 0044 0532 0130 01", "IBAN DE89370400440532013000X", "account number of things", "accountant 12345678", "account number", "iban"):
+        assert accounts(text) == [], text
+
+
 def test_redaction(odd):
     rows, _ = by_id(privacy.redacted(odd), "text", "source")
     assert rows[2] == (None, "x") and rows[1] == (BASE_TEXT, "x")
