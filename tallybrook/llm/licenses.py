@@ -59,6 +59,34 @@ SIGNATURES = (
         ("-nc", " non ?commercial"), ("-sa", " share ?alike"), ("-nd", " no ?deriv(?:ative)?s?"), ("", ""))),
     ("proprietary", "all rights @reserved"), ("proprietary", "proprietary and @confidential"),
 )
+# Grant, condition and warranty sentences of texts that need not name their license.
+WORDINGS = (
+    ("mit", "free of charge to any person @obtaining a copy of this software"),
+    ("mit", "above copyright notice and this permission notice shall be @included in all copies or substantial portions"),
+    ("mit", "software is provided as is without warranty of any kind @express or implied"),
+    ("ofl", "free of charge to any person @obtaining a copy of the font software"),
+    ("bsl", "any person or organization @obtaining a copy of the software and accompanying documentation"),
+    ("isc", "permission to use copy modify (?:and )?(?:or )?@distribute this software for any purpose with or without fee"),
+    ("bsd-4", "all @advertising materials mentioning features or use of this software"),
+    ("bsd-3", "be used to @endorse or promote products derived from this software"),
+    ("bsd", "redistribution and use in source and @binary forms with or without modification are permitted"),
+    ("bsd", "redistributions of source code must @retain the above copyright notice"),
+    ("bsd", "redistributions in binary form must @reproduce the above copyright notice"),
+    ("bsd", "provided by the copyright holders and @contributors as is and any express or implied warranties"),
+    ("zlib", "software is provided as is without any express or implied @warranty"),
+    ("zlib", "origin of this software must not be @misrepresented"),
+    ("zlib", "altered source versions must be plainly @marked as such"),
+    ("apache-2", "may not use this file except in @compliance with the license"),
+    ("apache-2", "on an as is basis without warranties or @conditions of any kind"),
+    ("agpl", "redistribute it and or @modify it under the terms of the gnu affero general"),
+    ("lgpl", "redistribute it and or @modify it under the terms of the gnu (?:lesser|library) general"),
+    ("gpl", "redistribute it and or @modify it under the terms of the gnu general public"),
+    ("lgpl", "library is distributed in the hope that it will be @useful but without any warranty"),
+    ("gpl", "program is distributed in the hope that it will be @useful but without any warranty"),
+    ("mpl", "source code form is @subject to the terms of the mozilla public"),
+    ("unlicense", "free and unencumbered software @released into the public domain"),
+    ("cc0", "waived all copyright and related or @neighboring rights"),
+)
 # What may stand before a signature, and how sure that makes the rule.
 GRANTS = (
     ("(?:licensed|released|distributed|published|provided|available) under (?:the )?(?:terms of (?:the )?)?", 1.0),
@@ -88,6 +116,7 @@ def rules() -> list[tuple]:
     for grant, sure in GRANTS:
         for label, signature in SIGNATURES:
             out += [(label, key, _gate(signature), grant + signature, sure, False) for key in _keys(signature)]
+    out += [(label, _keys(s)[0], _gate(s), s, 0.8, False) for label, s in WORDINGS]
     # U+0085, U+2028 and U+2029 are parts of words; `.` without (?s), and `$`, take them for line ends.
     return [(n, label, key, gate, rf"(?s)^((?:.* )??)({body})(?: .*)?\z", sure, base)
             for n, (label, key, gate, body, sure, base) in enumerate(out)]

@@ -444,6 +444,21 @@ def test_license_labels(spark):
     assert found == {1: ("gpl-3", 1.0), 2: ("bsd-3", 1.0), 3: ("lgpl-2.1", 1.0), 4: ("", 0.0), 5: ("apache-2,mpl-2", 1.0)}
 
 
+def test_license_wording_without_a_name(spark):
+    rows = [
+        (1, "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"),
+        (2, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+        (3, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated files"),
+        (4, "Neither the name of X may be used to endorse or promote products derived from this software without"),
+        (5, "You may not use this file except in compliance with the License."), (6, "Redistribution and use of this, free of charge."),
+    ]
+    found, _ = by_id(licenses.report(spark.createDataFrame(rows, "doc_id long, text string")), "labels")
+    assert found == {1: ("bsd",), 2: ("isc",), 3: ("mit",), 4: ("bsd-3",), 5: ("apache-2",), 6: ("",)}
+    for label, signature in licenses.WORDINGS:
+        before, after = signature.replace("(?:and )?(?:or )?", "and or ").split("@")
+        assert len(before.split()) <= licenses.BEFORE and len(after.split()) <= licenses.AFTER, (label, signature)
+
+
 def test_contained_detections_are_suppressed(spark):
     df = spark.createDataFrame([(1, "under the terms of the GNU General Public License version 2")], "doc_id long, text string")
     rows = licenses.outermost(licenses.detections(df)).filter("priority >= 0").collect()
