@@ -52,6 +52,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+HOT_SHARE = 1024
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """
+    ``rows`` with the columns of ``facts``, which has one row per ``key``; a left join in which
+    null keys meet. ``rows`` should be a written table, as it is read three times.
+
+    Keys with more than one in ``HOT_SHARE`` of all rows, of which there are fewer than
+    ``HOT_SHARE`` at any size of the input, get their facts by broadcast; the others by a shuffle, in
+    which no key is large.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    hot = stored(counts.filter(F.col("n") * HOT_SHARE > rows.count()).select(F.col(key).alias("hot_key")), "hot-keys")
+    other = [c for c in facts.columns if c != key]
+    facts = facts.withColumnRenamed(key, "fact_key")
+
+    def hot_rows(df: DataFrame, name: str, how: str) -> DataFrame:
+        return df.join(F.broadcast(hot), df[name].eqNullSafe(hot["hot_key"]), how)
+
+    few, many = hot_rows(rows, key, "left_semi"), hot_rows(rows, key, "left_anti")
+    own = F.broadcast(hot_rows(facts, "fact_key", "left_semi"))
+    joined = few.join(own, F.col(key).eqNullSafe(F.col("fact_key")), "left").unionByName(
+        many.join(facts, F.col(key).eqNullSafe(F.col("fact_key")), "left"))
+    return joined.select(*rows.columns, *other)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import decontaminate, fingerprints, language, licenses, near_duplicates, packing, privacy, quality, repeats, sharding
+from tallybrook.llm import (
+    decontaminate, filter_audit, fingerprints, language, licenses, near_duplicates, nearest, packing, privacy, quality, repeats, sharding,
+    vector_codes,
+)
 from tallybrook.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +68,18 @@ def op9_language(spark, folder):
 @query
 def op10_suffix_array(spark, folder):
     return repeats.report(table(spark, folder, "documents"))
+
+
+@query
+def op11_filter_audit(spark, folder):
+    return filter_audit.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op12_kd_top_k(spark, folder):
+    return nearest.top_k(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_dual_tree_codes(spark, folder):
+    return vector_codes.report(table(spark, folder, "embeddings"))
