@@ -2,7 +2,9 @@
 
 import hashlib
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import permutations
+from math import floor, isfinite
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ASCII = str.maketrans(UP, LOW)
@@ -135,3 +137,87 @@ def jaccard(one, other):
         bags.append(Counter(zip(ws, ws[1:])) if len(ws) > 1 else Counter(ws))
     a, b = bags
     return sum((a & b).values()) / max(1, sum((a | b).values()))
+
+
+def filter_audit(docs, labels):
+    """(part, order, step): the counts, by applying each order to all documents one filter after the other."""
+    good = {k for k, quality, _ in labels if quality == 1 and k is not None}
+    toxic = {k for k, _, bad in labels if bad == 1 and k is not None}
+    first = {}
+    for doc, text, _ in docs:
+        if doc is not None:
+            first[text or ""] = min(doc, first.get(text or "", doc))
+    parts = defaultdict(list)
+    for doc, text, part in docs:
+        t = text or ""
+        ws = SPACED.findall(t)
+        fails = {name for name, failed in (
+            ("A", len(ws) < 50), ("B", 100 * len(set(ws)) < 65 * len(ws)), ("C", 100 * sum(c in UP for c in t) > 5 * len(t)),
+            ("D", any(c in "#$%&*|" for c in t)), ("E", doc is not None and first[t] < doc)) if failed}
+        parts[part or ""].append((fails, doc in good, doc in toxic))
+    out = {}
+    for part, rows in parts.items():
+        shares = Counter()
+        for order in permutations("ABCDE"):
+            left = rows
+            for step, f in enumerate(order, 1):
+                gone, kept = [r for r in left if f in r[0]], [r for r in left if f not in r[0]]
+                failing = [r for r in rows if f in r[0]]
+                shares[f] += len(gone)
+                out[part, "".join(order), step] = [len(kept), len(gone), len(failing) - len(gone), sum(r[0] == {f} for r in rows),
+                                                   sum(r[1] for r in gone), sum(r[2] for r in gone), f]
+                left = kept
+        for key, row in out.items():
+            if key[0] == part:
+                row[-1] = shares[row[-1]]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def whole(vector):
+    """The vector as whole numbers, None where it takes no part."""
+    if vector is None or any(x is None or not isfinite(x) for x in vector):
+        return None
+    return tuple(floor(1024 * x) for x in vector)
+
+
+def top_k(rows, k=10, every=100):
+    """Sorted (query_id, rank, vec_id, score), by comparing each query with each other row."""
+    held = [(i, v) for i, x in rows if (v := whole(x)) is not None]
+    out = []
+    for n, (query, q) in enumerate(held):
+        if query is None or query % every:
+            continue
+        found = sorted((-sum(a * b for a, b in zip(q, v)), i is None, i) for m, (i, v) in enumerate(held)
+                       if m != n and len(v) == len(q))
+        out += [(query, rank, i, -score) for rank, (score, _, i) in enumerate(found[:k], 1)]
+    return sorted(out, key=lambda r: (r[0], r[1], r[2] is None, r[2], r[3]))
+
+
+def vector_codes(rows, entries=256, rounds=4):
+    """[(vec_id, code, error, label_error)], digest: Lloyd's rounds by comparing each part with each entry."""
+    held = [(i, v, label) for i, x, label in rows if (v := whole(x)) is not None]
+    if not held:
+        return []
+    width = len(held[0][1]) // 4
+    cut = lambda v, p: v[p * width:(p + 1) * width]
+    first = sorted(held, key=lambda r: (r[0] is None, r[0], r[1]))[:entries]
+    books = [[list(cut(v, p)) for _, v, _ in first] for p in range(4)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, entry)), k) for k, entry in enumerate(book))
+
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            met = defaultdict(list)
+            for _, v, _ in held:
+                met[nearest(cut(v, p), book)[1]].append(cut(v, p))
+            for k, own in met.items():
+                book[k] = [sum(x) // len(own) for x in zip(*own)]
+    out, totals = [], Counter()
+    for i, v, label in held:
+        found = [nearest(cut(v, p), book) for p, book in enumerate(books)]
+        error = sum(d for d, _ in found)
+        totals[label] += error
+        out.append((i, "".join(f"{k:02x}" for _, k in found), error, label))
+    digest = hashlib.sha256(",".join(str(x) for book in books for entry in book for x in entry).encode()).hexdigest()
+    return [(i, code, error, totals[label], digest) for i, code, error, label in out]
