@@ -199,7 +199,7 @@ def _sums(codebooks: list[np.ndarray]):
 
 def _codes(codebooks: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = [EntryTree(c) for c in codebooks]
+        trees = [EntryTree(c) for c in codebooks if len(c)]
         for batch in batches:
             codes: dict[int, np.ndarray] = {}
             errors: dict[int, np.ndarray] = {}
