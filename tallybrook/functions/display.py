@@ -23,6 +23,28 @@ def per_minute(count: Column, bucket_seconds: int) -> Column:
     return count / F.lit(bucket_seconds / 60)
 
 
+def shown(value: Column, places: int) -> Column:
+    """
+    A figure of 0 or more rounded to 1 or 2 places as it is displayed: the number of tenths or hundredths that is
+    nearest to the double's exact value, and of two equally near ones the larger. ``round`` looks at the
+    shortest decimal of a double instead, which can lie on the other side of a tie.
+    """
+    # Twice the scaled value, exactly: a sum of products with powers of two, with the errors of its additions.
+    parts = {1: (16.0, 4.0), 2: (128.0, 64.0, 8.0)}[places]
+    value = value.cast("double")
+    total, error = value * parts[0], F.lit(0.0)
+    for factor in parts[1:]:
+        other = value * factor
+        added = total + other
+        kept = added - total
+        error = error + ((total - (added - kept)) + (other - kept))
+        total = added
+    # Just below the middle between two, though the sum was rounded up to it.
+    below = (total == F.floor(total)) & (F.pmod(total, F.lit(2.0)) == 1) & (error < 0)
+    nearest = F.floor((total + 1) / 2) - F.when(below, 1).otherwise(0)
+    return nearest / F.lit(10.0**places)
+
+
 def share_percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part * F.lit(100.0) / whole)
 

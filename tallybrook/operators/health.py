@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import AsOf, as_of_column, bucket_start, epoch_seconds
@@ -84,13 +84,6 @@ def reconcile_hot_cold(windows: DataFrame, minute: DataFrame, size: int) -> Data
     )
 
 
-def emit_delay(emitted: DataFrame, size: int) -> DataFrame:
-    """Seconds between the end of a window and the moment it was written (``written_at``, epoch)."""
-    return emitted.withColumn(
-        "delay_seconds", (F.col("written_at") - (F.col("window_start") + F.lit(size))).cast("double")
-    )
-
-
 def slice_delays(slices: DataFrame) -> DataFrame:
     """Emit delay of written slices, from the time of writing that they carry."""
     written = F.unix_micros("written_at") / F.lit(1_000_000.0)
@@ -108,4 +101,6 @@ def consumer_lag(latest: DataFrame, committed: DataFrame) -> DataFrame:
         *keys,
         (F.col("end_offset") - F.coalesce("committed", F.lit(0))).alias("lag"),
     )
-    return lag.withColumn("total_lag", F.sum("lag").over(Window.partitionBy(F.lit(1))))
+    # A row per topic partition.
+    total = lag.agg(F.sum("lag").alias("total_lag"), F.collect_list(F.struct(*keys, "lag")).alias("rows"))
+    return total.select(F.explode("rows").alias("r"), "total_lag").select("r.*", "total_lag")

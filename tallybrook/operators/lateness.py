@@ -1,19 +1,16 @@
 """
-Per-partition watermarks, late events and the order in which windows are emitted.
+Per-partition watermarks, late events, closed and gap-free windows.
 
-Input rows carry ``kafka_partition``, ``kafka_offset`` and an event clock; a *poll* is
-one batch of rows read together, after which closed windows are flushed. Everything
-about a poll is reduced to one row per (partition, poll) before anything is ordered, so
-the partition that holds most of the rows costs no more than the others.
+Input rows carry ``kafka_partition``, ``kafka_offset`` and an event clock.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import align_micros, epoch_micros
-from tallybrook.operators.ordered import offset_chunk, running_max
+from tallybrook.operators.ordered import offset_chunk, previous, running_max
 
 DAY = 86_400
 PARTITION = "kafka_partition"
@@ -70,162 +67,32 @@ def apply_origin(events: DataFrame, ts: Column, size: int) -> DataFrame:
     )
 
 
-# -- polls --------------------------------------------------------------------
-
-def routed_counts(
-    events: DataFrame, ts: Column, poll: Column, size: int, grace: float, polls_per_chunk: int = 10_000
-) -> DataFrame:
-    """
-    Events per (partition, poll, window) with what the partition had emitted ``before``
-    the poll, what it has emitted ``through`` its flush and in the end (``final``), and
-    whether the rows were ``late``: their window had gone out already.
-
-    The first row of a partition counts its preceding window as already emitted. A window
-    closes once the partition's watermark reaches its end plus grace. Polls are ordered
-    inside chunks of ``polls_per_chunk``, each chunk starting from the watermark the
-    chunks before it left, so the partition with most of the polls is not one task's.
-    """
-    rows = (
-        clocked(events, ts, size)
-        .withColumn("poll", poll)
-        .withColumn("_chunk", F.floor(F.col("poll") / polls_per_chunk))
-    )
-    chunk = [PARTITION, "_chunk"]
-    counts = rows.groupBy(*chunk, "poll", "window_start").agg(
-        F.count("*").alias("events"),
-        F.max("clock_us").alias("_us"),
-        F.min(OFFSET).alias("low"),
-        F.max(OFFSET).alias("high"),
-    )
-    heads = rows.groupBy(*chunk).agg(
-        F.max("clock_us").alias("_us"), F.min_by("window_start", OFFSET).alias("_first")
-    )
-    chunks = Window.partitionBy(PARTITION).orderBy("_chunk")
-    heads = heads.select(
-        *chunk,
-        (F.first("_first").over(chunks) - F.lit(size)).alias("_origin"),
-        F.max("_us").over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
-        F.max("_us").over(Window.partitionBy(PARTITION)).alias("_last"),
-    )
-    by_poll = Window.partitionBy(*chunk).orderBy("poll")
-    by_row = Window.partitionBy(*chunk).orderBy("poll", "low")
-
-    def marked(end: int) -> Column:
-        seen = F.max("_us").over(by_poll.rangeBetween(Window.unboundedPreceding, end))
-        return F.greatest(seen, F.col("_carried"))
-
-    def reach(mark: Column) -> Column:
-        newest = align_micros(mark - F.lit(int(grace * 1_000_000)), size) - F.lit(size)
-        return F.greatest(F.col("_origin"), newest)
-
-    return (
-        counts.join(heads, chunk)
-        .withColumns({
-            "first_of_poll": F.coalesce(F.lag("poll").over(by_row) != F.col("poll"), F.lit(True)),
-            "watermark_us": marked(0),
-            "_earlier": marked(-1),
-        })
-        .withColumns({
-            "before": F.when(F.col("_earlier").isNull(), F.col("_origin")).otherwise(reach(F.col("_earlier"))),
-            "through": reach(F.col("watermark_us")),
-            "final": reach(F.col("_last")),
-        })
-        .withColumn("late", F.col("window_start") <= F.col("before"))
-        .drop("_chunk", "_us", "_origin", "_carried", "_earlier", "_last")
-    )
-
-
-def window_fates(
-    events: DataFrame, ts: Column, poll: Column, size: int, grace: float, max_gap: int | None
-) -> DataFrame:
-    """
-    Per (partition, window): accepted and late events, the flush that emitted it, and its
-    status. Each poll fans out into its own counts and the windows its flush emits,
-    ``(before, through]`` cut to the newest ``max_gap``; the two meet in one aggregate.
-    """
-    routed = routed_counts(events, ts, poll, size, grace)
-    first = F.col("before") + F.lit(size)
-    if max_gap is not None:
-        first = F.greatest(first, F.col("through") - F.lit((max_gap - 1) * size))
-    none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
-    own = F.array(F.struct(
-        F.col("window_start"),
-        F.when(F.col("late"), zero).otherwise(F.col("events")).alias("events"),
-        F.when(F.col("late"), F.col("events")).otherwise(zero).alias("late_events"),
-        none.alias("emitted_by"),
-    ))
-    flushed = F.when(
-        F.col("first_of_poll") & (F.col("through") > F.col("before")),
-        F.transform(
-            F.sequence(first, F.col("through"), F.lit(size)),
-            lambda start: F.struct(
-                start.alias("window_start"), zero.alias("events"), zero.alias("late_events"),
-                F.col("poll").alias("emitted_by"),
-            ),
-        ),
-    )
-    fanned = F.when(flushed.isNull(), own).otherwise(F.concat(own, flushed))
-    status = (
-        F.when(F.col("emitted_by").isNotNull(), "emitted")
-        .when(F.col("window_start") <= F.col("final"), "dropped")
-        .otherwise("open")
-    )
-    return (
-        routed.select(PARTITION, "final", F.explode(fanned).alias("w"))
-        .groupBy(PARTITION, F.col("w.window_start").alias("window_start"))
-        .agg(
-            F.sum("w.events").alias("events"),
-            F.sum("w.late_events").alias("late_events"),
-            F.max("w.emitted_by").alias("emitted_by"),
-            F.max("final").alias("final"),
-        )
-        .withColumn("status", status)
-        .drop("final")
-    )
-
-
-def emitted_windows(
-    events: DataFrame, ts: Column, poll: Column, size: int, grace: float,
-    max_gap: int | None = None,
-) -> DataFrame:
+def disposition(events: DataFrame, ts: Column, size: int, grace: float, chunk: Column | None = None) -> DataFrame:
     """
-    The live path replayed in batch: one row per (partition, window) with its events and
-    what became of it: ``emitted`` (zero for a quiet window) or ``open`` at the end. Only with a
-    ``max_gap`` are windows ``dropped``: those pending longer than it allows.
+    Events per partition by what became of them: late (their window was closed by the rows before
+    them), closed (their window is closed by now) or open.
     """
-    fates = window_fates(events, ts, poll, size, grace, max_gap)
-    return fates.filter((F.col("events") > 0) | F.col("emitted_by").isNotNull()).select(
-        PARTITION, "window_start", "events", "emitted_by", "status"
-    )
-
-
-def disposition(
-    events: DataFrame, ts: Column, poll: Column, size: int, grace: float,
-    max_gap: int | None = None,
-) -> DataFrame:
-    """Events per partition by fate: late, emitted, dropped by the gap cap, still open."""
-    fates = window_fates(events, ts, poll, size, grace, max_gap)
-    return fates.groupBy(PARTITION).agg(
-        F.sum("late_events").alias("late_events"),
-        *[
-            F.sum(F.when(F.col("status") == s, F.col("events")).otherwise(0)).alias(f"{s}_events")
-            for s in ("emitted", "dropped", "open")
-        ],
-    )
+    rows = running_watermark(events, ts, chunk).withColumn("window_start", align_micros(F.col("clock_us"), size))
+    closes = (F.col("window_start") + F.lit(size)) * F.lit(1_000_000) + F.lit(int(grace * 1_000_000))
+    # One row per topic partition, a number the topic fixes.
+    marks = events.groupBy(PARTITION).agg(F.max(epoch_micros(ts)).alias("mark_us"))
+    late = F.coalesce(closes <= F.col("before_us"), F.lit(False))
+    rows = rows.join(F.broadcast(marks), PARTITION).withColumns({"late": late, "closed": ~late & (closes <= F.col("mark_us"))})
+    return rows.groupBy(PARTITION).agg(
+        F.count_if("late").alias("late_events"), F.count_if("closed").alias("closed_events"),
+        F.count_if(~F.col("late") & ~F.col("closed")).alias("open_events"))
 
 
-def released_offsets(events: DataFrame, ts: Column, poll: Column, size: int, grace: float) -> DataFrame:
+def restart_offsets(events: DataFrame, ts: Column, size: int, grace: float) -> DataFrame:
     """
-    Per partition, the next offset to read once its closed windows are durable
-    (``released``), and the lowest one that no open window still needs (``safe``).
-    With clocks out of order the first can pass rows of an open window.
+    Per partition, the lowest offset that a window still open needs (``safe``), beside the end of the
+    log. Reading from there on loses nothing; what closed windows have of it is counted twice unless it is dropped.
     """
-    on_time = routed_counts(events, ts, poll, size, grace).filter(~F.col("late"))
-    closed = F.col("window_start") <= F.col("final")
-    return on_time.groupBy(PARTITION).agg(
-        F.max(F.when(closed, F.col("high") + 1)).alias("released"),
-        F.coalesce(F.min(F.when(~closed, F.col("low"))), F.max("high") + 1).alias("safe"),
-    )
+    marks = events.groupBy(PARTITION).agg(F.max(epoch_micros(ts)).alias("mark_us"), (F.max(OFFSET) + 1).alias("end_offset"))
+    closes = (align_micros(epoch_micros(ts), size) + F.lit(size)) * F.lit(1_000_000) + F.lit(int(grace * 1_000_000))
+    rows = events.select(PARTITION, OFFSET, closes.alias("closes")).join(F.broadcast(marks), PARTITION)
+    return rows.groupBy(PARTITION, "end_offset").agg(F.min(F.when(F.col("closes") > F.col("mark_us"), F.col(OFFSET))).alias("open")).select(
+        PARTITION, "end_offset", F.coalesce("open", "end_offset").alias("safe"))
 
 
 # -- closed and gap-free windows ----------------------------------------------
@@ -238,29 +105,51 @@ def closed_windows(counts: DataFrame, watermarks: DataFrame, size: int, grace: f
     return counts.join(F.broadcast(marks), PARTITION).filter(closes <= F.col("_us")).drop("_us")
 
 
-def densify(counts: DataFrame, size: int, keys: tuple[str, ...] = (PARTITION,), measures: tuple[str, ...] = ("events",)) -> DataFrame:
+def window_grid(spans: DataFrame, size: int, keys: tuple[str, ...] = (PARTITION,)) -> DataFrame:
     """
-    Fill the windows between each key's first and last with zeros. The grid grows with
-    the time covered, not with the events.
+    Every window of each row of ``spans(*keys, first, last)``, both ends included. The grid grows with the time
+    covered, not with the events, and is made day by day.
     """
     day = F.lit(DAY)
-    spans = counts.groupBy(*keys).agg(
-        F.min("window_start").alias("_from"), F.max("window_start").alias("_to")
-    )
     # A row per key and day, dealt anew, before any window of a day is made.
     days = spans.withColumn("_day", F.explode(F.sequence(
-        F.floor(F.col("_from") / day), F.floor(F.col("_to") / day)))).repartition(*keys, "_day")
-    first = F.greatest(F.col("_from"), F.col("_from") + F.ceil((F.col("_day") * day - F.col("_from")) / size) * size)
-    last = F.least(F.col("_to"), (F.col("_day") + 1) * day - 1)
-    grid = days.withColumn("_first", first).filter(F.col("_first") <= last).select(
+        F.floor(F.col("first") / day), F.floor(F.col("last") / day)))).repartition(*keys, "_day")
+    first = F.greatest(F.col("first"), F.col("first") + F.ceil((F.col("_day") * day - F.col("first")) / size) * size)
+    last = F.least(F.col("last"), (F.col("_day") + 1) * day - 1)
+    return days.withColumn("_first", first).filter(F.col("_first") <= last).select(
         *keys, F.explode(F.sequence(F.col("_first"), last, F.lit(size).cast("long"))).alias("window_start")
     )
-    filled = grid.join(counts, [*keys, "window_start"], "left")
+
+
+def densify(counts: DataFrame, size: int, keys: tuple[str, ...] = (PARTITION,), measures: tuple[str, ...] = ("events",)) -> DataFrame:
+    """Fill the windows between each key's first and last with zeros."""
+    spans = counts.groupBy(*keys).agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
+    filled = window_grid(spans, size, keys).join(counts, [*keys, "window_start"], "left")
     return filled.select(
         *keys, "window_start", *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures]
     )
 
 
+def fill_gaps(counts: DataFrame, size: int, max_gap: int | None = None, measures: tuple[str, ...] = ("events",)) -> DataFrame:
+    """
+    Each partition's windows with the empty ones between them as zeros, for a reader that follows them
+    one by one. Of a gap of more than ``max_gap`` windows only the newest so many are
+    filled in; ``skipped`` of the window after a gap says how many are not.
+
+    Windows are ordered in chunks of a day, each with the newest window before it.
+    """
+    before = previous(counts, [PARTITION], "window_start", "window_start", F.floor(F.col("window_start") / DAY), name="_before")
+    gap = F.coalesce(F.floor((F.col("window_start") - F.col("_before")) / size) - 1, F.lit(0))
+    filled = gap if max_gap is None else F.least(gap, F.lit(max_gap).cast("long"))
+    own = F.struct("window_start", *measures, (gap - filled).alias("skipped"))
+    zeros = F.transform(
+        F.sequence(F.col("window_start") - filled * size, F.col("window_start") - size, F.lit(size).cast("long")),
+        lambda start: F.struct(start.alias("window_start"), *[F.lit(0).cast("long").alias(m) for m in measures],
+                               F.lit(0).cast("long").alias("skipped")))
+    every = F.when(filled > 0, F.concat(zeros, F.array(own))).otherwise(F.array(own))
+    return before.select(PARTITION, F.explode(every).alias("w")).select(PARTITION, "w.*")
+
+
 def watermark_lag(watermarks: DataFrame, as_of_epoch: int) -> DataFrame:
     """Seconds each partition's watermark is behind ``as_of``."""
     lag = (F.lit(as_of_epoch * 1_000_000) - epoch_micros(F.col("watermark"))) / F.lit(1_000_000.0)

@@ -59,5 +59,19 @@ def previous(
     return rows.withColumn(name, before).drop("_carry", _CHUNK)
 
 
+def running_sum(
+    df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str], chunk: Column
+) -> DataFrame:
+    """Replace each of ``values`` by its sum up to each row of its series."""
+    rows = _carried(
+        df, keys, chunk, F.struct(*[F.sum(v).alias(v) for v in values]),
+        lambda over: F.struct(*[
+            F.coalesce(F.sum(f"_summary.{v}").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(v)
+            for v in values]),
+    )
+    inside = Window.partitionBy(*keys, _CHUNK).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumns({v: F.sum(v).over(inside) + F.col(f"_carry.{v}") for v in values}).drop("_carry", _CHUNK)
+
+
 def offset_chunk(offset: str = "kafka_offset", size: int = 100_000) -> Column:
     return F.floor(F.col(offset) / size)

@@ -1,15 +1,14 @@
-"""Counters, gauges, histograms and alerts over a table of metric samples."""
+"""Counters, gauges and histograms over a table of metric samples."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.clock import epoch_seconds, window_start
-from tallybrook.operators.ordered import previous, running_max
+from tallybrook.operators.ordered import previous
 
 DAY = 86_400
 
@@ -106,94 +105,26 @@ def observe(values: DataFrame, value: str, bounds: Sequence[float], keys: Sequen
     return wide.select(*names, buckets.alias("_b")).select(*names, "_b.le", "_b.cumulative")
 
 
-def histogram_quantile(buckets: DataFrame, q: float, keys: Sequence[str] = (), name: str = "quantile") -> DataFrame:
+def bucket_quantile(buckets: Column, q: Column | float) -> Column:
     """
-    Quantile of a cumulative histogram, linear inside the bucket that holds the rank. A
-    rank beyond the last finite bound gives that bound; an empty histogram gives null.
-    Each key has one row per bound, so the ordering below is over a dozen rows.
+    Quantile of a cumulative histogram, an array of (le, cumulative) in order, linear inside the bucket
+    that holds the rank. A rank beyond the last finite bound gives that bound; an empty
+    histogram gives null.
     """
-    groups = list(keys) or [F.lit(0)]
-    by_bound = Window.partitionBy(*groups).orderBy("le")
-    whole = Window.partitionBy(*groups)
-    rows = (
-        buckets.withColumn("_low", F.lag("le", 1, 0.0).over(by_bound))
-        .withColumn("_below", F.lag("cumulative", 1, 0).over(by_bound))
-        .withColumn("_total", F.max("cumulative").over(whole))
-    )
-    rank = F.lit(float(q)) * F.col("_total")
-    inside = F.col("_low") + (F.col("le") - F.col("_low")) * (rank - F.col("_below")) / (
-        F.col("cumulative") - F.col("_below")
-    )
-    value = F.when(F.col("le") == F.lit(float("inf")), F.col("_low")).otherwise(inside)
-    holds = (F.col("cumulative") >= rank) & (F.col("_total") > 0)
-    return rows.groupBy(*keys).agg(
-        F.min_by(F.when(holds, value), F.when(holds, F.col("le"))).alias(name)
-    )
-
-
-# -- alerts -------------------------------------------------------------------
-
-@dataclass(frozen=True)
-class AlertRule:
-    """``value <comparison> threshold`` held for ``for_seconds``; ``absent`` fires on no data too."""
-
-    alert: str
-    comparison: str
-    threshold: float
-    for_seconds: int
-    severity: str
-    absent: bool = False
+    rank = q * F.element_at(buckets, -1)["cumulative"]
+    start = F.struct(F.lit(0.0).alias("low"), F.lit(0.0).alias("below"), F.lit(None).cast("double").alias("found"))
 
+    def step(so_far: Column, bucket: Column) -> Column:
+        held, le = bucket["cumulative"].cast("double"), bucket["le"]
+        inside = so_far["low"] + (le - so_far["low"]) * (rank - so_far["below"]) / (held - so_far["below"])
+        here = F.when((le == float("inf")) | (held == so_far["below"]), so_far["low"]).otherwise(inside)
+        return F.struct(le.alias("low"), held.alias("below"), F.coalesce(
+            so_far["found"], F.when((held >= rank) & (held > 0), here)).alias("found"))
 
-# The rules of the pipeline, each over the series of the same name.
-ALERT_RULES = (
-    AlertRule("TargetDown", "==", 0, 60, "critical"),
-    AlertRule("PipelineStalled", "==", 0, 120, "critical", absent=True),
-    AlertRule("NoEventsProduced", "==", 0, 120, "critical", absent=True),
-    AlertRule("ConsumerLagHigh", ">", 2000, 120, "warning"),
-    AlertRule("FreshnessSLOBreached", ">", 2.5, 300, "warning"),
-    AlertRule("ProduceErrors", ">", 0, 0, "critical"),
-    AlertRule("SinkErrors", ">", 0, 0, "warning"),
-    AlertRule("EventsDropped", ">", 1, 600, "warning"),
-)
+    return F.aggregate(buckets, start, step, lambda end: end["found"])
 
 
-def evaluation_grid(spark: SparkSession, start: int, end: int, step: int, rules: Sequence[AlertRule]) -> DataFrame:
-    """Every evaluation of every rule: rules are few and fixed, steps are made in parallel."""
-    names = F.explode(F.array(*[F.lit(r.alert) for r in rules]))
-    return spark.range(start, end + 1, step).select(F.col("id").alias("t"), names.alias("alert"))
-
-
-def _condition(rules: Sequence[AlertRule]) -> Column:
-    breach = F.lit(False)
-    for rule in rules:
-        value, limit = F.col("value"), F.lit(float(rule.threshold))
-        test = {"==": value == limit, ">": value > limit, "<": value < limit}[rule.comparison]
-        test = F.coalesce(test, F.lit(rule.absent))
-        breach = F.when(F.col("alert") == rule.alert, test).otherwise(breach)
-    return breach
-
-
-def alert_states(values: DataFrame, grid: DataFrame, step: int, rules: Sequence[AlertRule] = ALERT_RULES) -> DataFrame:
-    """
-    State of every rule at every evaluation: inactive, pending, or firing once its
-    condition has held for the rule's duration without a break. ``values`` has one row
-    per (alert, t); an evaluation without one sees no data, which is not zero.
-    """
-    rows = grid.join(values, ["alert", "t"], "left").withColumn("active", _condition(rules))
-    rows = running_max(
-        rows.withColumn("_quiet", F.when(~F.col("active"), F.col("t"))), ["alert"], "t", "_quiet",
-        F.floor(F.col("t") / DAY), name="_last_quiet")
-    # One row per rule.
-    starts = grid.groupBy("alert").agg(F.min("t").alias("_start"))
-    rows = rows.join(F.broadcast(starts), "alert")
-    since = F.coalesce(F.col("_last_quiet") + F.lit(step), F.col("_start"))
-    hold = F.lit(0)
-    for rule in rules:
-        hold = F.when(F.col("alert") == rule.alert, F.lit(rule.for_seconds)).otherwise(hold)
-    state = (
-        F.when(~F.col("active"), "inactive")
-        .when(F.col("t") - F.col("_since") >= hold, "firing")
-        .otherwise("pending")
-    )
-    return rows.withColumn("_since", since).select("alert", "t", "value", state.alias("state"))
+def histogram_quantile(buckets: DataFrame, q: float, keys: Sequence[str] = (), name: str = "quantile") -> DataFrame:
+    """``bucket_quantile`` per key of rows (le, cumulative); a key has one row per bound."""
+    held = F.sort_array(F.collect_list(F.struct("le", "cumulative")))
+    return buckets.groupBy(*keys).agg(held.alias("_buckets")).select(*keys, bucket_quantile(F.col("_buckets"), float(q)).alias(name))

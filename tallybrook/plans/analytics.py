@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallybrook.functions.clock import (
     AsOf, as_of_column, bucket_start, epoch_of, epoch_seconds, seconds_interval,
 )
+from tallybrook.functions import display
 from tallybrook.functions.display import per_minute, share_percent
 from tallybrook.functions.sketches import editors_estimate
 from tallybrook.operators.rollup import merge_rollups
@@ -185,14 +186,14 @@ def timeline_grid(points: DataFrame, range_: str, bucket: str, as_of) -> DataFra
     return grid.join(F.broadcast(shown), "t", "left").orderBy("t")
 
 
-def timeline_rates(points: DataFrame, bucket: str) -> DataFrame:
-    """Edits and bot edits per minute of each bucket, unrounded; a missing bucket stays null."""
+def timeline_rates(points: DataFrame, bucket: str, shown: bool = False) -> DataFrame:
+    """
+    Edits and bot edits per minute of each bucket; a missing bucket stays null. Unrounded, or with
+    ``shown`` to the one place that a chart displays.
+    """
     step = bucket_seconds(bucket)
-    return points.select(
-        "t",
-        per_minute(F.col("edits"), step).alias("edits_per_minute"),
-        per_minute(F.col("bot_edits"), step).alias("bot_edits_per_minute"),
-    )
+    rates = {"edits_per_minute": per_minute(F.col("edits"), step), "bot_edits_per_minute": per_minute(F.col("bot_edits"), step)}
+    return points.select("t", *[(display.shown(rate, 1) if shown else rate).alias(name) for name, rate in rates.items()])
 
 
 def range_tiles(points: DataFrame, wikis: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tallybrook.functions.clock import epoch_of, epoch_seconds, window_start
 from tallybrook.functions.display import console_line, status_band
 from tallybrook.functions.packing import counts_text
-from tallybrook.operators import health, lateness, series, windows
+from tallybrook.operators import health, lateness, rules, series, windows
+from tallybrook.operators.exact_editors import count_editors, editor_bitmaps, number_editors
 from tallybrook.operators.rollup import (
     distinct_editors, rollup_day, rollup_minute, rollup_read, with_estimates,
 )
@@ -19,9 +20,11 @@ from tallybrook.plans import analytics
 from tallybrook.session import shared_folder
 from tallybrook.settings import MAX_GAP_WINDOWS, RANGES
 from tallybrook.sources import messages as wire
+from tallybrook.schemas import SAMPLES
 from tallybrook.sources.event_log import load_edits, load_messages, redelivered
-from tallybrook.sources.tables import dedup, expired
-from tallybrook.streaming.live import read_slices, write_slices
+from tallybrook.sources.samples import path_samples
+from tallybrook.sources.tables import append_batch, dedup, expired, read_table
+from tallybrook.streaming.live import newest_slices, read_slices, write_slices
 from tallybrook.streaming.stored import StoredTables, store_batch
 
 AS_OF = "2024-01-31 00:00:00"
@@ -31,12 +34,13 @@ GRACE = 60
 POLL = 600
 DAY = 86_400
 SCRAPE = 300
-DELAY_BOUNDS = (60, 300, 600, 1200, 1800, 3600, 7200, 14400)
+DELAY_BOUNDS = (-240, -120, 0, 120, 240, 360, 480, 600)
+LATENESS_BOUNDS = (60, 180, 300, 420, 540, 660)
+COMMIT_EVERY = 5_000
 STEPS = ((None, "green"), (300, "yellow"), (600, "red"))
-RULES = (
-    series.AlertRule("NoEventsProduced", "==", 0, 1200, "critical", absent=True),
-    series.AlertRule("WatermarkLagHigh", ">", 600, 600, "warning"),
-)
+# The pipeline's rules are made for samples some seconds apart; here a scrape is as far apart as theirs, times 60.
+SLOWER = 60
+EVALUATE = 1_800
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +67,22 @@ def poll() -> Column:
     return F.floor(epoch_seconds(arrival()) / POLL)
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def written(spark: SparkSession, folder: str, name: str, write: Callable[[str], None]) -> str:
+    """
+    The folder of a table that queries read as stored, written once per session and input: what a
+    streaming path would have left there.
+    """
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _written:
+        path = f"{shared_folder(spark, 'queries')}/{name}-{uuid4().hex}"
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
 def recent_rollup(spark: SparkSession, folder: str, range_: str) -> DataFrame:
     """The minute rollup of the whole days a range touches; the bound prunes the raw scan too."""
     edits = load_edits(spark, folder)
@@ -193,6 +213,15 @@ def editors_distinct(spark, folder):
     return distinct_editors(load_edits(spark, folder), "wiki")
 
 
+@query
+def rollup_1d_exact(spark, folder):
+    """Editors per day and wiki, exact at any number, from bitmaps of numbered editors."""
+    edits = load_edits(spark, folder)
+    nobody = spark.createDataFrame([], "user string, number long")
+    days = editor_bitmaps(edits, number_editors(edits, nobody), F.to_date("ingested_at").alias("day"), "wiki")
+    return count_editors(days, ["day", "wiki"])
+
+
 # -- analytics ----------------------------------------------------------------
 
 def _timeline(spark, folder, range_, bucket):
@@ -231,6 +260,12 @@ def timeline_rates(spark, folder):
     return analytics.timeline_rates(analytics.timeline_grid(points, "7d", "1h", AS_OF), "1h")
 
 
+@query
+def timeline_rates_shown(spark, folder):
+    points = _timeline(spark, folder, "7d", "1h")
+    return analytics.timeline_rates(analytics.timeline_grid(points, "7d", "1h", AS_OF), "1h", shown=True)
+
+
 @query
 def top_wikis(spark, folder):
     return analytics.top_wikis(recent_rollup(spark, folder, "30d"), "30d", 10, AS_OF)
@@ -265,12 +300,28 @@ def history_tiles(spark, folder):
 # -- stored tables ------------------------------------------------------------
 
 def _stored(spark, folder) -> StoredTables:
-    """The tables as the stored path writes them, from all messages in two batches."""
-    tables = StoredTables(spark, f"{shared_folder(spark, 'queries')}/{uuid4().hex}")
-    judged = wire.judged(load_messages(spark, folder)).withColumn("seen_at", as_of())
-    for batch in (0, 1):
-        store_batch(judged.filter(F.col("offset") % 2 == batch), batch, tables)
-    return tables
+    """The tables as the stored path writes them: all messages, in one batch up to ``RESET_AT`` and one after it."""
+    def write(path: str) -> None:
+        messages, tables = load_messages(spark, folder), StoredTables(spark, path)
+        for batch, part in enumerate((F.col("timestamp") < F.lit(RESET_AT), F.col("timestamp") >= F.lit(RESET_AT))):
+            store_batch(wire.judged(messages.filter(part)).withColumn("seen_at", as_of()), batch, tables, exact_editors=True)
+
+    return StoredTables(spark, written(spark, folder, "stored", write))
+
+
+def _slices_folder(spark, folder, clock: str) -> str:
+    """Slices by ``clock`` as the live path leaves them, written when the last of their edits came in."""
+    def write(path: str) -> None:
+        edits = load_edits(spark, folder)
+        complete = edits.groupBy(window_start(F.col(clock), SIZE).alias("window_start"), F.col("kafka_partition").alias("partition")).agg(
+            F.max("ingested_at").cast("timestamp").alias("written_at"))
+        write_slices(windows.window_slices(edits, F.col(clock), SIZE).join(complete, ["window_start", "partition"]), path, 0)
+
+    return written(spark, folder, f"slices-{clock}", write)
+
+
+def _stored_slices(spark, folder, clock: str, since: str) -> DataFrame:
+    return read_slices(spark, _slices_folder(spark, folder, clock), since)
 
 
 @query
@@ -286,11 +337,26 @@ def stored_top_wikis(spark, folder):
 
 @query
 def stored_window_latest(spark, folder):
-    path = f"{shared_folder(spark, 'queries')}/{uuid4().hex}"
-    edits = load_edits(spark, folder)
-    write_slices(windows.window_slices(edits, arrival(), SIZE), path, 0)
-    newest = edits.agg(F.max(F.to_date("ingested_at"))).first()[0]
-    return _flat(windows.window_latest(read_slices(spark, path, str(newest))), "partitions").drop("top_editors")
+    newest = newest_slices(spark, _slices_folder(spark, folder, "ingested_at"), 1)
+    return _flat(windows.merge_slices(newest), "partitions").drop("top_editors")
+
+
+@query
+def stored_editors(spark, folder):
+    """Distinct editors of each wiki over the whole table, merged from the bitmaps of days and batches."""
+    return count_editors(_stored(spark, folder).day_editors(), ["wiki"])
+
+
+@query
+def stored_editors_7d(spark, folder):
+    days = analytics.since_day(_stored(spark, folder).day_editors(), "day_date", RANGES["7d"], AS_OF)
+    return count_editors(days, ["wiki"])
+
+
+@query
+def stored_batches(spark, folder):
+    return _stored(spark, folder).batches().select(
+        "batch_id", "kafka_partition", "low", "high", "messages", F.col("newest").cast("timestamp_ntz").alias("newest"))
 
 
 # -- windows ------------------------------------------------------------------
@@ -337,24 +403,21 @@ def window_latest(spark, folder):
 
 @query
 def window_history(spark, folder):
-    return windows.window_history(_slices(spark, folder), 60)
+    newest = newest_slices(spark, _slices_folder(spark, folder, "ingested_at"), 60)
+    return windows.window_history(newest, 60)
 
 
 @query
 def window_trim(spark, folder):
-    return windows.trim(_slices(spark, folder), 120).select("window_start", "partition", "total_edits")
+    newest = newest_slices(spark, _slices_folder(spark, folder, "ingested_at"), 120)
+    return newest.select("window_start", "partition", "total_edits")
 
 
 @query
 def window_ttl(spark, folder):
-    written = (
-        load_edits(spark, folder)
-        .groupBy(
-            window_start(arrival(), SIZE).alias("window_start"), F.col("kafka_partition").alias("partition")
-        )
-        .agg(F.count("*").alias("total"), F.max(epoch_seconds(payload())).alias("written_at"))
-    )
-    return windows.within_ttl(written, F.col("written_at"), epoch_of(AS_OF), DAY)
+    slices = _stored_slices(spark, folder, "event_time", "2024-01-01")
+    return windows.within_ttl(slices, epoch_seconds(F.col("written_at")), epoch_of(AS_OF), DAY).select(
+        "window_start", "partition", "total_edits", F.col("written_at").cast("timestamp_ntz").alias("written_at"))
 
 
 @query
@@ -460,7 +523,7 @@ def late_events(spark, folder):
 
 @query
 def late_disposition(spark, folder):
-    return lateness.disposition(load_edits(spark, folder), payload(), poll(), SIZE, GRACE)
+    return lateness.disposition(load_edits(spark, folder), payload(), SIZE, GRACE)
 
 
 @query
@@ -483,34 +546,27 @@ def window_dense(spark, folder):
 
 
 @query
-def window_emitted(spark, folder):
-    return lateness.emitted_windows(
-        load_edits(spark, folder), payload(), poll(), SIZE, GRACE
-    )
+def window_gaps_filled(spark, folder):
+    return lateness.fill_gaps(_counts(load_edits(spark, folder), arrival()), SIZE).drop("skipped")
 
 
 @query
 def window_gap_capped(spark, folder):
-    return lateness.emitted_windows(
-        load_edits(spark, folder), payload(), poll(), SIZE, GRACE, max_gap=MAX_GAP_WINDOWS
-    )
+    return lateness.fill_gaps(_counts(load_edits(spark, folder), arrival()), SIZE, MAX_GAP_WINDOWS)
 
 
 def _delays(spark, folder):
-    out = lateness.emitted_windows(
-        load_edits(spark, folder), payload(), poll(), SIZE, GRACE
-    ).filter(F.col("status") == "emitted")
-    return health.emit_delay(out.withColumn("written_at", (F.col("emitted_by") + 1) * POLL), SIZE)
+    return health.slice_delays(_stored_slices(spark, folder, "event_time", "2024-01-01"))
 
 
 @query
 def emit_delay(spark, folder):
-    return _delays(spark, folder).select("kafka_partition", "window_start", "written_at", "delay_seconds")
+    return _delays(spark, folder)
 
 
 @query
-def released_offsets(spark, folder):
-    return lateness.released_offsets(load_edits(spark, folder), payload(), poll(), SIZE, GRACE)
+def restart_offsets(spark, folder):
+    return lateness.restart_offsets(load_edits(spark, folder), payload(), SIZE, GRACE)
 
 
 # -- checks -------------------------------------------------------------------
@@ -539,31 +595,12 @@ def reconcile_hot_cold(spark, folder):
 # -- health series ------------------------------------------------------------
 
 def load_samples(spark, folder) -> DataFrame:
-    """
-    Scrapes of each partition's consumed-events counter and watermark-lag gauge, one per
-    scrape interval that saw events. The counter starts anew at ``RESET_AT``.
-    """
-    edits = load_edits(spark, folder)
-    seen = edits.groupBy("kafka_partition", window_start(arrival(), SCRAPE).alias("t")).agg(
-        F.count("*").alias("n"), F.max("event_time").alias("newest")
-    ).withColumn("at", F.col("t") + SCRAPE).withColumn("restarted", F.col("t") >= epoch_of(RESET_AT))
-    # One row per scrape.
-    so_far = Window.partitionBy("kafka_partition", "restarted").orderBy("t")
-    totals = seen.withColumn("total", F.sum("n").over(so_far))
-
-    def sample(metric: str, value: Column) -> Column:
-        return F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
-
-    both = F.explode(F.array(
-        sample("events_consumed_total", F.col("total")),
-        sample("watermark_lag_seconds", F.col("at") - epoch_seconds(F.col("newest"))),
-    ))
-    return totals.select(
-        F.timestamp_seconds("at").cast("timestamp_ntz").alias("ts"),
-        F.create_map(F.lit("partition"), F.col("kafka_partition").cast("string")).alias("labels"),
-        F.lit(None).cast("double").alias("le"),
-        both.alias("s"),
-    ).select("ts", "s.metric", "labels", "le", "s.value")
+    """The samples that a monitor of the table of edits would have written."""
+    def write(path: str) -> None:
+        found = path_samples(load_edits(spark, folder), SCRAPE, epoch_of(RESET_AT), LATENESS_BOUNDS, COMMIT_EVERY)
+        append_batch(found.withColumn("ts", F.col("ts").cast("timestamp")), path, 0, F.to_date("ts"), date_name="day", order=("metric", "ts"))
+
+    return read_table(spark, written(spark, folder, "samples", write), SAMPLES, date_name="day")
 
 
 def _metric(spark, folder, name):
@@ -593,43 +630,49 @@ def gauge_total(spark, folder):
 
 @query
 def histogram_buckets(spark, folder):
-    return series.observe(_delays(spark, folder), "delay_seconds", DELAY_BOUNDS, ["kafka_partition"])
+    return series.observe(_delays(spark, folder), "delay_seconds", DELAY_BOUNDS, ["partition"])
 
 
 @query
 def histogram_quantile(spark, folder):
-    buckets = series.observe(_delays(spark, folder), "delay_seconds", DELAY_BOUNDS, ["kafka_partition"])
-    return series.histogram_quantile(buckets, 0.99, ["kafka_partition"], "p99")
+    buckets = series.observe(_delays(spark, folder), "delay_seconds", DELAY_BOUNDS, ["partition"])
+    return series.histogram_quantile(buckets, 0.99, ["partition"], "p99")
 
 
 @query
 def consumer_lag(spark, folder):
-    edits = load_edits(spark, folder)
-    ends = edits.groupBy(F.col("kafka_partition").alias("partition")).agg(
-        (F.max("kafka_offset") + 1).alias("end_offset")
-    )
-    done = lateness.released_offsets(edits, payload(), poll(), SIZE, GRACE).select(
-        F.col("kafka_partition").alias("partition"), F.col("safe").alias("committed")
-    )
+    """How far the stored path was behind the end of the log after its first batch."""
+    messages = load_messages(spark, folder)
+    ends = messages.groupBy("partition").agg((F.max("offset") + 1).alias("end_offset"))
+    done = _stored(spark, folder).batches().filter("batch_id = 0").select(
+        F.col("kafka_partition").alias("partition"), (F.col("high") + 1).alias("committed"))
     return health.consumer_lag(ends, done)
 
 
+@query
+def rate_quantile(spark, folder):
+    """The 99th percentile of the lateness of the edits of the last hours, at each evaluation and partition."""
+    late = rules.Expression("emit_delay_seconds_bucket", "rate", 6 * 3600, "sum", ("partition",), 0.99)
+    return rules.evaluate(load_samples(spark, folder), {"p99": late}, *_grid()).drop("name")
+
+
 @query
 def status_bands(spark, folder):
     lag = series.gauge_by_label(_metric(spark, folder, "watermark_lag_seconds"), "max", "partition", SCRAPE)
     return lag.select("label", "t", "value", status_band(F.col("value"), STEPS).alias("band"))
 
 
+def _grid() -> tuple[int, int, int]:
+    return epoch_of("2023-12-31 00:00:00"), epoch_of(AS_OF), EVALUATE
+
+
+@query
+def rule_values(spark, folder):
+    expressions = {r.alert: r.scaled(SLOWER).expression for r in rules.ALERT_RULES}
+    return rules.evaluate(load_samples(spark, folder), expressions, *_grid())
+
+
 @query
 def alert_states(spark, folder):
-    samples = load_samples(spark, folder)
-    produced = series.counter_rate(
-        samples.filter(F.col("metric") == "events_consumed_total"), SCRAPE
-    ).select(F.lit("NoEventsProduced").alias("alert"), "t", F.col("rate").alias("value"))
-    lag = series.gauge_by_label(
-        samples.filter(F.col("metric") == "watermark_lag_seconds"), "max", None, SCRAPE
-    ).select(F.lit("WatermarkLagHigh").alias("alert"), "t", "value")
-    grid = series.evaluation_grid(
-        spark, epoch_of("2024-01-01 00:00:00"), epoch_of(AS_OF), SCRAPE, RULES
-    )
-    return series.alert_states(produced.unionByName(lag), grid, SCRAPE, RULES)
+    scaled = [r.scaled(SLOWER) for r in rules.ALERT_RULES]
+    return rules.alert_states(load_samples(spark, folder), scaled, *_grid())

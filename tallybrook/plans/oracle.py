@@ -126,6 +126,11 @@ def grid(range_seconds: int, step: int) -> str:
     )
 
 
+def shown(x: str) -> str:
+    """To one place, by the exact value of the double; exact halves go up."""
+    return f"CASE WHEN {x} * 4 = floor({x} * 4) THEN floor({x} * 10 + 0.5) / 10 ELSE CAST(printf('%.1f', {x}) AS DOUBLE) END"
+
+
 def with_edits(body: str) -> str:
     return f"WITH {EDITS}\n{body}"
 
@@ -185,85 +190,54 @@ def merged(size: int, where: str = "") -> str:
     )
 
 
-# A partition's flushes, one per poll; `before` and `through` bound what each one emits.
-SCHEDULE = """,
-c AS (
-  SELECT *, epoch_us(event_time) AS us, epoch_us(event_time) // 300000000 * 300 AS window_start FROM edits
-),
-polls AS (
-  SELECT kafka_partition, poll, max(us) AS poll_us, arg_min(window_start, kafka_offset) AS first_window
-  FROM c GROUP BY ALL
-),
-marks AS (
-  SELECT kafka_partition, poll,
-         first_value(first_window) OVER so_far - 300 AS origin,
-         max(poll_us) OVER so_far AS mark
-  FROM polls
-  WINDOW so_far AS (PARTITION BY kafka_partition ORDER BY poll ROWS UNBOUNDED PRECEDING)
-),
-reach AS (
-  SELECT *, greatest(origin, (mark - 60000000) // 300000000 * 300 - 300) AS through FROM marks
-),
-schedule AS (
-  SELECT *, coalesce(lag(through) OVER (PARTITION BY kafka_partition ORDER BY poll), origin) AS before FROM reach
-),
-routed AS (
-  SELECT c.*, c.window_start <= s.before AS late
-  FROM c JOIN schedule s USING (kafka_partition, poll)
-),
-taken AS (
-  SELECT kafka_partition, window_start, count(*) AS events FROM routed WHERE NOT late GROUP BY ALL
-),
-ends AS (SELECT kafka_partition, max(through) AS final FROM schedule GROUP BY ALL)"""
-
-
-def emitted(cap: int | None) -> str:
-    first = "before + 300" if cap is None else f"greatest(before + 300, through - {(cap - 1) * 300})"
-    return SCHEDULE + f""",
-out AS (
-  SELECT kafka_partition, poll AS emitted_by, unnest(range({first}, through + 300, 300)) AS window_start
-  FROM schedule WHERE through > before
-),
-fate AS (
-  SELECT kafka_partition, window_start, coalesce(events, 0) AS events, emitted_by,
-         CASE WHEN emitted_by IS NOT NULL THEN 'emitted' WHEN window_start <= final THEN 'dropped'
-              ELSE 'open' END AS status
-  FROM out FULL JOIN taken USING (kafka_partition, window_start) JOIN ends USING (kafka_partition)
-)"""
-
-
-DELAYS = emitted(None) + """,
+# Slices by the payload's clock, written when the last of their edits came in.
+DELAYS = """,
 delays AS (
-  SELECT kafka_partition, window_start, (emitted_by + 1) * 600 AS written_at,
-         CAST((emitted_by + 1) * 600 - (window_start + 300) AS DOUBLE) AS delay_seconds
-  FROM fate WHERE status = 'emitted'
+  SELECT window_start, partition, epoch_us(written_at) / 1000000.0 - (window_start + 300) AS delay_seconds
+  FROM (
+    SELECT epoch_us(event_time) // 300000000 * 300 AS window_start, kafka_partition AS partition, max(ingested_at) AS written_at
+    FROM edits GROUP BY 1, 2
+  )
 )"""
 
 BUCKETS = DELAYS + """,
-bounds AS (SELECT unnest([60, 300, 600, 1200, 1800, 3600, 7200, 14400, CAST('inf' AS DOUBLE)]) AS le),
+bounds AS (SELECT unnest([-240, -120, 0, 120, 240, 360, 480, 600, CAST('inf' AS DOUBLE)]) AS le),
 buckets AS (
-  SELECT kafka_partition, le, count(*) FILTER (WHERE delay_seconds <= le) AS cumulative
+  SELECT partition, le, count(*) FILTER (WHERE delay_seconds <= le) AS cumulative
   FROM delays CROSS JOIN bounds GROUP BY ALL
 )"""
 
-RELEASED = SCHEDULE + """,
-released AS (
-  SELECT kafka_partition,
-         max(kafka_offset + 1) FILTER (WHERE window_start <= final) AS released,
-         coalesce(min(kafka_offset) FILTER (WHERE window_start > final), max(kafka_offset) + 1) AS safe
-  FROM routed JOIN ends USING (kafka_partition) WHERE NOT late GROUP BY ALL
+CLOSES = """,
+c AS (SELECT *, (epoch_us(event_time) // 300000000 * 300 + 360) * 1000000 AS closes, epoch_us(event_time) AS us FROM edits),
+r AS (
+  SELECT *, max(us) OVER (PARTITION BY kafka_partition) AS mark,
+         max(us) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM c
 )"""
 
-SAMPLES = """,
+LATENESS = "60, 180, 300, 420, 540, 660, CAST('inf' AS DOUBLE)"
+
+# One row per partition and scrape, counters as running sums that start anew once.
+SAMPLES = f""",
+late AS (
+  SELECT *, epoch_us(ingested_at) // 300000000 * 300 + 300 AS ts,
+         (epoch_us(ingested_at) // 1000000) - (epoch_us(event_time) // 1000000) AS delay
+  FROM edits
+),
 scrapes AS (
-  SELECT kafka_partition, epoch_us(ingested_at) // 300000000 * 300 AS t, count(*) AS n, max(event_time) AS newest
-  FROM edits GROUP BY ALL
+  SELECT kafka_partition, ts, ts > 1705276800 AS run, max(event_time) AS newest, max(kafka_offset) AS newest_offset, 1 AS windows,
+         count(*) AS consumed, count(*) FILTER (WHERE type = 'error') AS failed,
+         count(*) FILTER (WHERE type = 'error' AND bot) AS failed_bots, count(*) FILTER (WHERE type = 'click') AS dropped,
+         list_transform([{LATENESS}], lambda b: len(list_filter(list(delay), lambda d: d <= b))) AS within
+  FROM late GROUP BY ALL
 ),
 counted AS (
-  SELECT CAST(kafka_partition AS VARCHAR) AS partition, t + 300 AS ts,
-         sum(n) OVER (PARTITION BY kafka_partition, t >= 1705276800 ORDER BY t) AS total,
-         CAST(t + 300 - epoch_us(newest) // 1000000 AS DOUBLE) AS lag
-  FROM scrapes
+  SELECT CAST(kafka_partition AS VARCHAR) AS partition, ts, CAST(ts - epoch_us(newest) // 1000000 AS DOUBLE) AS lag,
+         newest_offset % 5000 AS uncommitted, CASE WHEN 2 * failed >= consumed THEN 0 ELSE 1 END AS up,
+         sum(windows) OVER o AS windows, sum(consumed) OVER o AS total, sum(failed) OVER o AS failed,
+         sum(failed_bots) OVER o AS failed_bots, sum(dropped) OVER o AS dropped,
+         {", ".join(f"sum(within[{k + 1}]) OVER o AS le{k}" for k in range(7))}
+  FROM scrapes WINDOW o AS (PARTITION BY kafka_partition, run ORDER BY ts)
 ),
 grown AS (
   SELECT partition, ts, total - lag(total) OVER (PARTITION BY partition ORDER BY ts) AS diff, total FROM counted
@@ -273,6 +247,80 @@ deltas AS (
   FROM grown WHERE diff IS NOT NULL
 )"""
 
+# (alert, severity, metric, reading, window, labels, quantile, holds, held for, absent) of each rule, its times 60 times as long.
+RULES = (
+    ("TargetDown", "critical", "up", "value", 18_000, "'partition=' || partition", "NULL", "value = 0", 3_600, False),
+    ("PipelineStalled", "critical", "windows", "rate", 3_600, "''", "NULL", "value = 0", 7_200, True),
+    ("NoEventsProduced", "critical", "produced", "rate", 3_600, "''", "NULL", "value = 0", 7_200, True),
+    ("ConsumerLagHigh", "warning", "uncommitted", "value", 18_000, "''", "NULL", "value > 2000", 7_200, False),
+    ("FreshnessSLOBreached", "warning", "within", "rate", 18_000, "''", "0.99", "value > 2.5", 18_000, False),
+    ("ProduceErrors", "critical", "failed", "increase", 18_000, "'partition=' || partition", "NULL", "value > 0", 0, False),
+    ("SinkErrors", "warning", "failed_bots", "increase", 18_000, "'partition=' || partition", "NULL", "value > 0", 0, False),
+    ("EventsDropped", "warning", "dropped", "rate", 18_000, "''", "NULL", "value > 1", 36_000, False),
+)
+GRID = "SELECT unnest(range(1703980800, 1706659201, 1800)) AS t"
+
+
+def values(readers: str) -> str:
+    """``readers(name, metric, reading, win, q)`` and ``heads(name, partition, labels)`` at each step of the grid."""
+    return SAMPLES + f""",
+long AS (
+  SELECT partition, ts, unnest([
+    {{'metric': 'up', 'le': NULL::DOUBLE, 'v': up::DOUBLE}}, {{'metric': 'windows', 'le': NULL, 'v': windows}},
+    {{'metric': 'produced', 'le': NULL, 'v': total - failed}}, {{'metric': 'uncommitted', 'le': NULL, 'v': uncommitted}},
+    {{'metric': 'failed', 'le': NULL, 'v': failed}}, {{'metric': 'failed_bots', 'le': NULL, 'v': failed_bots}},
+    {{'metric': 'dropped', 'le': NULL, 'v': dropped}},
+    {", ".join(f"{{'metric': 'within', 'le': {le}, 'v': le{k}}}" for k, le in enumerate(LATENESS.split(", ")))}], recursive := true)
+  FROM counted
+),
+paired AS (
+  SELECT *, lag(ts) OVER s AS last_ts, v - lag(v) OVER s AS diff FROM long WINDOW s AS (PARTITION BY partition, metric, le ORDER BY ts)
+),
+grid AS ({GRID}),
+readers AS ({readers}),
+heads AS (SELECT DISTINCT partition FROM counted),
+read AS (
+  SELECT name, reading, win, q, labels, p.partition, le, t,
+         CASE WHEN reading = 'value' THEN arg_max(v, ts) ELSE sum(CASE WHEN diff < 0 THEN v ELSE diff END) END AS own
+  FROM readers JOIN paired p USING (metric, partition)
+  JOIN grid ON t >= ts AND t < win + CASE WHEN reading = 'value' THEN ts ELSE last_ts END
+  GROUP BY name, reading, win, q, labels, p.partition, le, t
+),
+summed AS (SELECT name, reading, win, q, labels, le, t, sum(own) AS own FROM read GROUP BY ALL),
+ranks AS (
+  SELECT *, lag(le, 1, 0) OVER o AS low, lag(own, 1, 0) OVER o AS below, q * max(own) OVER (PARTITION BY name, labels, t) AS rank_
+  FROM summed WINDOW o AS (PARTITION BY name, labels, t ORDER BY le)
+),
+told AS (
+  SELECT name, labels, t, own / CASE WHEN reading = 'rate' THEN CAST(win AS DOUBLE) ELSE 1 END AS value FROM summed WHERE q IS NULL
+  UNION ALL
+  SELECT name, labels, t, arg_min(CASE WHEN isinf(le) OR own = below THEN low ELSE low + (le - low) * (rank_ - below) / (own - below) END, le)
+  FROM ranks WHERE q IS NOT NULL AND own >= rank_ AND own > 0 GROUP BY ALL
+)"""
+
+
+def rule_readers() -> str:
+    rows = [f"SELECT '{alert}' AS name, '{metric}' AS metric, '{reading}' AS reading, {window} AS win, {q}::DOUBLE AS q, "
+            f"partition, {labels} AS labels FROM (SELECT DISTINCT partition FROM counted)"
+            for alert, _, metric, reading, window, labels, q, _, _, _ in RULES]
+    return " UNION ALL ".join(rows)
+
+
+def rule_states() -> str:
+    each = []
+    for alert, severity, metric, _, _, _, _, holds, held, absent in RULES:
+        active = f"coalesce({holds}, false)"
+        if absent:
+            active += f" OR t NOT IN (SELECT t FROM grid JOIN long ON metric = '{metric}' AND t >= ts AND t < ts + 18000)"
+        source = f"(SELECT t, '' AS labels, value FROM grid LEFT JOIN (FROM told WHERE name = '{alert}') USING (t))" if absent else (
+            f"(SELECT t, labels, value FROM told WHERE name = '{alert}')")
+        each.append(f"""SELECT alert, severity, labels, t, value, CASE WHEN NOT active THEN 'inactive'
+    WHEN count(*) FILTER (WHERE active) OVER (PARTITION BY labels ORDER BY t RANGE BETWEEN {held} PRECEDING AND CURRENT ROW) > {held // 1800}
+    THEN 'firing' ELSE 'pending' END AS state
+  FROM (SELECT '{alert}' AS alert, '{severity}' AS severity, labels, t, value, {active} AS active FROM {source})
+  WHERE value IS NOT NULL OR active""")
+    return " UNION ALL ".join(each)
+
 
 def gauge(fn: str, key: str, window: int) -> str:
     return f"""
@@ -355,6 +403,18 @@ SELECT g.t, edits, bot_edits, new_pages, editors FROM ({grid(86_400, 300)}) g LE
     "timeline_rates": with_edits(f""", p AS ({timeline(604_800, 3_600)})
 SELECT g.t, CAST(edits AS DOUBLE) / 60 AS edits_per_minute, CAST(bot_edits AS DOUBLE) / 60 AS bot_edits_per_minute
 FROM ({grid(604_800, 3_600)}) g LEFT JOIN p USING (t)"""),
+    "timeline_rates_shown": with_edits(f""", p AS ({timeline(604_800, 3_600)}),
+r AS (
+  SELECT g.t, CAST(edits AS DOUBLE) / 60 AS edits_per_minute, CAST(bot_edits AS DOUBLE) / 60 AS bot_edits_per_minute
+  FROM ({grid(604_800, 3_600)}) g LEFT JOIN p USING (t)
+)
+SELECT t, {shown("edits_per_minute")} AS edits_per_minute, {shown("bot_edits_per_minute")} AS bot_edits_per_minute FROM r"""),
+    "rollup_1d_exact": with_edits("""
+SELECT CAST(ingested_at AS DATE) AS day, wiki, count(DISTINCT "user") AS editors FROM edits GROUP BY 1, 2 HAVING editors > 0"""),
+    "stored_editors": with_messages('SELECT wiki, count(DISTINCT "user") AS editors FROM clean GROUP BY 1 HAVING editors > 0'),
+    "stored_editors_7d": with_messages(f"""
+SELECT wiki, count(DISTINCT "user") AS editors FROM clean
+WHERE CAST(ingested_at AS DATE) >= CAST({NOW} - INTERVAL 7 DAY AS DATE) GROUP BY 1 HAVING editors > 0"""),
     "top_wikis": with_edits(f"""
 SELECT wiki, count(*) AS edits, count(*) FILTER (WHERE bot) AS bot_edits, count(DISTINCT "user") AS editors
 FROM edits WHERE date_trunc('minute', ingested_at) >= {NOW} - INTERVAL 30 DAY
@@ -431,9 +491,9 @@ s AS (
 )
 SELECT * FROM s WHERE window_start IN (SELECT DISTINCT window_start FROM s ORDER BY 1 DESC LIMIT 120)"""),
     "window_ttl": with_edits(f"""
-SELECT {floor_to('ingested_at', 300)} AS window_start, kafka_partition AS partition, count(*) AS total,
-       max({epoch('event_time')}) AS written_at
-FROM edits GROUP BY 1, 2 HAVING {NOW_S} - max({epoch('event_time')}) < 86400"""),
+SELECT {floor_to('event_time', 300)} AS window_start, kafka_partition AS partition, count(*) AS total_edits,
+       max(ingested_at) AS written_at
+FROM edits GROUP BY 1, 2 HAVING {NOW_S} - max({epoch('ingested_at')}) < 86400"""),
     "window_point_rates": with_edits(f"""
 SELECT {floor_to('ingested_at', 300)} AS t, round(count(*) / 300, 2) AS rate,
        round(count(*) / 300, 2) * (count(*) FILTER (WHERE bot) / count(*)) AS bot_rate
@@ -512,13 +572,11 @@ r AS (
 )
 SELECT kafka_partition, kafka_offset, window_start FROM r
 WHERE (window_start + 300 + 60) * 1000000 <= before_us"""),
-    "late_disposition": with_edits(emitted(None) + """,
-l AS (SELECT kafka_partition, count(*) FILTER (WHERE late) AS late_events FROM routed GROUP BY 1)
-SELECT kafka_partition, late_events,
-       CAST(coalesce(sum(events) FILTER (WHERE status = 'emitted'), 0) AS BIGINT) AS emitted_events,
-       CAST(coalesce(sum(events) FILTER (WHERE status = 'dropped'), 0) AS BIGINT) AS dropped_events,
-       CAST(coalesce(sum(events) FILTER (WHERE status = 'open'), 0) AS BIGINT) AS open_events
-FROM fate JOIN l USING (kafka_partition) GROUP BY kafka_partition, late_events"""),
+    "late_disposition": with_edits(CLOSES + """
+SELECT kafka_partition, count(*) FILTER (WHERE coalesce(closes <= before, false)) AS late_events,
+       count(*) FILTER (WHERE NOT coalesce(closes <= before, false) AND closes <= mark) AS closed_events,
+       count(*) FILTER (WHERE NOT coalesce(closes <= before, false) AND closes > mark) AS open_events
+FROM r GROUP BY 1"""),
     "window_origin": with_edits(f""",
 c AS (SELECT *, {floor_to('event_time', 300)} AS window_start FROM edits),
 o AS (SELECT kafka_partition, arg_min(window_start, kafka_offset) AS origin FROM c GROUP BY 1)
@@ -537,10 +595,25 @@ g AS (
 )
 SELECT kafka_partition, window_start, coalesce(events, 0) AS events
 FROM g LEFT JOIN c USING (kafka_partition, window_start)"""),
-    "window_emitted": with_edits(emitted(None) + "\nSELECT * FROM fate"),
-    "window_gap_capped": with_edits(emitted(12) + "\nSELECT * FROM fate"),
+    "window_gaps_filled": with_edits(f""",
+c AS (SELECT kafka_partition, {floor_to('ingested_at', 300)} AS window_start, count(*) AS events FROM edits GROUP BY 1, 2),
+g AS (
+  SELECT kafka_partition, unnest(range(min(window_start), max(window_start) + 300, 300)) AS window_start
+  FROM c GROUP BY 1
+)
+SELECT kafka_partition, window_start, coalesce(events, 0) AS events
+FROM g LEFT JOIN c USING (kafka_partition, window_start)"""),
+    "window_gap_capped": with_edits(f""",
+c AS (SELECT kafka_partition, {floor_to('ingested_at', 300)} AS window_start, count(*) AS events FROM edits GROUP BY 1, 2),
+b AS (SELECT *, lag(window_start, 1, window_start - 300) OVER (PARTITION BY kafka_partition ORDER BY window_start) AS before FROM c)
+SELECT kafka_partition, window_start, events, greatest(0, (window_start - before) // 300 - 1 - 12) AS skipped FROM b
+UNION ALL
+SELECT kafka_partition, unnest(range(greatest(before + 300, window_start - 3600), window_start, 300)), 0, 0 FROM b"""),
     "emit_delay": with_edits(DELAYS + "\nSELECT * FROM delays"),
-    "released_offsets": with_edits(RELEASED + "\nSELECT * FROM released"),
+    "restart_offsets": with_edits(CLOSES + """
+SELECT kafka_partition, max(kafka_offset) + 1 AS end_offset,
+       coalesce(min(kafka_offset) FILTER (WHERE closes > mark), max(kafka_offset) + 1) AS safe
+FROM r GROUP BY 1"""),
     # checks
     "cold_path_health": with_messages(f""",
 s AS (
@@ -582,44 +655,30 @@ FROM s"""),
     "histogram_quantile": with_edits(BUCKETS + """,
 x AS (
   SELECT *, lag(le, 1, 0) OVER o AS low, lag(cumulative, 1, 0) OVER o AS below,
-         0.99::DOUBLE * max(cumulative) OVER (PARTITION BY kafka_partition) AS rank_
-  FROM buckets WINDOW o AS (PARTITION BY kafka_partition ORDER BY le)
+         0.99::DOUBLE * max(cumulative) OVER (PARTITION BY partition) AS rank_
+  FROM buckets WINDOW o AS (PARTITION BY partition ORDER BY le)
 )
-SELECT kafka_partition, arg_min(CASE WHEN isinf(le) THEN low
+SELECT partition, arg_min(CASE WHEN isinf(le) OR cumulative = below THEN low
          ELSE low + (le - low) * (rank_ - below) / (cumulative - below) END, le) AS p99
-FROM x WHERE cumulative >= rank_ GROUP BY 1"""),
-    "consumer_lag": with_edits(RELEASED + """,
-z AS (SELECT kafka_partition AS partition, max(kafka_offset) + 1 AS end_offset FROM edits GROUP BY 1)
-SELECT partition, end_offset - safe AS lag, CAST(sum(end_offset - safe) OVER () AS BIGINT) AS total_lag
-FROM z JOIN released ON partition = kafka_partition"""),
+FROM x WHERE cumulative >= rank_ AND cumulative > 0 GROUP BY 1"""),
+    "stored_batches": with_messages("""
+SELECT CASE WHEN "timestamp" < TIMESTAMP '2024-01-15' THEN 0::BIGINT ELSE 1::BIGINT END AS batch_id, partition AS kafka_partition,
+       min("offset") AS low, max("offset") AS high, count(*) AS messages, max("timestamp") AS newest
+FROM j GROUP BY 1, 2"""),
+    "consumer_lag": with_messages(""",
+z AS (SELECT partition, max("offset") + 1 AS end_offset FROM messages GROUP BY 1),
+d AS (SELECT partition, max("offset") + 1 AS committed FROM j WHERE "timestamp" < TIMESTAMP '2024-01-15' GROUP BY 1)
+SELECT partition, end_offset - coalesce(committed, 0) AS lag, CAST(sum(end_offset - coalesce(committed, 0)) OVER () AS BIGINT) AS total_lag
+FROM z LEFT JOIN d USING (partition)"""),
+    "rate_quantile": with_edits(values(
+        "SELECT 'p99' AS name, 'within' AS metric, 'rate' AS reading, 21600 AS win, 0.99::DOUBLE AS q, partition, "
+        "'partition=' || partition AS labels FROM (SELECT DISTINCT partition FROM counted)") + "\nSELECT labels, t, value FROM told"),
+    "rule_values": with_edits(values(rule_readers()) + "\nSELECT * FROM told"),
     "status_bands": with_edits(SAMPLES + """
 SELECT partition AS label, ts // 300 * 300 AS t, arg_max(lag, ts) AS value,
        CASE WHEN arg_max(lag, ts) >= 600 THEN 'red' WHEN arg_max(lag, ts) >= 300 THEN 'yellow'
             ELSE 'green' END AS band
 FROM counted GROUP BY 1, 2"""),
-    "alert_states": with_edits(SAMPLES + f""",
-vals AS (
-  SELECT 'NoEventsProduced' AS alert, ts // 300 * 300 AS t, sum(delta) / 300 AS value FROM deltas GROUP BY ALL
-  UNION ALL
-  SELECT 'WatermarkLagHigh', ts // 300 * 300, max(lag) FROM counted GROUP BY ALL
-),
-g AS (
-  SELECT alert, t FROM (SELECT unnest(range(1704067200, {NOW_S} + 300, 300)) AS t),
-         (VALUES ('NoEventsProduced'), ('WatermarkLagHigh')) AS r(alert)
-),
-c AS (
-  SELECT alert, t, value,
-         CASE alert WHEN 'NoEventsProduced' THEN coalesce(value = 0, true) ELSE coalesce(value > 600, false) END AS active
-  FROM g LEFT JOIN vals USING (alert, t)
-),
-h AS (
-  SELECT *, coalesce(max(CASE WHEN NOT active THEN t END) OVER (PARTITION BY alert ORDER BY t) + 300, 1704067200) AS since
-  FROM c
-)
-SELECT alert, t, value,
-       CASE WHEN NOT active THEN 'inactive'
-            WHEN t - since >= CASE alert WHEN 'NoEventsProduced' THEN 1200 ELSE 600 END THEN 'firing'
-            ELSE 'pending' END AS state
-FROM h"""),
+    "alert_states": with_edits(values(rule_readers()) + "\n" + rule_states()),
 }
 ORACLES["rollup_read_parts"] = ORACLES["rollup_1m"]

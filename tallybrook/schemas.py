@@ -43,6 +43,15 @@ DEAD_LETTERS = T.StructType([
     T.StructField("raw_message", T.StringType()),
 ])
 
+# What a batch of the stored path holds of a topic partition.
+BATCHES = T.StructType([
+    T.StructField("kafka_partition", T.IntegerType()),
+    T.StructField("low", T.LongType()),
+    T.StructField("high", T.LongType()),
+    T.StructField("messages", T.LongType()),
+    T.StructField("newest", T.TimestampType()),
+])
+
 _ROLLUP = [
     T.StructField("wiki", T.StringType(), False),
     T.StructField("edits", T.LongType(), False),
@@ -53,6 +62,14 @@ _ROLLUP = [
 MINUTE_ROLLUP = T.StructType([T.StructField("minute", T.TimestampType(), False), *_ROLLUP])
 DAY_ROLLUP = T.StructType([T.StructField("day", T.DateType(), False), *_ROLLUP])
 
+EDITOR_NUMBERS = T.StructType([T.StructField("user", T.StringType(), False), T.StructField("number", T.LongType(), False)])
+DAY_EDITORS = T.StructType([
+    T.StructField("day", T.DateType(), False),
+    T.StructField("wiki", T.StringType(), False),
+    T.StructField("bucket", T.LongType(), False),
+    T.StructField("bitmap", T.BinaryType(), False),
+])
+
 COUNTS = T.ArrayType(T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("count", T.LongType()),
@@ -77,6 +94,9 @@ SLICE = T.StructType([
     T.StructField("written_at", T.TimestampType()),
 ])
 
+# Up to where the windows of a partition have been written.
+LAST_WINDOWS = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("window_start", T.LongType())])
+
 # One scraped sample of a counter, gauge or histogram bucket.
 SAMPLES = T.StructType([
     T.StructField("ts", T.TimestampType(), False),

@@ -20,6 +20,7 @@ from tallybrook.settings import RETENTION_DAYS
 
 RAW_ORDER = ("wiki", "ingested_at", "kafka_partition", "kafka_offset")
 BATCH = "batch_id"
+COMPACTED = "_compacted"
 
 
 def append_batch(
@@ -63,15 +64,9 @@ def bound_checkpoint(
     from there on, they would be overwritten, so that is refused.
     """
     path = checkpoint or f"{folder}/_checkpoint"
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-
-    def found(pattern: str) -> list:
-        glob = jvm.org.apache.hadoop.fs.Path(pattern)
-        return [s.getPath().getName() for s in glob.getFileSystem(conf).globStatus(glob) or ()]
-
-    if not found(f"{path}/offsets"):
+    if not _names(spark, f"{path}/offsets"):
         for table in tables:
-            numbers = [int(n.split("=")[1]) for n in found(f"{folder}/{table}/*/{BATCH}=*")]
+            numbers = stored_batches(spark, f"{folder}/{table}")
             if max(numbers, default=-1) >= first_batch:
                 raise ValueError(
                     f"{folder} holds batches up to {max(numbers)} that checkpoint {path} does not know; "
@@ -82,11 +77,11 @@ def bound_checkpoint(
 def compact_days(
     spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str], target: str, *,
     order: Sequence[str] = RAW_ORDER, date_name: str = "ingest_date", files: int | None = None,
-    reduce: Callable[[DataFrame], DataFrame] | None = None,
+    reduce: Callable[[DataFrame], DataFrame] | None = None, upto: int | None = None,
 ) -> None:
     """
-    Rewrite closed days of a table into ``target`` as range-sorted files, all in batch 0.
-    ``reduce`` merges the batches' rows first: partial rollup rows into one per key, or
+    Rewrite days of a table, or their batches up to ``upto``, into ``target`` as range-sorted files, all in
+    batch 0. ``reduce`` merges the batches' rows first: partial rollup rows into one per key, or
     versions into the newest; it keeps the date column.
 
     The range partitioning is on the whole sort key, whose trailing columns are unique,
@@ -94,12 +89,64 @@ def compact_days(
     """
     table = read_table(spark, path, schema, date_name=date_name)
     rows = table.filter(F.col(date_name).isin(*[F.lit(d).cast("date") for d in days]))
+    if upto is not None:
+        rows = rows.filter(F.col(BATCH) <= upto)
     rows = (reduce(rows) if reduce else rows).drop(BATCH)
     keys = [F.col(date_name), *[F.col(c) for c in order]]
     ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
     append_batch(ranged, target, 0, F.col(date_name), date_name=date_name, order=order)
 
 
+def compact(
+    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str], *, order: Sequence[str] = RAW_ORDER,
+    date_name: str = "ingest_date", files: int | None = None, reduce: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """
+    Rewrite days of a table beside it, for ``read_compacted``. Each day is written from the batches it has
+    by now, and then noted as compacted up to the newest of them; that note is one file, so readers
+    take the day's batches before it is there and the compacted day from then on.
+    """
+    upto = max(stored_batches(spark, path), default=None)
+    if upto is None:
+        return
+    # A compaction goes to a folder of its own number, so that readers of an older one are not disturbed.
+    target = f"{path}{COMPACTED}/upto={upto}"
+    compact_days(spark, path, schema, days, target, order=order, date_name=date_name, files=files, reduce=reduce, upto=upto)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for day in days:
+        note = jvm.org.apache.hadoop.fs.Path(f"{path}{COMPACTED}/_days/{day}={upto}")
+        note.getFileSystem(conf).create(note, True).close()
+
+
+def compacted_days(spark: SparkSession, path: str) -> dict[str, int]:
+    """The newest batch that each compacted day covers."""
+    found: dict[str, int] = {}
+    for name in _names(spark, f"{path}{COMPACTED}/_days/*=*"):
+        day, upto = name.split("=")
+        found[day] = max(int(upto), found.get(day, -1))
+    return found
+
+
+def read_compacted(spark: SparkSession, path: str, schema: T.StructType, *, date_name: str = "ingest_date") -> DataFrame:
+    """
+    A table with its compacted days in place of the batches they were made of, and later batches of those days.
+
+    Which days are compacted is known from names alone; batches a compacted day covers are not listed as files to read.
+    """
+    covered = compacted_days(spark, path)
+    table = read_table(spark, path, schema, date_name=date_name)
+    if not covered:
+        return table
+    upto = F.create_map(*[x for day, n in sorted(covered.items()) for x in (F.lit(day).cast("date"), F.lit(n).cast("long"))])
+    newer = F.col(BATCH) > F.coalesce(F.try_element_at(upto, F.col(date_name)), F.lit(-1))
+    out = table.filter(newer)
+    for n in sorted(set(covered.values())):
+        days = [F.lit(day).cast("date") for day, own in covered.items() if own == n]
+        whole = read_table(spark, f"{path}{COMPACTED}/upto={n}", schema, date_name=date_name)
+        out = out.unionByName(whole.filter(F.col(date_name).isin(*days)))
+    return out
+
+
 def dedup(
     edits: DataFrame, keys: Sequence[str] = ("kafka_partition", "kafka_offset"), order: str = "ingested_at"
 ) -> DataFrame:
@@ -132,8 +179,7 @@ def retained(df: DataFrame, table: str, column: str, as_of: AsOf = None) -> Data
 
 def expired_days(spark: SparkSession, path: str, table: str, as_of, date_name: str = "ingest_date") -> list[str]:
     """
-    Date folders whose every row has expired. Reads folder names only, through the
-    table's own file index; there is one per day.
+    Date folders whose every row has expired. Reads folder names only; there is one per day.
     """
     from datetime import timedelta
 
@@ -144,13 +190,24 @@ def expired_days(spark: SparkSession, path: str, table: str, as_of, date_name: s
         return []
     # A whole day is gone once its last instant is `days` old.
     limit = day_of(as_of) - timedelta(days=days + 1)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [d for d in stored_days(spark, path, date_name) if d <= limit.isoformat()]
+
+
+def stored_days(spark: SparkSession, path: str, date_name: str = "ingest_date") -> list[str]:
+    """The days a table has folders of, oldest first; there is one name per day, and no file is read."""
     prefix = f"{date_name}="
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    found = sorted(n[len(prefix):] for n in names if n.startswith(prefix))
-    return [d for d in found if d <= limit.isoformat()]
+    return sorted(n[len(prefix):] for n in _names(spark, f"{path}/{prefix}*"))
+
+
+def stored_batches(spark: SparkSession, path: str) -> list[int]:
+    """The batches a table has folders of, by their names."""
+    return sorted({int(n.split("=")[1]) for n in _names(spark, f"{path}/*/{BATCH}=*")})
+
+
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
+    return [s.getPath().getName() for s in found or ()]
 
 
 def drop_expired(spark: SparkSession, path: str, table: str, as_of, date_name: str = "ingest_date") -> list[str]:

@@ -1,11 +1,14 @@
 import datetime as dt
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.functions.display import bot_rate, console_line, per_second, share_percent, status_band
+from tallybrook.functions.display import bot_rate, console_line, per_second, share_percent, shown, status_band
 from tallybrook.operators import health, series
 from tallybrook.schemas import SLICE
+from tallybrook.sources.progress import ProgressTable, read_samples, topic_offsets
 from tallybrook.settings import DELAY_BANDS, EMIT_DELAY_BOUNDS, LAG_BANDS
 
 
@@ -55,37 +58,23 @@ def test_histogram_quantile(spark, values, q, want):
     assert got is None if want is None else got == pytest.approx(want)
 
 
-def states(spark, rule, values, steps, step=60):
-    grid = series.evaluation_grid(spark, 0, (steps - 1) * step, step, [rule])
-    data = spark.createDataFrame([(rule.alert, t * step, float(v)) for t, v in values.items()],
-                                 "alert string, t long, value double")
-    out = series.alert_states(data, grid, step, [rule]).orderBy("t").collect()
-    return [r["state"] for r in out]
+def test_quantile_equals_walking_the_buckets(spark):
+    rng = random.Random(9)
+    for _ in range(12):
+        values = [rng.choice([0.2, 0.7, 1.1, 2.2, 2.5, 4.0, 50.0]) for _ in range(rng.randrange(1, 30))]
+        q = rng.choice([0.0, 0.1, 0.5, 0.9, 0.99, 1.0])
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        got = series.histogram_quantile(series.observe(df, "v", EMIT_DELAY_BOUNDS), q).first()["quantile"]
+        assert got == pytest.approx(walked(values, q))
 
 
-def test_alert_must_hold_without_a_break(spark):
-    rule = series.AlertRule("High", ">", 10, 120, "warning")
-    got = states(spark, rule, dict(enumerate([1, 20, 20, 20, 5, 20, 20])), 7)
-    assert got == ["inactive", "pending", "pending", "firing", "inactive", "pending", "pending"]
-
-
-def test_absent_is_not_zero(spark):
-    gone = {0: 3, 1: 3}
-    plain = series.AlertRule("Dead", "==", 0, 60, "critical")
-    assert states(spark, plain, gone, 4) == ["inactive"] * 4
-    covered = series.AlertRule("Dead", "==", 0, 60, "critical", absent=True)
-    assert states(spark, covered, gone, 4) == ["inactive", "inactive", "pending", "firing"]
-
-
-def test_alert_without_duration_fires_at_once(spark):
-    rule = series.AlertRule("Errors", ">", 0, 0, "critical")
-    assert states(spark, rule, {0: 0, 1: 2}, 3) == ["inactive", "firing", "inactive"]
-
-
-def test_rate_zero_rules_cover_absence():
-    rules = {r.alert: r for r in series.ALERT_RULES}
-    assert rules["PipelineStalled"].absent and rules["NoEventsProduced"].absent
-    assert not rules["TargetDown"].absent and 2.5 in EMIT_DELAY_BOUNDS
+def walked(values, q):
+    low, below, rank = 0.0, 0, q * len(values)
+    for bound in (*EMIT_DELAY_BOUNDS, float("inf")):
+        held = sum(v <= bound for v in values)
+        if held >= rank and held > 0:
+            return low if bound == float("inf") or held == below else low + (bound - low) * (rank - below) / (held - below)
+        low, below = bound, held
 
 
 def one(spark, column):
@@ -133,7 +122,7 @@ def test_cold_path_states(spark):
 
 
 def test_live_path_states(spark):
-    rows = [(100, 105, p, 1, 0.2, [], (0, 1), [], []) for p in (0, 3)] + [(95, 100, 1, 1, 0.2, [], (0, 1), [], [])]
+    rows = [(100, 105, p, 1, 0.2, [], (0, 1), [], [], None) for p in (0, 3)] + [(95, 100, 1, 1, 0.2, [], (0, 1), [], [], None)]
     slices = spark.createDataFrame(rows, SLICE)
     ok = health.live_path_health(slices, 130).first()
     assert (ok["latest_window"], ok["partitions"], ok["status"]) == (100, 2, "ok")
@@ -148,10 +137,36 @@ def test_consumer_lag(spark):
     assert got == {0: (10, 60), 1: (50, 60)}
 
 
-def test_lag_from_stream_progress(spark):
-    from tallybrook.sources.progress import topic_offsets
-
-    report = {"sources": [{"endOffset": '{"edits": {"0": 90, "1": 50}}', "latestOffset": {"edits": {"0": 100, "1": 50}}}]}
-    got = health.consumer_lag(*topic_offsets(spark, report)).collect()
-    assert sorted((r["topic"], r["partition"], r["lag"], r["total_lag"]) for r in got) == [
-        ("edits", 0, 10, 10), ("edits", 1, 0, 10)]
+def test_shown_figures_round_the_exact_value(spark):
+    rng = random.Random(21)
+    for places in (1, 2):
+        values = [n / 60 for n in (0, 3, 9, 15, 45, 60, 1000)] + [0.125, 2.675, 1.005, 0.05, 0.25, 0.35, 1e-9, 8.345, 12345.675]
+        values += [rng.randrange(100_000) / rng.choice([60, 1440, 7, 200, 8]) for _ in range(1000)]
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        step = Decimal(1).scaleb(-places)
+        for r in df.select("v", shown(F.col("v"), places).alias("s")).collect():
+            assert r["s"] == float(Decimal(r["v"]).quantize(step, ROUND_HALF_UP)), r
+
+
+REPORT = {
+    "id": "a", "name": "stored", "timestamp": "2024-01-02T03:04:05.000Z", "numInputRows": 70, "durationMs": {"addBatch": 1500},
+    "eventTime": {"watermark": "2024-01-02T03:03:00.000Z"}, "stateOperators": [{"numRowsTotal": 9, "numRowsDroppedByWatermark": 2}],
+    "observedMetrics": {"payloads": {"accepted": 66, "invalid": 4}},
+    "sources": [{"endOffset": '{"edits": {"0": 90, "1": 50}}', "latestOffset": {"edits": {"0": 100, "1": 50}}},
+                {"endOffset": {"logOffset": 3}, "latestOffset": None}],
+}
+
+
+def test_a_progress_report_as_samples(spark, tmp_path):
+    table = ProgressTable(spark, str(tmp_path))
+    table.write(REPORT)
+    table.write({**REPORT, "timestamp": "2024-01-02T03:04:15.000Z", "sources": [
+        {"endOffset": {"edits": {"0": 95, "1": 50}}, "latestOffset": {"edits": {"0": 120, "1": 53}}}]})
+    samples = read_samples(spark, str(tmp_path))
+    got = {(r["metric"], *sorted(r["labels"].items())): r["value"] for r in samples.filter("ts < '2024-01-02 03:04:10'").collect()}
+    own = ("query", "stored")
+    assert got["stream_batch_rows", own] == 70 and got["stream_step_seconds", own, ("step", "addBatch")] == 1.5
+    assert got["watermark_lag_seconds", own] == 65 and got["stream_rows_behind_watermark", ("operator", "0"), own] == 2
+    assert got["stream_observed", ("field", "invalid"), ("metric", "payloads"), own] == 4
+    lag = health.consumer_lag(*topic_offsets(samples)).collect()
+    assert sorted((r["topic"], r["partition"], r["lag"], r["total_lag"]) for r in lag) == [("edits", 0, 25, 28), ("edits", 1, 3, 28)]

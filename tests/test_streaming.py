@@ -13,10 +13,11 @@ from tallybrook.sources.event_log import load_edits, load_messages
 from tallybrook.sources.messages import clean_rows, dead_letters, judged
 from tallybrook.sources.topics import kafka_options, read_landed
 from tallybrook.schemas import EDITS
-from tallybrook.streaming.live import read_slices, start_live_totals, start_live_windows
+from tallybrook.streaming.live import newest_slices, read_slices, start_live_totals, start_live_windows, write_slices
 from tallybrook.streaming.stored import StoredTables, start_stored_path
 
 SIZE, GRACE, FILES = 300, 60, 4
+EVER = "1970-01-01"
 NOW = {"availableNow": True}
 
 
@@ -119,6 +120,119 @@ def test_compacted_rollup_has_one_row_per_key(spark, landed, tmp_path):
     assert rows(with_estimates(whole.select(*same.columns))) == rows(with_estimates(same))
 
 
+def test_compaction_is_seen_once(spark, landed, tmp_path):
+    """Counts are the same before, while and after days are compacted, and with batches that come later."""
+    from tallybrook.sources.tables import append_batch, compact, compacted_days, read_compacted, read_table
+
+    path, edits = f"{tmp_path}/edits", spark.read.schema(EDITS).parquet(landed["edits"])
+    day = F.to_date("ingested_at")
+    for batch in (0, 1):
+        append_batch(edits.filter(F.col("kafka_offset") % 3 == batch), path, batch, day)
+    read = lambda: read_compacted(spark, path, EDITS)
+    first, want = read(), edits.filter(F.col("kafka_offset") % 3 < 2)
+    assert rows(read().select(*want.columns)) == rows(want)
+    days = [str(r[0]) for r in edits.select(day).distinct().collect()][:5]
+    compact(spark, path, EDITS, days)
+    assert compacted_days(spark, path) == {d: 1 for d in days}
+    # A reader from before goes on with the batches, a new one takes the compacted days.
+    assert first.count() == want.count() and rows(read().select(*want.columns)) == rows(want)
+    assert any("_compacted" in f for f in read().inputFiles())
+    append_batch(edits.filter(F.col("kafka_offset") % 3 == 2), path, 2, day)
+    assert rows(read().select(*edits.columns)) == rows(edits)
+    compact(spark, path, EDITS, days[:2])
+    assert rows(read().select(*edits.columns)) == rows(edits) and compacted_days(spark, path)[days[0]] == 2
+    # A compaction that did not get to its note is not read.
+    compacted = read_table(spark, path, EDITS).limit(7)
+    append_batch(compacted.drop("ingest_date", "batch_id"), f"{path}_compacted/upto=9", 0, day)
+    assert rows(read().select(*edits.columns)) == rows(edits)
+
+
+def test_exact_editors_merge_over_days(spark):
+    """200,000 editors, each on several days and wikis, against a distinct count."""
+    from tallybrook.operators.exact_editors import count_editors, editor_bitmaps, number_editors
+
+    edits = spark.range(600_000).select(
+        F.concat(F.lit("u"), (F.col("id") * 7919 % 200_003).cast("string")).alias("user"),
+        F.concat(F.lit("w"), (F.col("id") % 3).cast("string")).alias("wiki"),
+        F.expr("date_add(date'2024-01-01', cast(id % 7 as int))").alias("day")).withColumn(
+        "user", F.when(F.col("user") != "u5", F.col("user")))
+    nobody = spark.createDataFrame([], "user string, number long")
+    numbers = number_editors(edits, nobody, per_chunk=9_000)
+    found = numbers.agg(F.count("*"), F.countDistinct("number"), F.min("number"), F.max("number"), F.countDistinct("user")).first()
+    assert tuple(found) == (200_002, 200_002, 1, 200_002, 200_002)
+    days = editor_bitmaps(edits, numbers, "day", "wiki")
+    for keys in ([], ["wiki"], ["day", "wiki"]):
+        want = edits.groupBy(*keys).agg(F.countDistinct("user").alias("editors"))
+        assert rows(count_editors(days, keys)) == rows(want)
+
+
+def test_editors_keep_their_numbers(spark):
+    from tallybrook.operators.exact_editors import number_editors
+
+    users = lambda *names: spark.createDataFrame([(n,) for n in names], "user string")
+    known = spark.createDataFrame([("a", 1), ("b", 7)], "user string, number long")
+    fresh = number_editors(users("b", "c", "c", None, "d"), known)
+    assert sorted(r["user"] for r in fresh.collect()) == ["c", "d"]
+    assert sorted(r["number"] for r in fresh.collect()) == [8, 9] and rows(fresh) == rows(number_editors(users("d", "c"), known))
+
+
+def test_stored_editors_are_exact_over_batches(spark, landed, tmp_path):
+    from tallybrook.operators.exact_editors import count_editors
+    from tallybrook.streaming.stored import store_batch
+
+    tables, messages = StoredTables(spark, str(tmp_path)), spark.read.parquet(landed["messages"])
+    parts = [judged(messages.filter(f"offset % 3 = {k}")).withColumn("seen_at", F.lit("2024-02-01").cast("timestamp")) for k in range(3)]
+    for n in (0, 1, 1, 2):
+        store_batch(parts[n], n, tables, exact_editors=True)
+    want = clean_rows(judged(messages)).groupBy("wiki").agg(F.countDistinct("user").alias("editors")).filter("editors > 0")
+    assert rows(count_editors(tables.day_editors(), ["wiki"])) == rows(want)
+    assert tables.editor_numbers().groupBy("user").count().filter("count > 1").count() == 0
+
+
+def test_new_messages_read_no_stored_file(spark, landed, tmp_path):
+    """Only batches whose offsets meet a batch's own are looked up for redeliveries."""
+    from tallybrook.streaming.stored import batch_offsets, overlapping_batches, store_batch
+
+    tables, messages = StoredTables(spark, str(tmp_path)), spark.read.parquet(landed["messages"])
+    parts = [judged(messages.filter(f)).withColumn("seen_at", F.lit("2024-02-01").cast("timestamp"))
+             for f in ("offset < 300", "offset between 300 and 599", "offset between 250 and 320", "offset >= 600")]
+    for n in (0, 1):
+        store_batch(parts[n], n, tables, redelivery_days=40)
+    met = lambda part, n: overlapping_batches(batch_offsets(part), tables, n, dt.date(2024, 1, 31), 40)
+    assert met(parts[1], 1) == [] and met(parts[2], 2) == [0, 1] and met(parts[3], 3) == []
+    store_batch(parts[2], 2, tables, redelivery_days=40)
+    store_batch(parts[3], 3, tables, redelivery_days=40)
+    assert tables.edits().count() == clean_rows(judged(messages)).count()
+
+
+def test_progress_of_a_run_as_samples(spark, landed, tmp_path):
+    from tallybrook.operators import rules
+    from tallybrook.sources.progress import ProgressTable, read_samples
+
+    listener = ProgressTable(spark, f"{tmp_path}/samples")
+    spark.streams.addListener(listener)
+    try:
+        start_stored_path(read_landed(spark, landed["messages"], files_per_trigger=1), f"{tmp_path}/tables", trigger=NOW).awaitTermination(300)
+        start_live_windows(edit_stream(spark, landed), f"{tmp_path}/slices", source="arrival", size=SIZE, grace=GRACE,
+                           trigger=NOW).awaitTermination(300)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(listener)
+    samples = read_samples(spark, f"{tmp_path}/samples")
+    total = lambda metric, **labels: sum(r["value"] for r in samples.filter(F.col("metric") == metric).collect()
+                                         if all(r["labels"].get(k) == v for k, v in labels.items()))
+    messages = spark.read.parquet(landed["messages"])
+    read = messages.count() + spark.read.parquet(landed["edits"]).count()
+    assert total("stream_batch_rows") == read
+    assert total("stream_observed", field="accepted") == clean_rows(judged(messages)).count()
+    assert samples.filter("metric = 'watermark_lag_seconds' and value > 0").count() > 0
+    # Rules read them like any others.
+    now = int(time.time())
+    lag = rules.Rule("Behind", rules.Expression("watermark_lag_seconds", window=3600, total="max"), ">", 60, 0, "warning")
+    states = {r["state"] for r in rules.alert_states(samples, [lag], now, now + 60, 60).collect()}
+    assert states == {"firing"}
+
+
 def test_redeliveries_are_dropped(spark, landed, tmp_path):
     source = f"{tmp_path}/source"
     messages = spark.read.parquet(landed["messages"])
@@ -144,8 +258,8 @@ def test_live_windows_equal_batch_slices(spark, landed, tmp_path):
     batch = windows.window_slices(edits, F.col("ingested_at"), SIZE).filter(
         F.col("window_end") + GRACE <= mark
     )
-    got = read_slices(spark, f"{tmp_path}/slices")
-    assert rows(got.select(*batch.columns)) == rows(batch)
+    got = read_slices(spark, f"{tmp_path}/slices", EVER)
+    assert rows(got.filter("total_edits > 0").select(*batch.columns)) == rows(batch)
     # Written long after the data's own time, and dropped once that is further back than a lifetime.
     assert slice_delays(got).filter("delay_seconds > 0").count() == got.count()
     now = int(time.time())
@@ -156,6 +270,13 @@ def test_live_windows_equal_batch_slices(spark, landed, tmp_path):
     assert 0 < recent.count() < got.count() and "(window_date#" in partition_filters(recent)
 
 
+def starts_of(slices):
+    out = {}
+    for r in slices.select("partition", "window_start").collect():
+        out.setdefault(r[0], []).append(r[1])
+    return {p: sorted(own) for p, own in out.items()}
+
+
 def test_restart_on_a_checkpoint_equals_one_run(spark, landed, tmp_path):
     part = f"{tmp_path}/part"
     edits = spark.read.schema(EDITS).parquet(landed["edits"])
@@ -170,8 +291,28 @@ def test_restart_on_a_checkpoint_equals_one_run(spark, landed, tmp_path):
         stream(), f"{tmp_path}/whole", f"{tmp_path}/cp2", source="arrival", size=SIZE,
         grace=GRACE, trigger=NOW,
     ).awaitTermination(300)
-    stopped, whole = (read_slices(spark, f"{tmp_path}/{n}").drop("written_at") for n in ("stopped", "whole"))
+    stopped, whole = (read_slices(spark, f"{tmp_path}/{n}", EVER).drop("written_at") for n in ("stopped", "whole"))
     assert rows(stopped) == rows(whole)
+    # No gaps, also over the restart and in partitions that had gone quiet by then.
+    for own in starts_of(stopped).values():
+        assert own == list(range(own[0], own[-1] + 1, SIZE))
+    assert len({own[-1] for own in starts_of(stopped).values()}) == 1
+    assert stopped.filter("total_edits = 0 and size(edits_per_wiki) = 0 and bot_vs_human.human = 0").count() == stopped.filter(
+        "total_edits = 0").count() > 0
+
+
+def test_newest_slices_read_the_newest_days(spark, landed, tmp_path):
+    edits = spark.read.schema(EDITS).parquet(landed["edits"])
+    slices = windows.window_slices(edits, F.col("ingested_at"), SIZE)
+    write_slices(slices, str(tmp_path), 0)
+    starts = sorted(r[0] for r in slices.select("window_start").distinct().collect())
+    for n in (1, 40, len(starts), len(starts) + 10):
+        newest = newest_slices(spark, str(tmp_path), n)
+        assert sorted(r[0] for r in newest.select("window_start").distinct().collect()) == starts[-n:]
+        assert rows(newest.select(*slices.columns)) == rows(slices.filter(F.col("window_start") >= starts[-n:][0]))
+    few = newest_slices(spark, str(tmp_path), 5)
+    assert "(window_date#" in partition_filters(few)
+    assert newest_slices(spark, f"{tmp_path}/none", 5).count() == 0
 
 
 def test_live_totals_write_revisions(spark, landed, tmp_path):

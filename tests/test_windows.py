@@ -26,12 +26,12 @@ def at(*seconds):
     return [(s,) for s in seconds]
 
 
-@pytest.mark.parametrize("ts, start", [
-    (0, 0), (4.999, 0), (5, 5), (9.2, 5), (100, 100), (1718700003.7, 1718700000),
-])
-def test_alignment(spark, ts, start):
-    row = edits(spark, at(ts)).select(window_start(F.col("at"), 5)).first()
-    assert row[0] == start
+def test_alignment(spark):
+    """On the edges, just below them, and anywhere."""
+    rng = random.Random(12)
+    moments = [k * 7 + d for k in (0, 1, 99, 250_000_000) for d in (0, 6.999, 3)] + [rng.uniform(0, 2e9) for _ in range(50)]
+    got = edits(spark, at(*moments)).select("ts", window_start(F.col("at"), 7).alias("start")).collect()
+    assert len(got) == len(moments) and all(r["start"] == int(r["ts"] // 7) * 7 for r in got)
 
 
 def one_summary(spark, rows, size=5):
@@ -46,11 +46,15 @@ def test_placeholders(spark):
     assert tuple(s["bot_vs_human"]) == (0, 1)
 
 
-def test_top_five_editors(spark):
-    rows = [(1, "w", "edit", f"user{u}", False) for u in range(8) for _ in range(u + 1)]
-    (s,) = one_summary(spark, rows)
-    assert [tuple(x) for x in s["top_editors"]] == [(f"user{u}", u + 1) for u in (7, 6, 5, 4, 3)]
-    assert s["total_edits"] == 36 and s["edits_per_second"] == 7.2
+def test_editors_are_cut_to_the_first(spark):
+    """As many as are kept, by count and name, out of twice as many."""
+    k = windows.TOP_EDITORS
+    counts = {f"editor-{n:02}": 1 + n // 2 for n in range(2 * k)}
+    rows = [(3, "w", "edit", user, False) for user, n in counts.items() for _ in range(n)]
+    (s,) = one_summary(spark, rows, 20)
+    first = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]
+    assert [tuple(x) for x in s["top_editors"]] == first
+    assert (s["total_edits"], s["edits_per_second"]) == (sum(counts.values()), round(sum(counts.values()) / 20, 2))
 
 
 def test_breakdowns_add_up_and_order_does_not_matter(spark):
@@ -64,38 +68,52 @@ def test_breakdowns_add_up_and_order_does_not_matter(spark):
     assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))
 
 
-def slice_row(start, partition, total, bot=0, wikis=(), users=()):
-    return (start, start + 5, partition, total, total / 5, list(wikis), (bot, total - bot),
-            [("edit", total)], list(users))
+def slice_row(start, partition, total, bot=0, wikis=(), users=(), size=5):
+    values = {
+        "window_start": start, "window_end": start + size, "partition": partition, "total_edits": total,
+        "edits_per_second": total / size, "edits_per_wiki": list(wikis), "bot_vs_human": (bot, total - bot),
+        "edit_types": [("edit", total)], "top_editors": list(users), "written_at": None,
+    }
+    return tuple(values[name] for name in SLICE.names)
 
 
 def slices(spark, *rows):
     return spark.createDataFrame(list(rows), SLICE)
 
 
-def test_merge_recomputes_the_rate(spark):
-    (m,) = windows.merge_slices(slices(
-        spark, slice_row(100, 0, 10, 4, [("en", 10)]), slice_row(100, 3, 15, 1, [("de", 15)])
-    )).collect()
-    assert (m["total_edits"], m["edits_per_second"], m["partitions"]) == (25, 5.0, 2)
-    assert [tuple(x) for x in m["edits_per_wiki"]] == [("de", 15), ("en", 10)]
-    assert tuple(m["bot_vs_human"]) == (5, 20) and m["window_end"] == 105
-
-
-def test_ties_go_by_name(spark):
-    (m,) = windows.merge_slices(slices(
-        spark, slice_row(100, 0, 1, users=[("b", 1)]), slice_row(100, 1, 1, users=[("a", 1)])
-    )).collect()
-    assert [tuple(x) for x in m["top_editors"]] == [("a", 1), ("b", 1)]
-
-
-def test_history_point_equals_the_merge(spark):
-    data = slices(spark, slice_row(100, 0, 13, 3), slice_row(100, 3, 104, 9), slice_row(105, 0, 2))
-    points = {r["t"]: r for r in windows.window_points(data).collect()}
-    for m in windows.merge_slices(data).collect():
-        p = points[m["window_start"]]
-        assert (p["total"], p["rate"], p["bot"]) == (
-            m["total_edits"], m["edits_per_second"], m["bot_vs_human"]["bot"])
+@pytest.mark.parametrize("seed", range(3))
+def test_merge_adds_up_generated_slices(spark, seed):
+    """Totals, bots, wikis and types are sums; the rate is that of the merged total, whatever the slices say."""
+    rng = random.Random(seed)
+    rows, want = [], {}
+    for start in range(0, 40, 10):
+        for partition in range(rng.randrange(1, 6)):
+            wikis = [(w, rng.randrange(1, 90)) for w in rng.sample("abcdef", rng.randrange(1, 5))]
+            total = sum(n for _, n in wikis)
+            bot = rng.randrange(total + 1)
+            rows.append(slice_row(start, partition, total, bot, wikis, size=10))
+            held = want.setdefault(start, [0, 0, 0, {}])
+            held[0] += total
+            held[1] += bot
+            held[2] += 1
+            for w, n in wikis:
+                held[3][w] = held[3].get(w, 0) + n
+    data = slices(spark, *rows)
+    merged = {m["window_start"]: m for m in windows.merge_slices(data).collect()}
+    points = {p["t"]: p for p in windows.window_points(data).collect()}
+    assert set(merged) == set(points) == set(want)
+    for start, (total, bot, count, wikis) in want.items():
+        m, p = merged[start], points[start]
+        assert (m["total_edits"], m["partitions"], m["window_end"], tuple(m["bot_vs_human"])) == (total, count, start + 10, (bot, total - bot))
+        assert (m["edits_per_second"], p["rate"]) == (round(total / 10, 2),) * 2 and (p["total"], p["bot"]) == (total, bot)
+        assert [tuple(x) for x in m["edits_per_wiki"]] == sorted(wikis.items(), key=lambda x: (-x[1], x[0]))
+        assert [tuple(x) for x in m["edit_types"]] == [("edit", total)]
+
+
+def test_equal_counts_of_two_slices_go_by_name(spark):
+    users = [("delta", 4), ("alpha", 4), ("omega", 9)]
+    (m,) = windows.merge_slices(slices(spark, *[slice_row(30, p, 4, users=[u]) for p, u in enumerate(users)])).collect()
+    assert [tuple(x) for x in m["top_editors"]] == [("omega", 9), ("alpha", 4), ("delta", 4)]
 
 
 def test_an_even_user_is_first_only_when_counted_whole(spark):
@@ -112,17 +130,17 @@ def test_an_even_user_is_first_only_when_counted_whole(spark):
     assert all(r["user"].startswith("local") for r in lossy)
 
 
-def test_trim_latest_and_history(spark):
-    data = slices(spark, *[slice_row(100 + 5 * i, p, i + 1) for i in range(20) for p in (0, 1)])
-    kept = windows.trim(data, 12)
-    assert {r["window_start"] for r in kept.collect()} == {100 + 5 * i for i in range(8, 20)}
-    assert kept.count() == 24
-    history = windows.window_history(data, limit=12).collect()
-    assert [r["t"] for r in history] == [100 + 5 * i for i in range(8, 20)]
+def test_newest_windows_of_slices(spark):
+    starts = [1000 + 50 * i for i in range(9)]
+    data = slices(spark, *[slice_row(s, p, 1 + p, size=50) for s in starts for p in range(1 + s % 3)])
+    for n in (1, 4, 9, 30):
+        kept = windows.trim(data, n)
+        assert {r["window_start"] for r in kept.collect()} == set(starts[-n:])
+        assert [r["t"] for r in windows.window_history(data, limit=n).collect()] == starts[-n:]
     for limit in (0, windows.HISTORY_WINDOWS + 1):
         with pytest.raises(ValueError, match="windows"):
             windows.window_history(data, limit=limit)
-    assert [r["window_start"] for r in windows.window_latest(data).collect()] == [195]
+    assert [r["window_start"] for r in windows.window_latest(data).collect()] == starts[-1:]
 
 
 def test_window_view(spark):
@@ -138,13 +156,14 @@ def test_ttl(spark):
     assert [r["window_start"] for r in kept] == [2]
 
 
-def test_versions(spark):
-    rows = [(100, 0, 1, 13), (100, 3, 1, 104), (215, 2, 1, 7), (215, 2, 2, 144)]
+def test_the_newest_version_of_each_key_wins(spark):
+    rng = random.Random(3)
+    rows = [(s, p, v, rng.randrange(99)) for s in (50, 55) for p in (0, 1, 4) for v in range(1, rng.randrange(2, 5))]
     table = spark.createDataFrame(rows, "window_start long, partition int, version long, total long")
     replayed = table.unionByName(table)
     latest = windows.latest_version(replayed, ["window_start", "partition"]).collect()
-    assert {(r["window_start"], r["partition"]): r["total"] for r in latest} == {
-        (100, 0): 13, (100, 3): 104, (215, 2): 144}
+    assert {(r["window_start"], r["partition"]): (r["version"], r["total"]) for r in latest} == {
+        (s, p): (v, n) for s, p, v, n in rows}
 
 
 def test_changes_skip_equal_totals(spark):
@@ -156,114 +175,109 @@ def test_changes_skip_equal_totals(spark):
 
 # -- lateness -----------------------------------------------------------------
 
-def emitted(spark, seconds, polls, grace, cap=12, size=5):
-    data = edits(spark, at(*seconds)).join(
-        spark.createDataFrame(list(enumerate(polls)), "kafka_offset long, p long"), "kafka_offset"
-    )
-    out = lateness.emitted_windows(data, F.col("at"), F.col("p"), size, grace, cap).collect()
-    fate = lateness.disposition(data, F.col("at"), F.col("p"), size, grace, cap).first().asDict()
-    return sorted((r["window_start"], r["events"], r["status"]) for r in out), fate
-
-
-@pytest.mark.parametrize("now, closed", [(105, 0), (106.9, 0), (107.0, 1)])
-def test_grace_is_inclusive(spark, now, closed):
-    out, _ = emitted(spark, [100, now], [0, 1], grace=2)
-    assert sum(1 for w in out if w[2] == "emitted" and w[0] == 100) == closed
-
-
-def test_quiet_windows_are_zero(spark):
-    out, _ = emitted(spark, [100, 120], [0, 1], grace=0)
-    assert [w[:2] for w in out if w[2] == "emitted"] == [(100, 1), (105, 0), (110, 0), (115, 0)]
-
-
-def test_stall(spark):
-    out, _ = emitted(spark, [100, 106, 111, 117, 125], [0, 0, 0, 0, 1], grace=0)
-    assert [w[:2] for w in out if w[2] == "emitted"] == [
-        (100, 1), (105, 1), (110, 1), (115, 1), (120, 0)]
-
-
-def test_clock_jump_is_capped_and_counted(spark):
-    out, fate = emitted(spark, [100, 100_000], [0, 1], grace=0)
-    assert sum(1 for w in out if w[2] == "emitted") == 12
-    assert (fate["dropped_events"], fate["open_events"], fate["late_events"]) == (1, 1, 0)
-    out, fate = emitted(spark, [100, 100_000], [0, 1], grace=0, cap=None)
-    assert fate["emitted_events"] == 1 and len(out) == (100_000 - 100) // 5 + 1
-
-
-def test_late_and_straggler(spark):
-    _, fate = emitted(spark, [100, 110, 101, 112], [0, 1, 2, 2], grace=0)
-    assert fate["late_events"] == 1
-    out, fate = emitted(spark, [100, 106, 104, 109], [0, 1, 2, 3], grace=3)
-    assert fate["late_events"] == 0 and (100, 2, "emitted") in out
-
-
-def test_origin_hides_what_was_before(spark):
-    _, fate = emitted(spark, [100, 90, 112], [0, 0, 1], grace=0)
-    assert fate["late_events"] == 1
-    flagged = lateness.apply_origin(edits(spark, at(100, 90, 112)), F.col("at"), 5).collect()
-    assert [r["ts"] for r in flagged if r["before_origin"]] == [90.0]
-
-
-def test_watermark_never_goes_back(spark):
-    data = edits(spark, at(100, 112, 107))
-    marks = lateness.running_watermark(data, F.col("at"), F.floor(F.col("kafka_offset") / 2)).collect()
-    assert [r["watermark_us"] // 1_000_000 for r in sorted(marks, key=lambda r: r["kafka_offset"])] == [100, 112, 112]
-    assert lateness.partition_watermark(data, F.col("at")).first()["watermark"] == (
-        dt.datetime.fromtimestamp(112, dt.timezone.utc).replace(tzinfo=None))
-
-
-def replay_rowwise(rows, size, grace, cap):
-    """Brute force: poll by poll, window by window."""
-    through = mark = None
-    held, out, late, dropped = {}, {}, 0, 0
-    for poll in sorted({p for p, _ in rows}):
-        for ts in [t for p, t in rows if p == poll]:
-            start = ts // size * size
-            mark = ts if mark is None else max(mark, ts)
-            if through is None:
-                through = start - size
-            if start <= through:
-                late += 1
-            else:
-                held[start] = held.get(start, 0) + 1
-        newest = (mark - grace) // size * size - size
-        if newest > through:
-            first = max(through + size, newest - (cap - 1) * size)
-            dropped += sum(held.pop(s) for s in [s for s in held if s < first])
-            for s in range(first, newest + 1, size):
-                out[s] = held.pop(s, 0)
-            through = newest
-    return out, late, dropped, sum(held.values())
-
-
-@pytest.mark.parametrize("seed", range(4))
-def test_replay_equals_brute_force(spark, seed, monkeypatch):
+def read_one_by_one(rows, size, grace):
+    """(offset, window, late) of (partition, clock) rows in order, their partitions' marks and the open windows' lowest offsets."""
+    marks, out = {}, []
+    for offset, (partition, clock) in enumerate(rows):
+        start = clock // size * size
+        before = marks.get(partition)
+        out.append((partition, offset, start, before is not None and start + size + grace <= before))
+        marks[partition] = clock if before is None else max(before, clock)
+    return out, marks
+
+
+def generated(seed, count=400):
+    """Clocks of three partitions, one of which has most rows, moving on with jumps and running behind."""
+    rng = random.Random(seed)
+    clock, rows = 10_000, []
+    for _ in range(count):
+        clock += rng.choice([0, 1, 2, 2, 40 if seed % 2 else 3])
+        rows.append((rng.choice([0, 0, 0, 1, 2]), max(1, clock - rng.choice([0, 0, 3, 12, 30]))))
+    return rows
+
+
+def clocks(spark, rows):
+    return edits(spark, [(clock, "w", "edit", "u", False, partition) for partition, clock in rows])
+
+
+@pytest.mark.parametrize("seed, chunk", [(0, 1), (1, 7), (2, 50), (3, 100_000)])
+def test_lateness_equals_reading_one_by_one(spark, seed, chunk):
+    """At any chunk: an edit on a chunk's edge is judged by all that came before it."""
+    size, grace, rows = 7, 4, generated(seed)
+    data, cut = clocks(spark, rows), F.floor(F.col("kafka_offset") / chunk)
+    judged, marks = read_one_by_one(rows, size, grace)
+    late = lateness.late_events(data, F.col("at"), size, grace, cut).collect()
+    assert sorted((r["kafka_partition"], r["kafka_offset"], r["window_start"]) for r in late) == sorted(
+        x[:3] for x in judged if x[3])
+    want = {}
+    for partition, _, start, is_late in judged:
+        place = 0 if is_late else 1 if start + size + grace <= marks[partition] else 2
+        want.setdefault(partition, [0, 0, 0])[place] += 1
+    got = lateness.disposition(data, F.col("at"), size, grace, cut).collect()
+    assert {r["kafka_partition"]: [r["late_events"], r["closed_events"], r["open_events"]] for r in got} == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_restart_offset_is_the_first_an_open_window_needs(spark, seed):
+    size, grace, rows = 7, 4, generated(seed)
+    judged, marks = read_one_by_one(rows, size, grace)
+    got = {r["kafka_partition"]: (r["safe"], r["end_offset"]) for r in lateness.restart_offsets(
+        clocks(spark, rows), F.col("at"), size, grace).collect()}
+    for partition, mark in marks.items():
+        own = [x for x in judged if x[0] == partition]
+        needed = [offset for _, offset, start, _ in own if start + size + grace > mark]
+        assert got[partition] == (min(needed), own[-1][1] + 1)
+
+
+@pytest.mark.parametrize("past, closed", [(-0.001, 0), (0, 1)])
+def test_a_window_closes_on_its_end_plus_grace(spark, past, closed):
+    end, grace = 7 * 12, 2.5
+    counts = spark.createDataFrame([(0, end - 7, 3)], "kafka_partition int, window_start long, events long")
+    marks = spark.createDataFrame([(0, end + grace + past)], "kafka_partition int, s double").select(
+        "kafka_partition", F.timestamp_seconds("s").alias("watermark"))
+    assert lateness.closed_windows(counts, marks, 7, grace).count() == closed
+
+
+@pytest.mark.parametrize("seed, cap", [(0, None), (1, 3), (2, 1), (3, 0)])
+def test_gaps_are_filled_up_to_the_cap(spark, seed, cap):
     rng = random.Random(seed)
-    clock, rows = 1000, []
-    for i in range(150):
-        clock += rng.choice([0, 1, 3, 9, 80 if seed % 2 else 2])
-        rows.append((i // rng.choice([3, 4]), max(1, clock - rng.randrange(25))))
-    rows = sorted(rows, key=lambda r: r[0])
-    whole = lateness.routed_counts
-    monkeypatch.setattr(lateness, "routed_counts", lambda *a: whole(*a, polls_per_chunk=(2, 5, 7, 10_000)[seed]))
-    out, fate = emitted(spark, [t for _, t in rows], [p for p, _ in rows], grace=4, cap=6)
-    want, late, dropped, held = replay_rowwise(rows, 5, 4, 6)
-    assert {w[0]: w[1] for w in out if w[2] == "emitted"} == want
-    assert (fate["late_events"], fate["dropped_events"], fate["open_events"]) == (late, dropped, held)
-
-
-def test_released_offsets_can_pass_an_open_window(spark):
-    """Offset 1 belongs to a window still open when offset 2's window closes."""
-    data = edits(spark, at(100, 111, 103, 109))
-    row = lateness.released_offsets(data, F.col("at"), F.lit(0), 5, 0).first()
-    assert (row["released"], row["safe"]) == (4, 1)
-
-
-def test_densify(spark):
-    counts = spark.createDataFrame([(0, 100, 3), (0, 115, 1), (1, 100, 2)],
+    size, starts = 5, {p: sorted(rng.sample(range(0, 200_000, 5), 25) + [0, 5]) for p in (0, 1)}
+    starts[0] += [200_000 + 5 * k for k in range(4)]
+    counts = {(p, s): rng.randrange(1, 9) for p, own in starts.items() for s in set(own)}
+    want = {}
+    for p in starts:
+        before = None
+        for s in sorted({s for q, s in counts if q == p}):
+            gap = [] if before is None else list(range(before + size, s, size))
+            kept = gap if cap is None else gap[len(gap) - min(cap, len(gap)):]
+            want.update({(p, g): (0, 0) for g in kept})
+            want[p, s] = (counts[p, s], len(gap) - len(kept))
+            before = s
+    df = spark.createDataFrame([(p, s, n) for (p, s), n in counts.items()], "kafka_partition int, window_start long, events long")
+    got = {(r[0], r[1]): (r[2], r[3]) for r in lateness.fill_gaps(df, size, cap).collect()}
+    assert got == want
+
+
+def test_what_is_before_the_first_window_is_flagged(spark):
+    rows = [(0, 700), (1, 40), (0, 699), (0, 713), (1, 41), (1, 34)]
+    flagged = lateness.apply_origin(clocks(spark, rows), F.col("at"), 7).filter("before_origin").collect()
+    assert sorted(r["kafka_offset"] for r in flagged) == [2, 5]
+
+
+def test_watermark_is_the_highest_clock_so_far(spark):
+    rows = generated(5, 120)
+    _, marks = read_one_by_one(rows, 7, 0)
+    got = lateness.partition_watermark(clocks(spark, rows), F.col("at")).collect()
+    assert {r["kafka_partition"]: int(r["watermark"].replace(tzinfo=dt.timezone.utc).timestamp()) for r in got} == marks
+
+
+def test_densify_fills_between_first_and_last(spark):
+    """Over several days, so that the grid is made in parts."""
+    starts = {0: [80_000, 90_000, 260_000], 1: [86_000]}
+    counts = spark.createDataFrame([(p, s, 2) for p, own in starts.items() for s in own],
                                    "kafka_partition int, window_start long, events long")
-    out = lateness.densify(counts, 5).collect()
-    assert sorted(map(tuple, out)) == [(0, 100, 3), (0, 105, 0), (0, 110, 0), (0, 115, 1), (1, 100, 2)]
+    got = {(r[0], r[1]): r[2] for r in lateness.densify(counts, 500).collect()}
+    assert got == {(p, s): 2 if s in own else 0 for p, own in starts.items() for s in range(own[0], own[-1] + 1, 500)}
 
 
 def test_clock_falls_back_to_arrival(spark):
