@@ -41,15 +41,33 @@ def ship_package(spark: SparkSession) -> None:
     context._tallybrook_shipped = True
 
 
+_tables: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """
     Write ``df`` to the folder all executors share and read it back.
 
-    Cuts the lineage: a lost executor costs the tasks it ran, not the steps before.
+    Cuts the lineage: a lost executor costs the tasks it ran, not the steps before. The tables of a
+    session are in one folder, and may be removed once the result that reads them is written.
     """
-    path = f"{shared_folder(df.sparkSession, 'llm')}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark, 'llm')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _tables.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def tables_so_far() -> int:
+    return len(_tables)
+
+
+def remove_stored(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Remove the tables stored since ``tables_so_far`` gave ``since``, but for the last ``keep``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _tables[since:len(_tables) - keep]:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 HOT_SHARE = 1024
