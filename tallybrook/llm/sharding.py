@@ -11,7 +11,8 @@ run of equal sizes is placed at once, with the result it would have one by one.
 rounded up to 16 significant bits first, which bounds the histogram by about a million entries
 at any corpus size and lets no bin overflow. The histogram is all that reaches the driver;
 groups learn their bin from their rank within their size, and rows their place in the shard,
-from counts per hash bucket, so neither a frequent size nor a full shard is in one task.
+from counts per hash bucket, so neither a frequent size nor a full shard is in one task; nor is a
+frequent text, as its rows get their shard by broadcast and are ranked by their numbers.
 
 Null texts count 1 byte (their CRC is that of no bytes). An empty table gives no rows. Null
 and repeated ids are rows like any other. Other columns are not read.
@@ -24,7 +25,7 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.base import partitions, stored
+from tallybrook.llm.base import partitions, spread_join, stored
 
 SHARDS = 16
 
@@ -157,7 +158,7 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     size = F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long")) + 1
     rows = stored(docs.select(
         "doc_id", size.alias("size"), F.coalesce(F.crc32("text"), F.lit(0).cast("long")).alias("text_crc32"),
-        F.coalesce(F.sha2("text", 256), F.lit("")).alias("text_sha")), "shard-rows")
+        F.coalesce(F.sha2("text", 256), F.lit("")).alias("text_sha"), F.monotonically_increasing_id().alias("row_number")), "shard-rows")
     groups = stored(rows.groupBy("text_sha").agg(F.sum("size").alias("total")).withColumn(
         "class", size_class(F.col("total"))), "shard-groups")
     sizes = [(r["class"], r["n"]) for r in groups.groupBy("class").agg(F.count("*").alias("n")).collect()]
@@ -168,9 +169,9 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     # The runs are bounded by the histogram, whose entries are bounded by the rounding.
     placed = numbered.join(F.broadcast(table), (F.col("class") == F.col("run_class")) & (
         F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("upto"))).select(
-            F.col("text_sha").alias("group_sha"), "shard")
-    sharded = rows.join(placed, F.col("text_sha") == F.col("group_sha"))
-    return ranked(sharded, ["shard"], ["doc_id", "text_sha"], "slot", buckets).select(
+            "text_sha", "shard")
+    sharded = spread_join(rows, placed, "text_sha")
+    return ranked(sharded, ["shard"], ["row_number"], "slot", buckets).select(
         "doc_id", "size", "text_crc32", "shard", "slot")
 
 
