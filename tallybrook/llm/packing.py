@@ -5,9 +5,10 @@ A document is its token ids and an end mark. One longer than a sequence is cut i
 pieces, of which the first may be shorter. Pieces are then packed: a bin starts with the
 longest piece left and takes the longest that fits until none does; if a gap stays, the bin's
 smallest piece is traded for the two unpacked pieces that fill the widened gap best, if they
-fill it better. Where a chunk needs fewer bins without the trades, it is packed without them.
+fill it better. A chunk is packed with several least gaps to trade for, until one needs no more bins
+than the sum of lengths does, or else with the best of them.
 
-Pieces are packed in chunks of about ``CHUNK`` pieces, drawn by a hash of the piece, each in one
+Pieces are packed in chunks of about ``CHUNK`` pieces, drawn by a hash of the row's number, each in one
 task, as a histogram of lengths with a bit set of the lengths left; a chunk loses at most its
 last bins to the cut, far below one in a thousand. Memory is bounded by the chunk, and the number
 of chunks grows with the input.
@@ -15,7 +16,7 @@ of chunks grows with the input.
 Token ids come from the vocabulary file given (a rank file); ``tests/llm`` hold them against
 the ``tokenizers`` file of the same vocabulary, which finds the special token in texts as well.
 Null texts count as empty: a piece of the end mark only. Every row is packed, null and repeated
-ids included. Other columns are not read.
+ids included. Very long texts are tokenised whole and cut. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from tallybrook.llm.base import ship_package, stored
 
 LENGTH, END = 1024, 2
 CHUNK = 50_000
+GAPS = (1, 2, 4, 8, 16, 32, 64)
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SPECIAL = {"<|endoftext|>": 50256}
 
@@ -110,12 +112,24 @@ def two_that_fit(left: int, counts: list[int], gap: int, more_than: int) -> tupl
 
 
 def fewest_bins(lengths: list[int], length: int) -> list[list[int]]:
-    """Best-two-fit, or the greedy filling alone where trading ends with more bins."""
-    return min((best_two_fit(lengths, length, trade) for trade in (True, False)), key=len)
-
-
-def best_two_fit(lengths: list[int], length: int, trade: bool = True) -> list[list[int]]:
-    """Bins as lists of lengths."""
+    """
+    Best-two-fit with the ``GAPS`` from which on it trades, and of these the filling with the fewest bins.
+
+    Where small gaps are traded too, the pieces left over at the end get too alike to fill the last
+    bins. The greedy filling alone counts only where no trades come up to it.
+    """
+    best, bound = None, ceil(sum(lengths) / length)
+    for least in (*GAPS, length + 1):
+        bins = best_two_fit(lengths, length, least)
+        if best is None or len(bins) < len(best):
+            best = bins
+        if len(best) == bound:
+            break
+    return best
+
+
+def best_two_fit(lengths: list[int], length: int, least: int = 1) -> list[list[int]]:
+    """Bins as lists of lengths; gaps of ``least`` or more are traded for."""
     counts, left, bins = [0] * (length + 1), 0, []
     for n in lengths:
         counts[n] += 1
@@ -138,7 +152,7 @@ def best_two_fit(lengths: list[int], length: int, trade: bool = True) -> list[li
             take(n)
             bin_.append(n)
             gap -= n
-        if trade and gap and left:
+        if gap >= least and left:
             smallest = bin_[-1]
             if pair := two_that_fit(left, counts, gap + smallest, smallest):
                 bin_.pop()
@@ -172,10 +186,11 @@ def _packer(length: int):
 
 def pack(rows: DataFrame, length: int = LENGTH, chunk: int = CHUNK) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``, their place there."""
-    rows = stored(rows, "pieces")
-    chunks = max(1, ceil(rows.count() / chunk))
-    drawn = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(chunks)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", sequence_id long, offset long"
+    numbered = stored(rows.withColumn("row_number", F.monotonically_increasing_id()), "pieces")
+    chunks = max(1, ceil(numbered.count() / chunk))
+    # By the number of the row, so that equal pieces, however many, are spread like others.
+    drawn = numbered.withColumn("chunk", F.pmod(F.xxhash64("row_number"), F.lit(chunks))).drop("row_number")
     return drawn.groupBy("chunk").applyInArrow(_packer(length), schema)
 
 
