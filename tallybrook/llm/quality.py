@@ -16,7 +16,7 @@ number of documents with a weight above the value that best divides the labelled
 good one is weighed without its own share in the target.
 
 Raw counts cover all documents. The target model and the division use at most about ``SAMPLE``
-labelled rows, chosen by a hash of their id. A model is ``BUCKETS`` numbers at any input size.
+labelled ids, chosen by a hash, the division one row of each. A model is ``BUCKETS`` numbers at any input size.
 
 Texts without n-grams (null and empty ones too) have weight 0: as likely in the target as in the raw text. Labels that are null or name no document are not used; of
 several labels of one id the worst counts. Without labels of either kind all documents are kept. Documents
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ BUCKETS = 1 << BITS
 SAMPLE = 200_000
 PRIOR, DOUBT, FLOOR = 0.5, 10.0, 0.05
 TEMPERATURE = 0.01
+# Names that no table has.
+WEIGHT, NOISY = (f"{name}-{uuid4().hex}" for name in ("weight", "noisy"))
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +94,7 @@ class Model:
     least: float = float("-inf")
 
 
-def _scorer(ratios):
+def _scorer(ratios, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             weights = np.zeros(batch.num_rows)
@@ -100,17 +103,17 @@ def _scorer(ratios):
                 rows = len(offsets) - 1
                 sums = np.bincount(row, weights=ratios.value[bucket], minlength=rows)
                 weights[first:first + rows] = sums / np.sqrt(np.maximum(words, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weights)], [*batch.schema.names, "__weight"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weights)], [*batch.schema.names, name])
 
     return run
 
 
 def weighed(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``__weight``."""
+    """``docs`` with a column ``WEIGHT``."""
     ship_package(docs.sparkSession)
     ratios = docs.sparkSession.sparkContext.broadcast(model.ratios)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __weight double"
-    return docs.mapInArrow(_scorer(ratios), schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{WEIGHT}` double"
+    return docs.mapInArrow(_scorer(ratios, WEIGHT), schema)
 
 
 def sampled_labels(labels: DataFrame) -> DataFrame:
@@ -132,7 +135,7 @@ def log_ratios(target: np.ndarray, expected: np.ndarray) -> np.ndarray:
 
 
 def _rate(held):
-    """``good, __weight`` of labelled rows; good ones weigh as if the target did not hold them."""
+    """``good, weight`` of labelled rows; good ones weigh as if the target did not hold them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, raw, share = held.value
         ratios = log_ratios(target, raw * share)
@@ -149,7 +152,7 @@ def _rate(held):
                 without = log_ratios(np.maximum(target[at] - own, 0), np.maximum(raw[at] - own, 0) * share)
                 sums[inside] = np.bincount(keys // BUCKETS, weights=without * own, minlength=rows)[inside]
                 weights[first:first + rows] = sums / np.sqrt(np.maximum(words, 1))
-            yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(weights)], ["good", "__weight"])
+            yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(weights)], ["good", "weight"])
 
     return run
 
@@ -171,11 +174,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     held[:, rows.column("bucket").to_numpy()] = rows.column("target").to_numpy(), rows.column("raw").to_numpy()
     share = target / raw
     ratios = log_ratios(held[0], held[1] * share).astype(np.float32)
-    rated = texts.join(sample, F.col("doc_id") == F.col("id")).select("text", "good")
+    # One row of each labelled id, so that there are as few as ids; repeated ones leave a task as one.
+    own = F.min(F.struct(F.xxhash64("text").alias("key"), "text", "good")).alias("own")
+    rated = texts.join(sample, F.col("doc_id") == F.col("id")).groupBy("id").agg(own).select("own.text", "own.good")
     sent = docs.sparkSession.sparkContext.broadcast((*held, share))
-    rows = rated.mapInArrow(_rate(sent), "good boolean, __weight double").toArrow()
+    rows = rated.mapInArrow(_rate(sent), "good boolean, weight double").toArrow()
     good = rows.column("good").to_numpy().astype(bool)
-    return Model(ratios, dividing_weight(rows.column("__weight").to_numpy(), good))
+    return Model(ratios, dividing_weight(rows.column("weight").to_numpy(), good))
 
 
 def dividing_weight(weights: np.ndarray, good: np.ndarray) -> float:
@@ -217,25 +222,25 @@ def kth_largest(values: DataFrame, column: str, k: int, bins: int = 4096) -> flo
 
 
 def cut_of(weights: DataFrame, model: Model) -> float:
-    """The noisy weight from which on documents are drawn; ``weights(__weight, __noisy)``."""
-    k = weights.filter(F.col("__weight") >= model.least).count()
-    return kth_largest(weights, "__noisy", k) if k else float("inf")
+    """The noisy weight from which on documents are drawn; ``weights(WEIGHT, NOISY)``."""
+    k = weights.filter(F.col(WEIGHT) >= model.least).count()
+    return kth_largest(weights, NOISY, k) if k else float("inf")
 
 
 def _with_noise(docs: DataFrame, model: Model) -> DataFrame:
-    return weighed(docs, model).withColumn("__noisy", noisy(F.col("__weight"), "doc_id", "text"))
+    return weighed(docs, model).withColumn(NOISY, noisy(F.col(WEIGHT), "doc_id", "text"))
 
 
 def resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents drawn, with all their columns."""
     model = fit(docs, labels)
-    weights = stored(_with_noise(docs.select("doc_id", "text"), model).select("__weight", "__noisy"), "weights")
-    return _with_noise(docs, model).filter(F.col("__noisy") >= cut_of(weights, model)).drop("__weight", "__noisy")
+    weights = stored(_with_noise(docs.select("doc_id", "text"), model).select(WEIGHT, NOISY), "weights")
+    return _with_noise(docs, model).filter(F.col(NOISY) >= cut_of(weights, model)).drop(WEIGHT, NOISY)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, weight, noisy_weight, kept`` for every document."""
     model = fit(docs, labels)
-    weights = stored(_with_noise(docs.select("doc_id", "text"), model).select("doc_id", "__weight", "__noisy"), "weights")
-    return weights.select("doc_id", F.col("__weight").alias("weight"), F.col("__noisy").alias("noisy_weight"),
-                          (F.col("__noisy") >= cut_of(weights, model)).alias("kept"))
+    weights = stored(_with_noise(docs.select("doc_id", "text"), model).select("doc_id", WEIGHT, NOISY), "weights")
+    return weights.select("doc_id", F.col(WEIGHT).alias("weight"), F.col(NOISY).alias("noisy_weight"),
+                          (F.col(NOISY) >= cut_of(weights, model)).alias("kept"))
