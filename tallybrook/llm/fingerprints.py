@@ -237,8 +237,9 @@ def report(docs: DataFrame) -> DataFrame:
     """
     ship_package(docs.sparkSession)
     given = docs.schema["doc_id"].dataType.simpleString()
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text_key")]
-    ranged = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).repartitionByRange(
+    # Equal rows are told apart by their numbers, so that any number of them is cut into ranges.
+    order = [F.col("doc_id").desc_nulls_last(), F.col("text_key"), F.col("row_number")]
+    ranged = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.monotonically_increasing_id().alias("row_number")).repartitionByRange(
         partitions(docs.sparkSession), *order).sortWithinPartitions(*order).select("doc_id", "text")
     figures = ", ".join(f"{n} {t}" for n, t in FIGURES)
     done = stored(ranged.mapInArrow(_compare, f"part int, edge string, text string, doc_id {given}, {figures}"), "compared")
