@@ -6,15 +6,21 @@ by its 4-character n-grams, an unknown one of these by the 3-character n-grams i
 down to single characters; a word's boundaries count as characters. What is unknown to the end
 says nothing.
 
-Learned from at most about ``SAMPLE`` texts with a language, chosen by a hash of the text, and
-kept to the ``KNOWN`` most frequent words and n-grams of each language. Texts that are null or
-hold no letter are ``und`` with score 0, as is everything if nothing was learned. Every row
-gives one row; null ids are neither learned from nor held out. Other columns are not read.
+A word is a run of letters and the marks that go with them, such as vowel signs, in learning and
+prediction alike. Learned from about ``SAMPLE`` rows of each language at most, chosen by a hash of
+the row, so a rare language is learned as well and a text that many rows have counts as they do;
+words that the sample of a language has only once are left to their n-grams, and the ``KNOWN`` most frequent
+words and n-grams of each language are kept, ties by themselves. Texts that are null or hold no
+letter are ``und`` with score 0, as is everything if nothing was learned; of languages that score the same
+the first by name is given. Whole texts count, of any length. Every row gives one row; null ids are
+neither learned from nor held out. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,11 +32,15 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.base import ship_package, stored
 
-SAMPLE, KNOWN, LONGEST = 10_000, 20_000, 4
+SAMPLE, KNOWN, LONGEST = 2_500, 20_000, 4
 REMEMBERED = 200_000
 UNKNOWN = "und"
-# Also what Java's \\p{IsAlphabetic} matches, nearly; the model is learned with this pattern's twin.
-WORD = re.compile(r"[^\W\d_]+")
+MARKS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c).startswith("M"))
+GAP = re.compile(f"(?:[^\\w{MARKS}]|[\\d_])+")
+
+
+def words_of(text: str) -> list[str]:
+    return [word for word in GAP.split(text.lower()) if word]
 
 
 def held_out(id_: Column) -> Column:
@@ -72,7 +82,7 @@ class Model:
         if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         total = np.zeros(len(self.languages))
-        counts = Counter(WORD.findall(text.lower()))
+        counts = Counter(words_of(text))
         if len(self.memory) > REMEMBERED:
             self.memory.clear()
             self.rows.clear()
@@ -105,15 +115,31 @@ def _logs(rows: list, languages: list[str]) -> dict[str, np.ndarray]:
     return {key: np.log((held + 1) / totals) for key, held in counts.items()}
 
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each language, counted by batch."""
+    for batch in batches:
+        counts: Counter = Counter()
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            counts.update((lang, word) for word in words_of(text))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
+             pa.array(list(counts.values()), pa.int64())], ["lang", "word", "n"])
+
+
+def sampled(texts: DataFrame) -> DataFrame:
+    """About ``SAMPLE`` rows of each language at most, of rows ``lang, text``."""
+    # A row per language.
+    counts = texts.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("rows"))
+    drawn = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.col("rows")) < SAMPLE
+    return texts.join(F.broadcast(counts), F.col("lang") == F.col("of")).filter(drawn).select("lang", "text")
+
+
 def learn(docs: DataFrame) -> Model:
     """From ``docs(text, lang)``; rows without either are not used."""
+    ship_package(docs.sparkSession)
     texts = docs.filter("text is not null and lang is not null").select("lang", "text")
-    count = texts.count()
-    if count > SAMPLE:
-        texts = texts.filter(F.pmod(F.xxhash64("text"), F.lit(count)) < SAMPLE)
-    found = F.explode(F.split(F.lower("text"), r"[^\p{IsAlphabetic}]+", -1))
-    words = stored(texts.select("lang", found.alias("word")).filter("word <> ''").groupBy("lang", "word").agg(
-        F.count("*").alias("n")), "words")
+    words = stored(sampled(texts).mapInArrow(_words, "lang string, word string, n long").groupBy("lang", "word").agg(
+        F.sum("n").alias("n")), "words")
     pieces = F.expr(f"""
         flatten(transform(sequence(1, {LONGEST}), s -> transform(
             sequence(1, greatest(1, char_length(bound) - s + 1)), i -> substring(bound, i, s))))""")
