@@ -3,7 +3,9 @@
 import hashlib
 import random
 import zlib
+from functools import partial
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ ROWS = [
     (15, "aa " * 400), (16, BASE_TEXT.upper()), (17, ITEM), (18, ITEM.rsplit(" ", 6)[0]), (19, "!!! ... 123 456"),
     (20, "under the mit licence under the mit license"), (21, LONG[:-1000]),
 ]
-ODD = "shard slot words pos start end spans node label id text_key found of kept lang lead window good bucket".split()
+ODD = list(dict.fromkeys("__weight __noisy __key __id __of __kept __rows weight noisy of_id of_key kept rows row key row_number shard slot words pos start end spans node label id text_key found of kept lang lead window good bucket".split()))
 
 
 @pytest.fixture(scope="module")
@@ -126,6 +128,18 @@ def test_a_group_over_its_share_has_a_shard_of_its_own():
     assert sorted(sum(s * n for s, _, n, b in runs if b == k) for k in range(4)) == [100, 100, 100, 1000]
 
 
+def test_equal_texts_without_ids_are_spread(spark):
+    """A third of the rows alike: slots have no gaps and one shard takes them all."""
+    rows = [(None, None)] * 3000 + [(k, f"text {k}") for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = sharding.report(docs, 4).collect()
+    places = {}
+    for r in found:
+        places.setdefault(r["shard"], []).append(r["slot"])
+    assert len(found) == 9000 and all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert len({r["shard"] for r in found if r["doc_id"] is None}) == 1
+
+
 # -- personal data --------------------------------------------------------------
 
 def test_personal_data(given, odd, none, nameless):
@@ -222,7 +236,7 @@ def test_rows_are_removed_by_id_and_text(spark):
 # -- packing --------------------------------------------------------------------
 
 def check_packing(rows, texts, length=packing.LENGTH):
-    encode = packing.encoder(packing.VOCABULARY).encode_ordinary
+    encode = partial(packing.encoder(packing.VOCABULARY).encode, allowed_special=set(packing.SPECIAL), disallowed_special=())
     held, bins = {}, {}
     for r in rows:
         held.setdefault(r["doc_id"], []).append(r)
@@ -282,6 +296,49 @@ def test_special_tokens_are_found_as_by_default(spark):
     assert found[0][0][:-1] == [64, 220, 50256, 275]
 
 
+def plain_best_two_fit(lengths, length, least):
+    """The method on a list, by looking at all pairs."""
+    left, bins = sorted(lengths, reverse=True), []
+    while left:
+        bin_, gap = [], length
+        while fit := [n for n in left if n <= gap]:
+            left.remove(max(fit))
+            bin_.append(max(fit))
+            gap -= max(fit)
+        if gap >= least and left:
+            smallest = min(bin_)
+            pairs = [(a + b, max(a, b), min(a, b)) for k, a in enumerate(left) for b in left[:k] if smallest < a + b <= gap + smallest]
+            if pairs:
+                _, a, b = max(pairs)
+                bin_.remove(smallest)
+                bin_ += [a, b]
+                left.remove(a)
+                left.remove(b)
+                left.append(smallest)
+        bins.append(sorted(bin_))
+    return bins
+
+
+def test_best_two_fit_equals_looking_at_all_pairs():
+    make = random.Random(5)
+    for _ in range(150):
+        lengths = [make.randint(1, 40) for _ in range(make.randint(0, 40))]
+        for least in (1, 3, 41):
+            bins = packing.best_two_fit(lengths, 40, least)
+            assert sorted(n for b in bins for n in b) == sorted(lengths) and all(sum(b) <= 40 for b in bins)
+            assert [sum(b) for b in bins] == [sum(b) for b in plain_best_two_fit(lengths, 40, least)]
+        best = len(packing.fewest_bins(lengths, 40))
+        assert best <= min(len(plain_best_two_fit(lengths, 40, least)) for least in (1, 2, 41))
+
+
+def test_equal_pieces_without_ids_are_spread(spark):
+    """A third of the rows alike: no chunk holds more than its share."""
+    rows = [(None, "")] * 1000 + [(k, f"text {k}") for k in range(2000)]
+    packed = packing.pack(packing.pieces(spark.createDataFrame(rows, "doc_id long, text string")), chunk=100)
+    chunks = packed.groupBy(F.shiftright("sequence_id", 32)).count().agg(F.max("count"), F.sum("count")).first()
+    assert chunks[0] < 160 and chunks[1] == 3000
+
+
 def test_two_that_fit():
     make = random.Random(8)
     for _ in range(500):
@@ -459,6 +516,43 @@ def test_license_wording_without_a_name(spark):
         assert len(before.split()) <= licenses.BEFORE and len(after.split()) <= licenses.AFTER, (label, signature)
 
 
+# Written by hand: what a text says, and the labels it should have.
+LICENSED = {
+    "GPL3": "gpl-3", "LGPL3": "lgpl-3", "MPL2": "mpl-2", "WTFPLv2": "wtfpl", "GNU GPL version 3": "gpl-3", "GPLv2": "gpl-2",
+    "GNU General Public Licence v3": "gpl-3", "The MIT licence.": "mit", "LGPL v2.1": "lgpl-2.1", "AGPLv3": "agpl-3", "EPL 2.0": "epl-2",
+    "CC BY 4.0": "cc-by", "CC BY-SA 4.0": "cc-by-sa", "CC BY-NC-ND 4.0": "cc-by-nc,cc-by-nc-nd", "CC0 1.0 Universal": "cc0",
+    "licensed under Apache 2": "apache-2", "released under BSD": "bsd", "Apache-2.0": "apache-2", "SPDX-License-Identifier: MIT": "mit",
+    "SPDX-License-Identifier: 0BSD": "0bsd", "Two-clause BSD licence": "bsd-2", "the Boost Software License": "bsl",
+    "Microsoft Public License": "ms-pl", "the PostgreSQL Licence": "postgresql", "the CeCILL-B licence": "cecill-b",
+    "Llama 3 Community License": "llama", "Server Side Public License": "sspl", "Open Government Licence": "ogl-uk",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License":
+        "agpl", "Unauthorized copying of this file, via any medium, is strictly prohibited": "proprietary",
+    "If a copy of the MPL was not distributed with this file": "mpl-2", "All rights reserved.": "proprietary",
+    "you just DO WHAT THE FUCK YOU WANT TO.": "wtfpl", "Educational Community License": "ecl", "ODbL": "odbl", "SIL OFL": "ofl",
+}
+PLAIN = (
+    "3 Apache 2 engine planes", "in CC 0 people", "cc by john", "the driver's license was renewed", "an artistic career", "a beer in the park",
+    "MIT students won", "a fair price", "zlib compresses", "the common public", "GPL is short", "vim and emacs", "subject to change", "python code",
+    "public domain name server", "the Unicode standard", "an open database of birds", "reserved seats", "java and ruby", "the sun sets", "a poetic licence",
+    "the elastic band", "commons debate", "press release",
+)
+
+
+def test_license_names_in_all_their_forms(spark):
+    """Precision and recall are 1 on these."""
+    rows = list(enumerate([*LICENSED, *PLAIN]))
+    found, _ = by_id(licenses.report(spark.createDataFrame(rows, "doc_id long, text string")), "labels")
+    wrong = {text: found[k][0] for k, text in rows if found[k][0] != LICENSED.get(text, "")}
+    assert not wrong
+
+
+def test_rules_are_hundreds_and_keys_are_rare_words():
+    signatures = {s for _, s in (*licenses.SIGNATURES, *licenses.GRANTED, *licenses.WORDINGS)}
+    assert len(signatures) > 300 and all(s.count("@") == 1 for s in signatures)
+    keys = {key for s in signatures for key in licenses._keys(licenses._spelled(s))}
+    assert not keys & set("a an the of to in and or is are be this that for with by on as you it software use".split())
+
+
 def test_contained_detections_are_suppressed(spark):
     df = spark.createDataFrame([(1, "under the terms of the GNU General Public License version 2")], "doc_id long, text string")
     rows = licenses.outermost(licenses.detections(df)).filter("priority >= 0").collect()
@@ -485,6 +579,54 @@ def test_language_of_odd_rows(odd, none):
     assert {r.lang_pred for r in language.report(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_vowel_signs_belong_to_words():
+    assert language.words_of("हिन्दी भाषा, e\u0301te\u0301 x1y_z") == ["हिन्दी", "भाषा", "e\u0301te\u0301", "x", "y", "z"]
+
+
+def test_rare_languages_and_hot_texts_are_learned(spark, monkeypatch):
+    """A text in a third of all rows and a language of one percent of them, with small samples."""
+    monkeypatch.setattr(language, "SAMPLE", 40)
+    make = random.Random(9)
+    text = lambda lang: " ".join(lang + "".join(make.choice("aeiou") for _ in range(3)) for _ in range(30))
+    rows = [(k, "bacad badeb " * 10, "ba") for k in range(2000)] + [(5000 + k, text("ba"), "ba") for k in range(2000)]
+    rows += [(10_000 + k, text("ko"), "ko") for k in range(1940)] + [(20_000 + k, text("zu"), "zu") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = {r["lang"]: r["count"] for r in language.sampled(docs.select("lang", "text")).groupBy("lang").count().collect()}
+    assert set(sizes) == {"ba", "ko", "zu"} and all(15 < n < 75 for n in sizes.values())
+    held = language.report(docs).filter("held_out").join(docs, "doc_id")
+    assert held.filter("lang <> lang_pred").count() == 0 and held.filter("lang = 'zu'").count() > 5
+
+
+def test_prediction_equals_scoring_each_word(spark):
+    """Known words by their frequency, others by n-grams, down to single characters."""
+    make = random.Random(17)
+    docs = [("aa", " ".join(make.choice(["kata", "miro", "sol"]) for _ in range(40))) for _ in range(6)]
+    docs += [("bb", " ".join(make.choice(["wexu", "kata", "zzz"]) for _ in range(40))) for _ in range(6)]
+    model = language.learn(spark.createDataFrame(docs, "lang string, text string"))
+    counts = {lang: [w for g, t in docs if g == lang for w in t.split()] for lang in ("aa", "bb")}
+    known = {w for own in counts.values() for w in own}
+    grams = {lang: [f" {w} "[i:i + n] for w in own for n in range(1, 5) for i in range(len(w) + 3 - n)] for lang, own in counts.items()}
+    every = {g for own in grams.values() for g in own}
+
+    def log(held, lang, key, all_):
+        return np.log((held[lang].count(key) + 1) / (len(held[lang]) + len(all_)))
+
+    def pieces(piece):
+        return [piece] if piece in every else [] if len(piece) < 2 else pieces(piece[:-1]) + pieces(piece[1:])
+
+    def score(word, lang):
+        if word in known:
+            return log(counts, lang, word, known)
+        bound = f" {word} "
+        parts = [p for k in range(max(1, len(bound) - 3)) for p in pieces(bound[k:k + 4])]
+        return sum(log(grams, lang, p, every) for p in parts) / max(1, len(parts))
+
+    for text in ("kata kata miro", "zzz sol", "katu wex", "solo zzzz qq", "q"):
+        totals = [sum(score(w, lang) for w in text.split()) for lang in ("aa", "bb")]
+        lang, sure = model.predict(text)
+        assert lang == ("aa", "bb")[int(np.argmax(totals))] and sure == pytest.approx(1 / sum(np.exp(t - max(totals)) for t in totals))
+
+
 # -- repeats --------------------------------------------------------------------
 
 REPEATS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -503,6 +645,23 @@ def test_repeats_of_odd_rows(odd, none, nameless, hot):
     assert repeats.report(none).count() == 0 and repeats.report(nameless).count() == 3
 
 
+def test_strings_without_a_repeat_are_left_out():
+    make = random.Random(12)
+    text = lambda n: bytes(make.randrange(97, 123) for _ in range(n))
+    shared = text(100)
+    strings = [text(150), shared, text(20) + shared + text(30), text(120), shared[1:] + text(9), text(60) * 3]
+    assert repeats.repeating(strings).tolist() == [1, 2, 5]
+    assert repeats.repeating([]).tolist() == [] and repeats.repeating([text(100)]).tolist() == []
+
+
+def test_frequent_copies_have_no_anchors(spark):
+    rows = [(k, PASSAGE) for k in range(40)] + [(100, f"{PASSAGE} and more"), (None, PASSAGE), (3, PASSAGE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {(r.doc_id, r.n_removed) for r in repeats.report(docs).collect()}
+    size = len(PASSAGE.encode())
+    assert found == {(0, 0), (100, size), (None, size), *((k, size) for k in range(1, 40))}
+
+
 def test_maximal_repeats():
     from tallybrook.llm.suffixes import maximal_repeats
 

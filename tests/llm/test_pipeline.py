@@ -1,7 +1,10 @@
 """Each stage of the pipeline on what the one before it kept."""
 
+from pyspark.sql import functions as F
+
 import brute
 import corpus_pipeline
+from test_operators import BASE_TEXT, ITEM, ODD, ROWS
 from tallybrook.llm import privacy
 from tallybrook.llm.base import stored, table
 
@@ -35,6 +38,31 @@ def test_stages(spark, data):
     assert {r.doc_id for r in docs.select("doc_id").collect()} == ids[stages[4]]
 
 
+def test_odd_rows_and_names(spark, data, tmp_path):
+    """Nulls, repeated rows, long texts and clashing names go through the whole chain; nothing is lost but copies."""
+    rows = [*ROWS, ROWS[0], ROWS[3], (None, None), (None, BASE_TEXT), (None, "no id and no copy of it"), (None, "no id and no copy of it")]
+    docs = spark.createDataFrame([(k, t, None if (k or 0) % 2 else "en", None, None) for k, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.withColumns({name: F.lit("x") for name in ODD if name not in docs.columns}).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (1, None, 1), (None, 1, 1), (99, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, ITEM), (None, None), (3, "--")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    columns, sizes = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, str(tmp_path)), "odd-stage")
+        assert docs.columns == columns and docs.filter("kept <> 'x' or row <> 'x'").count() == 0
+        sizes.append(docs.count())
+    # Labels of one kind only: all are kept at first.
+    unique = {(k, t) for k, (n, root, kept) in brute.near_components(ROWS, 5).items() if kept for t in [dict(ROWS)[k]]}
+    assert sizes[0] == len(rows) and sizes[1] == len(unique) + 2
+    hit = {k for k, v in brute.contaminated(ROWS, [(1, ITEM)]).items() if v[-1]}
+    left = {r.doc_id for r in docs.collect()}
+    assert left == {k for k, _ in unique if k not in hit} | {None}
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in packed} == left and sum(r.piece == 0 for r in packed) == sizes[-1]
+
+
 def test_empty_table(spark, data, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, data, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
@@ -45,4 +73,4 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
