@@ -1,11 +1,19 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""
+From raw documents to packed training sequences, stage by stage.
+
+Each stage takes all that the one before kept and, but for the last, gives rows with the columns of
+documents, whatever their names. Null and empty texts pass all stages as empty texts and are packed as their end
+mark. Rows without an id are judged like others; of those with near copies, and of rows equal in id and text,
+one stays. Very long texts are read whole. Ties go as the operators' docstrings say. An empty table, and
+empty labels or benchmark items, give each stage what it has to work on and no error.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybrook.llm import decontaminate, near_duplicates, packing, privacy, quality
-from tallybrook.llm.base import stored, table
+from tallybrook.llm.base import remove_stored, stored, table, tables_so_far
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +54,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage has written for itself is removed once the next one's input is there."""
+    docs, first = table(spark, sf_dir, "documents"), tables_so_far()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        remove_stored(spark, first, keep=1)
+        first = tables_so_far() - 1
     return docs
