@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tallybrook.functions.clock import epoch_micros, window_start
 from tallybrook.functions.display import bot_rate, per_second, share_percent
 from tallybrook.functions.packing import ranked
+from tallybrook.functions.sketches import heavy_error, heavy_items, heavy_merge, heavy_state
 from tallybrook.operators.topk import bounded_semi, top_k_per_group
 from tallybrook.settings import (
-    ANONYMOUS, HISTORY_WINDOWS, TOP_EDITORS, TOP_WIKIS_SHOWN, UNKNOWN, WINDOW_TTL_SECONDS,
+    ANONYMOUS, EDITORS_TRACKED, HISTORY_WINDOWS, TOP_EDITORS, TOP_WIKIS_SHOWN, UNKNOWN, WINDOW_TTL_SECONDS,
 )
 
 
@@ -317,6 +318,30 @@ def window_top_editors_from_slices(events: DataFrame, ts: Column, size: int, k:
     return top_k_per_group(merged, ["window_start"], "count", "user", k, rank="rank")
 
 
+def editor_states(events: DataFrame, ts: Column, size: int, tracked: int = EDITORS_TRACKED) -> DataFrame:
+    """
+    Per window and partition a mergeable state of its editors' counts, of a size that does not depend on
+    their number: ``window_start, partition, edits, editors``.
+    """
+    keyed = normalize(events).select(
+        window_start(ts, size).alias("window_start"), F.col("kafka_partition").alias("partition"), "user")
+    return keyed.groupBy("window_start", "partition").agg(F.count("*").alias("edits"), heavy_state("user", tracked).alias("editors"))
+
+
+def merged_top_editors(states: DataFrame, k: int = TOP_EDITORS, tracked: int = EDITORS_TRACKED) -> DataFrame:
+    """
+    Top editors per window from the states of its partitions, whoever wrote them: ``window_start, rank, user,
+    count, error``. Counts are off by ``error`` at most, which is 0 as long as a window has no more editors than
+    its states track; unlike lists that are cut before they are merged, no editor with more than that is missed.
+    """
+    merged = states.groupBy("window_start").agg(F.sum("edits").alias("edits"), heavy_merge("editors", tracked).alias("editors"))
+    items = merged.select("window_start", "edits", heavy_items("editors", tracked).alias("items"))
+    ranked_ = items.select("window_start", heavy_error(F.col("items"), F.col("edits"), tracked).alias("error"),
+                           F.posexplode(F.slice("items", 1, k)).alias("place", "top"))
+    return ranked_.select("window_start", (F.col("place") + 1).alias("rank"), F.col("top.item").alias("user"),
+                          F.col("top.count").alias("count"), "error")
+
+
 # -- versions -----------------------------------------------------------------
 
 def latest_version(table: DataFrame, keys: Sequence[str], version: str = "version") -> DataFrame:

@@ -443,6 +443,15 @@ def window_top_editors_slices(spark, folder):
     return windows.window_top_editors_from_slices(load_edits(spark, folder), arrival(), DAY)
 
 
+@query
+def window_top_editors_merged(spark, folder):
+    """From mergeable states of each partition, written as a table and read back."""
+    def write(path: str) -> None:
+        windows.editor_states(load_edits(spark, folder), arrival(), DAY).write.parquet(path)
+
+    return windows.merged_top_editors(spark.read.parquet(written(spark, folder, "editor-states", write)))
+
+
 @query
 def window_upsert(spark, folder):
     # Version 1 is what was there before the error events came in, version 2 the rewrite.

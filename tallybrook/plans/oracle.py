@@ -519,6 +519,11 @@ FROM edits GROUP BY 1, 2 QUALIFY rank <= 5"""),
 SELECT window_start, usr AS "user", CAST(sum(n) AS BIGINT) AS count,
        CAST(row_number() OVER (PARTITION BY window_start ORDER BY sum(n) DESC, usr) AS INT) AS rank
 FROM by_user GROUP BY window_start, usr QUALIFY rank <= 5"""),
+    "window_top_editors_merged": with_edits(f"""
+SELECT {floor_to('ingested_at', 86_400)} AS window_start, coalesce(nullif("user", ''), 'anonymous') AS "user",
+       count(*) AS count, CAST(row_number() OVER (PARTITION BY {floor_to('ingested_at', 86_400)}
+         ORDER BY count(*) DESC, coalesce(nullif("user", ''), 'anonymous')) AS INT) AS rank, 0::BIGINT AS error
+FROM edits GROUP BY 1, 2 QUALIFY rank <= 5"""),
     "window_upsert": with_edits(f""",
 v AS (
   SELECT {floor_to('ingested_at', 300)} AS window_start, kafka_partition AS partition, 1 AS version,

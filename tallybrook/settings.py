@@ -36,6 +36,7 @@ WINDOW_TTL_SECONDS = HISTORY_WINDOWS * WINDOW_SECONDS * 2
 STALE_AFTER_SECONDS = 30
 COLD_MAX_AGE_SECONDS = 60
 TOP_EDITORS = 5
+EDITORS_TRACKED = 10_000
 TOP_WIKIS_SHOWN = 8
 
 TOPIC = "changes"

@@ -130,6 +130,33 @@ def test_an_even_user_is_first_only_when_counted_whole(spark):
     assert all(r["user"].startswith("local") for r in lossy)
 
 
+def test_merged_states_find_what_cut_lists_miss(spark):
+    """The editor who is just below the cut of every partition, from states; exact while they track all."""
+    k, rows = windows.TOP_EDITORS, []
+    for p in range(6):
+        for place in range(k):
+            rows += [(2, "w", "edit", f"local-{p}-{place}", False, p)] * (3 + place)
+        rows += [(2, "w", "edit", "everywhere", False, p)] * 2
+    data = edits(spark, rows)
+    states = windows.editor_states(data, F.col("at"), 5)
+    got = windows.merged_top_editors(states).orderBy("rank").collect()
+    exact = windows.window_top_editors(data, F.col("at"), 5).orderBy("rank").collect()
+    assert [(r["rank"], r["user"], r["count"], r["error"]) for r in got] == [(r["rank"], r["user"], r["count"], 0) for r in exact]
+
+
+def test_merged_states_are_within_their_error(spark):
+    """More editors than are tracked: counts are off by the stated error at most, and frequent ones are found."""
+    rows = spark.range(60_000).select(
+        F.lit(0.0).alias("ts"), F.lit("w").alias("wiki"), F.lit("edit").alias("type"), F.lit(False).alias("bot"),
+        (F.col("id") % 5).cast("int").alias("kafka_partition"), F.col("id").alias("kafka_offset"),
+        F.when(F.col("id") % 10 < 3, F.concat(F.lit("busy"), (F.col("id") % 3).cast("string"))).otherwise(
+            F.concat(F.lit("u"), F.col("id").cast("string"))).alias("user")).withColumn("at", F.timestamp_seconds("ts"))
+    true = {r["user"]: r["count"] for r in rows.groupBy("user").count().collect()}
+    found = windows.merged_top_editors(windows.editor_states(rows, F.col("at"), 5, 200), 3, 200).collect()
+    assert {r["user"] for r in found} == {"busy0", "busy1", "busy2"}
+    assert all(0 < r["error"] < 2000 and abs(r["count"] - true[r["user"]]) <= r["error"] for r in found)
+
+
 def test_newest_windows_of_slices(spark):
     starts = [1000 + 50 * i for i in range(9)]
     data = slices(spark, *[slice_row(s, p, 1 + p, size=50) for s in starts for p in range(1 + s % 3)])
