@@ -12,18 +12,20 @@ a smaller id, or earlier in the same document.
    repeat. For each, its context is cut out of the text: the bytes of the strings it is the
    anchor of. So each string is in one context.
 3. Contexts are dealt by anchor into buckets of about ``ROWS`` rows. In a bucket, equal contexts
-   are put together; over the others an enhanced suffix array is built, and its tree of
-   common-prefix intervals is gone through with a stack. An interval whose suffixes follow
-   different bytes is a maximal repeat with all its places; all places but the earliest go.
+   are put together, and those without a string whose hash occurs twice are left out; over the others an
+   enhanced suffix array is built, and its tree of common-prefix intervals is gone through with a
+   stack. An interval whose suffixes follow different bytes is a maximal repeat with all its
+   places; all places but the earliest go.
 4. Anchors with more than ``HOT`` places, as of a passage in a third of all documents, would
    make a bucket too large. Their contexts are taken apart into strings of ``LEAST`` bytes, and
    the first place of each is found by a plain aggregate, which no frequent string slows down.
 5. Equal texts are found by their digest. A later copy goes as a whole, if it has ``LEAST`` bytes,
-   and is not looked at in steps 3 and 4.
+   and is not looked at in steps 3 and 4; copies of the most frequent texts have no anchors either.
 
 Null texts count as empty. Texts shorter than ``LEAST`` stay whole. Rows equal in id and text are
 one document and get the same result; different texts of one id are in the order of a hash of
-the text; null ids come last. Other columns are not read.
+the text; null ids come last. Ids are whole numbers; other kinds are refused. Texts may have any length that
+a string can have. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,20 +39,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.base import ship_package, stored
+from tallybrook.llm.base import HOT_SHARE, ship_package, spread_join, stored
 from tallybrook.llm.suffixes import SuffixArray, repeated_lengths
 from tallybrook.llm.tokens import _BASE, _INVERSE, _power, groups, mixed
 
 LEAST, GRAM = 100, 20
-ROWS, HOT = 20_000, 200_000
+ROWS, HOT = 20_000, 40_000
 LAST = (1 << 63) - 1
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes from each place on."""
+def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """Hash of the ``size`` bytes from each place on."""
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power("up", _BASE, len(data)), out=total[1:])
-    return mixed((total[GRAM:] - total[:-GRAM]) * _power("down", _INVERSE, len(data) + 1)[:len(data) + 1 - GRAM])
+    return mixed((total[size:] - total[:-size]) * _power("down", _INVERSE, len(data) + 1)[:len(data) + 1 - size])
+
+
+def repeating(strings: list[bytes]) -> np.ndarray:
+    """Which of the strings, of ``LEAST`` bytes at least, hold a string of ``LEAST`` bytes whose hash occurs twice."""
+    if not strings:
+        return np.zeros(0, np.int64)
+    sizes = np.array([len(s) for s in strings])
+    hashes = gram_hashes(np.frombuffer(b"".join(strings), np.uint8), LEAST)
+    counts = sizes - LEAST + 1
+    of = np.repeat(np.arange(len(strings)), counts)
+    own = hashes[np.arange(len(of)) + (of * (LEAST - 1))]
+    order = np.sort(own)
+    twice = order[1:][order[1:] == order[:-1]]
+    if not len(twice):
+        return np.zeros(0, np.int64)
+    at = np.searchsorted(twice, own)
+    return np.unique(of[(at < len(twice)) & (twice[np.minimum(at, len(twice) - 1)] == own)])
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -62,8 +81,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(data) < LEAST:
         return none, none, none, np.zeros(0, np.uint64)
     hashes = gram_hashes(data)
-    # The upper bits of the hash and the place: the smallest is the first of equal hashes.
-    bits = np.uint64(28)
+    # The upper bits of the hash and the place: the smallest is the first of equal hashes. No text has 2^32 bytes.
+    bits = np.uint64(32)
     least = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     span = 1
     while 2 * span <= LEAST - GRAM + 1:
@@ -77,7 +96,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     np.add.at(whole, ends[starts < ends], -1)
     starts = np.flatnonzero(np.cumsum(whole[:-1]) > 0)
     # Strings of one anchor start one after the other.
-    at, first, count = np.unique((least[starts] & np.uint64((1 << 28) - 1)).astype(np.int64),
+    at, first, count = np.unique((least[starts] & np.uint64((1 << 32) - 1)).astype(np.int64),
                                  return_index=True, return_counts=True)
     row = np.searchsorted(offsets, at, "right") - 1
     begin = starts[first] - offsets[row]
@@ -151,7 +170,9 @@ def _bucket(rows: pa.Table) -> pa.Table:
     sizes = np.array([len(s) for s in strings], np.int64)
     later = np.flatnonzero(place > first[code])
     of, begin, end = [document[later]], [starts[later]], [starts[later] + sizes[code[later]]]
-    array = SuffixArray(strings, LEAST)
+    some = repeating(strings)
+    array = SuffixArray([strings[k] for k in some], LEAST)
+    first = first[some]
     suffix, length = repeated_lengths(array, LEAST, first[array.string] + array.offset)
     at = first[array.string[suffix]] + array.offset[suffix]
     of, begin, end = (np.concatenate([a, b]) for a, b in zip(
@@ -182,9 +203,9 @@ SPANS = "id long, text_key long, start long, end long"
 
 
 def hot_spans(contexts: DataFrame) -> DataFrame:
-    strings = contexts.mapInArrow(_strings, "digest binary, id long, text_key long, start long")
-    firsts = strings.groupBy(F.col("digest").alias("of")).agg(F.min(F.struct("id", "text_key", "start")).alias("first"))
-    return strings.join(firsts, F.col("digest") == F.col("of")).filter(
+    strings = stored(contexts.mapInArrow(_strings, "digest binary, id long, text_key long, start long"), "strings")
+    firsts = strings.groupBy("digest").agg(F.min(F.struct("id", "text_key", "start")).alias("first"))
+    return spread_join(strings, firsts, "digest").filter(
         F.struct("id", "text_key", "start") > F.col("first")).select(
         "id", "text_key", "start", (F.col("start") + LEAST).alias("end"))
 
@@ -213,6 +234,18 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def without_frequent(texts: DataFrame, digests: DataFrame) -> DataFrame:
+    """
+    The ``texts`` without later copies of those that more than one in ``HOT_SHARE`` of them are. There
+    are fewer than ``HOT_SHARE`` such texts at any size, so their digests are broadcast.
+    """
+    groups_ = digests.groupBy("digest").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.min("text_key").alias("hot_key"))
+    frequent = stored(groups_.filter(F.col("n") * HOT_SHARE > digests.count()).drop("n"), "frequent")
+    # The digest is taken of texts whose key is that of a frequent one.
+    copy = (F.col("text_key") == F.col("hot_key")) & (F.col("id") > F.col("first")) & (F.sha2("text", 256) == F.col("digest"))
+    return texts.join(F.broadcast(frequent), copy, "left_anti")
+
+
 def repeated_spans(docs: DataFrame, rows_per_bucket: int = ROWS, hot: int = HOT) -> DataFrame:
     """``id, text_key, start, end``: the spans to remove, by document; they may overlap."""
     ship_package(docs.sparkSession)
@@ -220,10 +253,10 @@ def repeated_spans(docs: DataFrame, rows_per_bucket: int = ROWS, hot: int = HOT)
     texts = docs.select(id_.alias("id"), F.xxhash64("text").alias("text_key"), "text").filter(F.octet_length("text") >= LEAST)
     digests = texts.select("id", "text_key", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("long").alias("end"))
     digests = stored(digests, "digests")
-    firsts = digests.groupBy(F.col("digest").alias("of")).agg(F.min("id").alias("first"))
-    copies = stored(digests.join(firsts, F.col("digest") == F.col("of")).filter(F.col("id") > F.col("first")).select(
+    firsts = digests.groupBy("digest").agg(F.min("id").alias("first"))
+    copies = stored(spread_join(digests, firsts, "digest").filter(F.col("id") > F.col("first")).select(
         "id", "text_key", F.lit(0).cast("long").alias("start"), "end").distinct(), "copies")
-    marks = texts.mapInArrow(_anchors, "anchor long, id long, text_key long, start int, size short")
+    marks = without_frequent(texts, digests).mapInArrow(_anchors, "anchor long, id long, text_key long, start int, size short")
     of = F.xxhash64("text_key", "start")
     shared = marks.groupBy(F.col("anchor").alias("shared")).agg(
         F.min(of).alias("low"), F.max(of).alias("high"), F.count("*").alias("n")).filter("low <> high").select(
