@@ -211,11 +211,14 @@ def _names(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def drop_expired(spark: SparkSession, path: str, table: str, as_of, date_name: str = "ingest_date") -> list[str]:
-    """Delete the date folders named by ``expired_days`` and return them."""
+    """Delete the date folders named by ``expired_days``, compacted ones as well, and return the days."""
     gone = expired_days(spark, path, table, as_of, date_name)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for day in gone:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{date_name}={day}")
-        folder.getFileSystem(conf).delete(folder, True)
+        # The note goes last: without it the day's batches would be read, with it nothing is left to read.
+        for pattern in (f"{path}/{date_name}={day}", f"{path}{COMPACTED}/upto=*/{date_name}={day}", f"{path}{COMPACTED}/_days/{day}=*"):
+            glob = jvm.org.apache.hadoop.fs.Path(pattern)
+            files = glob.getFileSystem(conf)
+            for found in files.globStatus(glob) or ():
+                files.delete(found.getPath(), True)
     return gone

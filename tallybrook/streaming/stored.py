@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,15 +13,25 @@ from tallybrook.operators.exact_editors import editor_bitmaps, number_editors
 from tallybrook.operators.rollup import rollup_day, rollup_minute, rollup_read
 from tallybrook.schemas import BATCHES, DAY_EDITORS, DAY_ROLLUP, DEAD_LETTERS, EDITOR_NUMBERS, EDITS, MINUTE_ROLLUP
 from tallybrook.sources.messages import clean_rows, dead_letters, judged, observe_drops
-from tallybrook.sources.tables import BATCH, RAW_ORDER, append_batch, bound_checkpoint, dedup, read_table, stored_days
-
-
+from tallybrook.sources.tables import (
+    BATCH, RAW_ORDER, append_batch, bound_checkpoint, compact, dedup, read_compacted, read_table, stored_days,
+)
+
+
+# Schema, date folder and order of the tables that can be compacted.
+LAYOUT = {
+    "edits": (EDITS, "ingest_date", RAW_ORDER),
+    "edits_errors": (DEAD_LETTERS, "seen_date", ("seen_at",)),
+    "edits_1m": (MINUTE_ROLLUP, "minute_date", ("minute", "wiki")),
+    "edits_1d": (DAY_ROLLUP, "day_date", ("day", "wiki")),
+}
+ROLLUP_KEYS = ("minute", "day", "wiki")
 TABLES = ("edits", "edits_errors", "edits_1m", "edits_1d", "batches", "editor_numbers", "editors_1d")
 
 
 class StoredTables:
     """
-    The tables under one folder, and an index of what each batch holds of each partition. The range queries merge partial rollup rows anyway
+    The tables under one folder, with compacted days in place of their batches, and an index of what each batch holds of each partition. The range queries merge partial rollup rows anyway
     and take ``minute_parts`` and ``day_parts`` as they are.
     """
 
@@ -30,17 +42,32 @@ class StoredTables:
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}"
 
+    def _read(self, table: str) -> DataFrame:
+        schema, date_name, _ = LAYOUT[table]
+        return read_compacted(self.spark, self.path(table), schema, date_name=date_name)
+
     def edits(self) -> DataFrame:
-        return read_table(self.spark, self.path("edits"), EDITS)
+        return self._read("edits")
 
     def errors(self) -> DataFrame:
-        return read_table(self.spark, self.path("edits_errors"), DEAD_LETTERS, date_name="seen_date")
+        return self._read("edits_errors")
 
     def minute_parts(self) -> DataFrame:
-        return read_table(self.spark, self.path("edits_1m"), MINUTE_ROLLUP, date_name="minute_date")
+        return self._read("edits_1m")
 
     def day_parts(self) -> DataFrame:
-        return read_table(self.spark, self.path("edits_1d"), DAY_ROLLUP, date_name="day_date")
+        return self._read("edits_1d")
+
+    def compact(self, days: Sequence[str], tables: Sequence[str] = ("edits", "edits_1m", "edits_1d")) -> None:
+        """
+        Rewrite days as few sorted files, rollups as one row per key. Readers take the batches of a day until
+        all of it is written and the compacted day, with batches that come later, from then on.
+        """
+        for table in tables:
+            schema, date_name, order = LAYOUT[table]
+            keys = [date_name, *(c for c in order if c in ROLLUP_KEYS)]
+            reduce = (lambda rows, keys=keys: rollup_read(rows, keys)) if table in ("edits_1m", "edits_1d") else None
+            compact(self.spark, self.path(table), schema, days, order=order, date_name=date_name, reduce=reduce)
 
     def batches(self) -> DataFrame:
         """Per batch and partition: lowest and highest offset, messages, and the newest arrival."""
@@ -106,7 +133,9 @@ def first_deliveries(edits: DataFrame, offsets: DataFrame, tables: StoredTables,
     before = [] if oldest is None else overlapping_batches(offsets, tables, batch_id, oldest, days)
     if not before:
         return fresh
-    stored = tables.edits().filter((F.col("ingest_date") >= F.date_sub(F.lit(oldest), days)) & F.col(BATCH).isin(before))
+    # By the batches themselves: a compacted day does not tell them apart.
+    held = read_table(tables.spark, tables.path("edits"), EDITS)
+    stored = held.filter((F.col("ingest_date") >= F.date_sub(F.lit(oldest), days)) & F.col(BATCH).isin(before))
     return fresh.join(stored.select("kafka_partition", "kafka_offset"), ["kafka_partition", "kafka_offset"],
                       "left_anti").select(*edits.columns)
 

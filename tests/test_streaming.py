@@ -147,6 +147,34 @@ def test_compaction_is_seen_once(spark, landed, tmp_path):
     assert rows(read().select(*edits.columns)) == rows(edits)
 
 
+def test_compacted_stored_tables(spark, landed, tmp_path):
+    """Queries give the same on compacted days, redeliveries are still found, and expired days go whole."""
+    from tallybrook.sources.tables import drop_expired
+    from tallybrook.streaming.stored import store_batch
+
+    tables, messages = StoredTables(spark, str(tmp_path)), spark.read.parquet(landed["messages"])
+    parts = [judged(messages.filter(f"offset % 2 = {k}")).withColumn("seen_at", F.lit("2024-02-01").cast("timestamp")) for k in (0, 1)]
+    for n in (0, 1):
+        store_batch(parts[n], n, tables, redelivery_days=40)
+    as_of = "2024-01-31 00:00:00"
+
+    def answers():
+        return (tables.edits().count(), rows(timeline(tables.minute_parts(), tables.day_parts(), "7d", "1h", as_of)),
+                rows(with_estimates(tables.daily())), rows(top_editors(tables.edits(), "7d", 5, as_of)))
+
+    before = answers()
+    parts_before = tables.day_parts().count()
+    days = [str(r[0]) for r in tables.edits().select("ingest_date").distinct().collect()]
+    tables.compact(sorted(days)[:20])
+    assert answers() == before and tables.day_parts().count() < parts_before
+    store_batch(parts[0], 2, tables, redelivery_days=40)
+    assert answers() == before
+    gone = drop_expired(spark, tables.path("edits"), "edits", as_of)
+    left = tables.edits()
+    assert gone and sorted(days)[0] in gone and left.count() < before[0]
+    assert not {str(r[0]) for r in left.select("ingest_date").distinct().collect()} & set(gone)
+
+
 def test_exact_editors_merge_over_days(spark):
     """200,000 editors, each on several days and wikis, against a distinct count."""
     from tallybrook.operators.exact_editors import count_editors, editor_bitmaps, number_editors
