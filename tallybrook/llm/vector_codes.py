@@ -34,7 +34,7 @@ from tallybrook.llm.base import ship_package, spread_join, stored
 from tallybrook.llm.vectors import BoxTree, exact, matrix, whole_vectors
 
 PARTS, ENTRIES, ROUNDS = 4, 256, 4
-BLOCK, LEAF = 2048, 16
+BLOCK, LEAF = 2048, 64
 
 
 class EntryTree:
@@ -172,7 +172,7 @@ class _Runs(BoxTree):
 
 
 def _sums(codebooks: list[np.ndarray]):
-    """Sums and counts of the parts nearest to each entry, once a task."""
+    """Sums of the parts nearest to each entry, with their number at the end, once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = [EntryTree(c) for c in codebooks]
         sums = [np.zeros(c.shape, np.int64) for c in codebooks]
@@ -191,8 +191,8 @@ def _sums(codebooks: list[np.ndarray]):
         for p, own in enumerate(counts):
             used = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(used), p), pa.int32()), pa.array(used, pa.int32()), pa.array(own[used]),
-                 pa.array(list(sums[p][used]), pa.list_(pa.int64()))], ["part", "entry", "n", "sums"])
+                [pa.array(np.full(len(used), p), pa.int32()), pa.array(used, pa.int32()),
+                 pa.array(list(np.column_stack([sums[p][used], own[used]])), pa.list_(pa.int64()))], ["part", "entry", "sums"])
 
     return run
 
@@ -221,13 +221,13 @@ def _codes(codebooks: list[np.ndarray]):
 def fit(blocks: DataFrame, codebooks: list[np.ndarray], rounds: int = ROUNDS) -> list[np.ndarray]:
     """The codebooks after ``rounds`` of assigning every part and moving every used entry to its floored mean."""
     for _ in range(rounds):
-        found = blocks.mapInArrow(_sums(codebooks), "part int, entry int, n long, sums array<long>")
-        counts = found.groupBy("part", "entry").agg(F.sum("n").alias("n"))
+        found = blocks.mapInArrow(_sums(codebooks), "part int, entry int, sums array<long>")
         sums = found.select("part", "entry", F.posexplode("sums").alias("pos", "sum")).groupBy("part", "entry", "pos").agg(
             F.sum("sum").alias("sum")).groupBy("part", "entry").agg(F.sort_array(F.collect_list(F.struct("pos", "sum"))).alias("sums"))
         codebooks = [c.copy() for c in codebooks]
-        for row in counts.join(sums, ["part", "entry"]).collect():
-            codebooks[row.part][row.entry] = [s["sum"] // row.n for s in row.sums]
+        for row in sums.collect():
+            *total, n = (s["sum"] for s in row.sums)
+            codebooks[row.part][row.entry] = [x // n for x in total]
     return codebooks
 
 
