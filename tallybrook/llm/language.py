@@ -24,6 +24,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,20 @@ from tallybrook.llm.base import ship_package, stored
 SAMPLE, KNOWN, LONGEST = 2_500, 20_000, 4
 REMEMBERED = 200_000
 UNKNOWN = "und"
-MARKS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c).startswith("M"))
-GAP = re.compile(f"(?:[^\\w{MARKS}]|[\\d_])+")
+MARKS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c).startswith("M"))
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+@lru_cache(maxsize=1000)
+def _with_marks(marks: frozenset[str]) -> re.Pattern:
+    return re.compile(f"(?:[^\\W\\d_]|[{''.join(sorted(marks))}])+")
 
 
 def words_of(text: str) -> list[str]:
-    return [word for word in GAP.split(text.lower()) if word]
+    """Its words in lower case; the pattern names the marks that the text has, as one that names all is slow."""
+    text = text.lower()
+    marks = frozenset() if text.isascii() else MARKS.intersection(text)
+    return (_with_marks(marks) if marks else LETTERS).findall(text)
 
 
 def held_out(id_: Column) -> Column:
