@@ -150,6 +150,82 @@ def fill_gaps(counts: DataFrame, size: int, max_gap: int | None = None, measures
     return before.select(PARTITION, F.explode(every).alias("w")).select(PARTITION, "w.*")
 
 
+# -- windows as flushes emit them ----------------------------------------------
+
+def _poll_counts(events: DataFrame, ts: Column, poll: Column, size: int) -> DataFrame:
+    """Events per partition, poll and window, with their highest clock and lowest offset. Rows without a clock or a poll meet no flush."""
+    rows = clocked(events, ts, size).withColumn("poll", poll).filter("window_start is not null and poll is not null")
+    return rows.groupBy(PARTITION, "poll", "window_start").agg(
+        F.count("*").alias("events"), F.max("clock_us").alias("_us"), F.min(OFFSET).alias("_low"))
+
+
+def _flushes(counts: DataFrame, size: int, grace: float, polls_per_chunk: int) -> DataFrame:
+    """
+    Per partition and poll the newest window emitted ``before`` it and ``through`` the flush after it. A window
+    closes once the watermark reaches its end plus grace; the one before a partition's first row counts as emitted.
+    """
+    polls = counts.groupBy(PARTITION, "poll").agg(F.max("_us").alias("_us"))
+    first = F.min(F.struct("poll", F.col("_low").isNull().alias("unknown"), "_low", "window_start"))["window_start"]
+    # One row per topic partition, a number the topic fixes.
+    origin = F.broadcast(counts.groupBy(PARTITION).agg((first - F.lit(size)).alias("_origin")))
+    chunk = F.floor(F.col("poll") / polls_per_chunk)
+    marks = running_max(polls, [PARTITION], "poll", "_us", chunk, name="_earlier", include_current=False)
+
+    def reach(mark: Column) -> Column:
+        newest = align_micros(mark - F.lit(int(grace * 1_000_000)), size) - F.lit(size)
+        return F.greatest(F.col("_origin"), newest)
+
+    return marks.join(origin, PARTITION).select(
+        PARTITION, "poll", F.when(F.col("_earlier").isNull(), F.col("_origin")).otherwise(reach(F.col("_earlier"))).alias("before"),
+        reach(F.greatest("_earlier", "_us")).alias("through"))
+
+
+def window_fates(
+    events: DataFrame, ts: Column, poll: Column, size: int, grace: float, max_gap: int | None = None,
+    polls_per_chunk: int = 10_000,
+) -> DataFrame:
+    """
+    Per partition and window what its events came to, with a flush after each poll: on time (``events``) or too
+    late (``late_events``), the poll that emitted it, and whether it is ``emitted``, ``open`` or, where a flush emits
+    only the newest ``max_gap`` of the windows it closes, ``dropped``. Quiet windows are emitted with no events.
+    """
+    counts = _poll_counts(events, ts, poll, size)
+    flushes = _flushes(counts, size, grace, polls_per_chunk)
+    late = F.col("window_start") <= F.col("before")
+    taken = counts.join(flushes, [PARTITION, "poll"]).groupBy(PARTITION, "window_start").agg(
+        F.sum(F.when(~late, F.col("events"))).alias("events"), F.sum(F.when(late, F.col("events"))).alias("late_events"))
+    first = F.col("before") + size
+    if max_gap is not None:
+        first = F.greatest(first, F.col("through") - (max_gap - 1) * size)
+    spans = flushes.filter("through > before").select(
+        PARTITION, F.col("poll").alias("emitted_by"), first.alias("first"), F.col("through").alias("last"))
+    out = window_grid(spans, size, (PARTITION, "emitted_by"))
+    # One row per topic partition.
+    ends = F.broadcast(flushes.groupBy(PARTITION).agg(F.max("through").alias("final")))
+    status = F.when(F.col("emitted_by").isNotNull(), "emitted").when(F.col("window_start") <= F.col("final"), "dropped").otherwise("open")
+    return out.join(taken, [PARTITION, "window_start"], "full").join(ends, PARTITION).select(
+        PARTITION, "window_start", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("events", "late_events")], "emitted_by", status.alias("status"))
+
+
+def emitted_windows(
+    events: DataFrame, ts: Column, poll: Column, size: int, grace: float, max_gap: int | None = None,
+    polls_per_chunk: int = 10_000,
+) -> DataFrame:
+    """The windows that were emitted, quiet ones too, and those others that have events on time, with their status."""
+    fates = window_fates(events, ts, poll, size, grace, max_gap, polls_per_chunk)
+    return fates.filter((F.col("events") > 0) | F.col("emitted_by").isNotNull()).drop("late_events")
+
+
+def event_fates(
+    events: DataFrame, ts: Column, poll: Column, size: int, grace: float, max_gap: int | None = None,
+    polls_per_chunk: int = 10_000,
+) -> DataFrame:
+    """Events per partition by what the flushes made of them: late, emitted, dropped by a gap cap, or open."""
+    fates = window_fates(events, ts, poll, size, grace, max_gap, polls_per_chunk)
+    return fates.groupBy(PARTITION).agg(F.sum("late_events").alias("late_events"), *[
+        F.sum(F.when(F.col("status") == s, F.col("events")).otherwise(0)).alias(f"{s}_events") for s in ("emitted", "dropped", "open")])
+
+
 def watermark_lag(watermarks: DataFrame, as_of_epoch: int) -> DataFrame:
     """Seconds each partition's watermark is behind ``as_of``."""
     lag = (F.lit(as_of_epoch * 1_000_000) - epoch_micros(F.col("watermark"))) / F.lit(1_000_000.0)

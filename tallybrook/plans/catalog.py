@@ -532,6 +532,13 @@ def late_events(spark, folder):
 
 @query
 def late_disposition(spark, folder):
+    """Events by what the flush after each poll made of them."""
+    return lateness.event_fates(load_edits(spark, folder), payload(), poll(), SIZE, GRACE)
+
+
+@query
+def closed_disposition(spark, folder):
+    """Events by what the watermark before and after them says, row by row."""
     return lateness.disposition(load_edits(spark, folder), payload(), SIZE, GRACE)
 
 
