@@ -567,10 +567,16 @@ def window_gaps_filled(spark, folder):
 
 
 @query
-def window_gap_capped(spark, folder):
+def window_gaps_skipped(spark, folder):
     return lateness.fill_gaps(_counts(load_edits(spark, folder), arrival()), SIZE, MAX_GAP_WINDOWS)
 
 
+@query
+def window_gap_capped(spark, folder):
+    """Every window as the flush after each poll leaves it, where a flush emits no more than the newest windows."""
+    return lateness.emitted_windows(load_edits(spark, folder), payload(), poll(), SIZE, GRACE, MAX_GAP_WINDOWS)
+
+
 def _delays(spark, folder):
     return health.slice_delays(_stored_slices(spark, folder, "event_time", "2024-01-01"))
 

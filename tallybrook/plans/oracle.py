@@ -661,7 +661,8 @@ g AS (
 )
 SELECT kafka_partition, window_start, coalesce(events, 0) AS events
 FROM g LEFT JOIN c USING (kafka_partition, window_start)"""),
-    "window_gap_capped": with_edits(f""",
+    "window_gap_capped": with_edits(emitted(12) + "\nSELECT * FROM fate"),
+    "window_gaps_skipped": with_edits(f""",
 c AS (SELECT kafka_partition, {floor_to('ingested_at', 300)} AS window_start, count(*) AS events FROM edits GROUP BY 1, 2),
 b AS (SELECT *, lag(window_start, 1, window_start - 300) OVER (PARTITION BY kafka_partition ORDER BY window_start) AS before FROM c)
 SELECT kafka_partition, window_start, events, greatest(0, (window_start - before) // 300 - 1 - 12) AS skipped FROM b

@@ -86,3 +86,11 @@ def folder(spark, tmp_path_factory):
 def test_late_disposition_counts_what_flushes_left(spark, folder):
     assert QUERIES["late_disposition"](spark, folder).first().asDict() == {
         "kafka_partition": 0, "late_events": 1, "emitted_events": 4, "dropped_events": 0, "open_events": 2}
+
+
+def test_gap_cap_drops_what_its_flush_leaves_out(spark, folder):
+    """Quiet windows are emitted by the poll that closes them; a window with an event beyond the cap is dropped."""
+    got = {((r["window_start"] - MIDNIGHT) // 60): (r["events"], r["emitted_by"] and r["emitted_by"] - MIDNIGHT // 600, r["status"])
+           for r in QUERIES["window_gap_capped"](spark, folder).collect()}
+    quiet = {m: (0, 3, "emitted") for m in range(0, 35, 5)} | {m: (0, 20, "emitted") for m in range(140, 200, 5)}
+    assert got == quiet | {0: (2, 3, "emitted"), 30: (1, 3, "emitted"), 35: (1, None, "dropped"), 200: (2, None, "open")}
