@@ -84,6 +84,11 @@ def reconcile_hot_cold(windows: DataFrame, minute: DataFrame, size: int) -> Data
     )
 
 
+def emit_delay(emitted: DataFrame, size: int) -> DataFrame:
+    """Seconds between the end of a window and the moment it was written (``written_at``, epoch)."""
+    return emitted.withColumn("delay_seconds", (F.col("written_at") - (F.col("window_start") + F.lit(size))).cast("double"))
+
+
 def slice_delays(slices: DataFrame) -> DataFrame:
     """Emit delay of written slices, from the time of writing that they carry."""
     written = F.unix_micros("written_at") / F.lit(1_000_000.0)

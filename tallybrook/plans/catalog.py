@@ -578,12 +578,19 @@ def window_gap_capped(spark, folder):
 
 
 def _delays(spark, folder):
-    return health.slice_delays(_stored_slices(spark, folder, "event_time", "2024-01-01"))
+    """Delays of all windows that were emitted, quiet ones too; a flush ends with its poll."""
+    out = lateness.emitted_windows(load_edits(spark, folder), payload(), poll(), SIZE, GRACE).filter("status = 'emitted'")
+    return health.emit_delay(out.withColumn("written_at", (F.col("emitted_by") + 1) * POLL), SIZE)
 
 
 @query
 def emit_delay(spark, folder):
-    return _delays(spark, folder)
+    return _delays(spark, folder).select("kafka_partition", "window_start", "written_at", "delay_seconds")
+
+
+@query
+def slice_delay(spark, folder):
+    return health.slice_delays(_stored_slices(spark, folder, "event_time", "2024-01-01"))
 
 
 @query
@@ -652,12 +659,12 @@ def gauge_total(spark, folder):
 
 @query
 def histogram_buckets(spark, folder):
-    return series.observe(_delays(spark, folder), "delay_seconds", DELAY_BOUNDS, ["partition"])
+    return series.observe(slice_delay(spark, folder), "delay_seconds", DELAY_BOUNDS, ["partition"])
 
 
 @query
 def histogram_quantile(spark, folder):
-    buckets = series.observe(_delays(spark, folder), "delay_seconds", DELAY_BOUNDS, ["partition"])
+    buckets = series.observe(slice_delay(spark, folder), "delay_seconds", DELAY_BOUNDS, ["partition"])
     return series.histogram_quantile(buckets, 0.99, ["partition"], "p99")
 
 

@@ -191,7 +191,7 @@ def merged(size: int, where: str = "") -> str:
 
 
 # Slices by the payload's clock, written when the last of their edits came in.
-DELAYS = """,
+SLICE_DELAYS = """,
 delays AS (
   SELECT window_start, partition, epoch_us(written_at) / 1000000.0 - (window_start + 300) AS delay_seconds
   FROM (
@@ -200,13 +200,6 @@ delays AS (
   )
 )"""
 
-BUCKETS = DELAYS + """,
-bounds AS (SELECT unnest([-240, -120, 0, 120, 240, 360, 480, 600, CAST('inf' AS DOUBLE)]) AS le),
-buckets AS (
-  SELECT partition, le, count(*) FILTER (WHERE delay_seconds <= le) AS cumulative
-  FROM delays CROSS JOIN bounds GROUP BY ALL
-)"""
-
 SCHEDULE = """,
 c AS (
   SELECT *, epoch_us(event_time) AS us, epoch_us(event_time) // 300000000 * 300 AS window_start FROM edits
@@ -253,6 +246,20 @@ fate AS (
 )"""
 
 
+DELAYS = emitted(None) + """,
+delays AS (
+  SELECT kafka_partition, window_start, (emitted_by + 1) * 600 AS written_at,
+         CAST((emitted_by + 1) * 600 - (window_start + 300) AS DOUBLE) AS delay_seconds
+  FROM fate WHERE status = 'emitted'
+)"""
+
+BUCKETS = SLICE_DELAYS + """,
+bounds AS (SELECT unnest([-240, -120, 0, 120, 240, 360, 480, 600, CAST('inf' AS DOUBLE)]) AS le),
+buckets AS (
+  SELECT partition, le, count(*) FILTER (WHERE delay_seconds <= le) AS cumulative
+  FROM delays CROSS JOIN bounds GROUP BY ALL
+)"""
+
 CLOSES = """,
 c AS (SELECT *, (epoch_us(event_time) // 300000000 * 300 + 360) * 1000000 AS closes, epoch_us(event_time) AS us FROM edits),
 r AS (
@@ -669,6 +676,7 @@ SELECT kafka_partition, window_start, events, greatest(0, (window_start - before
 UNION ALL
 SELECT kafka_partition, unnest(range(greatest(before + 300, window_start - 3600), window_start, 300)), 0, 0 FROM b"""),
     "emit_delay": with_edits(DELAYS + "\nSELECT * FROM delays"),
+    "slice_delay": with_edits(SLICE_DELAYS + "\nSELECT * FROM delays"),
     "restart_offsets": with_edits(CLOSES + """
 SELECT kafka_partition, max(kafka_offset) + 1 AS end_offset,
        coalesce(min(kafka_offset) FILTER (WHERE closes > mark), max(kafka_offset) + 1) AS safe

@@ -94,3 +94,10 @@ def test_gap_cap_drops_what_its_flush_leaves_out(spark, folder):
            for r in QUERIES["window_gap_capped"](spark, folder).collect()}
     quiet = {m: (0, 3, "emitted") for m in range(0, 35, 5)} | {m: (0, 20, "emitted") for m in range(140, 200, 5)}
     assert got == quiet | {0: (2, 3, "emitted"), 30: (1, 3, "emitted"), 35: (1, None, "dropped"), 200: (2, None, "open")}
+
+
+def test_emit_delay_has_every_emitted_window(spark, folder):
+    """Quiet ones too: from the end of the window to the end of the poll that closed it."""
+    got = {(r["window_start"] - MIDNIGHT) // 60: (r["written_at"] - MIDNIGHT, r["delay_seconds"])
+           for r in QUERIES["emit_delay"](spark, folder).collect()}
+    assert got == {m: (end * 60, (end - m - 5) * 60.0) for end, own in ((40, range(0, 35, 5)), (210, range(35, 200, 5))) for m in own}
