@@ -253,10 +253,10 @@ delays AS (
   FROM fate WHERE status = 'emitted'
 )"""
 
-BUCKETS = SLICE_DELAYS + """,
-bounds AS (SELECT unnest([-240, -120, 0, 120, 240, 360, 480, 600, CAST('inf' AS DOUBLE)]) AS le),
+BUCKETS = DELAYS + """,
+bounds AS (SELECT unnest([60, 300, 600, 1200, 1800, 3600, 7200, 14400, CAST('inf' AS DOUBLE)]) AS le),
 buckets AS (
-  SELECT partition, le, count(*) FILTER (WHERE delay_seconds <= le) AS cumulative
+  SELECT kafka_partition, le, count(*) FILTER (WHERE delay_seconds <= le) AS cumulative
   FROM delays CROSS JOIN bounds GROUP BY ALL
 )"""
 
@@ -722,10 +722,10 @@ FROM s"""),
     "histogram_quantile": with_edits(BUCKETS + """,
 x AS (
   SELECT *, lag(le, 1, 0) OVER o AS low, lag(cumulative, 1, 0) OVER o AS below,
-         0.99::DOUBLE * max(cumulative) OVER (PARTITION BY partition) AS rank_
-  FROM buckets WINDOW o AS (PARTITION BY partition ORDER BY le)
+         0.99::DOUBLE * max(cumulative) OVER (PARTITION BY kafka_partition) AS rank_
+  FROM buckets WINDOW o AS (PARTITION BY kafka_partition ORDER BY le)
 )
-SELECT partition, arg_min(CASE WHEN isinf(le) OR cumulative = below THEN low
+SELECT kafka_partition, arg_min(CASE WHEN isinf(le) OR cumulative = below THEN low
          ELSE low + (le - low) * (rank_ - below) / (cumulative - below) END, le) AS p99
 FROM x WHERE cumulative >= rank_ AND cumulative > 0 GROUP BY 1"""),
     "stored_batches": with_messages("""

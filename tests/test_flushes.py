@@ -101,3 +101,8 @@ def test_emit_delay_has_every_emitted_window(spark, folder):
     got = {(r["window_start"] - MIDNIGHT) // 60: (r["written_at"] - MIDNIGHT, r["delay_seconds"])
            for r in QUERIES["emit_delay"](spark, folder).collect()}
     assert got == {m: (end * 60, (end - m - 5) * 60.0) for end, own in ((40, range(0, 35, 5)), (210, range(35, 200, 5))) for m in own}
+
+
+def test_histogram_buckets_count_every_emitted_window(spark, folder):
+    got = QUERIES["histogram_buckets"](spark, folder).orderBy("le").collect()
+    assert [r["cumulative"] for r in got] == [0, 1, 3, 7, 11, 18, 30, 40, 40] and {r["kafka_partition"] for r in got} == {0}
