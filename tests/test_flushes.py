@@ -106,3 +106,8 @@ def test_emit_delay_has_every_emitted_window(spark, folder):
 def test_histogram_buckets_count_every_emitted_window(spark, folder):
     got = QUERIES["histogram_buckets"](spark, folder).orderBy("le").collect()
     assert [r["cumulative"] for r in got] == [0, 1, 3, 7, 11, 18, 30, 40, 40] and {r["kafka_partition"] for r in got} == {0}
+
+
+def test_histogram_quantile_is_of_every_emitted_window(spark, folder):
+    row = QUERIES["histogram_quantile"](spark, folder).first()
+    assert row["kafka_partition"] == 0 and row["p99"] == pytest.approx(7200 + 7200 * (39.6 - 30) / 10)
