@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,17 @@ def load_events(spark: SparkSession, folder: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/events.parquet")
 
 
+def dealt(rows: DataFrame, keys: tuple[str, ...], least: int = 50_000, most: int = 1_000_000) -> DataFrame:
+    """
+    The rows dealt over all cores, ``least`` to ``most`` to a task. A scan has no more tasks than the file has row
+    groups, and one may hold the whole table; what is dear per row should not begin in so few tasks.
+    """
+    # From the files' footers.
+    count = rows.count()
+    tasks = max(min(ceil(count / least), 2 * rows.sparkSession.sparkContext.defaultParallelism), ceil(count / most))
+    return rows.repartition(tasks, *keys) if tasks > 1 else rows
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -64,7 +77,7 @@ def load_messages(spark: SparkSession, folder: str) -> DataFrame:
             value = F.when(k == at, form).otherwise(value)
         return value
 
-    rows = load_events(spark, folder).withColumn("k", _k())
+    rows = dealt(load_events(spark, folder), ("event_id", "ts", "user_id")).withColumn("k", _k())
     clock = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
     kind = F.when(F.col("event_type") == "signup", "new").otherwise(F.col("event_type"))
     user = F.when(F.col("user_id") % 10 != 0, quoted(F.concat(F.lit("u"), F.col("user_id"))))

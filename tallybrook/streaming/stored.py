@@ -148,8 +148,13 @@ def store_editors(edits: DataFrame, batch_id: int, tables: StoredTables) -> None
     first = edits.agg(F.min(F.to_date("ingested_at"))).first()[0]
     if first is None:
         return
-    fresh = number_editors(edits, tables.editor_numbers().filter(F.col(BATCH) < batch_id))
-    append_batch(fresh, tables.path("editor_numbers"), batch_id, F.lit(first), date_name="first_date", order=("user",))
+    # Numbering reads them three times.
+    users = edits.select("user").filter("user is not null").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fresh = number_editors(users, tables.editor_numbers().filter(F.col(BATCH) < batch_id))
+        append_batch(fresh, tables.path("editor_numbers"), batch_id, F.lit(first), date_name="first_date", order=("user",))
+    finally:
+        users.unpersist()
     numbers = tables.editor_numbers().filter(F.col(BATCH) <= batch_id).select("user", "number")
     bitmaps = editor_bitmaps(edits, numbers, F.to_date("ingested_at").alias("day"), "wiki")
     append_batch(bitmaps, tables.path("editors_1d"), batch_id, F.col("day"), date_name="day_date", order=("day", "wiki", "bucket"))

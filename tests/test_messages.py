@@ -143,3 +143,16 @@ def test_scalar_types_are_kept_as_text(spark):
     rows = verdict(spark, '{"type":7,"wiki":"a"}', '{"type":true,"wiki":"a"}', '{"type":"","wiki":"a"}',
                    '{"type":[1],"wiki":"a"}', '{"type":null,"wiki":"a"}', '{"type":"x","wiki":7}')
     assert [r["event"] and r["event"]["type"] for r in rows] == ["7", "true", None, None, None, None]
+
+
+def test_messages_of_one_row_group_are_dealt_over_tasks(spark, tmp_path):
+    """A scan reads a row group in one task; building and judging payloads is not left to that task."""
+    from tallybrook.sources.event_log import load_messages
+
+    events = spark.range(0, 120_000, 1, 1).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-10 00:00:00' as ts", "id % 50 as user_id", "'click' as event_type",
+        "1.0D as value", "concat('{\"k\": ', id % 100, '}') as props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    messages = load_messages(spark, str(tmp_path))
+    sizes = [r["count"] for r in messages.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 3 and max(sizes) < 60_000 and sum(sizes) == messages.select("offset").distinct().count() == 120_000
