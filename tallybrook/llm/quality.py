@@ -77,10 +77,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good = np.asarray(batch.column("good").fill_null(False).to_numpy(zero_copy_only=False), bool)
         for first, data, offsets in groups(batch.column("text")):
             row, bucket, _ = features(data, offsets)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            chosen = bucket[good[first:first + len(offsets) - 1][row]]
-            if len(chosen):
-                target += np.bincount(chosen, minlength=BUCKETS)
+            # In place: an array of all buckets for every group would be more work than its texts.
+            np.add.at(raw, bucket, 1)
+            np.add.at(target, bucket[good[first:first + len(offsets) - 1][row]], 1)
     seen = np.flatnonzero(raw)
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])],
                                      ["bucket", "raw", "target"])
@@ -137,8 +136,7 @@ def log_ratios(target: np.ndarray, expected: np.ndarray) -> np.ndarray:
 def _rate(held):
     """``good, weight`` of labelled rows; good ones weigh as if the target did not hold them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, raw, share = held.value
-        ratios = log_ratios(target, raw * share)
+        target, raw, share, ratios = held.value
         for batch in batches:
             weights = np.zeros(batch.num_rows)
             good = np.asarray(batch.column("good").to_numpy(zero_copy_only=False), bool)
@@ -173,14 +171,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     held = np.zeros((2, BUCKETS), np.int64)
     held[:, rows.column("bucket").to_numpy()] = rows.column("target").to_numpy(), rows.column("raw").to_numpy()
     share = target / raw
-    ratios = log_ratios(held[0], held[1] * share).astype(np.float32)
+    ratios = log_ratios(held[0], held[1] * share)
     # One row of each labelled id, so that there are as few as ids; repeated ones leave a task as one.
     own = F.min(F.struct(F.xxhash64("text").alias("key"), "text", "good")).alias("own")
     rated = texts.join(sample, F.col("doc_id") == F.col("id")).groupBy("id").agg(own).select("own.text", "own.good")
-    sent = docs.sparkSession.sparkContext.broadcast((*held, share))
+    sent = docs.sparkSession.sparkContext.broadcast((*held, share, ratios))
     rows = rated.mapInArrow(_rate(sent), "good boolean, weight double").toArrow()
     good = rows.column("good").to_numpy().astype(bool)
-    return Model(ratios, dividing_weight(rows.column("weight").to_numpy(), good))
+    return Model(ratios.astype(np.float32), dividing_weight(rows.column("weight").to_numpy(), good))
 
 
 def dividing_weight(weights: np.ndarray, good: np.ndarray) -> float:

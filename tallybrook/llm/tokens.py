@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-# Texts are handled in groups of about so many bytes, so the arrays below stay small.
-GROUP_BYTES = 1 << 20
+# Texts are handled in groups of about so many bytes, so the arrays below, some 70 bytes for each of them, stay small:
+# every worker of an executor holds its own, and keeps what it once had for the stages after.
+GROUP_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
