@@ -3,11 +3,13 @@
 import datetime as dt
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.operators import lateness
+from tallybrook.operators import lateness, series
 from tallybrook.plans.catalog import QUERIES
+from tallybrook.plans.oracle import ORACLES
 
 SCHEMA = "kafka_partition int, kafka_offset long, at timestamp, poll long"
 
@@ -111,3 +113,15 @@ def test_histogram_buckets_count_every_emitted_window(spark, folder):
 def test_histogram_quantile_is_of_every_emitted_window(spark, folder):
     row = QUERIES["histogram_quantile"](spark, folder).first()
     assert row["kafka_partition"] == 0 and row["p99"] == pytest.approx(7200 + 7200 * (39.6 - 30) / 10)
+
+
+def test_histogram_quantile_leaves_out_no_partition(spark):
+    """The SQL's step after the buckets, and the operator, give a row to a partition whose buckets count nothing too."""
+    inf = float("inf")
+    rows = [(0, 60.0, 1), (0, 300.0, 100), (0, inf, 100), (1, 60.0, 0), (1, 300.0, 0), (1, inf, 0)]
+    names, step = ["kafka_partition", "le", "cumulative"], ORACLES["histogram_quantile"].split("\nx AS (")[1]
+    buckets = ", ".join(f"({p}, '{le}'::DOUBLE, {n})" for p, le, n in rows)
+    sql = dict(duckdb.execute(f"WITH buckets({', '.join(names)}) AS (VALUES {buckets}),\nx AS ({step}").fetchall())
+    got = dict(series.histogram_quantile(spark.createDataFrame(rows, names), 0.99, names[:1], "p99").collect())
+    assert set(sql) == set(got) == {0, 1} and got[1] is None
+    assert sql[0] == pytest.approx(60 + 240 * 98 / 99) and got[0] == pytest.approx(60 + 240 * 98 / 99)
